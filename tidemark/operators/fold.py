@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.versioning import latest_version
 from tidemark.schema import (
     EVENT_COLS,
+    MONTH_COL,
     OP_BASE,
     OP_CREATE,
     OP_DELETE,
@@ -38,19 +39,37 @@ from tidemark.schema import (
     R_NOT_FOUND,
 )
 
-_BASE_COLS = ("b_version", "b_is_deleted", "b_created_at")
 
+# Largest touched-id count for which the winners are broadcast (narrow rows of
+# five columns: well under 100 MB). Beyond it the lookup stays a shuffle join.
+BROADCAST_IDS = 1_000_000
 
-def base_from_history(history: DataFrame, touched_ids: DataFrame) -> DataFrame:
+
+def base_from_history(history: DataFrame, touched_ids: DataFrame, touched_count: int | None = None) -> DataFrame:
     """Latest stored version (tombstones kept) of each touched id, as base operations.
 
-    ``touched_ids`` is a one-column (``id``) frame. The semi join reads only
-    the versions of touched events; AQE broadcasts the ids when they are
-    small at runtime, else both sides shuffle on ``id``, which is the
-    partitioning the fold needs anyway.
+    Two passes keep wide columns out of the search: the winners are picked
+    on the narrow ``(id, version, batch_id, seq)`` columns of the touched
+    ids only, then their full rows are fetched with a semi join on those
+    columns plus the table's partition columns. When the winner set is small,
+    it is broadcast and dynamic partition pruning limits the wide read to the
+    ``batch_id`` / ``created_month`` folders that hold winners.
+
+    ``touched_count``: the measured number of distinct touched ids. Only when
+    it is given and at most ``BROADCAST_IDS`` is the broadcast forced;
+    otherwise AQE decides from runtime sizes.
     """
-    prior = history.join(touched_ids.select("id").distinct(), "id", "left_semi")
-    cur = latest_version(prior, ("id",), include_deleted=True)
+    ids = touched_ids.select("id").distinct()
+    keys = [c for c in ("id", "version", "batch_id", "seq", MONTH_COL) if c in history.columns]
+    narrow = history.select(*keys).join(ids, "id", "left_semi")
+    winners = latest_version(narrow, ("id",), include_deleted=True)
+    if touched_count is not None and touched_count <= BROADCAST_IDS:
+        winners = F.broadcast(winners)
+    winners = winners.alias("w")
+    h = history.alias("h")
+    cond = [F.col(f"h.{k}").eqNullSafe(F.col(f"w.{k}")) if k == "seq" else F.col(f"h.{k}") == F.col(f"w.{k}")
+            for k in keys]
+    cur = h.join(winners, cond, "left_semi")
     return cur.select(
         "id",
         F.lit(-1).cast("bigint").alias("seq"),

@@ -106,6 +106,27 @@ def q_top_error_sessions(spark, d):
     return get_top_error_sessions(history(spark, d), LIMIT).withColumn("error_rate", F.round("error_rate", 6))
 
 
+def q_client_roundtrip(spark, d):
+    from tidemark import api
+
+    b = adapters.events_requests(spark, d)
+    creates, bad_c = api.track_events(b["create"], id_col="id")
+    updates, bad_u = api.update_events(b["update"])
+    deletes, bad_d = api.delete_events(b["delete"])
+    empty, bad_e = api.update_events(b["empty"])
+    versions = fold_log(creates.unionByName(updates).unionByName(deletes).unionByName(empty))[0]
+    return live_snapshot(versions).select(*EVENT_COLS)
+
+
+def q_client_rejects(spark, d):
+    from tidemark import api
+
+    b = adapters.events_requests(spark, d)
+    _, bad_e = api.update_events(b["empty"])
+    _, bad_n = api.track_events(b["bad_name"], id_col="id")
+    return bad_e.unionByName(bad_n).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _two_batches(versions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The version rows as two insert batches: creates, then mutations."""
     return versions.where(F.col("version") == 1), versions.where(F.col("version") > 1)
@@ -257,6 +278,8 @@ QUERIES: dict[str, Query] = {
     "table_session_lookup": q_table_session_lookup,
     "stream_apply": q_stream_apply,
     "stream_rollup": q_stream_rollup,
+    "client_roundtrip": q_client_roundtrip,
+    "client_rejects": q_client_rejects,
 }
 
 
@@ -423,4 +446,8 @@ ORACLE: dict[str, str] = {
     "table_session_lookup": f"select {_PUBLIC} from ({_B_ROWS}) where conversation_id = '{CUSTOMER}'",
     "stream_apply": _WITH_A + f"select {_COLS} from latest where is_deleted = 0",
     "stream_rollup": _ERROR_ROLLUP_SQL,
+    "client_roundtrip": _WITH_A + f"select {_COLS} from latest where is_deleted = 0",
+    "client_rejects": "select 'empty_patch' as reason, count(*) as n from events where event_id % 5 = 4\n"
+    "union all\n"
+    "select 'bad_event_name', count(*) from events where event_id % 5 = 4",
 }

@@ -344,3 +344,38 @@ def patch_changelog_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     updates = b.select(*_message(OP_UPDATE, F.col("id"), _mutated_at(F.col("created_at")), patch, 1))
     return creates.unionByName(updates)
+
+
+def events_requests(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Adapter A as client requests (the same 5:2:2 mix), for the bulk client builders.
+
+    ``create``: every event with its id and time; ``update`` (k in 0, 1):
+    error flipped, latency doubled; ``delete`` (k in 2, 3); ``empty``
+    (k = 4): an update with no field; ``bad_name`` (k = 4): a create with a
+    name outside the allowed set.
+    """
+    b = _events_base(spark, sf_dir)
+    later = _mutated_at(F.col("created_at")).cast("timestamp").alias("timestamp")
+    return {
+        "create": b.select(
+            "id", "conversation_id", "conversation_metadata", "event_name", "error", "latency",
+            F.col("created_at").cast("timestamp").alias("timestamp"), F.lit(0).cast("bigint").alias("seq"),
+        ),
+        "update": b.where(F.col("k").isin(0, 1)).select(
+            F.col("id").alias("event_id"),
+            F.when(F.col("error") == "", F.lit("timeout")).otherwise(F.lit("")).alias("error"),
+            (F.col("latency") * 2).alias("latency"),
+            later,
+            F.lit(1).cast("bigint").alias("seq"),
+        ),
+        "delete": b.where(F.col("k").isin(2, 3)).select(
+            F.col("id").alias("event_id"), later, F.lit(1).cast("bigint").alias("seq")
+        ),
+        "empty": b.where(F.col("k") == 4).select(
+            F.col("id").alias("event_id"), later, F.lit(1).cast("bigint").alias("seq")
+        ),
+        "bad_name": b.where(F.col("k") == 4).select(
+            F.concat(F.col("id"), F.lit("-x")).alias("id"), "conversation_id",
+            F.lit("event_d").alias("event_name"), F.col("created_at").cast("timestamp").alias("timestamp"),
+        ),
+    }

@@ -53,7 +53,8 @@ def apply_batch(spark: SparkSession, messages: DataFrame, batch_id: int, tables:
         base = None
         if path_exists(spark, tables.history):
             prior = read_history(spark, tables.history).where(F.col("batch_id") < batch_id)
-            base = base_from_history(prior, ops.select("id"))
+            touched = ops.select("id").distinct()
+            base = base_from_history(prior, touched, touched_count=touched.count())
         versions, not_found = fold_operations(ops, base)
         versions = versions.persist(StorageLevel.MEMORY_AND_DISK)
         try:
