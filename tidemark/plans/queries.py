@@ -113,3 +113,21 @@ def get_top_error_sessions(history: DataFrame, limit: int = 100) -> DataFrame:
     return per.orderBy(
         F.col("error_rate").desc(), F.col("total_events").desc(), "conversation_id"
     ).limit(limit).select("conversation_id", "total_events", "error_events", "error_rate")
+
+
+def page_events_by_conversation(
+    history: DataFrame, conversation_id: str, limit: int = 100, after: tuple | None = None
+) -> DataFrame:
+    """Keyset page of :func:`get_events_by_conversation`.
+
+    ``after = (created_at, id)`` of the last row of the previous page; the
+    next page starts strictly after it in ``(created_at, id)`` order. No
+    offset scan: each page is a filter plus a top-k.
+    """
+    limit = check_limit(limit)
+    rows = get_events_by_conversation(history, conversation_id)
+    if after is not None:
+        ts, last_id = after
+        ts = as_of_literal(ts)
+        rows = rows.where((F.col("created_at") > ts) | ((F.col("created_at") == ts) & (F.col("id") > F.lit(last_id))))
+    return rows.orderBy("created_at", "id").limit(limit)

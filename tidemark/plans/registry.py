@@ -47,6 +47,9 @@ SESSION = "conv_5"
 MONTH = "199703"
 ORDER_ID = "1"
 CUSTOMER = "cust_605"
+RETENTION_DAYS = 20
+PAGE = 10
+CURSOR = ("2024-01-15 00:00:00", "")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +130,27 @@ def q_client_rejects(spark, d):
     return bad_e.unionByName(bad_n).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_compacted_snapshot(spark, d):
+    from tidemark.session import scratch_path
+    from tidemark.sinks.table import compact, read_history, write_history
+
+    path = scratch_path(spark, "compacted")
+    write_history(compact(history(spark, d)), path)
+    return live_snapshot(read_history(spark, path)).select(*EVENT_COLS)
+
+
+def q_purged_history(spark, d):
+    from tidemark.sinks.table import purge_deleted
+
+    return purge_deleted(history(spark, d), RETENTION_DAYS, AS_OF).select(*EVENT_COLS)
+
+
+def q_conversation_page(spark, d):
+    from tidemark.plans.queries import page_events_by_conversation
+
+    return page_events_by_conversation(history(spark, d), SESSION, PAGE, after=CURSOR)
+
+
 def _two_batches(versions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The version rows as two insert batches: creates, then mutations."""
     return versions.where(F.col("version") == 1), versions.where(F.col("version") > 1)
@@ -280,6 +304,9 @@ QUERIES: dict[str, Query] = {
     "stream_rollup": q_stream_rollup,
     "client_roundtrip": q_client_roundtrip,
     "client_rejects": q_client_rejects,
+    "compacted_snapshot": q_compacted_snapshot,
+    "purged_history": q_purged_history,
+    "conversation_page": q_conversation_page,
 }
 
 
@@ -447,6 +474,14 @@ ORACLE: dict[str, str] = {
     "stream_apply": _WITH_A + f"select {_COLS} from latest where is_deleted = 0",
     "stream_rollup": _ERROR_ROLLUP_SQL,
     "client_roundtrip": _WITH_A + f"select {_COLS} from latest where is_deleted = 0",
+    "compacted_snapshot": _WITH_A + f"select {_COLS} from latest where is_deleted = 0",
+    "purged_history": _WITH_A
+    + f"select {_COLS} from history where id not in (select id from latest where is_deleted = 1\n"
+    f"  and created_at < timestamp '{AS_OF}' - interval {RETENTION_DAYS} day)",
+    "conversation_page": _WITH_A
+    + f"select {_PUBLIC} from latest where conversation_id = '{SESSION}' and is_deleted = 0\n"
+    f"  and (created_at > timestamp '{CURSOR[0]}' or (created_at = timestamp '{CURSOR[0]}' and id > '{CURSOR[1]}'))\n"
+    f"order by created_at, id limit {PAGE}",
     "client_rejects": "select 'empty_patch' as reason, count(*) as n from events where event_id % 5 = 4\n"
     "union all\n"
     "select 'bad_event_name', count(*) from events where event_id % 5 = 4",

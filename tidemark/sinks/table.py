@@ -155,3 +155,12 @@ def purge_deleted(history: DataFrame, retention_days: int, as_of=None) -> DataFr
     latest = latest_version(history.select("id", "version", "batch_id", "seq", "is_deleted", "created_at"))
     expired = latest.where((F.col("is_deleted") == 1) & (F.col("created_at") < cutoff)).select("id")
     return history.join(expired, "id", "left_anti")
+
+
+def drop_replayed(history: DataFrame) -> DataFrame:
+    """One row per ``(id, version, batch_id, seq)``: removes copies left by a replayed write.
+
+    The batch-overwrite writers never leave such copies; this is for
+    histories appended by other writers.
+    """
+    return history.dropDuplicates(["id", "version", "batch_id", "seq"])
