@@ -8,9 +8,13 @@ Layout of the append-only history::
   overwrites exactly its own directory (dynamic partition overwrite), which
   turns an at-least-once source into exactly-once table contents.
 * ``created_month`` gives month pruning for time-bounded reads.
-* Files are range-partitioned and sorted on ``(conversation_id, event_name,
-  id)``: row-group min/max statistics then skip on session filters, and the
-  range bounds split a hot session over several files instead of one task.
+* Rows are rebalanced on ``(created_month, conversation_id)`` and sorted on
+  ``(conversation_id, event_name, id)`` within each file: row-group min/max
+  statistics then skip on session filters. The rebalance is planned by AQE
+  from measured sizes: small partitions are merged into ~advisory-size
+  files and a hot session's partition is split over several writers, with
+  no sampling pass over the input (a range repartition would recompute the
+  fold once more to sample it).
 * Parquet bloom filters on ``id`` (and optionally ``error``) back point
   lookups; min/max statistics on ``created_at`` come for free.
 """
@@ -40,10 +44,17 @@ def _bloom_options(columns: tuple[str, ...], expected_ndv: int, fpp: float) -> d
 
 
 def layout(versions: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Add the month column, range-partition and sort rows for writing."""
+    """Add the month column, rebalance and sort rows for writing.
+
+    ``partitions`` forces a fixed range partitioning instead (globally
+    sorted files, one extra sampling pass).
+    """
     df = versions.withColumn(MONTH_COL, month_key("created_at"))
     order = [MONTH_COL, *SORT_COLS]
-    df = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    if partitions:
+        df = df.repartitionByRange(partitions, *order)
+    else:
+        df = df.hint("rebalance", MONTH_COL, "conversation_id")
     return df.sortWithinPartitions(*order)
 
 
