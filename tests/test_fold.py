@@ -75,3 +75,43 @@ def test_replayed_batch_is_idempotent(spark):
     p1 = spark.read.parquet(tables.error_rollup).count()
     apply_batch(spark, messages_df(spark, rows[300:]), 1, tables)
     assert spark.read.parquet(tables.error_rollup).count() == p1
+
+
+def test_sliced_path_matches_model_with_one_hot_event(spark):
+    import datetime as dt
+    import random
+
+    from helpers import T0, msg
+
+    rnd = random.Random(99)
+    rows = random_log(n_ids=60, n_ops=600, seed=41)
+    # one event holding about a third of all operations, incl. a delete near the end
+    seq0 = len(rows)
+    hot = [msg("create", "hot", seq0, T0 + dt.timedelta(seconds=seq0), conversation_id="c0", event_name="event_b")]
+    for i in range(1, 320):
+        s = seq0 + i
+        hot.append(msg("update", "hot", s, T0 + dt.timedelta(seconds=s),
+                       latency=rnd.choice([None, float(i)]), error=rnd.choice([None, "", f"e{i}"]),
+                       output=rnd.choice([None, "", f"o{i}"]), input_embeddings=rnd.choice([None, [float(i)]])))
+        if i == 150:
+            hot.append(msg("create", "hot", s + 10_000, T0, conversation_id="c9", event_name="event_a"))
+    hot.append(msg("delete", "hot", seq0 + 400, T0 + dt.timedelta(seconds=seq0 + 400), data=None))
+    hot.append(msg("update", "hot", seq0 + 401, T0 + dt.timedelta(seconds=seq0 + 401), latency=1.0))
+    rows = sorted(rows + hot, key=lambda r: r[4])
+    expected_hist, expected_rej = model(rows)
+    ops, bad = split_messages(messages_df(spark, rows))
+    versions, not_found = fold_operations(ops, hot_ops=100, slice_ops=37)
+    got = Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS)))
+    assert got == Counter(row_key(r) for r in expected_hist)
+    assert sorted((r.event_id, r.seq) for r in not_found.collect()) == sorted((e, s) for e, _, s, _ in expected_rej)
+
+
+def test_sliced_path_with_base_matches_one_shot(spark):
+    rows = random_log(n_ids=8, n_ops=900, seed=77)  # ~110 operations per event: all hot below
+    expected_hist, _ = model(rows)
+    tables = Tables(scratch_path(spark, "hot-split"))
+    for b, (lo, hi) in enumerate([(0, 300), (300, 650), (650, len(rows))]):
+        apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables, hot_ops=20, slice_ops=13)
+    hist = read_history(spark, tables.history)
+    got = Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS)))
+    assert got == Counter(row_key(r) for r in expected_hist)

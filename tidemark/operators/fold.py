@@ -23,7 +23,7 @@ rows are never emitted again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.versioning import latest_version
@@ -83,17 +83,15 @@ def base_from_history(history: DataFrame, touched_ids: DataFrame, touched_count:
     )
 
 
-def fold_operations(ops: DataFrame, base: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Fold normalised operations into version rows.
+# An event id with more operations than this takes the sliced path.
+HOT_OPS = 1_000_000
+# Rows per slice of a hot id (one task's share of it).
+SLICE_OPS = 250_000
+# Broadcast bound of the hot-id list; it has at most (operations / HOT_OPS) rows.
+MAX_HOT_IDS = 500_000
 
-    ``ops``: ``id, seq, batch_id, op, ts`` + patch fields (NULL = not
-    provided), from :func:`tidemark.operators.validate.split_messages`.
-    ``base``: optional stored state from :func:`base_from_history`.
 
-    Returns ``(versions, rejects)``: version rows with ``EVENT_COLS`` +
-    ``batch_id, seq``, and ``not_found`` rejects (``event_id, operation,
-    seq, reason, raw``).
-    """
+def _prepare(ops: DataFrame, base: DataFrame | None) -> DataFrame:
     x = ops.select(
         "id", "seq", "batch_id", "op", "ts", *PATCH_FIELDS,
         F.lit(None).cast("bigint").alias("b_version"),
@@ -102,23 +100,47 @@ def fold_operations(ops: DataFrame, base: DataFrame | None = None) -> tuple[Data
     )
     if base is not None:
         x = x.unionByName(base.select(*x.columns))
+    return x
+
+
+def _op() -> Column:
+    return F.col("op")
+
+
+def _seq() -> Column:
+    return F.col("seq")
+
+
+def _is_mut() -> Column:
+    return F.col("op").isin(OP_UPDATE, OP_DELETE)
+
+
+def _create_time() -> Column:
+    return F.when(F.col("op") == OP_CREATE, F.col("ts")).when(F.col("op") == OP_BASE, F.col("b_created_at"))
+
+
+def _after_create() -> Column:
+    return F.col("_first_create").isNotNull() & (_seq() >= F.col("_first_create"))
 
-    op = F.col("op")
-    seq = F.col("seq")
-    is_mut = op.isin(OP_UPDATE, OP_DELETE)
-    by_id = Window.partitionBy("id")
 
-    # Steps 1-2: what every mutation would act on.
-    x = x.withColumn("_first_create", F.min(F.when(op.isin(OP_CREATE, OP_BASE), seq)).over(by_id))
-    after_create = F.col("_first_create").isNotNull() & (seq >= F.col("_first_create"))
-    deleted_at = F.when(
-        after_create & ((op == OP_DELETE) | ((op == OP_BASE) & (F.col("b_is_deleted") == 1))), seq
+def _deletion() -> Column:
+    return F.when(_after_create() & ((_op() == OP_DELETE) | ((_op() == OP_BASE) & (F.col("b_is_deleted") == 1))), _seq())
+
+
+def _ok() -> Column:
+    acts = _after_create() & (F.col("_deleted_at").isNull() | (_seq() <= F.col("_deleted_at")))
+    return ~_is_mut() | acts
+
+
+def _shadowed() -> Column:
+    return (_op() == OP_CREATE) & (
+        (F.col("_first_mut").isNotNull() & (_seq() > F.col("_first_mut")))
+        | (F.coalesce(F.col("_base_version"), F.lit(1)) > 1)
     )
-    x = x.withColumn("_deleted_at", F.min(deleted_at).over(by_id))
-    acts = after_create & (F.col("_deleted_at").isNull() | (seq <= F.col("_deleted_at")))
-    x = x.withColumn("_ok", ~is_mut | acts)
 
-    rejects = x.where(~F.col("_ok")).select(
+
+def _rejects(x: DataFrame) -> DataFrame:
+    return x.where(~F.col("_ok")).select(
         F.col("id").alias("event_id"),
         F.col("op").alias("operation"),
         "seq",
@@ -126,39 +148,135 @@ def fold_operations(ops: DataFrame, base: DataFrame | None = None) -> tuple[Data
         F.lit(None).cast("string").alias("raw"),
     )
 
-    # Steps 3-5 over the operations that apply.
-    y = x.where(F.col("_ok"))
-    y = (
-        y.withColumn("_first_mut", F.min(F.when(is_mut, seq)).over(by_id))
-        .withColumn("_base_version", F.max("b_version").over(by_id))
-    )
-    shadowed = (op == OP_CREATE) & (
-        (F.col("_first_mut").isNotNull() & (seq > F.col("_first_mut")))
-        | (F.coalesce(F.col("_base_version"), F.lit(1)) > 1)
-    )
-    y = y.withColumn("_shadowed", shadowed)
-    running = (
-        Window.partitionBy("id", "_shadowed")
-        .orderBy("seq")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    mutations = F.sum(is_mut.cast("bigint")).over(running)
+
+def _emit(y: DataFrame, values: dict[str, Column], mutations: Column, created: Column) -> DataFrame:
     version = (
-        F.when(op == OP_CREATE, F.lit(1).cast("bigint"))
-        .when(op == OP_BASE, F.col("b_version"))
+        F.when(_op() == OP_CREATE, F.lit(1).cast("bigint"))
+        .when(_op() == OP_BASE, F.col("b_version"))
         .otherwise(F.coalesce(F.col("_base_version"), F.lit(1).cast("bigint")) + mutations)
     )
-    create_time = F.when(op == OP_CREATE, F.col("ts")).when(op == OP_BASE, F.col("b_created_at"))
     folded = y.select(
         "id",
-        *[F.last(c, ignorenulls=True).over(running).alias(c) for c in PATCH_FIELDS],
-        (op == OP_DELETE).cast("int").alias("is_deleted"),
+        *[values[c].alias(c) for c in PATCH_FIELDS],
+        (_op() == OP_DELETE).cast("int").alias("is_deleted"),
         version.alias("version"),
-        F.last(create_time, ignorenulls=True).over(running).alias("created_at"),
+        created.alias("created_at"),
         F.col("ts").alias("updated_at"),
         "batch_id",
         "seq",
         "op",
     )
-    versions = folded.where(op != OP_BASE).select(*EVENT_COLS, "batch_id", "seq")
-    return versions, rejects
+    return folded.where(_op() != OP_BASE).select(*EVENT_COLS, "batch_id", "seq")
+
+
+def _fold_by_window(x: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All steps as windows over ``id``: one shuffle, one task per event."""
+    by_id = Window.partitionBy("id")
+    x = x.withColumn("_first_create", F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _seq())).over(by_id))
+    x = x.withColumn("_deleted_at", F.min(_deletion()).over(by_id))
+    x = x.withColumn("_ok", _ok())
+    y = x.where(F.col("_ok"))
+    y = (
+        y.withColumn("_first_mut", F.min(F.when(_is_mut(), _seq())).over(by_id))
+        .withColumn("_base_version", F.max("b_version").over(by_id))
+    )
+    y = y.withColumn("_shadowed", _shadowed())
+    running = (
+        Window.partitionBy("id", "_shadowed")
+        .orderBy("seq")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    values = {c: F.last(c, ignorenulls=True).over(running) for c in PATCH_FIELDS}
+    mutations = F.sum(_is_mut().cast("bigint")).over(running)
+    created = F.last(_create_time(), ignorenulls=True).over(running)
+    return _emit(y, values, mutations, created), _rejects(x)
+
+
+def _fold_sliced(x: DataFrame, slice_ops: int) -> tuple[DataFrame, DataFrame]:
+    """The same fold for events with very many operations, split over tasks.
+
+    Per-event facts come from aggregates (combined map-side) joined back by
+    broadcast: the caller only sends hot events here, whose number is at
+    most ``rows / HOT_OPS``. Each event's log is cut into seq-range slices
+    of about ``slice_ops`` rows. A slice's last provided value per field and
+    its mutation count are aggregates too; a window over the slices of one
+    event (few rows) turns them into carry-ins, and the running fill then
+    runs per slice, starting from its carry-in.
+    """
+    stats = x.groupBy("id").agg(
+        F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _seq())).alias("_first_create"),
+        F.min("seq").alias("_min_seq"),
+        F.max("seq").alias("_max_seq"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    x = x.join(F.broadcast(stats), "id")
+    deletions = x.groupBy("id").agg(F.min(_deletion()).alias("_deleted_at"))
+    x = x.join(F.broadcast(deletions), "id").withColumn("_ok", _ok())
+    y = x.where(F.col("_ok"))
+    later = y.groupBy("id").agg(
+        F.min(F.when(_is_mut(), _seq())).alias("_first_mut"), F.max("b_version").alias("_base_version")
+    )
+    y = y.join(F.broadcast(later), "id").withColumn("_shadowed", _shadowed())
+    slices = F.ceil(F.col("_n") / F.lit(float(slice_ops)))
+    span = (F.col("_max_seq") - F.col("_min_seq") + 1).cast("double")
+    position = ((F.col("seq") - F.col("_min_seq")).cast("double") / span * slices).cast("bigint")
+    y = y.withColumn("_slice", F.least(position, slices.cast("bigint") - 1))
+    y = y.withColumn("_ct", _create_time())
+
+    slice_keys = ["id", "_shadowed", "_slice"]
+    fields = [*PATCH_FIELDS, "_ct"]
+    summary = y.groupBy(*slice_keys).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), _seq())).alias(c) for c in fields],
+        F.sum(_is_mut().cast("bigint")).alias("_muts"),
+    )
+    before = (
+        Window.partitionBy("id", "_shadowed").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carry = summary.select(
+        *slice_keys,
+        *[F.last(c, ignorenulls=True).over(before).alias(f"_carry_{c}") for c in fields],
+        F.coalesce(F.sum("_muts").over(before), F.lit(0)).cast("bigint").alias("_carry_muts"),
+    )
+    z = y.join(carry, slice_keys)
+    running = (
+        Window.partitionBy(*slice_keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    values = {c: F.coalesce(F.last(c, ignorenulls=True).over(running), F.col(f"_carry_{c}")) for c in PATCH_FIELDS}
+    mutations = F.sum(_is_mut().cast("bigint")).over(running) + F.col("_carry_muts")
+    created = F.coalesce(F.last("_ct", ignorenulls=True).over(running), F.col("_carry__ct"))
+    return _emit(z, values, mutations, created), _rejects(x)
+
+
+def fold_operations(
+    ops: DataFrame,
+    base: DataFrame | None = None,
+    hot_ops: int | None = HOT_OPS,
+    slice_ops: int = SLICE_OPS,
+) -> tuple[DataFrame, DataFrame]:
+    """Fold normalised operations into version rows.
+
+    ``ops``: ``id, seq, batch_id, op, ts`` + patch fields (NULL = not
+    provided), from :func:`tidemark.operators.validate.split_messages`.
+    ``base``: optional stored state from :func:`base_from_history`.
+
+    Events with more than ``hot_ops`` operations are folded by the sliced
+    path so no event is one task; finding them is one combinable count per
+    id (persist ``ops`` first when it is expensive to recompute).
+    ``hot_ops=None`` skips the check.
+
+    Returns ``(versions, rejects)``: version rows with ``EVENT_COLS`` +
+    ``batch_id, seq``, and ``not_found`` rejects (``event_id, operation,
+    seq, reason, raw``).
+    """
+    x = _prepare(ops, base)
+    if hot_ops is None:
+        return _fold_by_window(x)
+    hot = ops.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > int(hot_ops)).select("id")
+    n_hot = hot.count()
+    if n_hot == 0 or n_hot > MAX_HOT_IDS:
+        # n_hot is at most rows / hot_ops, so the second case only arises with a tiny hot_ops
+        return _fold_by_window(x)
+    hot = F.broadcast(hot)
+    cold_v, cold_r = _fold_by_window(x.join(hot, "id", "left_anti"))
+    hot_v, hot_r = _fold_sliced(x.join(hot, "id", "left_semi"), slice_ops)
+    return cold_v.unionByName(hot_v), cold_r.unionByName(hot_r)

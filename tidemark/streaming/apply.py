@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.fold import base_from_history, fold_operations
+from tidemark.operators.fold import HOT_OPS, SLICE_OPS, base_from_history, fold_operations
 from tidemark.operators.rollups import error_partial, latency_partial
 from tidemark.operators.validate import split_messages
 from tidemark.sinks.table import path_exists, read_history, write_batch_table, write_history
@@ -45,8 +45,18 @@ class Tables:
         return f"{self.root}/rollup_latency"
 
 
-def apply_batch(spark: SparkSession, messages: DataFrame, batch_id: int, tables: Tables) -> None:
-    """Fold one batch of decoded messages into the tables (idempotent per ``batch_id``)."""
+def apply_batch(
+    spark: SparkSession,
+    messages: DataFrame,
+    batch_id: int,
+    tables: Tables,
+    hot_ops: int | None = HOT_OPS,
+    slice_ops: int = SLICE_OPS,
+) -> None:
+    """Fold one batch of decoded messages into the tables (idempotent per ``batch_id``).
+
+    ``hot_ops`` / ``slice_ops`` are passed to :func:`fold_operations`.
+    """
     ops, bad = split_messages(messages, batch_id)
     ops = ops.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -55,7 +65,7 @@ def apply_batch(spark: SparkSession, messages: DataFrame, batch_id: int, tables:
             prior = read_history(spark, tables.history).where(F.col("batch_id") < batch_id)
             touched = ops.select("id").distinct()
             base = base_from_history(prior, touched, touched_count=touched.count())
-        versions, not_found = fold_operations(ops, base)
+        versions, not_found = fold_operations(ops, base, hot_ops=hot_ops, slice_ops=slice_ops)
         versions = versions.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_history(versions, tables.history, batch_id)
