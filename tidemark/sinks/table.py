@@ -140,10 +140,16 @@ def ensure_tables(spark: SparkSession, database: str, root: str) -> None:
     )
 
 
-def refresh_tables(spark: SparkSession, database: str) -> None:
-    """Register partitions written by the path-based writers with the catalog."""
-    for t in ("event_history", "error_rollup", "latency_rollup", "event_rejects"):
-        spark.sql(f"ALTER TABLE {database}.{t} RECOVER PARTITIONS")
+def refresh_tables(spark: SparkSession, database: str, root: str) -> None:
+    """Register partitions written by the path-based writers with the catalog.
+
+    Tables whose folder has not been written yet are left alone.
+    """
+    folders = {"event_history": "history", "error_rollup": "rollup_error",
+               "latency_rollup": "rollup_latency", "event_rejects": "rejects"}
+    for table, folder in folders.items():
+        if path_exists(spark, f"{root}/{folder}"):
+            spark.sql(f"ALTER TABLE {database}.{table} RECOVER PARTITIONS")
 
 
 def compact(history: DataFrame) -> DataFrame:

@@ -57,25 +57,29 @@ def apply_batch(
 
     ``hot_ops`` / ``slice_ops`` are passed to :func:`fold_operations`.
     """
-    ops, bad = split_messages(messages, batch_id)
-    ops = ops.persist(StorageLevel.MEMORY_AND_DISK)
+    # The batch is read from the source once; everything below derives from it.
+    messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        ops, bad = split_messages(messages, batch_id)
+        ops = ops.persist(StorageLevel.MEMORY_AND_DISK)
         base = None
         if path_exists(spark, tables.history):
             prior = read_history(spark, tables.history).where(F.col("batch_id") < batch_id)
             touched = ops.select("id").distinct()
             base = base_from_history(prior, touched, touched_count=touched.count())
+            base = base.persist(StorageLevel.MEMORY_AND_DISK)
         versions, not_found = fold_operations(ops, base, hot_ops=hot_ops, slice_ops=slice_ops)
         versions = versions.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_history(versions, tables.history, batch_id)
-            write_batch_table(bad.unionByName(not_found), tables.rejects, batch_id)
-            write_batch_table(error_partial(versions), tables.error_rollup, batch_id)
-            write_batch_table(latency_partial(versions), tables.latency_rollup, batch_id)
-        finally:
-            versions.unpersist()
-    finally:
+        write_history(versions, tables.history, batch_id)
+        write_batch_table(bad.unionByName(not_found), tables.rejects, batch_id)
+        write_batch_table(error_partial(versions), tables.error_rollup, batch_id)
+        write_batch_table(latency_partial(versions), tables.latency_rollup, batch_id)
+        versions.unpersist()
         ops.unpersist()
+        if base is not None:
+            base.unpersist()
+    finally:
+        messages.unpersist()
 
 
 def start_apply(
