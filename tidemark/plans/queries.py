@@ -4,6 +4,11 @@ Each function takes the version history (as read by
 :func:`tidemark.sinks.table.read_history`, or any DataFrame with the event
 columns) and returns a lazy DataFrame; parameters are validated before any
 plan is built. All reads see the latest non-deleted version of each event.
+
+``deduped=True`` says the input already holds one row per event (the
+current state from :func:`tidemark.sinks.table.read_state`); the read then
+skips the version dedup and only filters tombstones, so no shuffle of the
+whole table happens before the aggregate.
 """
 
 from __future__ import annotations
@@ -17,7 +22,6 @@ from tidemark.operators.validate import check_days, check_event_id, check_event_
 from tidemark.operators.versioning import (
     DEFAULT_KEYS,
     latest_version,
-    live_snapshot,
     public_view,
     restricted_latest,
 )
@@ -34,7 +38,13 @@ def _narrow(history: DataFrame, *cols: str) -> DataFrame:
     return history.select(*keep)
 
 
-def get_event(history: DataFrame, event_id: str, include_deleted: bool = False) -> DataFrame:
+def _latest(history: DataFrame, deduped: bool, include_deleted: bool = False) -> DataFrame:
+    if deduped:
+        return history if include_deleted else history.where(F.col("is_deleted") == 0)
+    return latest_version(history, DEFAULT_KEYS, include_deleted=include_deleted)
+
+
+def get_event(history: DataFrame, event_id: str, include_deleted: bool = False, deduped: bool = False) -> DataFrame:
     """Q-1: one event by id (0 or 1 rows), public columns.
 
     The id filter sits below the dedup (``id`` is the dedup key), so it is
@@ -42,19 +52,22 @@ def get_event(history: DataFrame, event_id: str, include_deleted: bool = False)
     row groups.
     """
     check_event_id(event_id)
-    one = latest_version(history.where(F.col("id") == event_id), DEFAULT_KEYS, include_deleted=include_deleted)
+    one = _latest(history.where(F.col("id") == event_id), deduped, include_deleted)
     return public_view(one).limit(1)
 
 
-def get_events_by_conversation(history: DataFrame, conversation_id: str) -> DataFrame:
+def get_events_by_conversation(history: DataFrame, conversation_id: str, deduped: bool = False) -> DataFrame:
     """Q-2: the live events of one session, oldest first (``id`` breaks ties)."""
     if not conversation_id:
         raise ValueError("conversation id is required")
-    rows = restricted_latest(history, F.col("conversation_id") == conversation_id)
+    pred = F.col("conversation_id") == conversation_id
+    rows = _latest(history, True).where(pred) if deduped else restricted_latest(history, pred)
     return public_view(rows).orderBy("created_at", "id")
 
 
-def get_error_counts(history: DataFrame, event_name: str, days: int = 7, as_of=None) -> DataFrame:
+def get_error_counts(
+    history: DataFrame, event_name: str, days: int = 7, as_of=None, deduped: bool = False
+) -> DataFrame:
     """Q-3: per day, errors and events of one type created in the last ``days`` days.
 
     Rolling window ``created_at >= as_of - days``; days without events are
@@ -68,7 +81,7 @@ def get_error_counts(history: DataFrame, event_name: str, days: int = 7, as_of=N
     if MONTH_COL in history.columns:
         pred = pred & (F.col(MONTH_COL) >= month_key(cutoff))
     narrow = _narrow(history, "event_name", "error", "created_at", *([MONTH_COL] if MONTH_COL in history.columns else []))
-    live = restricted_latest(narrow, pred)
+    live = _latest(narrow, True).where(pred) if deduped else restricted_latest(narrow, pred)
     daily = live.groupBy(F.to_date("created_at").alias("event_date"), "event_name").agg(
         F.count_if(has_error("error")).alias("error_count"),
         F.count(F.lit(1)).alias("total_count"),
@@ -78,7 +91,9 @@ def get_error_counts(history: DataFrame, event_name: str, days: int = 7, as_of=N
     )
 
 
-def get_latency_stats(history: DataFrame, limit: int = 100, method: str = "exact") -> DataFrame:
+def get_latency_stats(
+    history: DataFrame, limit: int = 100, method: str = "exact", deduped: bool = False
+) -> DataFrame:
     """Q-4: p95 latency and event count per session x event type, highest p95 first.
 
     ``method="exact"``: interpolated percentile by distributed rank selection
@@ -86,7 +101,7 @@ def get_latency_stats(history: DataFrame, limit: int = 100, method: str = "exact
     ``percentile`` aggregate, exact too but one group per buffer.
     """
     limit = check_limit(limit)
-    live = live_snapshot(_narrow(history, "conversation_id", "event_name", "latency"))
+    live = _latest(_narrow(history, "conversation_id", "event_name", "latency"), deduped)
     keys = ["conversation_id", "event_name"]
     if method == "exact":
         stats = exact_percentile(live, keys, "latency", P95, alias="p95_latency", count_alias="event_count")
@@ -99,10 +114,10 @@ def get_latency_stats(history: DataFrame, limit: int = 100, method: str = "exact
     return stats.orderBy(F.col("p95_latency").desc(), "conversation_id", "event_name").limit(limit)
 
 
-def get_top_error_sessions(history: DataFrame, limit: int = 100) -> DataFrame:
+def get_top_error_sessions(history: DataFrame, limit: int = 100, deduped: bool = False) -> DataFrame:
     """Q-5: sessions by share of events with an error, then by size."""
     limit = check_limit(limit)
-    live = live_snapshot(_narrow(history, "conversation_id", "error"))
+    live = _latest(_narrow(history, "conversation_id", "error"), deduped)
     per = live.groupBy("conversation_id").agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(has_error("error")).alias("error_events"),
@@ -116,7 +131,7 @@ def get_top_error_sessions(history: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def page_events_by_conversation(
-    history: DataFrame, conversation_id: str, limit: int = 100, after: tuple | None = None
+    history: DataFrame, conversation_id: str, limit: int = 100, after: tuple | None = None, deduped: bool = False
 ) -> DataFrame:
     """Keyset page of :func:`get_events_by_conversation`.
 
@@ -125,7 +140,7 @@ def page_events_by_conversation(
     offset scan: each page is a filter plus a top-k.
     """
     limit = check_limit(limit)
-    rows = get_events_by_conversation(history, conversation_id)
+    rows = get_events_by_conversation(history, conversation_id, deduped)
     if after is not None:
         ts, last_id = after
         ts = as_of_literal(ts)

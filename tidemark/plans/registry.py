@@ -151,6 +151,49 @@ def q_conversation_page(spark, d):
     return page_events_by_conversation(history(spark, d), SESSION, PAGE, after=CURSOR)
 
 
+_STATE: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _state(spark: SparkSession, d: str) -> DataFrame:
+    """Adapter A stored as two batches (creates, then mutations), compacted through
+    the first; returns the merged current state (one row per event)."""
+    from tidemark.session import scratch_path, shared_dir
+    from tidemark.sinks.table import read_state, write_history, write_snapshot
+
+    key = (shared_dir(spark), d)
+    if key not in _STATE:
+        root = scratch_path(spark, "state")
+        first, second = _two_batches(history(spark, d))
+        write_history(first, f"{root}/history", batch_id=0)
+        write_history(second, f"{root}/history", batch_id=1)
+        write_snapshot(spark, f"{root}/history", f"{root}/snapshots", through=0)
+        _STATE[key] = (f"{root}/history", f"{root}/snapshots")
+    hist, snaps = _STATE[key]
+    return read_state(spark, hist, snaps)
+
+
+def q_state_live_snapshot(spark, d):
+    return _state(spark, d).where(F.col("is_deleted") == 0).select(*EVENT_COLS)
+
+
+def q_state_error_counts(spark, d):
+    return get_error_counts(_state(spark, d), "event_a", DAYS, AS_OF, deduped=True)
+
+
+def q_state_p95_latency(spark, d):
+    out = get_latency_stats(_state(spark, d), LIMIT, deduped=True)
+    return out.withColumn("p95_latency", F.round("p95_latency", 6))
+
+
+def q_state_top_error_sessions(spark, d):
+    out = get_top_error_sessions(_state(spark, d), LIMIT, deduped=True)
+    return out.withColumn("error_rate", F.round("error_rate", 6))
+
+
+def q_state_conversation_events(spark, d):
+    return get_events_by_conversation(_state(spark, d), SESSION, deduped=True)
+
+
 def _two_batches(versions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The version rows as two insert batches: creates, then mutations."""
     return versions.where(F.col("version") == 1), versions.where(F.col("version") > 1)
@@ -307,6 +350,11 @@ QUERIES: dict[str, Query] = {
     "compacted_snapshot": q_compacted_snapshot,
     "purged_history": q_purged_history,
     "conversation_page": q_conversation_page,
+    "state_live_snapshot": q_state_live_snapshot,
+    "state_error_counts": q_state_error_counts,
+    "state_p95_latency": q_state_p95_latency,
+    "state_top_error_sessions": q_state_top_error_sessions,
+    "state_conversation_events": q_state_conversation_events,
 }
 
 
@@ -486,3 +534,12 @@ ORACLE: dict[str, str] = {
     "union all\n"
     "select 'bad_event_name', count(*) from events where event_id % 5 = 4",
 }
+# The state-path reads must give the same answers as the full-history reads.
+_SAME_AS = {
+    "state_live_snapshot": "live_snapshot",
+    "state_error_counts": "error_counts_daily",
+    "state_p95_latency": "p95_latency",
+    "state_top_error_sessions": "top_error_sessions",
+    "state_conversation_events": "conversation_events",
+}
+ORACLE.update({name: ORACLE[same] for name, same in _SAME_AS.items()})

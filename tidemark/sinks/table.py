@@ -181,3 +181,77 @@ def drop_replayed(history: DataFrame) -> DataFrame:
     histories appended by other writers.
     """
     return history.dropDuplicates(["id", "version", "batch_id", "seq"])
+
+
+# Largest number of events touched since the snapshot for which the touched
+# ids are broadcast (one string each); beyond it the merge is a shuffle.
+BROADCAST_TOUCHED = 2_000_000
+SNAPSHOT_PREFIX = "through="
+
+
+def write_snapshot(spark: SparkSession, history_path: str, snapshot_root: str, through: int) -> str:
+    """Compact every version written by batches ``<= through`` into one row per event.
+
+    Written next to earlier snapshots as ``<snapshot_root>/through=<K>``;
+    readers pick the newest. Tombstones are kept, so the snapshot answers
+    later folds and reads exactly like the versions it replaces.
+    """
+    src = read_history(spark, history_path).where(F.col("batch_id") <= int(through))
+    out = f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{int(through)}"
+    rows = compact(src)
+    (
+        layout(rows.select(*EVENT_COLS, "batch_id", "seq"))
+        .drop(MONTH_COL)
+        .write.mode("overwrite")
+        .options(**_bloom_options(("id",), 1_000_000, 0.01))
+        .parquet(out)
+    )
+    return out
+
+
+def latest_snapshot(spark: SparkSession, snapshot_root: str) -> int | None:
+    """The highest ``through`` batch among the written snapshots, if any."""
+    if not path_exists(spark, snapshot_root):
+        return None
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(snapshot_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    best = None
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(SNAPSHOT_PREFIX) and path_exists(
+            spark, f"{status.getPath().toString()}/_SUCCESS"
+        ):
+            k = int(name[len(SNAPSHOT_PREFIX):])
+            best = k if best is None or k > best else best
+    return best
+
+
+def read_state(spark: SparkSession, history_path: str, snapshot_root: str | None = None) -> DataFrame:
+    """Current state: the latest version of every event (tombstones kept), one row each.
+
+    With a snapshot through batch K, only events touched by batches after K
+    are deduplicated: snapshot rows of untouched events pass through a
+    map-side anti join against the broadcast touched ids (broadcast only when
+    their measured count is at most ``BROADCAST_TOUCHED``), and the touched
+    events' snapshot rows and newer versions go through the dedup. Without a
+    snapshot this is the dedup of the whole history.
+    """
+    history = read_history(spark, history_path)
+    k = latest_snapshot(spark, snapshot_root) if snapshot_root else None
+    cols = [*EVENT_COLS, "batch_id", "seq"]
+    if k is None:
+        return latest_version(history.select(*cols), ("id",), include_deleted=True)
+    snap = spark.read.schema(HISTORY_SCHEMA).parquet(f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{k}")
+    snap = snap.select(*cols)
+    delta = history.where(F.col("batch_id") > k).select(*cols)
+    touched = delta.select("id").distinct()
+    n = touched.count()
+    if n == 0:
+        return snap
+    if n > BROADCAST_TOUCHED:
+        return latest_version(snap.unionByName(delta), ("id",), include_deleted=True)
+    touched = F.broadcast(touched)
+    untouched = snap.join(touched, "id", "left_anti")
+    merged = latest_version(snap.join(touched, "id", "left_semi").unionByName(delta), ("id",), include_deleted=True)
+    return untouched.unionByName(merged)
