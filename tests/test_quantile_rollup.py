@@ -44,6 +44,28 @@ def test_exact_percentile_matches_duckdb(spark, parts):
     assert got == want
 
 
+@pytest.mark.parametrize("big", [10, 1000, 100_000])
+def test_group_percentile_matches_duckdb(spark, big):
+    from tidemark.operators.quantile import group_percentile
+
+    rows = _data(spark, seed=3)
+    df = spark.createDataFrame(rows, "conversation_id string, event_name string, latency double")
+    got = {
+        (r.conversation_id, r.event_name): (round(r.p, 6), r.n)
+        for r in group_percentile(df, ["conversation_id", "event_name"], "latency", 0.95, "p", "n", big).collect()
+    }
+    con = duckdb.connect()
+    con.execute("create table t (conversation_id varchar, event_name varchar, latency double)")
+    con.executemany("insert into t values (?, ?, ?)", rows)
+    want = {
+        (a, b): (round(q, 6), n)
+        for a, b, q, n in con.execute(
+            "select conversation_id, event_name, quantile_cont(latency, 0.95), count(*) from t group by 1, 2"
+        ).fetchall()
+    }
+    assert got == want
+
+
 def test_exact_percentile_spreads_hot_group(spark):
     rows = _data(spark)
     df = spark.createDataFrame(rows, "conversation_id string, event_name string, latency double")

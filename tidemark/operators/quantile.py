@@ -17,6 +17,11 @@ at ``floor((n-1)p)`` and ``ceil((n-1)p)``, as a distributed rank selection:
    the key spreads a large group over many reducers — and keep the at most
    two rows per group that hold the two order statistics;
 6. interpolate.
+
+:func:`group_percentile` is the entry point: it measures group sizes first
+and sends only groups above ``BIG_GROUP`` rows through that machinery; all
+other groups use Spark's ``percentile`` aggregate, whose buffer then holds
+at most ``BIG_GROUP`` values.
 """
 
 from __future__ import annotations
@@ -120,3 +125,42 @@ def exact_percentile(
     if count_alias:
         cols.append(F.col("_n").alias(count_alias))
     return picked.select(*cols)
+
+
+# Groups up to this many rows are computed by the ``percentile`` aggregate
+# (a bounded buffer per group); larger ones by distributed rank selection.
+BIG_GROUP = 50_000
+
+
+def group_percentile(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    p: float,
+    alias: str = "percentile",
+    count_alias: str | None = None,
+    big_group: int = BIG_GROUP,
+) -> DataFrame:
+    """Exact interpolated percentile per group; no group's values gathered beyond ``big_group``.
+
+    One combinable count per group (an action) finds the large groups; there
+    are at most ``rows / big_group`` of them, so their key list is a bounded
+    broadcast. ``count_alias`` counts the group's non-NULL values.
+    """
+    keys = list(keys)
+    vals = df.where(F.col(value).isNotNull())
+    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    big = sizes.where(F.col("_n") > int(big_group)).select(*keys)
+
+    def by_aggregate(src: DataFrame) -> DataFrame:
+        cols = [F.percentile(value, F.lit(float(p))).alias(alias)]
+        if count_alias:
+            cols.append(F.count(F.lit(1)).alias(count_alias))
+        return src.groupBy(*keys).agg(*cols)
+
+    if big.count() == 0:
+        return by_aggregate(vals)
+    big = F.broadcast(big)
+    small = by_aggregate(vals.join(big, keys, "left_anti"))
+    large = exact_percentile(vals.join(big, keys, "left_semi"), keys, value, p, alias, count_alias)
+    return small.unionByName(large)
