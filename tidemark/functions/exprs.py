@@ -22,6 +22,11 @@ def month_key(ts: Column | str) -> Column:
     return F.date_format(F.col(ts) if isinstance(ts, str) else ts, "yyyyMM")
 
 
+def day_key(ts: Column | str) -> Column:
+    """``yyyyMMdd`` text of a timestamp or date: the optional daily partition value."""
+    return F.date_format(F.col(ts) if isinstance(ts, str) else ts, "yyyyMMdd")
+
+
 def day_text(d: Column | str) -> Column:
     """A date rendered as ``yyyy-MM-dd`` text."""
     return F.date_format(F.col(d) if isinstance(d, str) else d, "yyyy-MM-dd")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import as_of_literal, day_text, days_before, has_error, month_key
+from tidemark.functions.exprs import as_of_literal, day_key, day_text, days_before, has_error, month_key
 from tidemark.operators.quantile import exact_percentile, group_percentile
 from tidemark.operators.validate import check_days, check_event_id, check_event_name, check_limit
 from tidemark.operators.versioning import (
@@ -25,7 +25,7 @@ from tidemark.operators.versioning import (
     public_view,
     restricted_latest,
 )
-from tidemark.schema import LINEAGE_COLS, MONTH_COL, P95
+from tidemark.schema import DAY_COL, LINEAGE_COLS, MONTH_COL, P95
 
 
 def _narrow(history: DataFrame, *cols: str) -> DataFrame:
@@ -78,9 +78,12 @@ def get_error_counts(
     days = check_days(days)
     cutoff = days_before(as_of_literal(as_of), days)
     pred = (F.col("event_name") == event_name) & (F.col("created_at") >= cutoff)
-    if MONTH_COL in history.columns:
+    parts = [c for c in (MONTH_COL, DAY_COL) if c in history.columns]
+    if MONTH_COL in parts:
         pred = pred & (F.col(MONTH_COL) >= month_key(cutoff))
-    narrow = _narrow(history, "event_name", "error", "created_at", *([MONTH_COL] if MONTH_COL in history.columns else []))
+    if DAY_COL in parts:
+        pred = pred & (F.col(DAY_COL) >= day_key(cutoff))
+    narrow = _narrow(history, "event_name", "error", "created_at", *parts)
     live = _latest(narrow, True).where(pred) if deduped else restricted_latest(narrow, pred)
     daily = live.groupBy(F.to_date("created_at").alias("event_date"), "event_name").agg(
         F.count_if(has_error("error")).alias("error_count"),

@@ -50,6 +50,7 @@ CUSTOMER = "cust_605"
 RETENTION_DAYS = 20
 PAGE = 10
 CURSOR = ("2024-01-15 00:00:00", "")
+DAILY_AS_OF = "1997-03-20 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -269,6 +270,18 @@ def _table_b(spark: SparkSession, d: str) -> DataFrame:
     return read_history(spark, path)
 
 
+def q_table_daily_error_counts(spark, d):
+    """Q-3 over adapter B stored with daily partitions (OPT-4): 7 days before 1997-03-20."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.table import read_history, write_history
+
+    path = scratch_path(spark, "orders-daily")
+    # ~2,400 day folders holding a few rows each: spread the files over all cores
+    parts = spark.sparkContext.defaultParallelism
+    write_history(adapters.history_b(spark, d), path, batch_id=0, daily=True, partitions=parts)
+    return get_error_counts(read_history(spark, path, daily=True), "event_b", DAYS, DAILY_AS_OF)
+
+
 def q_table_month_scan(spark, d):
     return _table_b(spark, d).where(F.col(MONTH_COL) == MONTH).select(*EVENT_COLS)
 
@@ -341,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "patch_update": q_patch_update,
     "conversation_turns": q_conversation_turns,
     "table_month_scan": q_table_month_scan,
+    "table_daily_error_counts": q_table_daily_error_counts,
     "table_id_lookup": q_table_id_lookup,
     "table_session_lookup": q_table_session_lookup,
     "stream_apply": q_stream_apply,
@@ -517,6 +531,11 @@ ORACLE: dict[str, str] = {
     "from p",
     "conversation_turns": _C_ROWS,
     "table_month_scan": f"select * from ({_B_ROWS}) where strftime(created_at, '%Y%m') = '{MONTH}'",
+    "table_daily_error_counts": "select strftime(cast(created_at as date), '%Y-%m-%d') as date, event_name,\n"
+    "       count(*) filter (where error <> '') as error_count, count(*) as total_count\n"
+    f"from ({_B_ROWS}) b\n"
+    f"where event_name = 'event_b' and created_at >= timestamp '{DAILY_AS_OF}' - interval {DAYS} day\n"
+    "group by 1, 2 order by 1",
     "table_id_lookup": f"select {_PUBLIC} from ({_B_ROWS}) where id = '{ORDER_ID}'",
     "table_session_lookup": f"select {_PUBLIC} from ({_B_ROWS}) where conversation_id = '{CUSTOMER}'",
     "stream_apply": _WITH_A + f"select {_COLS} from latest where is_deleted = 0",

@@ -137,6 +137,8 @@ EVENT_SCHEMA = StructType(
 LINEAGE_COLS = ("batch_id", "seq")
 # Derived partition column of the history table (yyyyMM of created_at).
 MONTH_COL = "created_month"
+# Optional finer partition below the month (yyyyMMdd of created_at).
+DAY_COL = "created_day"
 
 HISTORY_SCHEMA = StructType(
     list(EVENT_SCHEMA.fields)
@@ -156,3 +158,6 @@ REJECT_SCHEMA = StructType(
         StructField("raw", StringType()),
     ]
 )
+
+# History written with daily partitions (month, then day).
+DAILY_HISTORY_SCHEMA = StructType(list(HISTORY_SCHEMA.fields) + [StructField(DAY_COL, StringType())])

@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.functions.exprs import month_key
+from tidemark.functions.exprs import day_key, month_key
 from tidemark.operators.versioning import latest_version
-from tidemark.schema import EVENT_COLS, HISTORY_SCHEMA, MONTH_COL, REJECT_SCHEMA
+from tidemark.schema import DAILY_HISTORY_SCHEMA, DAY_COL, EVENT_COLS, HISTORY_SCHEMA, MONTH_COL, REJECT_SCHEMA
 
 SORT_COLS = ("conversation_id", "event_name", "id")
 # Upper bound of rows per output file.
@@ -35,7 +35,13 @@ MAX_ROWS_PER_FILE = 2_000_000
 
 
 def _bloom_options(columns: tuple[str, ...], expected_ndv: int, fpp: float) -> dict[str, str]:
-    opts = {}
+    """Parquet bloom filters per column; ``expected_ndv`` is an upper bound.
+
+    Adaptive sizing writes each file's filter for the distinct count it
+    actually holds (among candidate sizes up to the bound), so small files
+    do not carry filters sized for the largest ones.
+    """
+    opts = {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
     for c in columns:
         opts[f"parquet.bloom.filter.enabled#{c}"] = "true"
         opts[f"parquet.bloom.filter.expected.ndv#{c}"] = str(int(expected_ndv))
@@ -43,16 +49,21 @@ def _bloom_options(columns: tuple[str, ...], expected_ndv: int, fpp: float) -> d
     return opts
 
 
-def layout(versions: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Add the month column, rebalance and sort rows for writing.
+def layout(versions: DataFrame, partitions: int | None = None, daily: bool = False) -> DataFrame:
+    """Add the month (and, ``daily``, day) column, rebalance and sort rows for writing.
 
     ``partitions`` forces a fixed range partitioning instead (globally
     sorted files, one extra sampling pass).
     """
     df = versions.withColumn(MONTH_COL, month_key("created_at"))
-    order = [MONTH_COL, *SORT_COLS]
+    if daily:
+        df = df.withColumn(DAY_COL, day_key("created_at"))
+    order = [MONTH_COL, *([DAY_COL] if daily else []), *SORT_COLS]
     if partitions:
         df = df.repartitionByRange(partitions, *order)
+    elif daily:
+        # one writer per day folder (AQE splits a heavy day), not one file per task and day
+        df = df.hint("rebalance", MONTH_COL, DAY_COL)
     else:
         df = df.hint("rebalance", MONTH_COL, "conversation_id")
     return df.sortWithinPartitions(*order)
@@ -66,32 +77,48 @@ def write_history(
     expected_ndv: int = 1_000_000,
     fpp: float = 0.01,
     partitions: int | None = None,
+    daily: bool = False,
 ) -> None:
-    """Write version rows under ``batch_id=N``; re-running the same batch replaces it."""
+    """Write version rows under ``batch_id=N``; re-running the same batch replaces it.
+
+    ``daily`` adds a ``created_day`` partition level below the month, for
+    tables whose reads mostly cover a few days; read such a table with
+    ``read_history(..., daily=True)``.
+    """
     df = versions
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
     if "seq" not in df.columns:
         df = df.withColumn("seq", F.lit(0).cast("bigint"))
-    df = layout(df.select(*EVENT_COLS, "batch_id", "seq"), partitions)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .options(**_bloom_options(bloom_columns, expected_ndv, fpp))
-        .partitionBy("batch_id", MONTH_COL)
-        .parquet(path)
+    df = layout(df.select(*EVENT_COLS, "batch_id", "seq"), partitions, daily)
+    _write_partitioned(
+        df.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).options(**_bloom_options(bloom_columns, expected_ndv, fpp)),
+        path,
+        ["batch_id", MONTH_COL, *([DAY_COL] if daily else [])],
+        batch_id,
     )
 
 
+def _write_partitioned(writer, path: str, partition_cols: list[str], batch_id: int | None) -> None:
+    """Append into a fresh ``batch_id=N`` folder; replace it when it already exists.
+
+    A first write of a batch needs no overwrite semantics, and a dynamic
+    partition overwrite commits partition folders one by one. A replayed
+    batch (folder present, possibly from a failed attempt) is overwritten,
+    which replaces exactly the folders that batch writes.
+    """
+    spark = SparkSession.getActiveSession()
+    fresh = batch_id is not None and spark is not None and not path_exists(spark, f"{path}/batch_id={int(batch_id)}")
+    if fresh:
+        writer.mode("append").partitionBy(*partition_cols).parquet(path)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+
+
 def write_batch_table(df: DataFrame, path: str, batch_id: int) -> None:
     """Write a per-batch side table (rejects, rollup partials) under ``batch_id=N``."""
-    (
-        df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
+    _write_partitioned(
+        df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write, path, ["batch_id"], batch_id
     )
 
 
@@ -102,9 +129,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
+def read_history(spark: SparkSession, path: str, daily: bool = False) -> DataFrame:
     """The history table with its declared schema (nothing inferred)."""
-    return spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(path)
+    schema = DAILY_HISTORY_SCHEMA if daily else HISTORY_SCHEMA
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
