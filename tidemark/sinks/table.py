@@ -34,17 +34,24 @@ SORT_COLS = ("conversation_id", "event_name", "id")
 MAX_ROWS_PER_FILE = 2_000_000
 
 
-def _bloom_options(columns: tuple[str, ...], expected_ndv: int, fpp: float) -> dict[str, str]:
-    """Parquet bloom filters per column; ``expected_ndv`` is an upper bound.
+# Bloom filter sizing: each column chunk gets a filter sized for this many
+# distinct values (about 120 KB at fpp 0.01) unless the writer is told the
+# batch size; capped at one row group's worth of ids.
+DEFAULT_NDV = 100_000
+MAX_NDV = 1_000_000
 
-    Adaptive sizing writes each file's filter for the distinct count it
-    actually holds (among candidate sizes up to the bound), so small files
-    do not carry filters sized for the largest ones.
+
+def _bloom_options(columns: tuple[str, ...], expected_ndv: int | None, fpp: float) -> dict[str, str]:
+    """Parquet bloom filters per column, sized for ``expected_ndv`` distinct values.
+
+    The filter is allocated at that size in every column chunk, however few
+    rows the file gets, so callers that know their batch size pass it.
     """
-    opts = {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
+    ndv = DEFAULT_NDV if expected_ndv is None else max(1_000, min(int(expected_ndv), MAX_NDV))
+    opts = {}
     for c in columns:
         opts[f"parquet.bloom.filter.enabled#{c}"] = "true"
-        opts[f"parquet.bloom.filter.expected.ndv#{c}"] = str(int(expected_ndv))
+        opts[f"parquet.bloom.filter.expected.ndv#{c}"] = str(ndv)
         opts[f"parquet.bloom.filter.fpp#{c}"] = str(fpp)
     return opts
 
@@ -74,7 +81,7 @@ def write_history(
     path: str,
     batch_id: int | None = None,
     bloom_columns: tuple[str, ...] = ("id",),
-    expected_ndv: int = 1_000_000,
+    expected_ndv: int | None = None,
     fpp: float = 0.01,
     partitions: int | None = None,
     daily: bool = False,
@@ -231,7 +238,7 @@ def write_snapshot(spark: SparkSession, history_path: str, snapshot_root: str, t
         layout(rows.select(*EVENT_COLS, "batch_id", "seq"))
         .drop(MONTH_COL)
         .write.mode("overwrite")
-        .options(**_bloom_options(("id",), 1_000_000, 0.01))
+        .options(**_bloom_options(("id",), None, 0.01))
         .parquet(out)
     )
     return out

@@ -70,7 +70,8 @@ def apply_batch(
             base = base.persist(StorageLevel.MEMORY_AND_DISK)
         versions, not_found = fold_operations(ops, base, hot_ops=hot_ops, slice_ops=slice_ops)
         versions = versions.persist(StorageLevel.MEMORY_AND_DISK)
-        write_history(versions, tables.history, batch_id)
+        # the batch's row count bounds the ids per file: size the bloom filters by it
+        write_history(versions, tables.history, batch_id, expected_ndv=versions.count())
         write_batch_table(bad.unionByName(not_found), tables.rejects, batch_id)
         write_batch_table(error_partial(versions), tables.error_rollup, batch_id)
         write_batch_table(latency_partial(versions), tables.latency_rollup, batch_id)
