@@ -57,3 +57,28 @@ def test_error_counts_prune_months(stored):
 def test_session_lookup_filters_scan(stored):
     p = plan(Q.get_events_by_conversation(stored, "conv_5"))
     assert "EqualTo(conversation_id,conv_5)" in p
+
+
+def test_fold_has_one_exchange(spark):
+    from tidemark.operators.fold import fold_operations
+    from tidemark.operators.validate import split_messages
+
+    ops, _ = split_messages(adapters.changelog_a(spark, SF_SMALL))
+    versions, _ = fold_operations(ops, hot_ops=None)
+    p = versions._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange hashpartitioning(id") == 1
+    assert "Exchange" not in p.replace("Exchange hashpartitioning(id", "")
+
+
+def test_state_reads_pass_snapshot_rows_map_side(spark):
+    from tidemark.sinks.table import read_state, write_snapshot
+
+    root = scratch_path(spark, "state-plan")
+    v = history(spark, SF_SMALL)
+    write_history(v.where("version = 1"), f"{root}/h", batch_id=0)
+    write_history(v.where("version > 1"), f"{root}/h", batch_id=1)
+    write_snapshot(spark, f"{root}/h", f"{root}/s", through=0)
+    df = Q.get_top_error_sessions(read_state(spark, f"{root}/h", f"{root}/s"), 10, deduped=True)
+    df.collect()
+    p = plan(df)
+    assert "LeftAnti" in p and "BroadcastHashJoin" in p

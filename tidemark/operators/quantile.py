@@ -130,6 +130,8 @@ def exact_percentile(
 # Groups up to this many rows are computed by the ``percentile`` aggregate
 # (a bounded buffer per group); larger ones by distributed rank selection.
 BIG_GROUP = 50_000
+# Broadcast bound of the large-group key list (at most rows / BIG_GROUP keys).
+MAX_BIG_GROUPS = 1_000_000
 
 
 def group_percentile(
@@ -158,8 +160,11 @@ def group_percentile(
             cols.append(F.count(F.lit(1)).alias(count_alias))
         return src.groupBy(*keys).agg(*cols)
 
-    if big.count() == 0:
+    n_big = big.count()
+    if n_big == 0:
         return by_aggregate(vals)
+    if n_big > MAX_BIG_GROUPS:
+        return exact_percentile(vals, keys, value, p, alias, count_alias)
     big = F.broadcast(big)
     small = by_aggregate(vals.join(big, keys, "left_anti"))
     large = exact_percentile(vals.join(big, keys, "left_semi"), keys, value, p, alias, count_alias)
