@@ -103,3 +103,28 @@ def test_stream_restart_continues_from_checkpoint(spark):
     assert read_history(spark, tables.history).select(*EVENT_COLS).count() == 4
     assert sorted(r.batch_id for r in read_history(spark, tables.history).select("batch_id").distinct().collect()) == [0, 1]
     assert F is not None
+
+
+def test_processing_time_stream_stops_gracefully(spark):
+    root = scratch_path(spark, "ptime")
+    inbox, ckpt = f"{root}/inbox", f"{root}/ckpt"
+    tables = Tables(f"{root}/tables")
+
+    def drop(lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(inbox)
+
+    msg = '{"operation":"create","event_id":"%s","timestamp":"2024-01-06T00:00:00Z","seq":0,' \
+          '"data":{"conversation_id":"c","event_name":"event_c","latency":%d}}'
+    drop([msg % ("x%d" % i, i) for i in range(5)])
+    q = start_apply(stream_json_lines(spark, inbox, max_files_per_trigger=1), tables, ckpt,
+                    processing_time="500 milliseconds", query_name="tidemark_ptime")
+    try:
+        q.processAllAvailable()
+        drop([msg % ("y%d" % i, i) for i in range(3)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert not q.isActive
+    live = live_snapshot(read_history(spark, tables.history))
+    assert live.count() == 8
+    assert sum(p["input_rows"] for p in progress_summary(q)) >= 8
