@@ -128,3 +128,19 @@ def test_processing_time_stream_stops_gracefully(spark):
     live = live_snapshot(read_history(spark, tables.history))
     assert live.count() == 8
     assert sum(p["input_rows"] for p in progress_summary(q)) >= 8
+
+
+def test_messages_without_seq_follow_file_order(spark):
+    path = scratch_path(spark, "noseq")
+    lines = [
+        '{"operation":"create","event_id":"a","timestamp":"2024-01-05T00:00:00Z","data":{"conversation_id":"c","event_name":"event_a"}}',
+        '{"operation":"update","event_id":"a","timestamp":"2024-01-05T00:00:01Z","data":{"latency":3.5}}',
+        '{"operation":"update","event_id":"a","timestamp":"2024-01-05T00:00:02Z","data":{"latency":4.5}}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    from tidemark.plans.registry import fold_log
+
+    versions, rejects = fold_log(decode_json(spark.read.text(path)))
+    assert rejects.count() == 0
+    (r,) = live_snapshot(versions).collect()
+    assert (r.version, r.latency) == (3, 4.5)

@@ -24,7 +24,10 @@ def decode_json(df: DataFrame, value_col: str = "value", offset_col: str | None
     Field names match exactly (case-sensitive); unknown keys are ignored.
     ``seq`` (the per-event log order) comes from the message itself, else
     from ``offset_col`` (a Kafka offset: one event's messages share a
-    partition because the key is the event id).
+    partition because the key is the event id), else from the input order
+    (``monotonically_increasing_id``: line order within a file split, so a
+    log without ``seq`` must keep each event's messages in one file, in
+    order, as :func:`tidemark.api.publish_files` writes them).
     """
     text = F.col(value_col).cast("string")
     parsed = df.select(F.from_json(text, _DECODE_SCHEMA, _DECODE_OPTIONS).alias("m"), text.alias("raw"),
@@ -32,6 +35,7 @@ def decode_json(df: DataFrame, value_col: str = "value", offset_col: str | None
     seq = F.col("m.seq")
     if offset_col:
         seq = F.coalesce(seq, F.col("_offset"))
+    seq = F.coalesce(seq, F.monotonically_increasing_id())
     cols = [F.col(f"m.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields if f.name != "seq"]
     # A NULL parse result (empty or non-object text) is corrupt as well.
     corrupt = F.when(F.col("m").isNull(), F.col("raw")).otherwise(F.col(f"m.{CORRUPT}"))
