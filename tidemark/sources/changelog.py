@@ -18,7 +18,9 @@ _DECODE_SCHEMA = StructType(list(MESSAGE_SCHEMA.fields) + [StructField(CORRUPT,
 _DECODE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def decode_json(df: DataFrame, value_col: str = "value", offset_col: str | None = None) -> DataFrame:
+def decode_json(
+    df: DataFrame, value_col: str = "value", offset_col: str | None = None, input_order: bool = True
+) -> DataFrame:
     """Parse JSON message text into envelope columns.
 
     Field names match exactly (case-sensitive); unknown keys are ignored.
@@ -27,7 +29,9 @@ def decode_json(df: DataFrame, value_col: str = "value", offset_col: str | None
     partition because the key is the event id), else from the input order
     (``monotonically_increasing_id``: line order within a file split, so a
     log without ``seq`` must keep each event's messages in one file, in
-    order, as :func:`tidemark.api.publish_files` writes them).
+    order, as :func:`tidemark.api.publish_files` writes them). Streams
+    cannot number rows, so their decoders pass ``input_order=False`` and
+    each micro-batch is numbered by :func:`with_input_order` instead.
     """
     text = F.col(value_col).cast("string")
     parsed = df.select(F.from_json(text, _DECODE_SCHEMA, _DECODE_OPTIONS).alias("m"), text.alias("raw"),
@@ -35,13 +39,19 @@ def decode_json(df: DataFrame, value_col: str = "value", offset_col: str | None
     seq = F.col("m.seq")
     if offset_col:
         seq = F.coalesce(seq, F.col("_offset"))
-    seq = F.coalesce(seq, F.monotonically_increasing_id())
+    if input_order:
+        seq = F.coalesce(seq, F.monotonically_increasing_id())
     cols = [F.col(f"m.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields if f.name != "seq"]
     # A NULL parse result (empty or non-object text) is corrupt as well.
     corrupt = F.when(F.col("m").isNull(), F.col("raw")).otherwise(F.col(f"m.{CORRUPT}"))
     return parsed.select(*cols, seq.cast("bigint").alias("seq"), corrupt.alias(CORRUPT), "raw")
 
 
+def with_input_order(messages: DataFrame) -> DataFrame:
+    """Fill a missing ``seq`` from the input order (batch DataFrames only)."""
+    return messages.withColumn("seq", F.coalesce(F.col("seq"), F.monotonically_increasing_id()))
+
+
 def encode_json(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Envelope columns to ``(key, value)`` JSON text; NULL fields are left out.
 
@@ -69,7 +79,7 @@ def stream_json_lines(spark: SparkSession, path: str, max_files_per_trigger: int
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return decode_json(reader.load(path))
+    return decode_json(reader.load(path), input_order=False)
 
 
 def stream_kafka(
@@ -91,4 +101,4 @@ def stream_kafka(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
-    return decode_json(reader.load(), value_col="value", offset_col="offset")
+    return decode_json(reader.load(), value_col="value", offset_col="offset", input_order=False)

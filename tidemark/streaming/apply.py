@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.fold import HOT_OPS, SLICE_OPS, base_from_history, fold_operations
 from tidemark.operators.rollups import error_partial, latency_partial
 from tidemark.operators.validate import split_messages
+from tidemark.sources.changelog import with_input_order
 from tidemark.sinks.table import path_exists, read_history, write_batch_table, write_history
 
 
@@ -58,7 +59,7 @@ def apply_batch(
     ``hot_ops`` / ``slice_ops`` are passed to :func:`fold_operations`.
     """
     # The batch is read from the source once; everything below derives from it.
-    messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
+    messages = with_input_order(messages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ops, bad = split_messages(messages, batch_id)
         ops = ops.persist(StorageLevel.MEMORY_AND_DISK)
