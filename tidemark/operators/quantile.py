@@ -80,8 +80,12 @@ def exact_percentile(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
+    # Sorting each input partition first fixes the row order the range
+    # partitioner samples, so the bounds (and every row's ``_part``) are the
+    # same on any recomputation, whether or not the exchange is reused.
     ordered = (
-        counts.repartitionByRange(n_parts, *[F.col(k).asc_nulls_first() for k in keys], F.col(value).asc())
+        counts.sortWithinPartitions(*keys, value)
+        .repartitionByRange(n_parts, *[F.col(k).asc_nulls_first() for k in keys], F.col(value).asc())
         .sortWithinPartitions(*keys, value)
         .withColumn("_part", F.spark_partition_id())
     )
