@@ -82,3 +82,13 @@ def test_state_reads_pass_snapshot_rows_map_side(spark):
     df.collect()
     p = plan(df)
     assert "LeftAnti" in p and "BroadcastHashJoin" in p
+
+
+def test_few_touched_ids_use_point_lookup(spark, stored):
+    from tidemark.operators.fold import base_from_history
+
+    ids = spark.createDataFrame([("5",), ("7",)], "id string")
+    base = base_from_history(stored, ids, touched_count=2)
+    assert sorted(r.id for r in base.collect()) == ["5", "7"]
+    p = plan(base)
+    assert "In(id, [5,7])" in p or "In(id, [7,5])" in p

@@ -43,6 +43,10 @@ from tidemark.schema import (
 # Largest touched-id count for which the winners are broadcast (narrow rows of
 # five columns: well under 100 MB). Beyond it the lookup stays a shuffle join.
 BROADCAST_IDS = 1_000_000
+# Up to this many touched ids the lookup uses literal ids (Spark pushes IN
+# lists of at most ``spark.sql.parquet.pushdown.inFilterThreshold`` = 10
+# values to Parquet as equality tests).
+POINT_LOOKUP_IDS = 10
 
 
 def base_from_history(history: DataFrame, touched_ids: DataFrame, touched_count: int | None = None) -> DataFrame:
@@ -57,9 +61,15 @@ def base_from_history(history: DataFrame, touched_ids: DataFrame, touched_count:
 
     ``touched_count``: the measured number of distinct touched ids. Only when
     it is given and at most ``BROADCAST_IDS`` is the broadcast forced;
-    otherwise AQE decides from runtime sizes.
+    otherwise AQE decides from runtime sizes. With at most
+    ``POINT_LOOKUP_IDS`` ids the scan is also filtered by the literal ids.
     """
     ids = touched_ids.select("id").distinct()
+    if touched_count is not None and touched_count <= POINT_LOOKUP_IDS:
+        # A few ids: filter by literals, which Parquet turns into row-group
+        # skipping through the id bloom filters and min/max statistics.
+        literal = [r.id for r in ids.collect()]
+        history = history.where(F.col("id").isin(literal))
     keys = [c for c in ("id", "version", "batch_id", "seq", MONTH_COL) if c in history.columns]
     narrow = history.select(*keys).join(ids, "id", "left_semi")
     winners = latest_version(narrow, ("id",), include_deleted=True)
