@@ -20,7 +20,6 @@ from tidemark.schema import (
     DEFAULT_LIMIT,
     EVENT_NAMES,
     OP_CREATE,
-    OP_DELETE,
     OP_UPDATE,
     OPERATIONS,
     PATCH_SCHEMA,
@@ -156,5 +155,4 @@ __all__ = [
     "check_limit",
     "reject_reason",
     "split_messages",
-    "OP_DELETE",
 ]

@@ -328,8 +328,6 @@ def q_stream_apply(spark, d):
 
 
 def q_stream_rollup(spark, d):
-    from tidemark.operators.rollups import ERROR_KEYS  # noqa: F401
-
     root = _streamed(spark, d)
     partials = spark.read.parquet(f"{root}/rollup_error")
     return read_error_rollup(partials.drop("batch_id"))
