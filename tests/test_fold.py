@@ -115,3 +115,24 @@ def test_sliced_path_with_base_matches_one_shot(spark):
     hist = read_history(spark, tables.history)
     got = Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
+
+
+def test_compacted_state_equals_history_snapshot(spark):
+    from tidemark.plans import queries as Q
+    from tidemark.streaming.apply import compact_tables, current_state
+
+    rows = random_log(n_ids=120, n_ops=700, seed=5)
+    tables = Tables(scratch_path(spark, "compact-state"))
+    for b, (lo, hi) in enumerate([(0, 300), (300, 500), (500, len(rows))]):
+        apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables)
+        if b == 1:
+            compact_tables(spark, tables, through=1)
+    hist = read_history(spark, tables.history)
+    state = current_state(spark, tables)
+    assert state.count() == latest_version(hist).count()
+    want = sorted(map(tuple, live_snapshot(hist).select(*EVENT_COLS).collect()), key=repr)
+    got = sorted(map(tuple, state.where("is_deleted = 0").select(*EVENT_COLS).collect()), key=repr)
+    assert got == want
+    a = sorted(map(tuple, Q.get_top_error_sessions(hist, 50).collect()))
+    b = sorted(map(tuple, Q.get_top_error_sessions(state, 50, deduped=True).collect()))
+    assert a == b

@@ -20,7 +20,14 @@ from tidemark.operators.fold import HOT_OPS, SLICE_OPS, base_from_history, fold_
 from tidemark.operators.rollups import error_partial, latency_partial
 from tidemark.operators.validate import split_messages
 from tidemark.sources.changelog import with_input_order
-from tidemark.sinks.table import path_exists, read_history, write_batch_table, write_history
+from tidemark.sinks.table import (
+    path_exists,
+    read_history,
+    read_state,
+    write_batch_table,
+    write_history,
+    write_snapshot,
+)
 
 
 @dataclass(frozen=True)
@@ -45,6 +52,24 @@ class Tables:
     def latency_rollup(self) -> str:
         return f"{self.root}/rollup_latency"
 
+    @property
+    def snapshots(self) -> str:
+        return f"{self.root}/snapshots"
+
+
+def compact_tables(spark: SparkSession, tables: Tables, through: int) -> str:
+    """Compact the history written by batches ``<= through`` (run between micro-batches
+    or from a separate job; readers keep using the previous snapshot until it is done)."""
+    return write_snapshot(spark, tables.history, tables.snapshots, through)
+
+
+def current_state(spark: SparkSession, tables: Tables) -> DataFrame:
+    """One row per event (tombstones kept): newest snapshot merged with later batches.
+
+    Pass it to the reads with ``deduped=True``.
+    """
+    return read_state(spark, tables.history, tables.snapshots)
+
 
 def apply_batch(
     spark: SparkSession,
