@@ -92,3 +92,15 @@ def test_few_touched_ids_use_point_lookup(spark, stored):
     assert sorted(r.id for r in base.collect()) == ["5", "7"]
     p = plan(base)
     assert "In(id, [5,7])" in p or "In(id, [7,5])" in p
+
+
+def test_state_error_counts_prune_snapshot_months(spark):
+    from tidemark.sinks.table import read_state, write_snapshot
+
+    root = scratch_path(spark, "state-months")
+    write_history(history(spark, SF_SMALL), f"{root}/h", batch_id=0)
+    write_history(adapters.history_b(spark, SF_SMALL), f"{root}/h", batch_id=1)
+    write_snapshot(spark, f"{root}/h", f"{root}/s", through=1)
+    df = Q.get_error_counts(read_state(spark, f"{root}/h", f"{root}/s"), "event_a", 7, "2024-01-31 00:00:00", deduped=True)
+    assert df.count() == 7
+    assert "PartitionFilters: [isnotnull(created_month" in plan(df)

@@ -227,18 +227,19 @@ SNAPSHOT_PREFIX = "through="
 def write_snapshot(spark: SparkSession, history_path: str, snapshot_root: str, through: int) -> str:
     """Compact every version written by batches ``<= through`` into one row per event.
 
-    Written next to earlier snapshots as ``<snapshot_root>/through=<K>``;
-    readers pick the newest. Tombstones are kept, so the snapshot answers
-    later folds and reads exactly like the versions it replaces.
+    Written next to earlier snapshots as ``<snapshot_root>/through=<K>``,
+    partitioned by ``created_month`` like the history so month predicates
+    prune it; readers pick the newest. Tombstones are kept, so the snapshot
+    answers later folds and reads exactly like the versions it replaces.
     """
     src = read_history(spark, history_path).where(F.col("batch_id") <= int(through))
     out = f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{int(through)}"
     rows = compact(src)
     (
         layout(rows.select(*EVENT_COLS, "batch_id", "seq"))
-        .drop(MONTH_COL)
         .write.mode("overwrite")
         .options(**_bloom_options(("id",), None, 0.01))
+        .partitionBy(MONTH_COL)
         .parquet(out)
     )
     return out
@@ -274,11 +275,11 @@ def read_state(spark: SparkSession, history_path: str, snapshot_root: str | None
     """
     history = read_history(spark, history_path)
     k = latest_snapshot(spark, snapshot_root) if snapshot_root else None
-    cols = [*EVENT_COLS, "batch_id", "seq"]
+    cols = [*EVENT_COLS, "batch_id", "seq", MONTH_COL]
     if k is None:
         return latest_version(history.select(*cols), ("id",), include_deleted=True)
-    snap = spark.read.schema(HISTORY_SCHEMA).parquet(f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{k}")
-    snap = snap.select(*cols)
+    snap_path = f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{k}"
+    snap = spark.read.schema(HISTORY_SCHEMA).option("basePath", snap_path).parquet(snap_path).select(*cols)
     delta = history.where(F.col("batch_id") > k).select(*cols)
     touched = delta.select("id").distinct()
     n = touched.count()
