@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, quality
+from tidemark.llm import minhash, packing, quality, secrets, tiling
 from tidemark.llm.common import settled, table
+from tidemark.llm.registry import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +25,27 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return minhash.near_dedup(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: documents that contain benchmark items go."""
+    return tiling.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: secrets are masked in the texts; all documents stay."""
+    return secrets.redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: the documents' tokens in sequences, a row for each piece."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality", quality_stage),
     ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
+    ("packing", packing_stage),
 ]
 
 #: Similarity, tiling and tokenizing have no SQL form; the tests hold the pipeline against a brute-force version.
@@ -37,5 +56,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    name, stage = STAGES[-1]
-    return stage(spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir)
