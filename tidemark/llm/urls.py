@@ -94,7 +94,7 @@ def lexical(url: str) -> list[float]:
 
 
 def matrix(urls: list[str | None], *shares: np.ndarray) -> np.ndarray:
-    rows = np.array([lexical(u or "") for u in urls], np.float64).reshape(len(urls), -1)
+    rows = np.array([lexical(u or "") for u in urls], np.float64).reshape(len(urls), len(lexical("")))
     return np.column_stack([rows, *shares])
 
 
@@ -102,11 +102,11 @@ class Trees:
     """Gradient-boosted trees of fixed depth on binned features, for the log-loss."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
         mean = min(max(y.mean(), 1e-6), 1 - 1e-6) if len(y) else 1e-6
         self.base, self.trees = float(np.log(mean / (1 - mean))), []
         if len(set(y.tolist())) < 2:
             return
+        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
         binned, score = self._bins(x), np.full(len(y), self.base)
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-score))
