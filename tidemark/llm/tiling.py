@@ -109,6 +109,8 @@ def covered(texts: pa.Array, block: Block, coverage: float) -> Iterator[tuple[in
     low, high = (np.searchsorted(block.seeds, grams[at], side=s) for s in ("left", "right"))
     n = high - low
     at, seed = np.repeat(at, n), np.repeat(low, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+    if not len(at):
+        return
     text, item, place = w.text[at], block.item[seed], block.place[seed]
     order = np.lexsort((place, item, text))
     at, text, item, place = at[order], text[order], item[order], place[order]
@@ -118,7 +120,7 @@ def covered(texts: pa.Array, block: Block, coverage: float) -> Iterator[tuple[in
     reach = np.full(len(place), k)
     same = np.r_[(text[1:] == text[:-1]) & (item[1:] == item[:-1]), False]
     reach[same] = np.minimum(k, np.diff(place, append=0)[same])
-    most = np.add.reduceat(reach, start) if len(start) else reach
+    most = np.add.reduceat(reach, start)
     able = most >= coverage * size[item[start]]
     for s, m in zip(start[able], length[able], strict=True):
         t, i = int(text[s]), int(item[s])
@@ -127,13 +129,13 @@ def covered(texts: pa.Array, block: Block, coverage: float) -> Iterator[tuple[in
             yield t, i, found
 
 
-def blocks(benchmark: DataFrame, min_tile: int = MIN_TILE, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
+def blocks(benchmark: DataFrame, min_tile: int = MIN_TILE, block_bytes: int | None = None) -> Iterator[Block]:
     """The benchmark in blocks of bounded size, each row in one."""
     rows, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("bigint").alias("i"), F.col("text").cast("string").alias("t")).toLocalIterator():
         rows.append((row.i, row.t))
         size += len(row.t or "") + 16
-        if size >= block_bytes:
+        if size >= (block_bytes or BLOCK_BYTES):
             yield Block(rows, min_tile)
             rows, size = [], 0
     if rows:
