@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from helpers import messages_df, model, random_log, row_key, spark_rows
 
 from tidemark.operators.fold import fold_operations
@@ -100,7 +102,7 @@ def test_sliced_path_matches_model_with_one_hot_event(spark):
     rows = sorted(rows + hot, key=lambda r: r[4])
     expected_hist, expected_rej = model(rows)
     ops, bad = split_messages(messages_df(spark, rows))
-    versions, not_found = fold_operations(ops, hot_ops=100, slice_ops=37)
+    versions, not_found = fold_operations(ops, hot_ops=100, slices=9)
     got = Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
     assert sorted((r.event_id, r.seq) for r in not_found.collect()) == sorted((e, s) for e, _, s, _ in expected_rej)
@@ -111,7 +113,7 @@ def test_sliced_path_with_base_matches_one_shot(spark):
     expected_hist, _ = model(rows)
     tables = Tables(scratch_path(spark, "hot-split"))
     for b, (lo, hi) in enumerate([(0, 300), (300, 650), (650, len(rows))]):
-        apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables, hot_ops=20, slice_ops=13)
+        apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables, hot_ops=20, slices=7)
     hist = read_history(spark, tables.history)
     got = Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
@@ -136,3 +138,107 @@ def test_compacted_state_equals_history_snapshot(spark):
     a = sorted(map(tuple, Q.get_top_error_sessions(hist, 50).collect()))
     b = sorted(map(tuple, Q.get_top_error_sessions(state, 50, deduped=True).collect()))
     assert a == b
+
+
+def test_slices_follow_ranks_not_values(spark):
+    """One far outlier in seq must not put all other rows into one slice."""
+    import datetime as dt
+
+    from helpers import T0, msg
+
+    rows = [msg("create", "hot", 0, T0, conversation_id="c0", event_name="event_b")]
+    rows += [msg("update", "hot", 1000 * i if i < 299 else 10**12, T0 + dt.timedelta(seconds=i), latency=float(i) if i % 3 else None) for i in range(1, 300)]
+    expected_hist, _ = model(rows)
+    ops, _ = split_messages(messages_df(spark, rows))
+    versions, _ = fold_operations(ops, hot_ops=10, slices=8)
+    got = Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS)))
+    assert got == Counter(row_key(r) for r in expected_hist)
+
+
+def test_many_hot_events_take_the_sliced_path(spark):
+    rows = random_log(n_ids=40, n_ops=600, seed=13)
+    expected_hist, _ = model(rows)
+    ops, _ = split_messages(messages_df(spark, rows))
+    versions, _ = fold_operations(ops, hot_ops=1, slices=3)
+    assert Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS))) == Counter(row_key(r) for r in expected_hist)
+
+
+def test_shrinking_replay_leaves_nothing_behind(spark):
+    from tidemark.operators.rollups import error_partial
+
+    rows = random_log(n_ids=60, n_ops=400, seed=31)
+    tables = Tables(scratch_path(spark, "shrink"))
+    apply_batch(spark, messages_df(spark, rows[:200]), 0, tables)
+    apply_batch(spark, messages_df(spark, rows[200:]), 1, tables)
+    apply_batch(spark, messages_df(spark, rows[200:210]), 1, tables)
+    want, _ = model(rows[:210])
+    hist = read_history(spark, tables.history)
+    assert Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS))) == Counter(row_key(r) for r in want)
+    apply_batch(spark, messages_df(spark, rows[:1]).limit(0), 1, tables)
+    hist = read_history(spark, tables.history)
+    assert hist.where("batch_id = 1").count() == 0 and hist.count() == len(model(rows[:200])[0])
+    assert error_partial(hist).count() >= 1
+
+
+def test_uncommitted_batches_are_not_seen(spark):
+    from tidemark.sinks.table import last_committed, write_history, write_snapshot
+
+    rows = random_log(n_ids=30, n_ops=120, seed=8)
+    tables = Tables(scratch_path(spark, "commit"))
+    apply_batch(spark, messages_df(spark, rows), 0, tables)
+    n = read_history(spark, tables.history).count()
+    write_history(read_history(spark, tables.history), tables.history, 1)
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{tables.history}/batch_id=1/_SUCCESS")
+    marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(marker, False)
+    assert last_committed(spark, tables.history) == 0
+    assert read_history(spark, tables.history).count() == n
+    try:
+        write_snapshot(spark, tables.history, tables.snapshots, through=1)
+        raise AssertionError("an uncommitted batch was compacted")
+    except ValueError:
+        pass
+
+
+def test_lookup_after_compaction_and_merged_rollups(spark):
+    from tidemark.operators.rollups import read_error_rollup, read_latency_rollup
+    from tidemark.streaming.apply import compact_rollups, compact_tables, error_rollup, latency_rollup
+
+    rows = random_log(n_ids=90, n_ops=700, seed=19)
+    expected_hist, _ = model(rows)
+    tables, plain = Tables(scratch_path(spark, "compacted")), Tables(scratch_path(spark, "plain"))
+    for b, (lo, hi) in enumerate([(0, 250), (250, 500), (500, len(rows))]):
+        for t in (tables, plain):
+            apply_batch(spark, messages_df(spark, rows[lo:hi]), b, t)
+        if b < 2:  # the next batch looks its events up in the snapshot
+            compact_tables(spark, tables, through=b)
+            compact_rollups(spark, tables, through=b)
+    hist = read_history(spark, tables.history)
+    assert Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS))) == Counter(row_key(r) for r in expected_hist)
+    for read, rollup in ((read_error_rollup, error_rollup), (read_latency_rollup, latency_rollup)):
+        got, want = (sorted(map(tuple, read(rollup(spark, t)).collect())) for t in (tables, plain))
+        assert got == want
+
+
+def test_rejects_are_driven_again(spark):
+    from tidemark.schema import R_NOT_FOUND
+    from tidemark.sources.changelog import read_json_lines
+    from tidemark.streaming.apply import redrive_rejects
+
+    rows = random_log(n_ids=20, n_ops=200, seed=2)
+    updates = [r for r in rows if r[0] == "update"][:15]
+    tables = Tables(scratch_path(spark, "redrive"))
+    inbox = scratch_path(spark, "redrive-inbox")
+    apply_batch(spark, messages_df(spark, updates), 0, tables)
+    rej = read_rejects(spark, tables.rejects)
+    n = rej.where(F.col("reason") == R_NOT_FOUND).count()
+    assert n > 0
+    redrive_rejects(spark, tables, inbox, through=0)
+    creates = [r for r in rows if r[0] == "create"]
+    apply_batch(spark, messages_df(spark, creates), 1, tables)
+    known = read_history(spark, tables.history).select("id").distinct()
+    apply_batch(spark, read_json_lines(spark, inbox), 2, tables)
+    again = read_json_lines(spark, inbox)
+    assert again.count() == n
+    applied = read_history(spark, tables.history).where("batch_id = 2").count()
+    assert applied == again.join(known, again["event_id"] == known["id"], "left_semi").count()

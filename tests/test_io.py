@@ -31,8 +31,8 @@ def test_client_builders_and_wire_format(spark):
     # error and latency always sent on create; empty strings and vectors left out
     assert data == {"conversation_id": "c1", "event_name": "event_a", "error": "", "latency": 0.0}
     assert wire[0]["operation"] == "create" and len(wire[0]["event_id"]) == 36
-    # ids are a function of the request, so recomputation gives the same id
-    assert msgs.collect()[0].event_id == api.track_events(creates)[0].collect()[0].event_id
+    # an id is given once, so recomputation gives the same one, and an equal request gets another
+    assert msgs.collect()[0].event_id == wire[0]["event_id"] != api.track_events(creates)[0].collect()[0].event_id
 
     upd = spark.createDataFrame(
         [("e1", "", 0.0, "", None), ("e2", None, None, None, None), ("e3", None, None, None, "event_q")],
@@ -144,3 +144,60 @@ def test_messages_without_seq_follow_file_order(spark):
     assert rejects.count() == 0
     (r,) = live_snapshot(versions).collect()
     assert (r.version, r.latency) == (3, 4.5)
+
+
+def test_files_order_a_log_without_seq(spark):
+    """Creates in a small file, then a larger file of updates: Spark packs the larger first."""
+    from tidemark.plans.registry import fold_log
+    from tidemark.sources.changelog import read_json_lines
+
+    path = scratch_path(spark, "two-files")
+    reqs = spark.createDataFrame([(f"e{i}", f"c{i}", "event_a", T) for i in range(200)], "id string, conversation_id string, event_name string, timestamp timestamp")
+    api.publish_files(api.track_events(reqs, id_col="id")[0].coalesce(1), path)
+    upd = reqs.select(F.col("id").alias("event_id"), F.rpad(F.lit("x"), 3000, "x").alias("output"), "timestamp")
+    api.publish_files(api.update_events(upd)[0].coalesce(1), path)
+    api.publish_files(api.delete_events(reqs.where("id = 'e7'").select(F.col("id").alias("event_id")))[0], path)
+    versions, rejects = fold_log(read_json_lines(spark, path))
+    assert rejects.count() == 0
+    assert live_snapshot(versions).where("version = 2").count() == 199
+
+
+def test_mutations_without_time_take_the_source_time(spark):
+    from tidemark.plans.registry import fold_log
+    from tidemark.sources.changelog import read_json_lines
+
+    path = scratch_path(spark, "no-time")
+    lines = [
+        '{"operation":"create","event_id":"a","timestamp":"2024-01-05T00:00:00Z","data":{"conversation_id":"c","event_name":"event_a"}}',
+        '{"operation":"delete","event_id":"a"}',
+        '{"operation":"create","event_id":"b","data":{"conversation_id":"c","event_name":"event_a"}}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    versions, rejects = fold_log(read_json_lines(spark, path))
+    assert [r.reason for r in rejects.collect()] == ["malformed"]
+    assert live_snapshot(versions).count() == 0 and versions.where("is_deleted = 1 and updated_at is not null").count() == 1
+
+
+def test_shared_folder_is_required_off_local(spark, monkeypatch):
+    import pytest
+
+    from tidemark import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session())

@@ -44,36 +44,26 @@ def test_exact_percentile_matches_duckdb(spark, parts):
     assert got == want
 
 
-@pytest.mark.parametrize("big", [10, 1000, 100_000])
-def test_group_percentile_matches_duckdb(spark, big):
-    from tidemark.operators.quantile import group_percentile
-
-    rows = _data(spark, seed=3)
-    df = spark.createDataFrame(rows, "conversation_id string, event_name string, latency double")
-    got = {
-        (r.conversation_id, r.event_name): (round(r.p, 6), r.n)
-        for r in group_percentile(df, ["conversation_id", "event_name"], "latency", 0.95, "p", "n", big).collect()
-    }
+def test_exact_percentile_keeps_null_groups(spark):
+    """NULL keys, alone and beside others, over several batches of a task."""
+    rows = [(None if i % 3 else "a", None if i % 2 else "x", float(i)) for i in range(30_000)] + [("b", None, None)]
+    df = spark.createDataFrame(rows, "k string, l string, v double")
     con = duckdb.connect()
-    con.execute("create table t (conversation_id varchar, event_name varchar, latency double)")
-    con.executemany("insert into t values (?, ?, ?)", rows)
-    want = {
-        (a, b): (round(q, 6), n)
-        for a, b, q, n in con.execute(
-            "select conversation_id, event_name, quantile_cont(latency, 0.95), count(*) from t group by 1, 2"
-        ).fetchall()
-    }
-    assert got == want
+    con.register("t", df.toPandas())
+    want = {(k, m): (round(q, 6), n) for k, m, q, n in con.execute(
+        "select k, l, quantile_cont(v, 0.95), count(v) from t where v is not null group by 1, 2").fetchall()}
+    for parts in (1, 7):
+        got = {(r.k, r.l): (round(r.p, 6), r.n) for r in exact_percentile(df, ["k", "l"], "v", 0.95, "p", "n", parts).collect()}
+        assert got == want and len(got) == 4
 
 
 def test_exact_percentile_spreads_hot_group(spark):
-    rows = _data(spark)
-    df = spark.createDataFrame(rows, "conversation_id string, event_name string, latency double")
-    keys = ["conversation_id", "event_name"]
-    counts = df.groupBy(*keys, "latency").agg(F.count(F.lit(1)).alias("_cnt"))
-    spread = counts.repartitionByRange(8, *keys, "latency").withColumn("_p", F.spark_partition_id())
-    parts_of_hot = spread.where("conversation_id = 'hot'").select("_p").distinct().count()
-    assert parts_of_hot > 1
+    """The operator's own plan ranges by key and value, so the hot group's values lie in several tasks."""
+    df = spark.createDataFrame(_data(spark), "conversation_id string, event_name string, latency double")
+    out = exact_percentile(df, ["conversation_id", "event_name"], "latency", 0.95, "p", "n", 8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(conversation_id" in plan and "latency" in plan.split("rangepartitioning(")[1].split(")")[0]
+    assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_rollup_partials_merge_like_one_shot(spark):

@@ -39,8 +39,10 @@ from tidemark.schema import (
     R_MISSING_EVENT_ID,
     R_MISSING_EVENT_NAME,
 )
+from tidemark.session import scratch_path
 from tidemark.sources.changelog import encode_json
 
+_NEW_ID, _NEW_TIME = "_new_event_id", "_new_event_time"
 _UPDATABLE = tuple(f.name for f in PATCH_SCHEMA.fields if f.name != "conversation_id")
 
 
@@ -57,33 +59,33 @@ def _omit_empty(name: str, c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def derive_event_id(*cols: Column) -> Column:
-    """A deterministic UUID-shaped id from request content.
+def _with_new_ids(requests: DataFrame) -> DataFrame:
+    """The requests with a fresh random id each, written to the shared folder and read back.
 
-    Recomputing a task must not change ids, so random UUIDs are not used;
-    include a request key or time among ``cols`` to tell equal requests apart.
+    Equal requests are separate events, so an id cannot come from a request's
+    content; writing it once makes every later use (messages, wire, result)
+    see the same id.
     """
-    h = F.sha2(F.concat_ws("\u0001", *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in cols]), 256)
-    return F.concat_ws(
-        "-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4),
-        F.substring(h, 21, 12),
-    )
+    path = scratch_path(requests.sparkSession, "requests")
+    requests.withColumn(_NEW_ID, F.expr("uuid()")).withColumn(_NEW_TIME, F.current_timestamp()).write.parquet(path)
+    return requests.sparkSession.read.parquet(path)
 
 
 def _time(df: DataFrame, ts_col: str) -> Column:
-    return (F.col(ts_col) if ts_col in df.columns else F.current_timestamp()).cast("timestamp")
+    now = F.col(_NEW_TIME) if _NEW_TIME in df.columns else F.current_timestamp()
+    return (F.col(ts_col) if ts_col in df.columns else now).cast("timestamp")
 
 
 def _seq(df: DataFrame) -> Column:
     return (F.col("seq") if "seq" in df.columns else F.lit(None)).cast("bigint")
 
 
-def _split(df: DataFrame, reason: Column, messages: list[Column], reject_id: Column, op: str):
+def _split(df: DataFrame, reason: Column, messages: list[Column], reject_id: Column, op: str, columns: list[str] | None = None):
     flagged = df.withColumn("_reason", reason)
     msgs = flagged.where(F.col("_reason").isNull()).select(*messages)
     rejects = flagged.where(F.col("_reason").isNotNull()).select(
         reject_id.alias("event_id"), F.lit(op).alias("operation"), _seq(df).alias("seq"),
-        F.col("_reason").alias("reason"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("raw"),
+        F.col("_reason").alias("reason"), F.to_json(F.struct(*[F.col(c) for c in columns or df.columns])).alias("raw"),
     )
     return msgs, rejects
 
@@ -93,8 +95,13 @@ def track_events(requests: DataFrame, id_col: str | None = None, ts_col: str = "
 
     Required: ``conversation_id``, ``event_name``. Optional: every other
     patch field, ``timestamp`` (request time, default now), ``seq`` and an
-    id column; without one the id is derived from the request content.
+    id column. Without ``id_col`` each request gets a new random id; the
+    numbered requests are then written to the shared folder at once, so the
+    returned messages and what is published carry the same ids.
     """
+    columns = requests.columns
+    if not id_col:
+        requests = _with_new_ids(requests)
     cid = _opt(requests, "conversation_id")
     name = _opt(requests, "event_name")
     reason = (
@@ -103,10 +110,7 @@ def track_events(requests: DataFrame, id_col: str | None = None, ts_col: str = "
         .when(~known_event_name(name), F.lit(R_BAD_EVENT_NAME))
     )
     ts = _time(requests, ts_col)
-    if id_col:
-        event_id = F.col(id_col).cast("string")
-    else:
-        event_id = derive_event_id(ts, *[_opt(requests, f.name) for f in PATCH_SCHEMA.fields])
+    event_id = F.col(id_col or _NEW_ID).cast("string")
     data = []
     for f in PATCH_SCHEMA.fields:
         c = _opt(requests, f.name)
@@ -121,7 +125,7 @@ def track_events(requests: DataFrame, id_col: str | None = None, ts_col: str = "
         F.lit(OP_CREATE).alias("operation"), event_id.alias("event_id"), ts.alias("timestamp"),
         F.struct(*data).alias("data"), _seq(requests).alias("seq"),
     ]
-    return _split(requests, reason, messages, event_id, OP_CREATE)
+    return _split(requests, reason, messages, event_id, OP_CREATE, columns)
 
 
 def update_events(requests: DataFrame, ts_col: str = "timestamp"):
@@ -168,20 +172,28 @@ def delete_events(requests: DataFrame, ts_col: str = "timestamp"):
     return _split(requests, reason, messages, eid, OP_DELETE)
 
 
+def _in_order(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key, value`` with each event's messages in one task, in ``seq`` (else input) order."""
+    placed = messages.withColumn("_place", F.coalesce(F.col("seq"), F.monotonically_increasing_id()))
+    return encode_json(placed.repartition("event_id").sortWithinPartitions("event_id", "_place"), keep)
+
+
 def publish_files(messages: DataFrame, path: str) -> None:
     """Append messages as JSON lines to a folder read by the file change-log source.
 
-    Messages are clustered by event id so one event's messages stay in one
-    file, in ``seq`` order.
+    One event's messages stay in one file, in order; messages without ``seq``
+    are ordered by the reader by file time and line, so later calls come later.
     """
-    wire = encode_json(messages.repartition("event_id").sortWithinPartitions("event_id", "seq"))
-    wire.select("value").write.mode("append").text(path)
+    _in_order(messages).select("value").write.mode("append").text(path)
 
 
 def publish_kafka(messages: DataFrame, bootstrap_servers: str, topic: str) -> None:
-    """Write messages to a topic keyed by event id (needs the Kafka connector)."""
+    """Write messages to a topic keyed by event id (needs the Kafka connector).
+
+    One task writes all of an event's messages, in order.
+    """
     (
-        encode_json(messages)
+        _in_order(messages)
         .write.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("topic", topic)

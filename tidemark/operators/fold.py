@@ -38,43 +38,23 @@ from tidemark.schema import (
     PATCH_SCHEMA,
     R_NOT_FOUND,
 )
+from tidemark.session import scratch_path
 
 
-# Largest touched-id count for which the winners are broadcast (narrow rows of
-# five columns: well under 100 MB). Beyond it the lookup stays a shuffle join.
-BROADCAST_IDS = 1_000_000
-# Up to this many touched ids the lookup uses literal ids (Spark pushes IN
-# lists of at most ``spark.sql.parquet.pushdown.inFilterThreshold`` = 10
-# values to Parquet as equality tests).
-POINT_LOOKUP_IDS = 10
-
-
-def base_from_history(history: DataFrame, touched_ids: DataFrame, touched_count: int | None = None) -> DataFrame:
+def base_from_history(history: DataFrame, touched_ids: DataFrame) -> DataFrame:
     """Latest stored version (tombstones kept) of each touched id, as base operations.
 
     Two passes keep wide columns out of the search: the winners are picked
     on the narrow ``(id, version, batch_id, seq)`` columns of the touched
     ids only, then their full rows are fetched with a semi join on those
-    columns plus the table's partition columns. When the winner set is small,
-    it is broadcast and dynamic partition pruning limits the wide read to the
-    ``batch_id`` / ``created_month`` folders that hold winners.
-
-    ``touched_count``: the measured number of distinct touched ids. Only when
-    it is given and at most ``BROADCAST_IDS`` is the broadcast forced;
-    otherwise AQE decides from runtime sizes. With at most
-    ``POINT_LOOKUP_IDS`` ids the scan is also filtered by the literal ids.
+    columns plus the table's partition columns. AQE chooses the joins from
+    measured sizes; when it broadcasts the winners, dynamic partition pruning
+    limits the wide read to the folders that hold them.
     """
     ids = touched_ids.select("id").distinct()
-    if touched_count is not None and touched_count <= POINT_LOOKUP_IDS:
-        # A few ids: filter by literals, which Parquet turns into row-group
-        # skipping through the id bloom filters and min/max statistics.
-        literal = [r.id for r in ids.collect()]
-        history = history.where(F.col("id").isin(literal))
     keys = [c for c in ("id", "version", "batch_id", "seq", MONTH_COL) if c in history.columns]
     narrow = history.select(*keys).join(ids, "id", "left_semi")
     winners = latest_version(narrow, ("id",), include_deleted=True)
-    if touched_count is not None and touched_count <= BROADCAST_IDS:
-        winners = F.broadcast(winners)
     winners = winners.alias("w")
     h = history.alias("h")
     cond = [F.col(f"h.{k}").eqNullSafe(F.col(f"w.{k}")) if k == "seq" else F.col(f"h.{k}") == F.col(f"w.{k}")
@@ -95,10 +75,8 @@ def base_from_history(history: DataFrame, touched_ids: DataFrame, touched_count:
 
 # An event id with more operations than this takes the sliced path.
 HOT_OPS = 1_000_000
-# Rows per slice of a hot id (one task's share of it).
-SLICE_OPS = 250_000
-# Broadcast bound of the hot-id list; it has at most (operations / HOT_OPS) rows.
-MAX_HOT_IDS = 500_000
+# Slices of a hot id, cut by rank.
+SLICES = 256
 
 
 def _prepare(ops: DataFrame, base: DataFrame | None) -> DataFrame:
@@ -155,7 +133,10 @@ def _rejects(x: DataFrame) -> DataFrame:
         F.col("op").alias("operation"),
         "seq",
         F.lit(R_NOT_FOUND).alias("reason"),
-        F.lit(None).cast("string").alias("raw"),
+        F.to_json(F.struct(
+            F.col("op").alias("operation"), F.col("id").alias("event_id"), F.col("ts").cast("timestamp").alias("timestamp"),
+            F.struct(*PATCH_FIELDS).alias("data"),
+        )).alias("raw"),
     )
 
 
@@ -193,7 +174,7 @@ def _fold_by_window(x: DataFrame) -> tuple[DataFrame, DataFrame]:
     y = y.withColumn("_shadowed", _shadowed())
     running = (
         Window.partitionBy("id", "_shadowed")
-        .orderBy("seq")
+        .orderBy("seq", "ts", "op")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     values = {c: F.last(c, ignorenulls=True).over(running) for c in PATCH_FIELDS}
@@ -202,41 +183,40 @@ def _fold_by_window(x: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _emit(y, values, mutations, created), _rejects(x)
 
 
-def _fold_sliced(x: DataFrame, slice_ops: int) -> tuple[DataFrame, DataFrame]:
+def _fold_sliced(x: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
     """The same fold for events with very many operations, split over tasks.
 
-    Per-event facts come from aggregates (combined map-side) joined back by
-    broadcast: the caller only sends hot events here, whose number is at
-    most ``rows / HOT_OPS``. Each event's log is cut into seq-range slices
-    of about ``slice_ops`` rows. A slice's last provided value per field and
-    its mutation count are aggregates too; a window over the slices of one
-    event (few rows) turns them into carry-ins, and the running fill then
-    runs per slice, starting from its carry-in.
+    Per-event facts come from aggregates (combined map-side) joined back.
+    Each event's log is cut into ``slices`` ranges of ``seq`` that hold about
+    equally many rows, whatever gaps ``seq`` has: the cuts are approximate
+    quantiles, a bounded sketch for each event. A sketch depends on the order
+    of its merges, so the cuts are written once and every use reads the same
+    ones. A slice's last provided value per field and its mutation count are aggregates too; a window over the
+    slices of one event (few rows) turns them into carry-ins, and the running
+    fill then runs per slice, starting from its carry-in.
     """
+    cuts = [i / slices for i in range(1, slices)]
     stats = x.groupBy("id").agg(
         F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _seq())).alias("_first_create"),
-        F.min("seq").alias("_min_seq"),
-        F.max("seq").alias("_max_seq"),
-        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("seq", cuts, 10 * slices).alias("_cuts"),
     )
-    x = x.join(F.broadcast(stats), "id")
+    path = scratch_path(x.sparkSession, "fold-cuts")
+    stats.write.parquet(path)
+    x = x.join(x.sparkSession.read.parquet(path), "id")
+    x = x.withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col("seq"))).cast("bigint")).drop("_cuts")
     deletions = x.groupBy("id").agg(F.min(_deletion()).alias("_deleted_at"))
-    x = x.join(F.broadcast(deletions), "id").withColumn("_ok", _ok())
+    x = x.join(deletions, "id").withColumn("_ok", _ok())
     y = x.where(F.col("_ok"))
     later = y.groupBy("id").agg(
         F.min(F.when(_is_mut(), _seq())).alias("_first_mut"), F.max("b_version").alias("_base_version")
     )
-    y = y.join(F.broadcast(later), "id").withColumn("_shadowed", _shadowed())
-    slices = F.ceil(F.col("_n") / F.lit(float(slice_ops)))
-    span = (F.col("_max_seq") - F.col("_min_seq") + 1).cast("double")
-    position = ((F.col("seq") - F.col("_min_seq")).cast("double") / span * slices).cast("bigint")
-    y = y.withColumn("_slice", F.least(position, slices.cast("bigint") - 1))
+    y = y.join(later, "id").withColumn("_shadowed", _shadowed())
     y = y.withColumn("_ct", _create_time())
 
     slice_keys = ["id", "_shadowed", "_slice"]
     fields = [*PATCH_FIELDS, "_ct"]
     summary = y.groupBy(*slice_keys).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), _seq())).alias(c) for c in fields],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("seq", "ts", "op"))).alias(c) for c in fields],
         F.sum(_is_mut().cast("bigint")).alias("_muts"),
     )
     before = (
@@ -249,7 +229,7 @@ def _fold_sliced(x: DataFrame, slice_ops: int) -> tuple[DataFrame, DataFrame]:
     )
     z = y.join(carry, slice_keys)
     running = (
-        Window.partitionBy(*slice_keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*slice_keys).orderBy("seq", "ts", "op").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     values = {c: F.coalesce(F.last(c, ignorenulls=True).over(running), F.col(f"_carry_{c}")) for c in PATCH_FIELDS}
     mutations = F.sum(_is_mut().cast("bigint")).over(running) + F.col("_carry_muts")
@@ -261,7 +241,7 @@ def fold_operations(
     ops: DataFrame,
     base: DataFrame | None = None,
     hot_ops: int | None = HOT_OPS,
-    slice_ops: int = SLICE_OPS,
+    slices: int = SLICES,
 ) -> tuple[DataFrame, DataFrame]:
     """Fold normalised operations into version rows.
 
@@ -270,8 +250,9 @@ def fold_operations(
     ``base``: optional stored state from :func:`base_from_history`.
 
     Events with more than ``hot_ops`` operations are folded by the sliced
-    path so no event is one task; finding them is one combinable count per
-    id (persist ``ops`` first when it is expensive to recompute).
+    path so no event is one task, however many such events there are; both
+    paths give the same rows. Finding them is one combinable count per id
+    (persist ``ops`` first when it is expensive to recompute).
     ``hot_ops=None`` skips the check.
 
     Returns ``(versions, rejects)``: version rows with ``EVENT_COLS`` +
@@ -282,11 +263,8 @@ def fold_operations(
     if hot_ops is None:
         return _fold_by_window(x)
     hot = ops.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > int(hot_ops)).select("id")
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > MAX_HOT_IDS:
-        # n_hot is at most rows / hot_ops, so the second case only arises with a tiny hot_ops
+    if hot.isEmpty():
         return _fold_by_window(x)
-    hot = F.broadcast(hot)
     cold_v, cold_r = _fold_by_window(x.join(hot, "id", "left_anti"))
-    hot_v, hot_r = _fold_sliced(x.join(hot, "id", "left_semi"), slice_ops)
+    hot_v, hot_r = _fold_sliced(x.join(hot, "id", "left_semi"), slices)
     return cold_v.unionByName(hot_v), cold_r.unionByName(hot_r)

@@ -18,10 +18,8 @@ at ``floor((n-1)p)`` and ``ceil((n-1)p)``, as a distributed rank selection:
    two rows per group that hold the two order statistics;
 6. interpolate.
 
-:func:`group_percentile` is the entry point: it measures group sizes first
-and sends only groups above ``BIG_GROUP`` rows through that machinery; all
-other groups use Spark's ``percentile`` aggregate, whose buffer then holds
-at most ``BIG_GROUP`` values.
+Every group takes this one path, whatever its size; NULL keys are groups of
+their own.
 """
 
 from __future__ import annotations
@@ -34,6 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 
+def _key(pdf: pd.DataFrame, i: int, keys: Sequence[str]) -> tuple:
+    """One row's key, with every kind of missing value as None."""
+    values = (pdf[k].iloc[i] for k in keys)
+    return tuple(None if pd.isna(v) else v for v in values)
+
+
 def _running_counts(keys: Sequence[str]):
     """Per-partition running count of rows per group over key-sorted batches."""
 
@@ -44,15 +48,11 @@ def _running_counts(keys: Sequence[str]):
             if pdf.empty:
                 continue
             grp = pdf.groupby(list(keys), sort=False, dropna=False)["_cnt"].cumsum()
-            if carry_key is not None:
-                first = tuple(pdf.iloc[0][k] for k in keys)
-                if first == carry_key:
-                    same = (pdf[list(keys)] == pd.Series(carry_key, index=list(keys))).all(axis=1)
-                    grp = grp + same.astype("int64") * carry
+            number = pdf.groupby(list(keys), sort=False, dropna=False).ngroup()
+            if carry_key is not None and _key(pdf, 0, keys) == carry_key:
+                grp = grp + (number == number.iloc[0]).astype("int64") * carry
             pdf = pdf.assign(_cum=grp.astype("int64"))
-            last = pdf.iloc[-1]
-            carry_key = tuple(last[k] for k in keys)
-            carry = int(last["_cum"])
+            carry_key, carry = _key(pdf, -1, keys), int(pdf["_cum"].iloc[-1])
             yield pdf
 
     return run
@@ -70,7 +70,7 @@ def exact_percentile(
     """One row per group: ``keys``, the exact ``p`` percentile, optionally the group size.
 
     NULL values are ignored, as by ``percentile``. Groups whose values are all
-    NULL are absent.
+    NULL are absent; a NULL key is a group.
     """
     keys = list(keys)
     spark = df.sparkSession
@@ -102,7 +102,11 @@ def exact_percentile(
         ).alias("_offset"),
         F.sum("_part_n").over(Window.partitionBy(*keys)).alias("_n"),
     )
-    ranked = slices.join(offsets, ["_part", *keys], "inner")
+    theirs = offsets.select(F.col("_part").alias("_their_part"), *[F.col(k).alias(f"_their_{k}") for k in keys], "_offset", "_n")
+    same = F.col("_part") == F.col("_their_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_their_{k}"))
+    ranked = slices.join(theirs, same, "inner")
     position = (F.col("_n") - 1).cast("double") * F.lit(float(p))
     lo = F.floor(position)
     hi = F.ceil(position)
@@ -129,47 +133,3 @@ def exact_percentile(
     if count_alias:
         cols.append(F.col("_n").alias(count_alias))
     return picked.select(*cols)
-
-
-# Groups up to this many rows are computed by the ``percentile`` aggregate
-# (a bounded buffer per group); larger ones by distributed rank selection.
-BIG_GROUP = 50_000
-# Broadcast bound of the large-group key list (at most rows / BIG_GROUP keys).
-MAX_BIG_GROUPS = 1_000_000
-
-
-def group_percentile(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    p: float,
-    alias: str = "percentile",
-    count_alias: str | None = None,
-    big_group: int = BIG_GROUP,
-) -> DataFrame:
-    """Exact interpolated percentile per group; no group's values gathered beyond ``big_group``.
-
-    One combinable count per group (an action) finds the large groups; there
-    are at most ``rows / big_group`` of them, so their key list is a bounded
-    broadcast. ``count_alias`` counts the group's non-NULL values.
-    """
-    keys = list(keys)
-    vals = df.where(F.col(value).isNotNull())
-    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.where(F.col("_n") > int(big_group)).select(*keys)
-
-    def by_aggregate(src: DataFrame) -> DataFrame:
-        cols = [F.percentile(value, F.lit(float(p))).alias(alias)]
-        if count_alias:
-            cols.append(F.count(F.lit(1)).alias(count_alias))
-        return src.groupBy(*keys).agg(*cols)
-
-    n_big = big.count()
-    if n_big == 0:
-        return by_aggregate(vals)
-    if n_big > MAX_BIG_GROUPS:
-        return exact_percentile(vals, keys, value, p, alias, count_alias)
-    big = F.broadcast(big)
-    small = by_aggregate(vals.join(big, keys, "left_anti"))
-    large = exact_percentile(vals.join(big, keys, "left_semi"), keys, value, p, alias, count_alias)
-    return small.unionByName(large)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import as_of_literal, day_text, days_before, has_error
+from tidemark.functions.exprs import as_of_literal, day_text, days_before, has_error, month_key
 from tidemark.operators.validate import check_days, check_event_name, check_limit
 from tidemark.schema import P95
 
@@ -56,6 +56,11 @@ def merge_error(partials: DataFrame) -> DataFrame:
     )
 
 
+def with_month(partials: DataFrame) -> DataFrame:
+    """The error rollup as it is stored: with the month that its folders are named by."""
+    return partials.withColumn("event_month", month_key("event_date"))
+
+
 def merge_latency(partials: DataFrame) -> DataFrame:
     """Merged latency rollup: one sketch and count per ``(conversation_id, event_name)``."""
     return partials.groupBy(*LATENCY_KEYS).agg(
@@ -76,6 +81,8 @@ def read_error_rollup(partials: DataFrame, event_name: str | None = None, days:
     if days is not None:
         cutoff = days_before(as_of_literal(as_of), check_days(days))
         p = p.where(F.col("event_date") >= F.to_date(cutoff))
+        if "event_month" in p.columns:  # prunes the stored partials' folders
+            p = p.where(F.col("event_month") >= month_key(cutoff))
     return merge_error(p).orderBy("event_date", "event_name").select(
         day_text("event_date").alias("date"), "event_name", "error_count", "total_count"
     )

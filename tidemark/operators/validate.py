@@ -20,6 +20,7 @@ from tidemark.schema import (
     DEFAULT_LIMIT,
     EVENT_NAMES,
     OP_CREATE,
+    OP_DELETE,
     OP_UPDATE,
     OPERATIONS,
     PATCH_SCHEMA,
@@ -31,15 +32,20 @@ from tidemark.schema import (
     R_MISSING_PAYLOAD,
     R_UNKNOWN_OPERATION,
 )
-from tidemark.sources.changelog import CORRUPT
-
-OP_COLS = ("id", "seq", "batch_id", "op", "ts")
-
+from tidemark.sources.changelog import CORRUPT, SOURCE_TIME
 
 def _blank(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
+def _time(messages: DataFrame) -> Column:
+    """The message time; updates and deletes without one take the source's record time."""
+    if SOURCE_TIME not in messages.columns:
+        return F.col("timestamp")
+    mutation = F.col("operation").isin(OP_UPDATE, OP_DELETE)
+    return F.coalesce(F.col("timestamp"), F.when(mutation, F.col(SOURCE_TIME)))
+
+
 def reject_reason(messages: DataFrame) -> Column:
     """The first failing check of a decoded message, NULL when it is valid."""
     op = F.col("operation")
@@ -47,7 +53,7 @@ def reject_reason(messages: DataFrame) -> Column:
     name = F.col("data.event_name")
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in messages.columns else F.lit(False)
     return (
-        F.when(corrupt | F.col("timestamp").isNull(), F.lit(R_MALFORMED))
+        F.when(corrupt | _time(messages).isNull(), F.lit(R_MALFORMED))
         .when(_blank(F.col("event_id")), F.lit(R_MISSING_EVENT_ID))
         .when(op.isNull() | ~op.isin(*OPERATIONS), F.lit(R_UNKNOWN_OPERATION))
         .when(op.isin(OP_CREATE, OP_UPDATE) & data.isNull(), F.lit(R_MISSING_PAYLOAD))
@@ -96,7 +102,7 @@ def split_messages(messages: DataFrame, batch_id: int | Column = 0) -> tuple[Dat
         F.col("seq").cast("bigint").alias("seq"),
         batch.cast("bigint").alias("batch_id"),
         F.col("operation").alias("op"),
-        to_millis("timestamp").alias("ts"),
+        to_millis(_time(messages)).alias("ts"),
         *[_normalised_field(f.name, f.dataType) for f in PATCH_SCHEMA.fields],
     )
     raw = F.col("raw") if "raw" in messages.columns else F.to_json(F.struct("operation", "event_id", "data"))
@@ -148,7 +154,6 @@ def check_event_id(event_id: str) -> str:
 
 
 __all__ = [
-    "OP_COLS",
     "check_days",
     "check_event_id",
     "check_event_name",

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import as_of_literal, day_key, day_text, days_before, has_error, month_key
-from tidemark.operators.quantile import exact_percentile, group_percentile
+from tidemark.operators.quantile import exact_percentile
 from tidemark.operators.validate import check_days, check_event_id, check_event_name, check_limit
 from tidemark.operators.versioning import (
     DEFAULT_KEYS,
@@ -99,26 +99,21 @@ def get_latency_stats(
 ) -> DataFrame:
     """Q-4: p95 latency and event count per session x event type, highest p95 first.
 
-    All methods are exact (linear interpolation between order statistics).
-    ``method="exact"``: groups up to ``BIG_GROUP`` rows use the
-    ``percentile`` aggregate, larger ones distributed rank selection, so no
-    unbounded group sits in one buffer. ``"distributed"``: rank selection
-    for every group. ``"percentile"``: the plain aggregate (unbounded
-    buffer per group).
+    Both methods are exact (linear interpolation between order statistics).
+    ``method="exact"`` ranks distributed values, so no group sits in one
+    buffer; ``"percentile"`` is the plain aggregate (a buffer per group).
     """
     limit = check_limit(limit)
     live = _latest(_narrow(history, "conversation_id", "event_name", "latency"), deduped)
     keys = ["conversation_id", "event_name"]
     if method == "exact":
-        stats = group_percentile(live, keys, "latency", P95, alias="p95_latency", count_alias="event_count")
-    elif method == "distributed":
         stats = exact_percentile(live, keys, "latency", P95, alias="p95_latency", count_alias="event_count")
     elif method == "percentile":
         stats = live.groupBy(*keys).agg(
             F.percentile("latency", F.lit(P95)).alias("p95_latency"), F.count(F.lit(1)).alias("event_count")
         )
     else:
-        raise ValueError("method must be 'exact', 'distributed' or 'percentile'")
+        raise ValueError("method must be 'exact' or 'percentile'")
     return stats.orderBy(F.col("p95_latency").desc(), "conversation_id", "event_name").limit(limit)
 
 

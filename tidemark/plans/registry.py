@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.fold import fold_operations
+from tidemark.operators.quantile import exact_percentile
 from tidemark.operators.rollups import (
     error_partial,
     latency_partial,
@@ -37,7 +38,7 @@ from tidemark.plans.queries import (
 )
 from tidemark.schema import EVENT_COLS, MONTH_COL
 from tidemark.sources import adapters
-from tidemark.sources.changelog import decode_json, encode_json
+from tidemark.sources.changelog import decode_json, encode_json, with_input_order
 
 AS_OF = "2024-01-31 00:00:00"
 DAYS = 7
@@ -51,13 +52,17 @@ RETENTION_DAYS = 20
 PAGE = 10
 CURSOR = ("2024-01-15 00:00:00", "")
 DAILY_AS_OF = "1997-03-20 00:00:00"
+ROLLUP_DAYS, ROLLUP_AS_OF = 1500, "2001-08-02 00:00:00"
+REPLAY_CUT = "1996-02-10 00:00:00"
+# Largest rank error of the latency sketch that its reads may show.
+RANK_ERROR = 0.02
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def fold_log(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Decoded messages -> (version rows, all rejects)."""
-    ops, bad = split_messages(messages)
+    ops, bad = split_messages(with_input_order(messages))
     versions, not_found = fold_operations(ops)
     return versions, bad.unionByName(not_found)
 
@@ -152,25 +157,18 @@ def q_conversation_page(spark, d):
     return page_events_by_conversation(history(spark, d), SESSION, PAGE, after=CURSOR)
 
 
-_STATE: dict[tuple[str, str], tuple[str, str]] = {}
-
-
 def _state(spark: SparkSession, d: str) -> DataFrame:
     """Adapter A stored as two batches (creates, then mutations), compacted through
     the first; returns the merged current state (one row per event)."""
-    from tidemark.session import scratch_path, shared_dir
+    from tidemark.session import scratch_path
     from tidemark.sinks.table import read_state, write_history, write_snapshot
 
-    key = (shared_dir(spark), d)
-    if key not in _STATE:
-        root = scratch_path(spark, "state")
-        first, second = _two_batches(history(spark, d))
-        write_history(first, f"{root}/history", batch_id=0)
-        write_history(second, f"{root}/history", batch_id=1)
-        write_snapshot(spark, f"{root}/history", f"{root}/snapshots", through=0)
-        _STATE[key] = (f"{root}/history", f"{root}/snapshots")
-    hist, snaps = _STATE[key]
-    return read_state(spark, hist, snaps)
+    root = scratch_path(spark, "state")
+    first, second = _two_batches(history(spark, d))
+    write_history(first, f"{root}/history", batch_id=0)
+    write_history(second, f"{root}/history", batch_id=1)
+    write_snapshot(spark, f"{root}/history", f"{root}/snapshots", through=0)
+    return read_state(spark, f"{root}/history", f"{root}/snapshots")
 
 
 def q_state_live_snapshot(spark, d):
@@ -297,8 +295,8 @@ def q_table_session_lookup(spark, d):
 def _streamed(spark: SparkSession, d: str) -> str:
     """Write adapter A's log as JSON files and run the streaming apply over them.
 
-    Creates are written first, then updates and deletes, one file source
-    micro-batch per file, so folds meet their base rows across batches.
+    Creates are written first, then updates and deletes, and a micro-batch
+    takes two files, so folds meet their base rows across batches.
     """
     from tidemark.session import scratch_path
     from tidemark.streaming.apply import Tables, start_apply
@@ -306,12 +304,12 @@ def _streamed(spark: SparkSession, d: str) -> str:
 
     root = scratch_path(spark, "stream")
     inbox = f"{root}/inbox"
-    wire = encode_json(adapters.changelog_a(spark, d)).select("value")
-    wire.where(F.col("value").contains('"operation":"create"')).coalesce(2).write.mode("append").text(inbox)
-    wire.where(~F.col("value").contains('"operation":"create"')).coalesce(2).write.mode("append").text(inbox)
+    log = adapters.changelog_a(spark, d)
+    for part in (log.where(F.col("operation") == "create"), log.where(F.col("operation") != "create")):
+        encode_json(part).select("value").write.mode("append").text(inbox)
     tables = Tables(f"{root}/tables")
     q = start_apply(
-        stream_json_lines(spark, inbox, max_files_per_trigger=1),
+        stream_json_lines(spark, inbox, max_files_per_trigger=2),
         tables,
         checkpoint=f"{root}/checkpoint",
         available_now=True,
@@ -328,9 +326,173 @@ def q_stream_apply(spark, d):
 
 
 def q_stream_rollup(spark, d):
-    root = _streamed(spark, d)
-    partials = spark.read.parquet(f"{root}/rollup_error")
-    return read_error_rollup(partials.drop("batch_id"))
+    from tidemark.streaming.apply import Tables, compact_rollups, error_rollup
+
+    tables = Tables(_streamed(spark, d))
+    compact_rollups(spark, tables, through=0)
+    return read_error_rollup(error_rollup(spark, tables))
+
+
+def q_rollup_error_window(spark, d):
+    """One event type's last days from the stored, month-partitioned error rollup (adapter B)."""
+    from tidemark.operators.rollups import with_month
+    from tidemark.session import scratch_path
+    from tidemark.sinks.table import read_error_partials, write_batch_table
+
+    path = scratch_path(spark, "rollup-window")
+    write_batch_table(with_month(error_partial(adapters.history_b(spark, d))), path, 0, ("event_month",))
+    return read_error_rollup(read_error_partials(spark, path), "event_b", ROLLUP_DAYS, ROLLUP_AS_OF)
+
+
+def q_rollup_p95_rank_error(spark, d):
+    """For each event type: is the sketch's p95 within ``RANK_ERROR`` of rank 0.95 among its live versions?"""
+    live = history(spark, d).where(F.col("is_deleted") == 0).withColumn("conversation_id", F.lit("all"))
+    first, second = _two_batches(live)
+    read = read_latency_rollup(latency_partial(first).unionByName(latency_partial(second)))
+    read = read.select(F.col("event_name").alias("name"), F.col("p95_latency").alias("p95"))
+    both = live.join(read, F.col("event_name") == F.col("name"))
+    rank = F.avg((F.col("latency") <= F.col("p95")).cast("double"))
+    low = F.avg((F.col("latency") < F.col("p95")).cast("double"))
+    ok = (rank >= 0.95 - RANK_ERROR) & (low <= 0.95 + RANK_ERROR)
+    return both.groupBy("event_name").agg(F.count(F.lit(1)).alias("n"), ok.alias("within_bound"))
+
+
+def _inbox(spark: SparkSession, d: str):
+    """Adapter A's log without any ``seq``, in files of very different sizes: creates, then the rest."""
+    from tidemark import api
+    from tidemark.session import scratch_path
+
+    inbox = f"{scratch_path(spark, 'no-seq')}/inbox"
+    log = adapters.changelog_a(spark, d).withColumn("seq", F.lit(None).cast("bigint"))
+    api.publish_files(log.where(F.col("operation") == "create"), inbox)
+    pad = F.col("data").withField("conversation_metadata", F.when(F.col("operation") == "update", F.rpad(F.lit("m"), 2000, "m")))
+    api.publish_files(log.where(F.col("operation") != "create").withColumn("data", F.when(F.col("data").isNotNull(), pad)), inbox)
+    return inbox
+
+
+def q_stream_no_seq(spark, d):
+    """A log without positions, drained in one micro-batch: files order it."""
+    from tidemark.sinks.table import read_history
+    from tidemark.sources.changelog import stream_json_lines
+    from tidemark.streaming.apply import Tables, start_apply
+
+    inbox = _inbox(spark, d)
+    tables = Tables(inbox.replace("/inbox", "/tables"))
+    start_apply(stream_json_lines(spark, inbox), tables, inbox.replace("/inbox", "/checkpoint"), available_now=True).awaitTermination()
+    return live_snapshot(read_history(spark, tables.history)).select(*[c for c in EVENT_COLS if c != "conversation_metadata"])
+
+
+def q_offset_order(spark, d):
+    """The log's offset decides, whatever ``seq`` the messages carry."""
+    log = adapters.changelog_a(spark, d)
+    # the message's seq runs against the offset
+    wire = encode_json(log.withColumn("offset", F.col("seq")).withColumn("seq", 10 - F.col("seq")), keep=("offset",))
+    versions = fold_log(decode_json(wire, offset_col="offset"))[0]
+    return live_snapshot(versions).select(*EVENT_COLS)
+
+
+def q_hot_event_history(spark, d):
+    """One event with the whole log, folded in slices."""
+    ops, _ = split_messages(adapters.hot_changelog_a(spark, d))
+    versions, _ = fold_operations(ops, hot_ops=1000)
+    return versions.select("id", "conversation_id", "event_name", "error", "latency", "version", "seq")
+
+
+def q_percentile_null_group(spark, d):
+    """Exact p95 with a null group that holds a third of all rows."""
+    events = spark.read.parquet(f"{d}/events.parquet")
+    keyed = events.select(F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("kind"), "value")
+    out = exact_percentile(keyed, ["kind"], "value", 0.95, "p95", "n")
+    return out.withColumn("p95", F.round("p95", 6))
+
+
+def q_client_derived_ids(spark, d):
+    """Every create request twice, without ids: as many events as requests, and the ids on the wire are the returned ones."""
+    from tidemark import api
+    from tidemark.session import scratch_path
+    from tidemark.sources.changelog import read_json_lines
+
+    requests = adapters.events_requests(spark, d)["create"].drop("id", "seq")
+    messages, _ = api.track_events(requests.unionByName(requests))
+    inbox = scratch_path(spark, "derived-ids")
+    api.publish_files(messages, inbox)
+    wire = read_json_lines(spark, inbox)
+    events = live_snapshot(fold_log(wire)[0])
+    ids = messages.select("event_id").distinct()
+    same = ids.join(wire.select("event_id").distinct(), "event_id", "left_semi")
+    counts = [x.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n") for name, x in (("requests", messages), ("events", events), ("ids on the wire", same))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def q_replay_shrinks(spark, d):
+    """A batch replayed with fewer months, then with nothing, beside an untouched batch."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.table import read_history, write_history
+
+    path = scratch_path(spark, "replay")
+    orders = adapters.history_b(spark, d)
+    kept = orders.where(F.col("created_at") < F.lit(REPLAY_CUT).cast("timestamp_ntz"))
+    steps = []
+    write_history(orders.where(F.col("event_name") == "event_a"), path, batch_id=0)
+    for step, rows in enumerate((orders, kept, orders.limit(0))):
+        write_history(rows, path, batch_id=1)
+        per = read_history(spark, path).groupBy("batch_id", MONTH_COL).agg(F.count(F.lit(1)).alias("n"))
+        out = f"{path}-step{step}"
+        per.withColumn("step", F.lit(step).cast("bigint")).write.parquet(out)
+        steps.append(spark.read.parquet(out))
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
+def q_event_not_found(spark, d):
+    """A read by an id that does not exist: no row."""
+    return get_event(history(spark, d), "no-such-event")
+
+
+def q_replay_copies(spark, d):
+    """A history in which a writer left copies, some under another batch id: one row per event and version."""
+    from tidemark.sinks.table import drop_replayed
+
+    versions = history(spark, d)
+    copies = versions.withColumn("batch_id", F.col("batch_id") + F.pmod(F.col("id").cast("bigint"), F.lit(2)))
+    return drop_replayed(versions.unionByName(copies)).select(*EVENT_COLS)
+
+
+def q_table_error_lookup(spark, d):
+    """Rows with one error text, from a table with a bloom filter on it."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.table import read_history, write_history
+
+    path = scratch_path(spark, "orders-error")
+    write_history(adapters.history_b(spark, d), path, batch_id=0, bloom_columns=("id", "error"))
+    return read_history(spark, path).where(F.col("error") == "pending").select(*EVENT_COLS)
+
+
+def q_catalog_month_counts(spark, d):
+    """The history through the catalog table, registered by the bootstrap."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.table import ensure_tables, refresh_tables, write_history
+
+    root = scratch_path(spark, "catalog")
+    database = "tidemark_" + root.rsplit("-", 1)[1]
+    ensure_tables(spark, database, root)
+    write_history(adapters.history_b(spark, d), f"{root}/history", batch_id=0)
+    refresh_tables(spark, database, root)
+    return spark.table(f"{database}.event_history").groupBy(MONTH_COL).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows of an ordered read with the position at which it returns them."""
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("_place")).cast("bigint") - 1
+    return placed.withColumn("position", position).drop("_place")
+
+
+def q_conversation_order(spark, d):
+    return _numbered(get_events_by_conversation(history(spark, d), SESSION).select("id", "created_at"))
+
+
+def q_error_counts_order(spark, d):
+    return _numbered(get_error_counts(history(spark, d), "event_a", DAYS, AS_OF).select("date", "error_count"))
 
 
 QUERIES: dict[str, Query] = {
@@ -367,6 +529,20 @@ QUERIES: dict[str, Query] = {
     "state_p95_latency": q_state_p95_latency,
     "state_top_error_sessions": q_state_top_error_sessions,
     "state_conversation_events": q_state_conversation_events,
+    "rollup_error_window": q_rollup_error_window,
+    "rollup_p95_rank_error": q_rollup_p95_rank_error,
+    "stream_no_seq": q_stream_no_seq,
+    "offset_order": q_offset_order,
+    "hot_event_history": q_hot_event_history,
+    "percentile_null_group": q_percentile_null_group,
+    "client_derived_ids": q_client_derived_ids,
+    "replay_shrinks": q_replay_shrinks,
+    "event_not_found": q_event_not_found,
+    "replay_copies": q_replay_copies,
+    "table_error_lookup": q_table_error_lookup,
+    "catalog_month_counts": q_catalog_month_counts,
+    "conversation_order": q_conversation_order,
+    "error_counts_order": q_error_counts_order,
 }
 
 
@@ -436,12 +612,12 @@ _B_ROWS = f"""select cast(o_orderkey as varchar) as id,
        date_trunc('millisecond', o_orderdate) as updated_at
 from orders"""
 
-_C_ROWS = f"""with u as (select conv_id, turn, text from conversations where role = 'user'),
+_C_ROWS = f"""with u as (select conv_id, turn, text from conversations where role <> 'assistant'),
 a as (select conv_id, turn - 1 as turn, text as reply from conversations where role = 'assistant'),
 t as (
   select u.conv_id, u.turn, u.text, a.reply, e.embedding
   from u left join a on a.conv_id = u.conv_id and a.turn = u.turn
-         left join embeddings e on e.vec_id = u.conv_id * 8 + u.turn),
+         left join embeddings e on e.vec_id = (u.conv_id * 8 + u.turn) % 500),
 r as (
   select cast(conv_id as varchar) || '-' || cast(turn as varchar) as id,
          'conv_' || cast(conv_id as varchar) as conversation_id,
@@ -547,9 +723,50 @@ ORACLE: dict[str, str] = {
     + f"select {_PUBLIC} from latest where conversation_id = '{SESSION}' and is_deleted = 0\n"
     f"  and (created_at > timestamp '{CURSOR[0]}' or (created_at = timestamp '{CURSOR[0]}' and id > '{CURSOR[1]}'))\n"
     f"order by created_at, id limit {PAGE}",
-    "client_rejects": "select 'empty_patch' as reason, count(*) as n from events where event_id % 5 = 4\n"
+    "client_rejects": "select 'empty_patch' as reason, count(*) as n from events\n"
     "union all\n"
-    "select 'bad_event_name', count(*) from events where event_id % 5 = 4",
+    "select 'bad_event_name', count(*) from events",
+    "rollup_p95": f"with {_A_BASE},\n{_a_history()}\n"
+    "select conversation_id, event_name, round(quantile_disc(latency, 0.95), 6) as p95_latency,\n"
+    "       count(*) as event_count from history where is_deleted = 0 group by 1, 2",
+    "rollup_p95_rank_error": f"with {_A_BASE},\n{_a_history()}\n"
+    "select event_name, count(*) as n, true as within_bound from history where is_deleted = 0 group by 1",
+    "rollup_error_window": "select strftime(cast(created_at as date), '%Y-%m-%d') as date, event_name,\n"
+    "       cast(sum(case when error <> '' then 1 else 0 end) as bigint) as error_count, count(*) as total_count\n"
+    f"from ({_B_ROWS}) b where event_name = 'event_b'\n"
+    f"  and cast(created_at as date) >= cast(timestamp '{ROLLUP_AS_OF}' - interval {ROLLUP_DAYS} day as date) group by 1, 2",
+    "stream_no_seq": _WITH_A + f"select {_COLS.replace('conversation_metadata, ', '')} from latest where is_deleted = 0",
+    "offset_order": _WITH_A + f"select {_COLS} from latest where is_deleted = 0",
+    "hot_event_history": "with b as (\n"
+    "  select event_id, event_id * 1000 as seq, case when event_id % 3 = 0 then coalesce(value, 0.0) end as latency,\n"
+    "         case when event_id % 7 = 0 then case when event_type = 'error' then 'internal_error' else '' end end as error\n"
+    "  from events union all select null, cast(1e15 as bigint), -1.0, null)\n"
+    "select 'hot' as id, 'conv_hot' as conversation_id, 'event_a' as event_name,\n"
+    "       last_value(error ignore nulls) over w as error, last_value(latency ignore nulls) over w as latency,\n"
+    "       row_number() over w as version, seq\n"
+    "from b window w as (order by seq rows between unbounded preceding and current row)",
+    "percentile_null_group": "select case when event_id % 3 <> 0 then event_type end as kind,\n"
+    "       round(quantile_cont(value, 0.95), 6) as p95, count(value) as n\n"
+    "from events where value is not null group by 1",
+    "client_derived_ids": "select unnest(['requests', 'events', 'ids on the wire']) as what, (select 2 * count(*) from events) as n",
+    "replay_shrinks": f"with b as ({_B_ROWS}), s as (\n"
+    "  select 0 as step, 1 as batch_id, * from b union all\n"
+    f"  select 1, 1, * from b where created_at < timestamp '{REPLAY_CUT}' union all\n"
+    "  select unnest([0, 1, 2]), 0, * from b where event_name = 'event_a')\n"
+    "select cast(step as bigint) as step, cast(batch_id as bigint) as batch_id, strftime(created_at, '%Y%m') as created_month,\n"
+    "       count(*) as n from s group by all",
+    "event_not_found": _WITH_A + f"select {_PUBLIC} from latest where id = 'no-such-event'",
+    "replay_copies": f"with {_A_BASE},\n{_a_history()}\nselect {_COLS} from history",
+    "table_error_lookup": f"select * from ({_B_ROWS}) where error = 'pending'",
+    "catalog_month_counts": f"select strftime(created_at, '%Y%m') as created_month, count(*) as n from ({_B_ROWS}) group by 1",
+    "conversation_order": _WITH_A
+    + f"select id, created_at, row_number() over (order by created_at, id) - 1 as position from latest\n"
+    f"where conversation_id = '{SESSION}' and is_deleted = 0",
+    "error_counts_order": _WITH_A
+    + "select strftime(cast(created_at as date), '%Y-%m-%d') as date, count(*) filter (where error <> '') as error_count,\n"
+    "       row_number() over (order by cast(created_at as date)) - 1 as position from latest\n"
+    f"where is_deleted = 0 and event_name = 'event_a' and created_at >= timestamp '{AS_OF}' - interval {DAYS} day\n"
+    "group by cast(created_at as date)",
 }
 # The state-path reads must give the same answers as the full-history reads.
 _SAME_AS = {

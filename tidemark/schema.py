@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
+    DateType,
     DoubleType,
     FloatType,
     IntegerType,
@@ -110,7 +112,6 @@ EVENT_COLS = (
     "created_at",
     "updated_at",
 )
-PUBLIC_COLS = tuple(c for c in EVENT_COLS if c not in ("is_deleted", "version"))
 
 EVENT_SCHEMA = StructType(
     [
@@ -159,5 +160,26 @@ REJECT_SCHEMA = StructType(
     ]
 )
 
+# Rollup partials as stored, one folder per batch (the error rollup also per month).
+ERROR_PARTIAL_SCHEMA = StructType(
+    [
+        StructField("event_date", DateType()),
+        StructField("event_name", StringType()),
+        StructField("error_count", LongType()),
+        StructField("total_count", LongType()),
+        StructField("batch_id", LongType()),
+        StructField("event_month", StringType()),
+    ]
+)
+LATENCY_PARTIAL_SCHEMA = StructType(
+    [
+        StructField("conversation_id", StringType()),
+        StructField("event_name", StringType()),
+        StructField("latency_sketch", BinaryType()),
+        StructField("event_count", LongType()),
+        StructField("batch_id", LongType()),
+    ]
+)
+
 # History written with daily partitions (month, then day).
 DAILY_HISTORY_SCHEMA = StructType(list(HISTORY_SCHEMA.fields) + [StructField(DAY_COL, StringType())])

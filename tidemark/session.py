@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,13 +49,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when no checkpoint folder is set at all (local tests) a fresh folder
-    under the system temp dir is registered, so later calls agree.
+    On a cluster this setting points at shared storage and is used as is; a
+    session without it is refused. Only a ``local`` master without any
+    checkpoint folder (tests) gets a fresh one under the system temp dir.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

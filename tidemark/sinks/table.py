@@ -5,8 +5,9 @@ Layout of the append-only history::
     <root>/batch_id=<N>/created_month=<yyyyMM>/part-*.parquet
 
 * ``batch_id`` makes every write replaceable on its own: a replayed batch
-  overwrites exactly its own directory (dynamic partition overwrite), which
-  turns an at-least-once source into exactly-once table contents.
+  overwrites its own folder as a whole, which turns an at-least-once source
+  into exactly-once table contents. The folder's ``_SUCCESS`` marks the batch
+  as committed; readers leave a newest batch without it out.
 * ``created_month`` gives month pruning for time-bounded reads.
 * Rows are rebalanced on ``(created_month, conversation_id)`` and sorted on
   ``(conversation_id, event_name, id)`` within each file: row-group min/max
@@ -21,13 +22,22 @@ Layout of the append-only history::
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.exprs import day_key, month_key
 from tidemark.operators.versioning import latest_version
-from tidemark.schema import DAILY_HISTORY_SCHEMA, DAY_COL, EVENT_COLS, HISTORY_SCHEMA, MONTH_COL, REJECT_SCHEMA
+from tidemark.schema import (
+    DAILY_HISTORY_SCHEMA,
+    DAY_COL,
+    ERROR_PARTIAL_SCHEMA,
+    EVENT_COLS,
+    HISTORY_SCHEMA,
+    LATENCY_PARTIAL_SCHEMA,
+    MONTH_COL,
+    REJECT_SCHEMA,
+)
 
 SORT_COLS = ("conversation_id", "event_name", "id")
 # Upper bound of rows per output file.
@@ -93,11 +103,9 @@ def write_history(
     ``read_history(..., daily=True)``.
     """
     df = versions
-    if batch_id is not None:
-        df = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
     if "seq" not in df.columns:
         df = df.withColumn("seq", F.lit(0).cast("bigint"))
-    df = layout(df.select(*EVENT_COLS, "batch_id", "seq"), partitions, daily)
+    df = layout(df.select(*EVENT_COLS, *(["batch_id"] if batch_id is None else []), "seq"), partitions, daily)
     _write_partitioned(
         df.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).options(**_bloom_options(bloom_columns, expected_ndv, fpp)),
         path,
@@ -107,26 +115,50 @@ def write_history(
 
 
 def _write_partitioned(writer, path: str, partition_cols: list[str], batch_id: int | None) -> None:
-    """Append into a fresh ``batch_id=N`` folder; replace it when it already exists.
+    """Replace the folder of one batch, whatever it held; without a batch, the written partitions.
 
-    A first write of a batch needs no overwrite semantics, and a dynamic
-    partition overwrite commits partition folders one by one. A replayed
-    batch (folder present, possibly from a failed attempt) is overwritten,
-    which replaces exactly the folders that batch writes.
+    The batch folder is overwritten as a whole, so a replay that yields fewer
+    rows, months or no rows at all leaves nothing of the first attempt. Spark
+    puts ``_SUCCESS`` into the folder when the write has been committed.
     """
-    spark = SparkSession.getActiveSession()
-    fresh = batch_id is not None and spark is not None and not path_exists(spark, f"{path}/batch_id={int(batch_id)}")
-    if fresh:
-        writer.mode("append").partitionBy(*partition_cols).parquet(path)
-    else:
+    inner = [c for c in partition_cols if c != "batch_id"]
+    if batch_id is None:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+    else:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*inner) if inner else writer).parquet(f"{path}/batch_id={int(batch_id)}")
 
 
-def write_batch_table(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch_table(df: DataFrame, path: str, batch_id: int, partition_cols: tuple[str, ...] = ()) -> None:
     """Write a per-batch side table (rejects, rollup partials) under ``batch_id=N``."""
-    _write_partitioned(
-        df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write, path, ["batch_id"], batch_id
-    )
+    _write_partitioned(df.drop("batch_id").write, path, list(partition_cols), batch_id)
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """The batch folders of a table, in order (one listing of its root)."""
+    if not path_exists(spark, path):
+        return []
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(int(n[len("batch_id="):]) for n in names if n.startswith("batch_id="))
+
+
+def last_committed(spark: SparkSession, path: str) -> int | None:
+    """The newest batch whose write has been committed.
+
+    Batches are written one after the other, so only the newest folder can be
+    unfinished; its ``_SUCCESS`` is looked up, and older folders only while
+    newer ones lack theirs. A table written at once, without batch folders of
+    its own, has one ``_SUCCESS`` for all.
+    """
+    batches = _batches(spark, path)
+    if batches and path_exists(spark, f"{path}/_SUCCESS"):
+        return batches[-1]
+    for batch in reversed(batches):
+        if path_exists(spark, f"{path}/batch_id={batch}/_SUCCESS"):
+            return batch
+    return None
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -137,14 +169,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_history(spark: SparkSession, path: str, daily: bool = False) -> DataFrame:
-    """The history table with its declared schema (nothing inferred)."""
+    """The history table with its declared schema (nothing inferred), without an unfinished batch."""
     schema = DAILY_HISTORY_SCHEMA if daily else HISTORY_SCHEMA
+    rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+    batches, done = _batches(spark, path), last_committed(spark, path)
+    if not batches or done == batches[-1]:
+        return rows
+    return rows.where(F.col("batch_id") <= done) if done is not None else rows.limit(0)
+
+
+def _typed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    schema = StructType(list(REJECT_SCHEMA.fields) + [StructField("batch_id", LongType())])
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    return _typed(spark, path, StructType(list(REJECT_SCHEMA.fields) + [StructField("batch_id", LongType())]))
+
+
+def read_error_partials(spark: SparkSession, path: str) -> DataFrame:
+    """The error rollup's partials; a filter on ``event_month`` (yyyyMM) prunes folders."""
+    return _typed(spark, path, ERROR_PARTIAL_SCHEMA)
+
+
+def read_latency_partials(spark: SparkSession, path: str) -> DataFrame:
+    return _typed(spark, path, LATENCY_PARTIAL_SCHEMA)
 
 
 def ensure_tables(spark: SparkSession, database: str, root: str) -> None:
@@ -160,8 +208,8 @@ def ensure_tables(spark: SparkSession, database: str, root: str) -> None:
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.error_rollup (event_date date, event_name string, "
-        f"error_count bigint, total_count bigint, batch_id bigint) USING parquet "
-        f"PARTITIONED BY (batch_id) LOCATION '{root}/rollup_error'"
+        f"error_count bigint, total_count bigint, batch_id bigint, event_month string) USING parquet "
+        f"PARTITIONED BY (batch_id, event_month) LOCATION '{root}/rollup_error'"
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.latency_rollup (conversation_id string, event_name string, "
@@ -210,28 +258,32 @@ def purge_deleted(history: DataFrame, retention_days: int, as_of=None) -> DataFr
 
 
 def drop_replayed(history: DataFrame) -> DataFrame:
-    """One row per ``(id, version, batch_id, seq)``: removes copies left by a replayed write.
+    """One row per ``(id, version)``, the first written: removes copies left by a replayed write.
 
     The batch-overwrite writers never leave such copies; this is for
-    histories appended by other writers.
+    histories appended by other writers, whose replays may carry another
+    batch id. Not for histories with a shadowed create, whose version 1
+    occurs twice.
     """
-    return history.dropDuplicates(["id", "version", "batch_id", "seq"])
+    w = Window.partitionBy("id", "version").orderBy("batch_id", "seq")
+    return history.withColumn("_copy", F.row_number().over(w)).where(F.col("_copy") == 1).drop("_copy")
 
 
-# Largest number of events touched since the snapshot for which the touched
-# ids are broadcast (one string each); beyond it the merge is a shuffle.
-BROADCAST_TOUCHED = 2_000_000
 SNAPSHOT_PREFIX = "through="
 
 
 def write_snapshot(spark: SparkSession, history_path: str, snapshot_root: str, through: int) -> str:
     """Compact every version written by batches ``<= through`` into one row per event.
 
-    Written next to earlier snapshots as ``<snapshot_root>/through=<K>``,
+    ``through`` must be a committed batch: a later write of an older batch
+    would stay hidden. Written next to earlier snapshots as ``<snapshot_root>/through=<K>``,
     partitioned by ``created_month`` like the history so month predicates
     prune it; readers pick the newest. Tombstones are kept, so the snapshot
     answers later folds and reads exactly like the versions it replaces.
     """
+    done = last_committed(spark, history_path)
+    if done is None or int(through) > done:
+        raise ValueError(f"batch {through} has not been committed (last: {done})")
     src = read_history(spark, history_path).where(F.col("batch_id") <= int(through))
     out = f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{int(through)}"
     rows = compact(src)
@@ -245,6 +297,38 @@ def write_snapshot(spark: SparkSession, history_path: str, snapshot_root: str, t
     return out
 
 
+def merge_partials(
+    spark: SparkSession, path: str, out_root: str, through: int, schema: StructType, merge, partition_cols: tuple[str, ...] = ()
+) -> str:
+    """Merge a rollup's partials of the batches ``<= through`` (and the last merge) into one per key.
+
+    Written as ``<out_root>/through=<K>`` like snapshots; :func:`merged_partials`
+    reads the newest with the later batches, so reads stay bounded by the keys.
+    """
+    done = last_committed(spark, path)
+    if done is None or int(through) > done:
+        raise ValueError(f"batch {through} has not been committed (last: {done})")
+    out = f"{out_root.rstrip('/')}/{SNAPSHOT_PREFIX}{int(through)}"
+    merged = merge(merged_partials(spark, path, out_root, schema, through))
+    writer = merged.write.mode("overwrite")
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(out)
+    return out
+
+
+def merged_partials(spark: SparkSession, path: str, out_root: str, schema: StructType, through: int | None = None) -> DataFrame:
+    """The newest merge older than ``through`` and the partials of later batches, without ``batch_id``."""
+    names = [f.name for f in schema.fields if f.name != "batch_id"]
+    rows = _typed(spark, path, schema)
+    if through is not None:
+        rows = rows.where(F.col("batch_id") <= int(through))
+    k = latest_snapshot(spark, out_root)
+    if k is None or (through is not None and k > through):
+        return rows.select(*names)
+    own = StructType([f for f in schema.fields if f.name != "batch_id"])
+    old = _typed(spark, f"{out_root.rstrip('/')}/{SNAPSHOT_PREFIX}{k}", own)
+    return old.select(*names).unionByName(rows.where(F.col("batch_id") > k).select(*names))
+
+
 def latest_snapshot(spark: SparkSession, snapshot_root: str) -> int | None:
     """The highest ``through`` batch among the written snapshots, if any."""
     if not path_exists(spark, snapshot_root):
@@ -267,27 +351,35 @@ def read_state(spark: SparkSession, history_path: str, snapshot_root: str | None
     """Current state: the latest version of every event (tombstones kept), one row each.
 
     With a snapshot through batch K, only events touched by batches after K
-    are deduplicated: snapshot rows of untouched events pass through a
-    map-side anti join against the broadcast touched ids (broadcast only when
-    their measured count is at most ``BROADCAST_TOUCHED``), and the touched
-    events' snapshot rows and newer versions go through the dedup. Without a
-    snapshot this is the dedup of the whole history.
+    are deduplicated: snapshot rows of other events pass an anti join against
+    the touched ids (AQE broadcasts those when they measure small), and the
+    touched events' snapshot rows and newer versions go through the dedup.
+    Without a snapshot this is the dedup of the whole history.
     """
     history = read_history(spark, history_path)
     k = latest_snapshot(spark, snapshot_root) if snapshot_root else None
     cols = [*EVENT_COLS, "batch_id", "seq", MONTH_COL]
     if k is None:
         return latest_version(history.select(*cols), ("id",), include_deleted=True)
-    snap_path = f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{k}"
-    snap = spark.read.schema(HISTORY_SCHEMA).option("basePath", snap_path).parquet(snap_path).select(*cols)
+    snap = read_snapshot(spark, snapshot_root, k).select(*cols)
     delta = history.where(F.col("batch_id") > k).select(*cols)
     touched = delta.select("id").distinct()
-    n = touched.count()
-    if n == 0:
-        return snap
-    if n > BROADCAST_TOUCHED:
-        return latest_version(snap.unionByName(delta), ("id",), include_deleted=True)
-    touched = F.broadcast(touched)
     untouched = snap.join(touched, "id", "left_anti")
     merged = latest_version(snap.join(touched, "id", "left_semi").unionByName(delta), ("id",), include_deleted=True)
     return untouched.unionByName(merged)
+
+
+def read_snapshot(spark: SparkSession, snapshot_root: str, through: int) -> DataFrame:
+    """One row per event of the batches ``<= through``."""
+    path = f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{int(through)}"
+    return spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(path)
+
+
+def write_purged(spark: SparkSession, history_path: str, out_path: str, retention_days: int, as_of=None) -> None:
+    """The stored history without expired events (:func:`purge_deleted`), written as a new table.
+
+    Batches keep their folders' ids, so snapshots, replays and the streaming
+    apply go on from the new table.
+    """
+    kept = purge_deleted(read_history(spark, history_path), retention_days, as_of)
+    write_history(kept.drop(MONTH_COL), out_path)

@@ -5,12 +5,11 @@ plain DataFrame operations. All of them read the whole table; nothing is
 sampled or capped.
 
 * A  ``events``: one event per row; 2 in 5 events get an update, 2 in 5 a
-  soft delete (the 5:2:2 create/update/delete mix). Built two ways: directly
-  as version rows (:func:`history_a`) and as a change log
-  (:func:`changelog_a`) that the fold must turn into the same rows.
+  soft delete (the 5:2:2 create/update/delete mix), as a change log
+  (:func:`changelog_a`) that the fold turns into version rows.
 * B  ``orders``: many months of creates, for partition pruning.
 * C  ``conversations`` + ``embeddings``: text and vectors, one event per
-  user turn, answered by an update carrying the assistant's reply.
+  user or system turn, answered by an update with the assistant's reply.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import empty_floats, to_millis
 from tidemark.schema import (
-    EVENT_COLS,
     EVENT_NAMES,
     MESSAGE_SCHEMA,
     OP_CREATE,
@@ -62,57 +60,6 @@ def _mutated_at(created_at: F.Column) -> F.Column:
     return (created_at + F.expr(MUTATION_DELAY)).cast("timestamp_ntz")
 
 
-def history_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapter A as version rows (the expected fold output)."""
-    b = _events_base(spark, sf_dir)
-    common = [
-        "id",
-        "conversation_id",
-        "conversation_metadata",
-        "event_name",
-    ]
-    v1 = b.select(
-        *common,
-        "error",
-        "latency",
-        F.lit("").alias("input"),
-        empty_floats().alias("input_embeddings"),
-        F.lit("").alias("output"),
-        empty_floats().alias("output_embeddings"),
-        F.lit(0).alias("is_deleted"),
-        F.lit(1).cast("bigint").alias("version"),
-        "created_at",
-        F.col("created_at").alias("updated_at"),
-    )
-    upd = b.where(F.col("k").isin(0, 1)).select(
-        *common,
-        F.when(F.col("error") == "", F.lit("timeout")).otherwise(F.lit("")).alias("error"),
-        (F.col("latency") * 2).alias("latency"),
-        F.lit("").alias("input"),
-        empty_floats().alias("input_embeddings"),
-        F.lit("").alias("output"),
-        empty_floats().alias("output_embeddings"),
-        F.lit(0).alias("is_deleted"),
-        F.lit(2).cast("bigint").alias("version"),
-        "created_at",
-        _mutated_at(F.col("created_at")).alias("updated_at"),
-    )
-    dele = b.where(F.col("k").isin(2, 3)).select(
-        *common,
-        "error",
-        "latency",
-        F.lit("").alias("input"),
-        empty_floats().alias("input_embeddings"),
-        F.lit("").alias("output"),
-        empty_floats().alias("output_embeddings"),
-        F.lit(1).alias("is_deleted"),
-        F.lit(2).cast("bigint").alias("version"),
-        "created_at",
-        _mutated_at(F.col("created_at")).alias("updated_at"),
-    )
-    return v1.unionByName(upd).unionByName(dele).select(*EVENT_COLS)
-
-
 def _patch(**fields: F.Column) -> F.Column:
     """A patch struct with the given fields set and every other field NULL."""
     cols = []
@@ -199,17 +146,17 @@ def history_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns with the reply that follows them and their input vector."""
+    """User and system turns with the reply that follows them and their input vector."""
     conv = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     vec = _table(spark, sf_dir, "embeddings").select(
         F.col("vec_id"), F.col("embedding").alias("input_embeddings")
     )
-    user = conv.where(F.col("role") == "user").alias("u")
+    user = conv.where(F.col("role") != "assistant").alias("u")
     reply = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply")
     )
     turns = user.join(reply, ["conv_id", "turn"], "left")
-    turns = turns.withColumn("vec_id", F.col("conv_id") * 8 + F.col("turn"))
+    turns = turns.withColumn("vec_id", F.pmod(F.col("conv_id") * 8 + F.col("turn"), F.lit(500)))
     turns = turns.join(vec, "vec_id", "left")
     start = F.lit(CONVERSATION_EPOCH).cast("timestamp_ntz")
     return turns.select(
@@ -350,9 +297,9 @@ def events_requests(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Adapter A as client requests (the same 5:2:2 mix), for the bulk client builders.
 
     ``create``: every event with its id and time; ``update`` (k in 0, 1):
-    error flipped, latency doubled; ``delete`` (k in 2, 3); ``empty``
-    (k = 4): an update with no field; ``bad_name`` (k = 4): a create with a
-    name outside the allowed set.
+    error flipped, latency doubled; ``delete`` (k in 2, 3); for every event
+    also ``empty``: an update with no field, and ``bad_name``: a create with
+    a name outside the allowed set.
     """
     b = _events_base(spark, sf_dir)
     later = _mutated_at(F.col("created_at")).cast("timestamp").alias("timestamp")
@@ -371,11 +318,37 @@ def events_requests(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "delete": b.where(F.col("k").isin(2, 3)).select(
             F.col("id").alias("event_id"), later, F.lit(1).cast("bigint").alias("seq")
         ),
-        "empty": b.where(F.col("k") == 4).select(
-            F.col("id").alias("event_id"), later, F.lit(1).cast("bigint").alias("seq")
-        ),
-        "bad_name": b.where(F.col("k") == 4).select(
+        "empty": b.select(F.col("id").alias("event_id"), later, F.lit(1).cast("bigint").alias("seq")),
+        "bad_name": b.select(
             F.concat(F.col("id"), F.lit("-x")).alias("id"), "conversation_id",
             F.lit("event_d").alias("event_name"), F.col("created_at").cast("timestamp").alias("timestamp"),
         ),
     }
+
+
+def hot_changelog_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``events`` as operations on one event: a create, then an update of latency and error each.
+
+    The log positions are sparse (every 1000th) with one far outlier.
+    """
+    b = _events_base(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    first = number == 0
+    rows = b.select(
+        F.when(first, F.lit(OP_CREATE)).otherwise(F.lit(OP_UPDATE)).alias("operation"),
+        F.lit("hot").alias("event_id"),
+        F.col("created_at").cast("timestamp").alias("timestamp"),
+        _patch(
+            conversation_id=F.when(first, F.lit("conv_hot")),
+            event_name=F.when(first, F.lit(EVENT_NAMES[0])),
+            latency=F.when(F.pmod(number, F.lit(3)) == 0, F.col("latency")),
+            error=F.when(F.pmod(number, F.lit(7)) == 0, F.col("error")),
+        ).alias("data"),
+        (number * 1000).alias("seq"),
+    )
+    outlier = F.lit(10**15).cast("bigint")
+    last = rows.limit(0).unionByName(spark.range(1).select(
+        F.lit(OP_UPDATE).alias("operation"), F.lit("hot").alias("event_id"), F.lit("2025-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+        _patch(latency=F.lit(-1.0)).alias("data"), outlier.alias("seq"),
+    ))
+    return rows.unionByName(last)

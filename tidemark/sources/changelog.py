@@ -7,49 +7,73 @@ type) and ``raw`` (the message text, kept for the reject table).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.schema import MESSAGE_SCHEMA
 
 CORRUPT = "_corrupt"
+# The source's record time: stands in for a missing message time.
+SOURCE_TIME = "_source_time"
+# Where a message stands in a folder of files.
+FILE_COLS = ("_file_time", "_file_path", "_file_start")
+# Messages that one task can number.
+_ROW_BITS = 33
 _DECODE_SCHEMA = StructType(list(MESSAGE_SCHEMA.fields) + [StructField(CORRUPT, StringType())])
 _DECODE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def decode_json(
-    df: DataFrame, value_col: str = "value", offset_col: str | None = None, input_order: bool = True
+    df: DataFrame,
+    value_col: str = "value",
+    offset_col: str | None = None,
+    time_col: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Parse JSON message text into envelope columns.
 
     Field names match exactly (case-sensitive); unknown keys are ignored.
-    ``seq`` (the per-event log order) comes from the message itself, else
-    from ``offset_col`` (a Kafka offset: one event's messages share a
-    partition because the key is the event id), else from the input order
-    (``monotonically_increasing_id``: line order within a file split, so a
-    log without ``seq`` must keep each event's messages in one file, in
-    order, as :func:`tidemark.api.publish_files` writes them). Streams
-    cannot number rows, so their decoders pass ``input_order=False`` and
-    each micro-batch is numbered by :func:`with_input_order` instead.
+    ``seq`` is the per-event log order. A log that has one of its own gives
+    it: with ``offset_col`` (a Kafka offset; one event's messages share a
+    partition because the key is the event id) a message's own ``seq`` is
+    ignored. Otherwise the message's ``seq`` is taken, and where it has none,
+    :func:`with_input_order` numbers the messages as they stand in the input.
+    ``time_col`` is the source's record time, which stands in for a missing
+    message time. ``keep`` columns pass through.
     """
     text = F.col(value_col).cast("string")
-    parsed = df.select(F.from_json(text, _DECODE_SCHEMA, _DECODE_OPTIONS).alias("m"), text.alias("raw"),
-                       *([F.col(offset_col).alias("_offset")] if offset_col else []))
-    seq = F.col("m.seq")
-    if offset_col:
-        seq = F.coalesce(seq, F.col("_offset"))
-    if input_order:
-        seq = F.coalesce(seq, F.monotonically_increasing_id())
+    extra = {"_offset": offset_col, SOURCE_TIME: time_col}
+    parsed = df.select(
+        F.from_json(text, _DECODE_SCHEMA, _DECODE_OPTIONS).alias("m"), text.alias("raw"),
+        *[F.col(c).alias(name) for name, c in extra.items() if c], *keep,
+    )
+    seq = F.col("_offset") if offset_col else F.col("m.seq")
     cols = [F.col(f"m.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields if f.name != "seq"]
     # A NULL parse result (empty or non-object text) is corrupt as well.
     corrupt = F.when(F.col("m").isNull(), F.col("raw")).otherwise(F.col(f"m.{CORRUPT}"))
-    return parsed.select(*cols, seq.cast("bigint").alias("seq"), corrupt.alias(CORRUPT), "raw")
+    return parsed.select(*cols, seq.cast("bigint").alias("seq"), corrupt.alias(CORRUPT), "raw", *([SOURCE_TIME] if time_col else []), *keep)
 
 
 def with_input_order(messages: DataFrame) -> DataFrame:
-    """Fill a missing ``seq`` from the input order (batch DataFrames only)."""
-    return messages.withColumn("seq", F.coalesce(F.col("seq"), F.monotonically_increasing_id()))
+    """Fill a missing ``seq`` from the input order (batch DataFrames only).
+
+    Messages read from files (``FILE_COLS``) are ordered by file time, path
+    and position; Spark packs files by size, so its own row order says
+    nothing between files. The table of splits is one row for each part of a
+    file that a task reads. Other inputs keep their row order.
+    """
+    row = F.monotonically_increasing_id()
+    if not set(FILE_COLS) <= set(messages.columns):
+        return messages.withColumn("seq", F.coalesce(F.col("seq"), row))
+    inside = F.lit((1 << _ROW_BITS) - 1)
+    messages = messages.withColumn("_row", row.bitwiseAND(inside))
+    splits = messages.select(*FILE_COLS).distinct().withColumn("_split", F.row_number().over(Window.orderBy(*FILE_COLS)))
+    splits = splits.select(*[F.col(c).alias(f"{c}_s") for c in FILE_COLS], "_split")
+    same = [F.col(c) == F.col(f"{c}_s") for c in FILE_COLS]
+    position = F.shiftleft(F.col("_split").cast("bigint"), _ROW_BITS).bitwiseOR(F.col("_row"))
+    ordered = messages.join(splits, same).withColumn("seq", F.coalesce(F.col("seq"), position))
+    return ordered.drop("_row", "_split", *FILE_COLS, *[f"{c}_s" for c in FILE_COLS])
 
 
 def encode_json(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -69,17 +93,27 @@ def encode_json(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return messages.select(F.col("event_id").alias("key"), F.to_json(envelope).alias("value"), *keep)
 
 
+def _lines(df: DataFrame) -> DataFrame:
+    """Text lines with where they stand."""
+    where = ("file_modification_time", "file_path", "file_block_start")
+    lines = df.select("value", *[F.col(f"_metadata.{m}").alias(c) for c, m in zip(FILE_COLS, where, strict=True)])
+    return decode_json(lines, time_col=FILE_COLS[0], keep=FILE_COLS)
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of a folder of JSON-lines change files."""
-    return decode_json(spark.read.text(path))
+    return with_input_order(_lines(spark.read.text(path)))
 
 
 def stream_json_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of JSON-lines change files as they arrive in ``path``."""
+    """Streaming read of JSON-lines change files as they arrive in ``path``.
+
+    Streams cannot number rows; each micro-batch is by :func:`with_input_order`.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return decode_json(reader.load(path), input_order=False)
+    return _lines(reader.load(path))
 
 
 def stream_kafka(
@@ -101,4 +135,4 @@ def stream_kafka(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
-    return decode_json(reader.load(), value_col="value", offset_col="offset", input_order=False)
+    return decode_json(reader.load(), value_col="value", offset_col="offset", time_col="timestamp")

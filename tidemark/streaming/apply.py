@@ -3,8 +3,7 @@
 Each micro-batch is folded as a set (one shuffle on ``id``) against the
 stored latest version of the events it touches, then written under its own
 ``batch_id`` in every output table. Spark replays an unfinished batch under
-the same id after a failure, and the dynamic-overwrite writers replace that
-batch's directories, so the tables end up as if each batch ran once.
+the same id after a failure, and the writers replace that batch's folders, so the tables end up as if each batch ran once.
 """
 
 from __future__ import annotations
@@ -16,18 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.fold import HOT_OPS, SLICE_OPS, base_from_history, fold_operations
-from tidemark.operators.rollups import error_partial, latency_partial
+from tidemark.operators.fold import HOT_OPS, SLICES, base_from_history, fold_operations
+from tidemark.operators.rollups import error_partial, latency_partial, merge_error, merge_latency, with_month
 from tidemark.operators.validate import split_messages
-from tidemark.sources.changelog import with_input_order
+from tidemark.schema import ERROR_PARTIAL_SCHEMA, LATENCY_PARTIAL_SCHEMA, R_NOT_FOUND
 from tidemark.sinks.table import (
+    latest_snapshot,
+    merge_partials,
+    merged_partials,
     path_exists,
     read_history,
+    read_rejects,
+    read_snapshot,
     read_state,
     write_batch_table,
     write_history,
     write_snapshot,
 )
+from tidemark.sources.changelog import with_input_order
 
 
 @dataclass(frozen=True)
@@ -77,36 +82,80 @@ def apply_batch(
     batch_id: int,
     tables: Tables,
     hot_ops: int | None = HOT_OPS,
-    slice_ops: int = SLICE_OPS,
+    slices: int = SLICES,
 ) -> None:
     """Fold one batch of decoded messages into the tables (idempotent per ``batch_id``).
 
-    ``hot_ops`` / ``slice_ops`` are passed to :func:`fold_operations`.
+    The history is written last: its folder's ``_SUCCESS`` commits the batch.
+    ``hot_ops`` / ``slices`` are passed to :func:`fold_operations`.
     """
-    # The batch is read from the source once; everything below derives from it.
-    messages = with_input_order(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return kept[-1]
+
     try:
+        # The batch is read from the source once; everything below derives from it.
+        messages = with_input_order(keep(messages))
         ops, bad = split_messages(messages, batch_id)
-        ops = ops.persist(StorageLevel.MEMORY_AND_DISK)
+        ops = keep(ops)
         base = None
-        if path_exists(spark, tables.history):
-            prior = read_history(spark, tables.history).where(F.col("batch_id") < batch_id)
-            touched = ops.select("id").distinct()
-            base = base_from_history(prior, touched, touched_count=touched.count())
-            base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        versions, not_found = fold_operations(ops, base, hot_ops=hot_ops, slice_ops=slice_ops)
-        versions = versions.persist(StorageLevel.MEMORY_AND_DISK)
-        # the batch's row count bounds the ids per file: size the bloom filters by it
-        write_history(versions, tables.history, batch_id, expected_ndv=versions.count())
+        prior = _before(spark, tables, batch_id)
+        if prior is not None:
+            base = keep(base_from_history(prior, ops.select("id").distinct()))
+        versions, not_found = fold_operations(ops, base, hot_ops=hot_ops, slices=slices)
+        versions = keep(versions)
         write_batch_table(bad.unionByName(not_found), tables.rejects, batch_id)
-        write_batch_table(error_partial(versions), tables.error_rollup, batch_id)
+        write_batch_table(with_month(error_partial(versions)), tables.error_rollup, batch_id, ("event_month",))
         write_batch_table(latency_partial(versions), tables.latency_rollup, batch_id)
-        versions.unpersist()
-        ops.unpersist()
-        if base is not None:
-            base.unpersist()
+        # the batch's row count bounds the ids per file: size the bloom filters by it
+        write_history(versions, tables.history, batch_id, expected_ndv=versions.count())
     finally:
-        messages.unpersist()
+        for df in reversed(kept):
+            df.unpersist()
+
+
+def _before(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame | None:
+    """What was stored before a batch: the newest snapshot older than it, and the later batches."""
+    if not path_exists(spark, tables.history):
+        return None
+    history = read_history(spark, tables.history).where(F.col("batch_id") < batch_id)
+    k = latest_snapshot(spark, tables.snapshots)
+    if k is None or k >= batch_id:
+        return history
+    return read_snapshot(spark, tables.snapshots, k).unionByName(history.where(F.col("batch_id") > k))
+
+
+def redrive_rejects(spark: SparkSession, tables: Tables, inbox: str, through: int, reasons: tuple[str, ...] = (R_NOT_FOUND,)) -> None:
+    """Put the messages rejected by batches ``<= through`` for ``reasons`` back on the file log.
+
+    Meant for rejects whose cause has gone, such as an update that came before
+    its create. They go through the apply like new messages, in their old
+    order; those that fail again are rejected again.
+    """
+    rejects = read_rejects(spark, tables.rejects).where((F.col("batch_id") <= through) & F.col("reason").isin(*reasons))
+    again = rejects.where(F.col("raw").isNotNull()).repartition("event_id").sortWithinPartitions("event_id", "batch_id", "seq")
+    again.select(F.col("raw").alias("value")).write.mode("append").text(inbox)
+
+
+def compact_rollups(spark: SparkSession, tables: Tables, through: int) -> None:
+    """Merge both rollups' partials of the batches ``<= through``."""
+    merge_partials(
+        spark, tables.error_rollup, f"{tables.error_rollup}_merged", through, ERROR_PARTIAL_SCHEMA,
+        lambda p: with_month(merge_error(p)), ("event_month",),
+    )
+    merge_partials(spark, tables.latency_rollup, f"{tables.latency_rollup}_merged", through, LATENCY_PARTIAL_SCHEMA, merge_latency)
+
+
+def error_rollup(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The error rollup's partials, old ones merged; for :func:`read_error_rollup`."""
+    return merged_partials(spark, tables.error_rollup, f"{tables.error_rollup}_merged", ERROR_PARTIAL_SCHEMA)
+
+
+def latency_rollup(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The latency rollup's partials, old ones merged; for :func:`read_latency_rollup`."""
+    return merged_partials(spark, tables.latency_rollup, f"{tables.latency_rollup}_merged", LATENCY_PARTIAL_SCHEMA)
 
 
 def start_apply(
