@@ -19,13 +19,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark import StorageLevel  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.operators.rollups import error_partial, latency_partial, read_error_rollup, read_latency_rollup  # noqa: E402
+from tidemark.operators.rollups import error_partial, latency_partial, read_error_rollup, read_latency_rollup, with_month  # noqa: E402
 from tidemark.operators.versioning import live_snapshot  # noqa: E402
 from tidemark.plans import queries as Q  # noqa: E402
 from tidemark.plans.registry import AS_OF, fold_log  # noqa: E402
 from tidemark.session import local_session, scratch_path  # noqa: E402
 from tidemark.sinks.table import (  # noqa: E402
+    read_error_partials,
     read_history,
+    read_latency_partials,
     read_state,
     write_batch_table,
     write_history,
@@ -84,14 +86,14 @@ def main() -> None:
     timed("q5_top_error_sessions", lambda: run(Q.get_top_error_sessions(h, 100)))
 
     def rollup_build():
-        write_batch_table(error_partial(h), f"{root}/rollup_error", 0)
+        write_batch_table(with_month(error_partial(h)), f"{root}/rollup_error", 0, ("event_month",))
         write_batch_table(latency_partial(h), f"{root}/rollup_latency", 0)
 
     timed("rollup_build", rollup_build)
-    timed("rollup_error_read", lambda: run(read_error_rollup(spark.read.parquet(f"{root}/rollup_error").drop("batch_id"))))
+    timed("rollup_error_read", lambda: run(read_error_rollup(read_error_partials(spark, f"{root}/rollup_error"))))
     timed(
         "rollup_p95_read",
-        lambda: run(read_latency_rollup(spark.read.parquet(f"{root}/rollup_latency").drop("batch_id"), 100)),
+        lambda: run(read_latency_rollup(read_latency_partials(spark, f"{root}/rollup_latency"), 100)),
     )
     # Merge-on-read state: compact the stored history once, then read it
     # without the per-read version dedup.

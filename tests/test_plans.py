@@ -1,6 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.versioning import live_snapshot
 from tidemark.plans import queries as Q
@@ -12,6 +13,12 @@ from tidemark.sources import adapters
 from conftest import SF_SMALL
 
 
+@pytest.fixture(autouse=True)
+def whole_plans(spark):
+    """Plans show whole paths and filters."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -68,6 +75,7 @@ def test_fold_has_one_exchange(spark):
     p = versions._jdf.queryExecution().executedPlan().toString()
     assert p.count("Exchange hashpartitioning(id") == 1
     assert "Exchange" not in p.replace("Exchange hashpartitioning(id", "")
+    assert p.count("Sort [") == 1
 
 
 def test_state_reads_pass_snapshot_rows_map_side(spark):
@@ -95,13 +103,42 @@ def test_lookup_searches_on_narrow_columns(spark, stored):
     assert 0 < len(wide) <= len(scans) / 2  # the winners' search reads narrow columns only
 
 
-def test_state_error_counts_prune_snapshot_months(spark):
+def test_state_reads_filter_the_snapshot_with_newer_batches(spark):
+    """Month and session filters are on every snapshot scan, and no dedup lies above one."""
     from tidemark.sinks.table import read_state, write_snapshot
 
     root = scratch_path(spark, "state-months")
     write_history(history(spark, SF_SMALL), f"{root}/h", batch_id=0)
     write_history(adapters.history_b(spark, SF_SMALL), f"{root}/h", batch_id=1)
     write_snapshot(spark, f"{root}/h", f"{root}/s", through=1)
-    df = Q.get_error_counts(read_state(spark, f"{root}/h", f"{root}/s"), "event_a", 7, "2024-01-31 00:00:00", deduped=True)
+    update = history(spark, SF_SMALL).where("id in ('3', '4')").withColumn("version", F.lit(9).cast("bigint"))
+    write_history(update, f"{root}/h", batch_id=2)
+    state = read_state(spark, f"{root}/h", f"{root}/s")
+    df = Q.get_error_counts(state, "event_a", 7, "2024-01-31 00:00:00", deduped=True)
     assert df.count() == 7
-    assert "PartitionFilters: [isnotnull(created_month" in plan(df)
+    scans = [x for x in plan(df).splitlines() if "FileScan" in x and "/s/through=1" in x]
+    assert scans and all("created_month" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+    df = Q.get_events_by_conversation(state, "conv_5", deduped=True)
+    df.collect()
+    scans = [x for x in plan(df).splitlines() if "FileScan" in x and "/s/through=1" in x]
+    assert scans and all("EqualTo(conversation_id,conv_5)" in x for x in scans)
+
+
+def test_incremental_snapshot_equals_one_from_scratch(spark):
+    from tidemark.sinks.table import read_snapshot, write_snapshot
+
+    root = scratch_path(spark, "snapshots")
+    versions = history(spark, SF_SMALL)
+    write_history(versions.where("version = 1"), f"{root}/h", batch_id=0)
+    write_history(versions.where("version > 1"), f"{root}/h", batch_id=1)
+    write_snapshot(spark, f"{root}/h", f"{root}/a", through=0)
+    for s in ("a", "b"):
+        write_snapshot(spark, f"{root}/h", f"{root}/{s}", through=1)
+    rows = [sorted(map(str, read_snapshot(spark, f"{root}/{s}", 1).drop("batch_id").collect())) for s in ("a", "b")]
+    assert rows[0] == rows[1] and len(rows[0]) > 0
+
+
+def test_session_lookup_reads_wide_rows_of_the_session_only(stored):
+    p = plan(Q.get_events_by_conversation(stored, "conv_5"))
+    wide = [x for x in p.splitlines() if "FileScan" in x and "input_embeddings" in x]
+    assert wide and all("EqualTo(conversation_id,conv_5)" in x for x in wide)

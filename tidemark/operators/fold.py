@@ -1,8 +1,8 @@
 """Apply create / partial-update / soft-delete operations as version rows.
 
 The reference applies each message with a read-modify-write round trip. Here
-a whole batch of operations is folded at once with window functions that
-all partition by event ``id``, so the plan has a single shuffle on ``id``:
+a whole batch of operations is folded at once with running windows that all
+follow one order of ``(id, seq)``, so the plan has one shuffle and one sort:
 
 1. an operation before the first create of its event has nothing to act on;
 2. updates and deletes after the first delete act on a deleted event;
@@ -37,6 +37,7 @@ from tidemark.schema import (
     PATCH_FIELDS,
     PATCH_SCHEMA,
     R_NOT_FOUND,
+    SHADOW_COL,
 )
 from tidemark.session import scratch_path
 
@@ -140,7 +141,7 @@ def _rejects(x: DataFrame) -> DataFrame:
     )
 
 
-def _emit(y: DataFrame, values: dict[str, Column], mutations: Column, created: Column) -> DataFrame:
+def _emit(y: DataFrame, values: dict[str, Column], mutations: Column, created: Column, *keep: str) -> DataFrame:
     version = (
         F.when(_op() == OP_CREATE, F.lit(1).cast("bigint"))
         .when(_op() == OP_BASE, F.col("b_version"))
@@ -156,31 +157,35 @@ def _emit(y: DataFrame, values: dict[str, Column], mutations: Column, created: C
         "batch_id",
         "seq",
         "op",
+        F.col("_shadowed").cast("int").alias(SHADOW_COL),
+        *keep,
     )
-    return folded.where(_op() != OP_BASE).select(*EVENT_COLS, "batch_id", "seq")
+    return folded.where(_op() != OP_BASE).select(*EVENT_COLS, "batch_id", "seq", SHADOW_COL, *keep)
 
 
 def _fold_by_window(x: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All steps as windows over ``id``: one shuffle, one task per event."""
-    by_id = Window.partitionBy("id")
-    x = x.withColumn("_first_create", F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _seq())).over(by_id))
-    x = x.withColumn("_deleted_at", F.min(_deletion()).over(by_id))
-    x = x.withColumn("_ok", _ok())
-    y = x.where(F.col("_ok"))
-    y = (
-        y.withColumn("_first_mut", F.min(F.when(_is_mut(), _seq())).over(by_id))
-        .withColumn("_base_version", F.max("b_version").over(by_id))
-    )
-    y = y.withColumn("_shadowed", _shadowed())
-    running = (
-        Window.partitionBy("id", "_shadowed")
-        .orderBy("seq", "ts", "op")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    values = {c: F.last(c, ignorenulls=True).over(running) for c in PATCH_FIELDS}
-    mutations = F.sum(_is_mut().cast("bigint")).over(running)
-    created = F.last(_create_time(), ignorenulls=True).over(running)
-    return _emit(y, values, mutations, created), _rejects(x)
+    """All steps as running values over one ``(id, seq)`` order: one shuffle, one sort, one task per event."""
+    order = Window.partitionBy("id").orderBy("seq", "ts", "op")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_created", F.max(_op().isin(OP_CREATE, OP_BASE)).over(running))
+    x = x.withColumn("_base_version", F.max("b_version").over(running))
+    ends = F.col("_created") & ((_op() == OP_DELETE) | ((_op() == OP_BASE) & (F.col("b_is_deleted") == 1)))
+    x = x.withColumn("_gone", F.coalesce(F.max(ends).over(before), F.lit(False)))
+    x = x.withColumn("_ok", ~_is_mut() | (F.col("_created") & ~F.col("_gone")))
+    acts = (F.col("_ok") & _is_mut()).cast("bigint")
+    x = x.withColumn("_muts", F.sum(acts).over(running))
+    late = (F.col("_muts") > 0) | (F.coalesce(F.col("_base_version"), F.lit(1)) > 1)
+    x = x.withColumn("_shadowed", (_op() == OP_CREATE) & late)
+    counts = F.col("_ok") & ~F.col("_shadowed")
+
+    def carried(c: Column) -> Column:
+        """The last provided value; a shadowed create has its own."""
+        return F.when(F.col("_shadowed"), c).otherwise(F.last(F.when(counts, c), ignorenulls=True).over(running))
+
+    values = {c: carried(F.col(c)) for c in PATCH_FIELDS}
+    folded = _emit(x, values, F.col("_muts"), carried(_create_time()), "_ok")
+    return folded.where("_ok").drop("_ok"), _rejects(x)
 
 
 def _fold_sliced(x: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
@@ -256,7 +261,7 @@ def fold_operations(
     ``hot_ops=None`` skips the check.
 
     Returns ``(versions, rejects)``: version rows with ``EVENT_COLS`` +
-    ``batch_id, seq``, and ``not_found`` rejects (``event_id, operation,
+    ``batch_id, seq, shadowed`` (1: a create that was never visible), and ``not_found`` rejects (``event_id, operation,
     seq, reason, raw``).
     """
     x = _prepare(ops, base)

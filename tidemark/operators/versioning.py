@@ -87,6 +87,22 @@ def restricted_latest(
     return latest_version(scoped, keys, include_deleted).where(predicate)
 
 
+def restricted_rows(history: DataFrame, predicate: Column, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+    """The full live rows that :func:`restricted_latest` finds, reading wide columns only where ``predicate`` holds.
+
+    The winners are found on the key and order columns. A winner satisfies
+    the predicate, so the scan of the full rows has it pushed down and skips
+    every other file and row group.
+    """
+    narrow = [*keys, "version", "is_deleted", *[c for c in LINEAGE_COLS if c in history.columns]]
+    candidates = history.where(predicate).select(*keys).distinct()
+    winners = latest_version(history.select(*narrow).join(candidates, list(keys), "left_semi"), keys, include_deleted=False)
+    winners = winners.select([F.col(c).alias(f"_w_{c}") for c in narrow])
+    same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) if c in LINEAGE_COLS else F.col(c) == F.col(f"_w_{c}") for c in narrow]
+    rows = history.where(predicate).join(winners, same, "left_semi")
+    return latest_version(rows, keys, include_deleted=False)  # copies of a row, if a writer left any
+
+
 def public_view(df: DataFrame) -> DataFrame:
     """The public event columns: hides ``is_deleted`` and ``version``."""
     return df.select(*[c for c in EVENT_COLS if c not in ("is_deleted", "version")])

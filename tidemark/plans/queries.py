@@ -24,6 +24,7 @@ from tidemark.operators.versioning import (
     latest_version,
     public_view,
     restricted_latest,
+    restricted_rows,
 )
 from tidemark.schema import DAY_COL, LINEAGE_COLS, MONTH_COL, P95
 
@@ -61,7 +62,7 @@ def get_events_by_conversation(history: DataFrame, conversation_id: str, deduped
     if not conversation_id:
         raise ValueError("conversation id is required")
     pred = F.col("conversation_id") == conversation_id
-    rows = _latest(history, True).where(pred) if deduped else restricted_latest(history, pred)
+    rows = _latest(history, True).where(pred) if deduped else restricted_rows(history, pred)
     return public_view(rows).orderBy("created_at", "id")
 
 

@@ -136,6 +136,9 @@ EVENT_SCHEMA = StructType(
 # row and the log position of the message inside its batch. Together with
 # ``version`` they make "last inserted wins" deterministic.
 LINEAGE_COLS = ("batch_id", "seq")
+# 1 on a create that never was the current version: it came after the event's first
+# mutation. Any other row of a later batch supersedes what was stored before it.
+SHADOW_COL = "shadowed"
 # Derived partition column of the history table (yyyyMM of created_at).
 MONTH_COL = "created_month"
 # Optional finer partition below the month (yyyyMMdd of created_at).
@@ -146,6 +149,7 @@ HISTORY_SCHEMA = StructType(
     + [
         StructField("batch_id", LongType()),
         StructField("seq", LongType()),
+        StructField(SHADOW_COL, IntegerType()),
         StructField(MONTH_COL, StringType()),
     ]
 )

@@ -37,6 +37,7 @@ from tidemark.schema import (
     LATENCY_PARTIAL_SCHEMA,
     MONTH_COL,
     REJECT_SCHEMA,
+    SHADOW_COL,
 )
 
 SORT_COLS = ("conversation_id", "event_name", "id")
@@ -66,18 +67,20 @@ def _bloom_options(columns: tuple[str, ...], expected_ndv: int | None, fpp: floa
     return opts
 
 
-def layout(versions: DataFrame, partitions: int | None = None, daily: bool = False) -> DataFrame:
+def layout(versions: DataFrame, partitions: int | None = None, daily: bool = False, ranged: bool = False) -> DataFrame:
     """Add the month (and, ``daily``, day) column, rebalance and sort rows for writing.
 
-    ``partitions`` forces a fixed range partitioning instead (globally
-    sorted files, one extra sampling pass).
+    ``ranged`` partitions by range instead (globally sorted files, so a
+    session lies in one or two files of a month; one extra sampling pass);
+    ``partitions`` also fixes their number.
     """
+    ranged = ranged or bool(partitions)
     df = versions.withColumn(MONTH_COL, month_key("created_at"))
     if daily:
         df = df.withColumn(DAY_COL, day_key("created_at"))
     order = [MONTH_COL, *([DAY_COL] if daily else []), *SORT_COLS]
-    if partitions:
-        df = df.repartitionByRange(partitions, *order)
+    if ranged:
+        df = df.repartitionByRange(*([partitions] if partitions else []), *order)
     elif daily:
         # one writer per day folder (AQE splits a heavy day), not one file per task and day
         df = df.hint("rebalance", MONTH_COL, DAY_COL)
@@ -98,6 +101,7 @@ def write_history(
 ) -> None:
     """Write version rows under ``batch_id=N``; re-running the same batch replaces it.
 
+    Without ``batch_id`` the rows, each with its own, are the whole table.
     ``daily`` adds a ``created_day`` partition level below the month, for
     tables whose reads mostly cover a few days; read such a table with
     ``read_history(..., daily=True)``.
@@ -105,7 +109,9 @@ def write_history(
     df = versions
     if "seq" not in df.columns:
         df = df.withColumn("seq", F.lit(0).cast("bigint"))
-    df = layout(df.select(*EVENT_COLS, *(["batch_id"] if batch_id is None else []), "seq"), partitions, daily)
+    if SHADOW_COL not in df.columns:
+        df = df.withColumn(SHADOW_COL, F.lit(0))
+    df = layout(df.select(*EVENT_COLS, *(["batch_id"] if batch_id is None else []), "seq", SHADOW_COL), partitions, daily)
     _write_partitioned(
         df.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).options(**_bloom_options(bloom_columns, expected_ndv, fpp)),
         path,
@@ -115,18 +121,16 @@ def write_history(
 
 
 def _write_partitioned(writer, path: str, partition_cols: list[str], batch_id: int | None) -> None:
-    """Replace the folder of one batch, whatever it held; without a batch, the written partitions.
+    """Replace the folder of one batch, whatever it held; without a batch, the table.
 
-    The batch folder is overwritten as a whole, so a replay that yields fewer
-    rows, months or no rows at all leaves nothing of the first attempt. Spark
-    puts ``_SUCCESS`` into the folder when the write has been committed.
+    The folder is overwritten as a whole, so a replay that yields fewer rows,
+    months or no rows at all leaves nothing of the first attempt. Spark puts
+    ``_SUCCESS`` into the folder when the write has been committed.
     """
-    inner = [c for c in partition_cols if c != "batch_id"]
-    if batch_id is None:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
-    else:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*inner) if inner else writer).parquet(f"{path}/batch_id={int(batch_id)}")
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
+    if batch_id is not None:
+        path, partition_cols = f"{path}/batch_id={int(batch_id)}", [c for c in partition_cols if c != "batch_id"]
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
 
 
 def write_batch_table(df: DataFrame, path: str, batch_id: int, partition_cols: tuple[str, ...] = ()) -> None:
@@ -241,7 +245,8 @@ def compact(history: DataFrame) -> DataFrame:
     Written as a new history, it answers every read and every later fold the
     same way as the full history, with one version per event to scan.
     """
-    return latest_version(history, ("id",), include_deleted=True).select(*EVENT_COLS, "batch_id", "seq")
+    keep = [*EVENT_COLS, "batch_id", "seq", *[c for c in (SHADOW_COL,) if c in history.columns]]
+    return latest_version(history, ("id",), include_deleted=True).select(*keep)
 
 
 def purge_deleted(history: DataFrame, retention_days: int, as_of=None) -> DataFrame:
@@ -276,19 +281,21 @@ def write_snapshot(spark: SparkSession, history_path: str, snapshot_root: str, t
     """Compact every version written by batches ``<= through`` into one row per event.
 
     ``through`` must be a committed batch: a later write of an older batch
-    would stay hidden. Written next to earlier snapshots as ``<snapshot_root>/through=<K>``,
-    partitioned by ``created_month`` like the history so month predicates
-    prune it; readers pick the newest. Tombstones are kept, so the snapshot
-    answers later folds and reads exactly like the versions it replaces.
+    would stay hidden. Merges the newest older snapshot with the batches after
+    it, so old batches are not read again. Written next to earlier snapshots as
+    ``<snapshot_root>/through=<K>``, partitioned by ``created_month`` like the
+    history and sorted by session over the whole month, so month and session
+    predicates skip folders and files; readers pick the newest. Tombstones
+    are kept, so the snapshot answers later folds and reads exactly like the
+    versions it replaces.
     """
     done = last_committed(spark, history_path)
     if done is None or int(through) > done:
         raise ValueError(f"batch {through} has not been committed (last: {done})")
-    src = read_history(spark, history_path).where(F.col("batch_id") <= int(through))
     out = f"{snapshot_root.rstrip('/')}/{SNAPSHOT_PREFIX}{int(through)}"
-    rows = compact(src)
+    rows = read_state(spark, history_path, snapshot_root, through=int(through), before=int(through))
     (
-        layout(rows.select(*EVENT_COLS, "batch_id", "seq"))
+        layout(rows.select(*EVENT_COLS, "batch_id", "seq", SHADOW_COL), ranged=True)
         .write.mode("overwrite")
         .options(**_bloom_options(("id",), None, 0.01))
         .partitionBy(MONTH_COL)
@@ -329,8 +336,8 @@ def merged_partials(spark: SparkSession, path: str, out_root: str, schema: Struc
     return old.select(*names).unionByName(rows.where(F.col("batch_id") > k).select(*names))
 
 
-def latest_snapshot(spark: SparkSession, snapshot_root: str) -> int | None:
-    """The highest ``through`` batch among the written snapshots, if any."""
+def latest_snapshot(spark: SparkSession, snapshot_root: str, before: int | None = None) -> int | None:
+    """The highest ``through`` batch among the written snapshots (older than ``before``), if any."""
     if not path_exists(spark, snapshot_root):
         return None
     jvm = spark.sparkContext._jvm
@@ -343,30 +350,37 @@ def latest_snapshot(spark: SparkSession, snapshot_root: str) -> int | None:
             spark, f"{status.getPath().toString()}/_SUCCESS"
         ):
             k = int(name[len(SNAPSHOT_PREFIX):])
-            best = k if best is None or k > best else best
+            if (best is None or k > best) and (before is None or k < before):
+                best = k
     return best
 
 
-def read_state(spark: SparkSession, history_path: str, snapshot_root: str | None = None) -> DataFrame:
+def read_state(
+    spark: SparkSession, history_path: str, snapshot_root: str | None = None, through: int | None = None, before: int | None = None
+) -> DataFrame:
     """Current state: the latest version of every event (tombstones kept), one row each.
 
-    With a snapshot through batch K, only events touched by batches after K
-    are deduplicated: snapshot rows of other events pass an anti join against
-    the touched ids (AQE broadcasts those when they measure small), and the
-    touched events' snapshot rows and newer versions go through the dedup.
-    Without a snapshot this is the dedup of the whole history.
+    With a snapshot through batch K, a row of a later batch supersedes the
+    event's snapshot row unless it is a shadowed create, which is never
+    visible. So the state is the snapshot without the events that later
+    batches touched (an anti join on ids; AQE broadcasts them when they
+    measure small) and the latest of those batches' rows: the snapshot is
+    neither sorted nor shuffled by the dedup, and filters on month or session
+    reach its scan. Without a snapshot this is the dedup of the whole
+    history. ``through`` limits the batches, ``before`` the snapshots.
     """
     history = read_history(spark, history_path)
-    k = latest_snapshot(spark, snapshot_root) if snapshot_root else None
-    cols = [*EVENT_COLS, "batch_id", "seq", MONTH_COL]
+    if through is not None:
+        history = history.where(F.col("batch_id") <= int(through))
+    k = latest_snapshot(spark, snapshot_root, before) if snapshot_root else None
+    cols = [*EVENT_COLS, "batch_id", "seq", SHADOW_COL, MONTH_COL]
     if k is None:
         return latest_version(history.select(*cols), ("id",), include_deleted=True)
     snap = read_snapshot(spark, snapshot_root, k).select(*cols)
-    delta = history.where(F.col("batch_id") > k).select(*cols)
-    touched = delta.select("id").distinct()
-    untouched = snap.join(touched, "id", "left_anti")
-    merged = latest_version(snap.join(touched, "id", "left_semi").unionByName(delta), ("id",), include_deleted=True)
-    return untouched.unionByName(merged)
+    visible = F.coalesce(F.col(SHADOW_COL), F.lit(0)) == 0
+    delta = history.where((F.col("batch_id") > k) & visible).select(*cols)
+    untouched = snap.join(delta.select("id").distinct(), "id", "left_anti")
+    return untouched.unionByName(latest_version(delta, ("id",), include_deleted=True))
 
 
 def read_snapshot(spark: SparkSession, snapshot_root: str, through: int) -> DataFrame:
