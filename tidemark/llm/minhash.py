@@ -20,10 +20,11 @@ verified by multiset overlap of the whole texts.
 
 Groups of copies. Equal texts are one node before banding. In a bucket the
 members are first held against its least member, then, where the bucket still
-has several components, against its member with the most links, and only
-pairs that still lie in different components are then all verified. So a
-group of near copies costs a few comparisons a member, and no link between
-components is left out.
+has several components, against its member with the most links. What then
+lies outside the bucket's largest component is joined with the other members
+by an exact prefix filter on rare shingles (:func:`_rest`). So a group of
+near copies costs a few comparisons a member, and no link between components
+is left out.
 
 Edge cases. A null text is its own class; equal texts are one class, empty
 ones too. A text of one to four words is one shingle. Rows that repeat a
@@ -34,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mapped, settled, text_key
@@ -123,7 +124,8 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = batch.column(batch.schema.get_field_index("text"))
-    keys = band_keys(bag_minhash(*shingles(texts), len(texts), BANDS * BAND_ROWS), BANDS, BAND_ROWS).view(np.int64)
+    text, element, weight = shingles(texts)
+    keys = band_keys(bag_minhash(text, element, weight, len(texts), BANDS * BAND_ROWS), BANDS, BAND_ROWS).view(np.int64)
     some = Words(texts).count > 0
     flat = pa.array(keys[some].reshape(-1))
     lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(some * BANDS)].astype(np.int32)), flat)
@@ -148,6 +150,12 @@ def overlap(a: pa.Array, b: pa.Array) -> np.ndarray:
     return shared / np.maximum(total - shared, 1)
 
 
+def _bags(batch: pa.RecordBatch) -> pa.RecordBatch:
+    text, element, weight = shingles(batch.column(batch.schema.get_field_index("text")))
+    node = batch.column(batch.schema.get_field_index("node")).take(pa.array(text))
+    return pa.RecordBatch.from_arrays([node, pa.array(element.view(np.int64)), pa.array(weight, pa.int64())], names=["node", "shingle", "w"])
+
+
 def _verify(batch: pa.RecordBatch) -> pa.RecordBatch:
     u, v, a, b = (batch.column(batch.schema.get_field_index(c)) for c in ("u", "v", "a", "b"))
     ok = pa.array(overlap(a, b) >= SIMILARITY)
@@ -155,17 +163,14 @@ def _verify(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """The pairs ``(u, v)`` whose texts are near copies."""
-    one = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
-    two = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
-    both = pairs.join(one, "u").join(two, "v").select("u", "v", "a", "b")
-    return settled(mapped(both, _verify, "u bigint, v bigint", ("a", "b")), name)
+    """The pairs ``(u, v)`` whose texts are near copies. No side has a bound, so neither is broadcast."""
+    one = texts.select(F.col("node").alias("u"), F.col("text").alias("a")).join(pairs.hint("merge"), "u")
+    two = texts.select(F.col("node").alias("v"), F.col("text").alias("b")).join(one.hint("merge"), "v")
+    return settled(mapped(two.select("u", "v", "a", "b"), _verify, "u bigint, v bigint", ("a", "b")), name)
 
 
-def _pairs(members: DataFrame, heads: DataFrame) -> DataFrame:
-    """Each member with its bucket's head, once."""
-    met = members.join(heads, "key").where(F.col("node") != F.col("head"))
-    return met.select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v")).distinct()
+def _pair(a: str, b: str) -> list:
+    return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
 def _open_buckets(buckets: DataFrame, links: DataFrame) -> DataFrame:
@@ -174,7 +179,47 @@ def _open_buckets(buckets: DataFrame, links: DataFrame) -> DataFrame:
     labelled = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     labelled = settled(labelled, "labelled")
     several = labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b")).select("key")
-    return settled(labelled.join(settled(several, "several"), "key", "left_semi"), "open")
+    return settled(labelled.join(several, "key", "left_semi"), "open")
+
+
+def _hubs(still: DataFrame, links: DataFrame) -> DataFrame:
+    """``key, head, head_label``: the member of each open bucket with the most links."""
+    ends = links.select("u").unionByName(links.select(F.col("v").alias("u")))
+    degree = settled(ends.groupBy("u").agg(F.count(F.lit(1)).alias("d")), "degree")
+    best = F.struct(F.coalesce("d", F.lit(0)), "node")
+    members = still.join(degree, F.col("node") == F.col("u"), "left")
+    return settled(members.groupBy("key").agg(F.max_by("node", best).alias("head"), F.max_by("label", best).alias("head_label")), "hubs")
+
+
+def _rest(still: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of different components in open buckets that can still be near copies, by their rarest shingles.
+
+    Order the shingles of all these texts by how many texts have them, rare
+    first. If the first shingle that two texts share has ``i`` and ``j``
+    others before it, at most the remaining ``n - i`` and ``m - j`` can be
+    shared, of which a similarity of 4/5 needs ``4/9 (n + m)``; that alone
+    limits ``i`` to a fifth of ``n``. So only the rarest fifth of each text is
+    joined, and only for texts outside their bucket's largest component.
+    """
+    own = settled(still.groupBy("node").agg(F.first("label").alias("label")), "open-nodes")
+    sizes = still.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
+    main = settled(sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main")), "main")
+    outside = still.join(main, "key").where(F.col("label") != F.col("main")).select("node", F.lit(True).alias("outside")).distinct()
+    own = settled(own.join(outside, "node", "left"), "outside")
+
+    bags = mapped(texts.join(own.select("node").hint("shuffle_hash"), "node", "left_semi"), _bags, "node bigint, shingle bigint, w bigint")
+    often = bags.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
+    rare_first = Window.partitionBy("node").orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = bags.join(often.hint("merge"), "shingle").withColumn("i", F.coalesce(F.sum("w").over(rare_first), F.lit(0)))
+    ranked = ranked.withColumn("n", F.sum("w").over(Window.partitionBy("node")))
+    prefix = ranked.where((F.col("texts") > 1) & (5 * F.col("i") <= F.col("n"))).select("shingle", "node", "i", "n")
+    prefix = settled(prefix.join(own, "node"), "prefix")
+
+    one = prefix.where("outside").drop("outside")
+    two = prefix.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("node", "i", "n", "label")])
+    need = 4 * (F.col("n") + F.col("n2"))
+    able = (F.col("label") != F.col("label2")) & (9 * (F.col("n") - F.col("i")) >= need) & (9 * (F.col("n2") - F.col("i2")) >= need)
+    return one.join(two.hint("merge"), "shingle").where(able).select(*_pair("node", "node2")).distinct()
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -182,29 +227,24 @@ def near_classes(docs: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     keyed = base.where(F.col("text").isNotNull()).select("id", "text", *text_key())
     signed = settled(mapped(keyed, _sign, "id bigint, k1 bigint, k2 bigint, keys array<bigint>"), "signed")
-    nodes = settled(signed.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.first("keys").alias("keys")), "nodes")
+    nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.first("keys").alias("keys"))
+    nodes = settled(nodes, "nodes")
 
     every = nodes.where(F.col("node").isNotNull()).select("node", F.explode("keys").alias("key"))
-    shared = every.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key", "head")
-    heads = settled(shared, "heads")
-    buckets = settled(every.join(heads.select("key"), "key", "left_semi"), "buckets")
-    wanted = settled(buckets.select("node").distinct().join(nodes.select("node", "k1", "k2"), "node"), "wanted")
-    texts = keyed.withColumnRenamed("id", "node").join(wanted, ["node", "k1", "k2"], "left_semi").select("node", "text")
-    texts = settled(texts, "candidates")
+    heads = every.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    buckets = settled(every.join(settled(heads.select("key", "head"), "heads"), "key"), "buckets")
+    wanted = settled(nodes.select("node", "k1", "k2").join(buckets.select("node").distinct(), "node"), "wanted")
+    texts = keyed.withColumnRenamed("id", "node").join(wanted.hint("shuffle_hash"), ["node", "k1", "k2"], "left_semi")
+    texts = settled(texts.select("node", "text"), "candidates")
 
     # against the least member of each bucket, then against the best linked one of those still open, then the rest
-    links = _similar(_pairs(buckets, heads), texts, "links")
+    met = buckets.where(F.col("node") != F.col("head")).select(*_pair("node", "head")).distinct()
+    links = _similar(met, texts, "links")
     still = _open_buckets(buckets, links)
-    ends = links.select("u").unionByName(links.select(F.col("v").alias("u")))
-    degree = settled(ends.groupBy("u").agg(F.count(F.lit(1)).alias("d")), "degree")
-    hubs = still.join(degree, still["node"] == degree["u"], "left").groupBy("key").agg(F.max_by("node", F.struct(F.coalesce("d", F.lit(0)), "node")).alias("head"), F.max_by("label", F.struct(F.coalesce("d", F.lit(0)), "node")).alias("head_label"))
-    met = still.join(settled(hubs, "hubs"), "key").where(F.col("label") != F.col("head_label"))
-    again = met.select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v")).distinct()
-    links = links.unionByName(_similar(again, texts, "links"))
+    met = still.join(_hubs(still, links), "key").where(F.col("label") != F.col("head_label"))
+    links = links.unionByName(_similar(met.select(*_pair("node", "head")).distinct(), texts, "links"))
     still = _open_buckets(buckets, links)
-    one, two = still, still.select("key", F.col("node").alias("node2"), F.col("label").alias("label2"))
-    rest = one.join(two, "key").where((F.col("node") > F.col("node2")) & (F.col("label") != F.col("label2")))
-    links = links.unionByName(_similar(rest.select(F.col("node").alias("u"), F.col("node2").alias("v")).distinct(), texts, "links"))
+    links = links.unionByName(_similar(_rest(still, texts), texts, "links"))
 
     labels = settled(components(links), "labels")
     classes = nodes.join(labels, "node", "left").select("k1", "k2", F.coalesce("label", "node").alias("class_id"))
@@ -214,6 +254,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """One document of each class, with its own columns: that of the least doc_id (rows that repeat it count once)."""
-    first = near_classes(docs).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(settled(first, "kept-ids"), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each class, with its own columns: that of the least doc_id (rows that repeat it count once).
+
+    Rows without a doc_id belong to no class that could name them, and stay.
+    """
+    first = near_classes(docs).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("class_id")).distinct()
+    first = settled(first, "kept-ids").hint("shuffle_hash")
+    kept = docs.join(first, docs["doc_id"] == first["class_id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
