@@ -19,12 +19,11 @@ with probability ``(1 - 0.8**4)**20 = 3e-5``), and each proposed pair is
 verified by multiset overlap of the whole texts.
 
 Groups of copies. Equal texts are one node before banding. In a bucket the
-members are first held against its least member, then, where the bucket still
-has several components, against its member with the most links. What then
-lies outside the bucket's largest component is joined with the other members
-by an exact prefix filter on rare shingles (:func:`_rest`). So a group of
-near copies costs a few comparisons a member, and no link between components
-is left out.
+members are first held against its least member only. Where a bucket still
+has several components, what lies outside its largest one is joined with the
+other members by an exact prefix filter on rare shingles (:func:`_rest`). So a
+group of near copies costs a few comparisons a member, and no link between
+components is left out.
 
 Edge cases. A null text is its own class; equal texts are one class, empty
 ones too. A text of one to four words is one shingle. Rows that repeat a
@@ -182,15 +181,6 @@ def _open_buckets(buckets: DataFrame, links: DataFrame) -> DataFrame:
     return settled(labelled.join(several, "key", "left_semi"), "open")
 
 
-def _hubs(still: DataFrame, links: DataFrame) -> DataFrame:
-    """``key, head, head_label``: the member of each open bucket with the most links."""
-    ends = links.select("u").unionByName(links.select(F.col("v").alias("u")))
-    degree = settled(ends.groupBy("u").agg(F.count(F.lit(1)).alias("d")), "degree")
-    best = F.struct(F.coalesce("d", F.lit(0)), "node")
-    members = still.join(degree, F.col("node") == F.col("u"), "left")
-    return settled(members.groupBy("key").agg(F.max_by("node", best).alias("head"), F.max_by("label", best).alias("head_label")), "hubs")
-
-
 def _rest(still: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs of different components in open buckets that can still be near copies, by their rarest shingles.
 
@@ -237,13 +227,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
     texts = keyed.withColumnRenamed("id", "node").join(wanted.hint("shuffle_hash"), ["node", "k1", "k2"], "left_semi")
     texts = settled(texts.select("node", "text"), "candidates")
 
-    # against the least member of each bucket, then against the best linked one of those still open, then the rest
+    # against the least member of each bucket, then what the rare shingles of those still open leave
     met = buckets.where(F.col("node") != F.col("head")).select(*_pair("node", "head")).distinct()
     links = _similar(met, texts, "links")
     still = _open_buckets(buckets, links)
-    met = still.join(_hubs(still, links), "key").where(F.col("label") != F.col("head_label"))
-    links = links.unionByName(_similar(met.select(*_pair("node", "head")).distinct(), texts, "links"))
-    still = _open_buckets(buckets, links)
     links = links.unionByName(_similar(_rest(still, texts), texts, "links"))
 
     labels = settled(components(links), "labels")
