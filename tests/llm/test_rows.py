@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -13,7 +14,8 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tidemark.llm import chat, language, packing, secrets, sharding, urls
-from tidemark.llm.registry import tokenizer_path
+from tidemark.llm.registry import op9_randomness, tokenizer_path
+from tidemark.llm.secrets_sql import SECRETS_SQL
 
 
 @pytest.fixture(scope="module")
@@ -172,6 +174,33 @@ def test_battery_separates_random_from_regular(spark):
     assert sum(got[: len(random_ones)]) >= 0.95 * len(random_ones) and sum(got[len(random_ones) :]) <= 0.1 * len(regular)
 
 
+def test_secrets_equal_their_sql(spark, tmp_path):
+    """Tokens of all encodings and lengths, random and regular ones, in texts that have base spans too."""
+    rng = random.Random(4)
+    alphabets = [abc for _, abc in secrets.ALPHABETS] + ["ab1", "abcdefghijk23", secrets._ANY]
+    rows = []
+    for i in range(300):
+        words = [brute.prose(rng, 3)]
+        for _ in range(rng.randint(0, 3)):
+            words.append("".join(rng.choice(rng.choice(alphabets[i % len(alphabets)]) for _ in range(1)) for _ in range(rng.choice((19, 20, 31, 40, 70, 130, 300)))))
+        if i % 9 == 0:
+            words.append(f"é secret = '{words[-1]}'")
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), None))
+    rows += [(400, None, None), (401, "", None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, other string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op9_randomness(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    res = con.execute(SECRETS_SQL)
+    names = [d[0] for d in res.description]
+    want = {r[0]: r for r in res.fetchall()}
+    have = {r.doc_id: tuple(r[c] for c in names) for r in got.collect()}
+    assert have == want
+    assert sum("random" in r[names.index("spans")] for r in want.values()) > 30
+    assert sum("random" not in r[names.index("spans")] for r in want.values()) > 30
+
+
 def test_url_parts_and_rules(spark):
     rows = ["https://A.Example.org/en/1?x=/es/", "http://org/", "x://org", "ftp://forg/", None, "no scheme/en/1", "http://é.COM/fr/é#y", "a://b.com?u=://org/", "http://example.org/es/x", "http://notexample.org/es/x", "://", "http://com/de/"]
     name, says = urls.rule()

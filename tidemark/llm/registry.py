@@ -1,7 +1,7 @@
 """The queries of the training-data operators over the driver tables, and their DuckDB SQL.
 
 Queries whose method SQL cannot express (boosted trees, tiling, tokenizing and
-packing, bin packing, the randomness battery, the window network) have no SQL;
+packing, bin packing, the window network) have no SQL;
 ``tests/llm`` holds them against brute-force versions.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import chat, language, minhash, packing, quality, secrets, sharding, substrings, tiling, urls
 from tidemark.llm.common import table
+from tidemark.llm.secrets_sql import SECRETS_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,8 +75,11 @@ def op6_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one of control strings, formatted and read back."""
-    text = "</s>[INST] ok [/INST]"
-    odd = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
+    first = F.col("id") == 0
+    odd = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(first, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
     chats = chat.format_chats(turns)
     chats = chats.withColumn("turns", chat.read_back(F.col("formatted"))).withColumn("learned", chat.learned(F.col("formatted"), F.col("loss")))
@@ -193,3 +197,5 @@ bad AS (SELECT source, (f + mean * strength) / (n + strength) > 0.5 AS bad FROM
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
 FROM judged JOIN bad ON judged.source IS NOT DISTINCT FROM bad.source
 """
+
+ORACLE["op9_randomness"] = SECRETS_SQL
