@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped
+from tidemark.llm.common import mapped, settled
 
 #: Rules, each with its verdict.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -65,13 +65,14 @@ def _suffixes(urls: DataFrame) -> DataFrame:
 
 
 def _shares(labelled: DataFrame, by: str, name: str, mean: float) -> DataFrame:
+    """The suffixes' shrunk shares, written out: the joins then see plain scans, which AQE broadcasts or splits."""
     share = (F.sum("bad") + mean * PRIOR) / (F.count(F.lit(1)) + PRIOR)
-    return labelled.groupBy(F.col(by).alias(f"{by}_key")).agg(share.alias(name))
+    return settled(labelled.groupBy(F.col(by).alias(f"{by}_key")).agg(share.alias(name)), name)
 
 
-def _with_shares(urls: DataFrame, labelled: DataFrame, mean: float) -> DataFrame:
-    for by, name in zip(("domain", "suffix"), _SHARES, strict=True):
-        urls = urls.join(_shares(labelled, by, name, mean), F.col(by) == F.col(f"{by}_key"), "left").drop(f"{by}_key")
+def _with_shares(urls: DataFrame, shares: dict[str, DataFrame], mean: float) -> DataFrame:
+    for (by, share), name in zip(shares.items(), _SHARES, strict=True):
+        urls = urls.join(share, F.col(by) == F.col(f"{by}_key"), "left").drop(f"{by}_key")
         urls = urls.withColumn(name, F.coalesce(name, F.lit(mean)))
     return urls
 
@@ -160,22 +161,22 @@ class Trees:
         return 1 / (1 + np.exp(-score))
 
 
-def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[Trees, DataFrame, float]:
-    """Trees from ``labelled(url, bad)``, the labelled urls with their suffixes, and the mean label."""
+def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[Trees, dict[str, DataFrame], float]:
+    """Trees from ``labelled(url, bad)``, the suffix statistics of all labelled urls, and the mean label."""
     labelled = _suffixes(parts(labelled.select("url", F.col("bad").cast("double").alias("bad")).where(F.col("url").isNotNull() & F.col("bad").isNotNull())))
     mean = float(labelled.agg(F.avg("bad")).first()[0] or 0.0)
     some = labelled.orderBy(F.xxhash64("url"), "url", "bad").limit(rows)
-    got = _with_shares(some, labelled, mean).select("url", "bad", *_SHARES).toPandas().sort_values(["url", "bad"], ignore_index=True)
-    # a label's own part in its suffix's share would give it away
+    stats = {by: _shares(labelled, by, name, mean) for by, name in zip(("domain", "suffix"), _SHARES, strict=True)}
+    got = _with_shares(some, stats, mean).select("url", "bad", *_SHARES).toPandas().sort_values(["url", "bad"], ignore_index=True)
     shares = [got[c].to_numpy() for c in _SHARES]
-    return Trees(matrix(got["url"].tolist(), *shares), got["bad"].to_numpy()), labelled, mean
+    return Trees(matrix(got["url"].tolist(), *shares), got["bad"].to_numpy()), stats, mean
 
 
 def judge_urls(pages: DataFrame, labelled: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` of every row of ``pages(page_id, url)``."""
-    trees, labelled, mean = fit(labelled)
+    trees, stats, mean = fit(labelled)
     name, says = rule(rules)
-    pages = _with_shares(_suffixes(parts(pages.select("page_id", F.col("url").cast("string").alias("url")))), labelled, mean)
+    pages = _with_shares(_suffixes(parts(pages.select("page_id", F.col("url").cast("string").alias("url")))), stats, mean)
     pages = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), "host", "path", name.alias("rule"), says.alias("says"), *_SHARES)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
