@@ -48,7 +48,7 @@ from tidemark.llm.textscan import Words, lane, slices
 LENGTH = 4096
 END_ID = 2
 OPEN, SLACK, MERGED = 16, 64, 32
-CACHED = 400_000
+CACHED = 1_000_000
 
 FIELDS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 SCHEMA = ", ".join(f"{c} bigint" for c in FIELDS)
