@@ -30,14 +30,16 @@ def final_plan(df) -> str:
     if "== Final Plan ==" in text:
         text = text.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
     text = re.sub(r"#\d+L?", "", text)
-    text = re.sub(r"Location: [^,\]]*", "Location: ...", text)
-    lines = [ln.rstrip()[:220] for ln in text.splitlines() if ln.strip() and ln.strip() != "+-"]
-    return "\n".join(lines)
+    text = re.sub(r"Location: InMemoryFileIndex\([^)]*\)\[[^\]]*\]", "Location: ...", text)
+    lines = [ln.rstrip() for ln in text.splitlines() if ln.strip() and ln.strip() != "+-"]
+    # scans are shown whole (columns, partition and pushed filters), other lines to their first part
+    return "\n".join(ln if "FileScan" in ln else ln[:220] for ln in lines)
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8, app="plans")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
     root = scratch_path(spark, "plans")
     v = history(spark, sf_dir)
     write_history(v.where("version = 1"), f"{root}/h", batch_id=0)
@@ -47,10 +49,10 @@ def main() -> None:
     st = read_state(spark, f"{root}/h", f"{root}/s")
     ops, _ = split_messages(adapters.changelog_a(spark, sf_dir))
     cases = [
-        ("Fold (window path: one exchange on id)", fold_operations(ops, hot_ops=None)[0]),
+        ("Fold (one exchange on id, one sort)", fold_operations(ops, hot_ops=None)[0]),
         ("Live snapshot over history (partial WindowGroupLimit before the exchange)", live_snapshot(h)),
         ("Q-1 event by id (id filter pushed to the scan)", Q.get_event(h, "5")),
-        ("Q-2 session events (candidate ids, semi join, dedup)", Q.get_events_by_conversation(h, "conv_5")),
+        ("Q-2 session events (winners on key columns, full rows under the session filter)", Q.get_events_by_conversation(h, "conv_5")),
         ("Q-3 error counts over history (month pruning, narrow columns)", Q.get_error_counts(h, "event_a", 7, AS_OF)),
         ("Q-4 p95 over history", Q.get_latency_stats(h, 100)),
         ("Q-5 error sessions over history", Q.get_top_error_sessions(h, 100)),
