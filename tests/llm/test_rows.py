@@ -3,7 +3,7 @@
 import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -271,6 +271,33 @@ def test_scores_prefer_the_corpus_language(docs_of):
     assert min(score[i].mean_ll for i in range(60)) > max(score[60 + i].mean_ll for i in range(6))
 
 
+@pytest.mark.parametrize("common", [1, 300, 1 << 16])
+def test_every_word_has_its_own_share(docs_of, monkeypatch, common):
+    """Words beyond the network's classes score by their counts, looked up or joined."""
+    monkeypatch.setattr(language, "COMMON", common)
+    top = " ".join(f"t{i:03d}" for i in range(language.VOCABULARY - language.SHAPES - 1))
+    rows = [(i, f"{top} {top}") for i in range(10)] + [(20 + i, "often seldom") for i in range(9)]
+    rows += [(40, "t000 often t001"), (41, "t000 rarer t001"), (42, "t000 xqzvk t001"), (43, "rarer xqzzz rarer"), (43, "rarer xqzzz rarer"), (None, None)]
+    docs = docs_of(rows)
+    got = language.score_documents(docs).collect()
+    table = language.WindowNetwork(language.cell_counts(docs, frequent := language.vocabulary(docs))).table()
+    _, cell = language.cells(pa.array([t for _, t in rows], pa.string()), frequent)
+    n = Counter(w for _, t in rows for w in (t or "").split() if w not in set(top.split()))
+    size = Counter()
+    for w, k in n.items():
+        size[len(w)] += k
+    want, at = [], 0
+    for i, t in rows:
+        own = (t or "").split()
+        want.append((i or -1, len(own), float(table[cell[at : at + len(own)]].sum(dtype=float)) + sum(math.log(n[w] / size[len(w)]) for w in own if w in n)))
+        at += len(own)
+    found = sorted((r.doc_id or -1, r.n_tokens, r.pseudo_ll) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in sorted(want)]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in sorted(want)], abs=1e-6)
+    score = {r.doc_id: r.mean_ll for r in got}
+    assert score[40] > score[41] > score[42]
+
+
 @pytest.mark.parametrize("operator", [
     lambda d: packing.pack_documents(d, tokenizer_path()), sharding.shard_documents, secrets.scan, secrets.redact, language.score_documents,
     lambda d: chat.format_chats(d.selectExpr("doc_id AS conv_id", "doc_id AS turn", "lang AS role", "text")),
