@@ -163,6 +163,47 @@ def test_many_hot_events_take_the_sliced_path(spark):
     assert Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS))) == Counter(row_key(r) for r in expected_hist)
 
 
+def test_both_paths_agree_on_equal_seq(spark):
+    """Operations of one event that share a seq, and exact copies, are ordered alike at every size."""
+    import datetime as dt
+    import random
+
+    from helpers import T0, msg
+
+    rows = [
+        msg("create", "again", 0, T0, conversation_id="c0", event_name="event_a"),
+        msg("delete", "again", 1, T0 + dt.timedelta(seconds=1), data=None),
+        msg("update", "again", 1, T0 + dt.timedelta(seconds=2), latency=1.0),
+        msg("update", "early", 5, T0, latency=1.0),
+        msg("create", "early", 5, T0 + dt.timedelta(seconds=1), conversation_id="c0", event_name="event_a"),
+    ]
+    rnd = random.Random(41)
+    for i in range(900):
+        ts = T0 + dt.timedelta(seconds=rnd.randrange(4))
+        eid, seq = f"e{rnd.randrange(60)}", rnd.randrange(6)
+        kind = rnd.choice(("create", "update", "update", "delete"))
+        if kind == "create":
+            rows.append(msg(kind, eid, seq, ts, conversation_id=f"c{i % 3}", event_name="event_b", latency=float(i)))
+        elif kind == "update":
+            rows.append(msg(kind, eid, seq, ts, latency=rnd.choice([None, float(i)]), output=rnd.choice([None, f"o{i}"])))
+        else:
+            rows += [msg(kind, eid, seq, ts, data=None)] * rnd.choice((1, 2))
+    rows += [msg("update", "one", 7, T0 + dt.timedelta(seconds=i), latency=float(i)) for i in range(1, 60)]
+    rows.append(msg("create", "one", 7, T0, conversation_id="c0", event_name="event_a"))
+    ops, _ = split_messages(messages_df(spark, rows))
+    ops = ops.repartition(5)
+
+    def folded(hot_ops):
+        versions, not_found = fold_operations(ops, hot_ops=hot_ops, slices=4)
+        got = Counter((*row_key(r), r["seq"], r["shadowed"]) for r in spark_rows(versions))
+        return got, Counter((r.event_id, r.operation, r.seq, r.raw) for r in not_found.collect())
+
+    assert folded(1) == folded(None)
+    versions, not_found = fold_operations(ops, hot_ops=1, slices=4)
+    assert {r.id for r in live_snapshot(versions).collect()}.isdisjoint({"again"})
+    assert {(r.event_id, r.seq) for r in not_found.collect()} >= {("again", 1), ("early", 5)}
+
+
 def test_shrinking_replay_leaves_nothing_behind(spark):
     from tidemark.operators.rollups import error_partial
 

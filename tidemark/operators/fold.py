@@ -2,7 +2,8 @@
 
 The reference applies each message with a read-modify-write round trip. Here
 a whole batch of operations is folded at once with running windows that all
-follow one order of ``(id, seq)``, so the plan has one shuffle and one sort:
+follow one order of ``(id, seq)``, so the plan has one shuffle and one sort
+(equal ``seq`` are ordered by time, then operation, then content):
 
 1. an operation before the first create of its event has nothing to act on;
 2. updates and deletes after the first delete act on a deleted event;
@@ -78,6 +79,8 @@ def base_from_history(history: DataFrame, touched_ids: DataFrame) -> DataFrame:
 HOT_OPS = 1_000_000
 # Slices of a hot id, cut by rank.
 SLICES = 256
+# The order of one event's operations; rows that tie in all of it are equal.
+ORDER = ("seq", "ts", "op", "_tie")
 
 
 def _prepare(ops: DataFrame, base: DataFrame | None) -> DataFrame:
@@ -89,15 +92,15 @@ def _prepare(ops: DataFrame, base: DataFrame | None) -> DataFrame:
     )
     if base is not None:
         x = x.unionByName(base.select(*x.columns))
-    return x
+    return x.withColumn("_tie", F.xxhash64("batch_id", *PATCH_FIELDS))
 
 
 def _op() -> Column:
     return F.col("op")
 
 
-def _seq() -> Column:
-    return F.col("seq")
+def _at() -> Column:
+    return F.struct(*ORDER)
 
 
 def _is_mut() -> Column:
@@ -109,21 +112,21 @@ def _create_time() -> Column:
 
 
 def _after_create() -> Column:
-    return F.col("_first_create").isNotNull() & (_seq() >= F.col("_first_create"))
+    return F.col("_first_create").isNotNull() & (_at() >= F.col("_first_create"))
 
 
 def _deletion() -> Column:
-    return F.when(_after_create() & ((_op() == OP_DELETE) | ((_op() == OP_BASE) & (F.col("b_is_deleted") == 1))), _seq())
+    return F.when(_after_create() & ((_op() == OP_DELETE) | ((_op() == OP_BASE) & (F.col("b_is_deleted") == 1))), _at())
 
 
 def _ok() -> Column:
-    acts = _after_create() & (F.col("_deleted_at").isNull() | (_seq() <= F.col("_deleted_at")))
+    acts = _after_create() & (F.col("_deleted_at").isNull() | (_at() <= F.col("_deleted_at")))
     return ~_is_mut() | acts
 
 
 def _shadowed() -> Column:
     return (_op() == OP_CREATE) & (
-        (F.col("_first_mut").isNotNull() & (_seq() > F.col("_first_mut")))
+        (F.col("_first_mut").isNotNull() & (_at() > F.col("_first_mut")))
         | (F.coalesce(F.col("_base_version"), F.lit(1)) > 1)
     )
 
@@ -165,7 +168,7 @@ def _emit(y: DataFrame, values: dict[str, Column], mutations: Column, created: C
 
 def _fold_by_window(x: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All steps as running values over one ``(id, seq)`` order: one shuffle, one sort, one task per event."""
-    order = Window.partitionBy("id").orderBy("seq", "ts", "op")
+    order = Window.partitionBy("id").orderBy(*ORDER)
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("_created", F.max(_op().isin(OP_CREATE, OP_BASE)).over(running))
@@ -194,26 +197,31 @@ def _fold_sliced(x: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
     Per-event facts come from aggregates (combined map-side) joined back.
     Each event's log is cut into ``slices`` ranges of ``seq`` that hold about
     equally many rows, whatever gaps ``seq`` has: the cuts are approximate
-    quantiles, a bounded sketch for each event. A sketch depends on the order
-    of its merges, so the cuts are written once and every use reads the same
-    ones. A slice's last provided value per field and its mutation count are aggregates too; a window over the
+    quantiles, a bounded sketch for each event. Rows whose ``seq`` is a cut
+    are cut again by time, so many equal ``seq`` are not one slice. A sketch
+    depends on the order of its merges, so the cuts are written once and every
+    use reads the same ones. A slice's last provided value per field and its mutation count are aggregates too; a window over the
     slices of one event (few rows) turns them into carry-ins, and the running
     fill then runs per slice, starting from its carry-in.
     """
     cuts = [i / slices for i in range(1, slices)]
     stats = x.groupBy("id").agg(
-        F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _seq())).alias("_first_create"),
+        F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _at())).alias("_first_create"),
         F.percentile_approx("seq", cuts, 10 * slices).alias("_cuts"),
+        F.percentile_approx("ts", cuts, 10 * slices).alias("_times"),
     )
     path = scratch_path(x.sparkSession, "fold-cuts")
     stats.write.parquet(path)
     x = x.join(x.sparkSession.read.parquet(path), "id")
-    x = x.withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col("seq"))).cast("bigint")).drop("_cuts")
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("seq"))).cast("bigint")
+    earlier = F.size(F.filter("_times", lambda c: c < F.col("ts"))).cast("bigint")
+    on_cut = F.exists("_cuts", lambda c: c == F.col("seq"))
+    x = x.withColumn("_slice", 2 * slices * below + F.when(on_cut, slices + earlier).otherwise(F.lit(0))).drop("_cuts", "_times")
     deletions = x.groupBy("id").agg(F.min(_deletion()).alias("_deleted_at"))
     x = x.join(deletions, "id").withColumn("_ok", _ok())
     y = x.where(F.col("_ok"))
     later = y.groupBy("id").agg(
-        F.min(F.when(_is_mut(), _seq())).alias("_first_mut"), F.max("b_version").alias("_base_version")
+        F.min(F.when(_is_mut(), _at())).alias("_first_mut"), F.max("b_version").alias("_base_version")
     )
     y = y.join(later, "id").withColumn("_shadowed", _shadowed())
     y = y.withColumn("_ct", _create_time())
@@ -221,7 +229,7 @@ def _fold_sliced(x: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
     slice_keys = ["id", "_shadowed", "_slice"]
     fields = [*PATCH_FIELDS, "_ct"]
     summary = y.groupBy(*slice_keys).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("seq", "ts", "op"))).alias(c) for c in fields],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), _at())).alias(c) for c in fields],
         F.sum(_is_mut().cast("bigint")).alias("_muts"),
     )
     before = (
@@ -234,12 +242,17 @@ def _fold_sliced(x: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
     )
     z = y.join(carry, slice_keys)
     running = (
-        Window.partitionBy(*slice_keys).orderBy("seq", "ts", "op").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*slice_keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     values = {c: F.coalesce(F.last(c, ignorenulls=True).over(running), F.col(f"_carry_{c}")) for c in PATCH_FIELDS}
     mutations = F.sum(_is_mut().cast("bigint")).over(running) + F.col("_carry_muts")
     created = F.coalesce(F.last("_ct", ignorenulls=True).over(running), F.col("_carry__ct"))
-    return _emit(z, values, mutations, created), _rejects(x)
+    # copies of the delete that ends an event tie with it: one acts, the others come after it
+    z = z.withColumn("_nth", F.sum((_op() == OP_DELETE).cast("bigint")).over(running))
+    folded = _emit(z, values, mutations, created, "_nth").where((F.col("is_deleted") == 0) | (F.col("_nth") == 1)).drop("_nth")
+    copies = x.where(F.col("_ok") & (_op() == OP_DELETE))
+    copies = copies.withColumn("_nth", F.row_number().over(Window.partitionBy("id").orderBy(*ORDER)))
+    return folded, _rejects(x).unionByName(_rejects(copies.withColumn("_ok", F.col("_nth") == 1)))
 
 
 def fold_operations(
