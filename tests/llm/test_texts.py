@@ -128,6 +128,21 @@ def test_hosts_with_many_failures_lose_all_documents(docs_of):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, x in got.items() if x[1]}
 
 
+def test_filter_has_rules_for_symbols_lines_and_word_length(docs_of):
+    rng = random.Random(2)
+    prose = brute.prose
+    edge = " ".join(f"{prose(rng, 12)} #" for _ in range(8))  # 8 symbols among 104 words, under the limit
+    rows = [(i, prose(rng, 60)) for i in range(60)]
+    junk = {100: prose(rng, 60) + " ### $$$ <|>", 101: "\n".join([prose(rng, 30)] * 2 + ["a line"] + ["b line"] * 3), 102: " ".join(prose(rng, 60).split() + ["x" * 900]), 103: " ".join(rng.choice("abcdefghij") for _ in range(200))}
+    rows += [*junk.items(), (104, edge), (105, None)]
+    rows += [(200 + i, prose(rng, 60) + (" #" * 9 if i % 5 < 2 else "")) for i in range(60)] + [(299, edge)]
+    rows += [(300 + i, prose(rng, 60) + (" #" * 9 if i % 5 else "")) for i in range(60)]
+    hosts = {i: "good" if i < 200 else "mixed" if i < 300 else "bad" for i, _ in rows}
+    got = {r.doc_id for r in quality.quality_filter(docs_of(rows, hosts)).collect()}
+    # the mixed host's rate of two fifths lowers the limit for its own documents, the bad host goes as a whole
+    assert got == {*range(60), 104} | {200 + i for i in range(60) if i % 5 >= 2}
+
+
 def test_tiles_against_plain_greedy_tiling():
     rng = random.Random(4)
     for _ in range(60):

@@ -6,6 +6,13 @@ shrunk by a beta prior fitted to all hosts, and hosts whose shrunk rate is
 over a threshold lose all their documents; a document that fails a base rule
 goes in any case. Documents of other hosts stay.
 
+:func:`quality_filter`, the pipeline's stage, holds every document to more
+rules (``RULES``: symbols, repeated lines, mean word length). Failures of each
+rule are aggregated by host with a prior of the rule's own; a host over the
+threshold in any rule goes, and a host's shrunk rate lowers the rule's limit
+for its documents: ``value > limit * (1 - rate)``. The verdict of
+:func:`quality_rules`, which has SQL, is that of the base rules alone.
+
 Method. ``rate = (failed + a) / (documents + a + b)`` with ``a + b`` and the
 mean by moments over hosts, each host weighing by its documents. A host with
 few documents is drawn to the mean and so is never judged on a handful of
@@ -26,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mapped, packed, settled
@@ -36,7 +43,15 @@ MIN_WORDS = 50
 #: A host goes if its shrunk failure rate is over this.
 HOST_RATE = 0.5
 SYMBOLS = "#*$%&|<>"
+#: Rules of the filter beside the base ones: a document fails where the share of the two features is over the limit.
+RULES = {
+    "symbols": ("n_symbols", "n_words", 0.1),
+    "dup_lines": ("n_dup_lines", "n_lines", 0.5),
+    "long_words": ("word_chars", "n_words", 10.0),
+    "short_words": ("n_words", "word_chars", 1 / 3),
+}
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+COUNTED = (*FEATURES, "n_lines")
 
 _NOT_NEWLINE = np.zeros(256, bool)
 _NOT_NEWLINE[0x0A] = True
@@ -63,7 +78,8 @@ def text_features(texts: pa.Array) -> dict[str, np.ndarray]:
     full = np.searchsorted(w.start, lines.end) > np.searchsorted(w.start, lines.start)
     of = lines.text[full]
     once = np.unique(_own(lines.hash()[full], of), return_index=True)[1]
-    out["n_dup_lines"] = np.bincount(of, minlength=n) - np.bincount(of[once], minlength=n)
+    out["n_lines"] = np.bincount(of, minlength=n)
+    out["n_dup_lines"] = out["n_lines"] - np.bincount(of[once], minlength=n)
 
     repeated = np.zeros(len(w), bool)
     if len(w) >= 3:
@@ -80,30 +96,36 @@ def text_features(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     found = text_features(batch.column(1))
-    return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(found[c], pa.int64()) for c in FEATURES]], names=["row", *FEATURES])
+    return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(found[c], pa.int64()) for c in COUNTED]], names=["row", *COUNTED])
 
 
 def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows as a struct ``row``, their rule features, and ``base_failed``."""
     rows = packed(docs, text)
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{c} bigint" for c in FEATURES)
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{c} bigint" for c in COUNTED)
     out = mapped(rows, _features, schema)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
 
+def host_rates(judged: DataFrame, rules: tuple[str, ...] = ("base_failed",)) -> DataFrame:
+    """``host`` and its shrunk failure rate in each rule; ``judged`` has ``host`` and whether each rule failed."""
+    hosts = settled(judged.groupBy("host").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(r).cast("bigint")).alias(r) for r in rules]), "hosts")
+    share = {r: F.col(r) / F.col("n") for r in rules}
+    sums = [x for r in rules for x in (F.sum(r).alias(r), F.sum(F.col("n") * share[r] * share[r]).alias(f"{r}_squares"))]
+    fit = hosts.agg(F.sum("n").alias("n"), *sums).first()
+    shrunk = []
+    for r in rules:
+        mean = fit[r] / fit.n if fit.n else 0.0
+        spread = max(fit[f"{r}_squares"] / fit.n - mean * mean, 1e-9) if fit.n else 1e-9
+        strength = max(mean * (1 - mean) / spread - 1, 0.0)  # the prior's documents, a + b
+        shrunk.append(((F.col(r) + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))).alias(r))
+    return hosts.select("host", *shrunk)
+
+
 def bad_hosts(judged: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
     """Hosts whose shrunk failure rate is over ``host_rate``; ``judged`` has ``host`` and ``base_failed``."""
-    hosts = settled(judged.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("bigint")).alias("failed")), "hosts")
-    share = F.col("failed") / F.col("n")
-    fit = hosts.agg(F.sum("n").alias("n"), F.sum("failed").alias("failed"), F.sum(F.col("n") * share * share).alias("squares")).first()
-    if not fit.n:
-        return hosts.select("host")
-    mean = fit.failed / fit.n
-    spread = max(fit.squares / fit.n - mean * mean, 1e-9)
-    strength = max(mean * (1 - mean) / spread - 1, 0.0)  # the prior's documents, a + b
-    shrunk = (F.col("failed") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))
-    return hosts.where(shrunk > host_rate).select("host")
+    return host_rates(judged).where(F.col("base_failed") > host_rate).select("host")
 
 
 def _judge(judged: DataFrame, host_rate: float) -> DataFrame:
@@ -121,9 +143,20 @@ def quality_rules(docs: DataFrame, host_rate: float = HOST_RATE, host: str = "so
     return _judge(settled(judged, "quality"), host_rate).select("doc_id", *FEATURES, "base_failed", "kept")
 
 
+def _value(rule: str) -> Column:
+    part, whole, _ = RULES[rule]
+    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
+
+
 def quality_filter(docs: DataFrame, host_rate: float = HOST_RATE, host: str = "source") -> DataFrame:
-    """The documents that pass, with their own columns."""
-    judged = with_features(docs).select("row", "base_failed", F.col(f"row.`{host}`").alias("host"))
-    bad = settled(bad_hosts(judged, host_rate), "bad-hosts")
-    kept = judged.where(~F.col("base_failed")).join(bad.withColumnRenamed("host", "bad_host"), F.col("host").eqNullSafe(F.col("bad_host")), "left_anti")
-    return kept.select("row.*")
+    """The documents that pass the base rules and ``RULES``, with their own columns."""
+    rules = ("base_failed", *RULES)
+    judged = with_features(docs).select("row", "base_failed", F.col(f"row.`{host}`").alias("host"), *[_value(r).alias(r) for r in RULES])
+    failed = judged.select("host", "base_failed", *[(F.col(r) > RULES[r][2]).alias(r) for r in RULES])
+    rates = settled(host_rates(failed, rules).select(F.col("host").alias("rated"), *[F.col(r).alias(f"{r}_rate") for r in rules]), "host-rates")
+    out = judged.where(~F.col("base_failed")).join(rates, F.col("host").eqNullSafe(F.col("rated")))
+    for r in rules:
+        out = out.where(F.col(f"{r}_rate") <= host_rate)
+    for r in RULES:
+        out = out.where(F.col(r) <= RULES[r][2] * (1 - F.col(f"{r}_rate")))
+    return out.select("row.*")
