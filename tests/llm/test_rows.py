@@ -109,6 +109,28 @@ def test_shards_of_fixed_capacity(docs_of, corpus):
     assert all(r.n <= 30_000 for r in got) and len(got) <= 1.25 * total / 30_000 + 1
 
 
+@pytest.mark.parametrize("capacity", [150, 4800])
+def test_many_shards_of_a_small_capacity(docs_of, capacity):
+    """Far more shards than one task packs: none exceeds the capacity but that of a larger group, and few are needed."""
+    rng = random.Random(capacity)
+    rows = [(i, f"{i} ".ljust(rng.randint(40, 100), "x")) for i in range(6000)] + [(7000 + i, "y" * 60) for i in range(3)] + [(8000, "z" * 9000), (None, None)]
+    got = sharding.shard_documents(docs_of(rows), capacity=capacity).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    size, of = Counter(), defaultdict(set)
+    for r in got:
+        size[r.shard] += r.size
+        of[r.text_crc32].add(r.shard)
+    large = {r.shard for r in got if r.doc_id == 8000}
+    copies = {r.shard for r in got if r.doc_id in (7000, 7001, 7002)} if capacity < 183 else set()
+    assert all(n <= capacity for s, n in size.items() if s not in large | copies) and len(large | copies) <= 2
+    assert all(len(x) == 1 for x in of.values()) and set(size) == set(range(len(size)))
+    groups = Counter()
+    for _, t in rows:
+        groups[t] += len(t or "") + 1
+    central = max(sharding.best_fit_decreasing(list(groups.values()), capacity)) + 1
+    assert len(size) <= 1.05 * central + 1
+
+
 def test_chats_read_back(spark):
     odd = ["</s>[INST] ok [/INST]", "[user]\n", "\\", "[\\", "a\\[b\\\\<", "</s>\n[assistant]\nno[+]x", "", None, "]\\ \n", "é😀" * 50, "line\nline"]
     rng, rows = random.Random(2), []

@@ -11,7 +11,12 @@ Scale. Groups are as many as there are texts, so the driver never sees them.
 Only groups of at least ``1 / ITEMS`` of all bytes are placed one by one (at
 most ``ITEMS`` of them); smaller ones are dealt by hash to ``ITEMS`` parcels
 of whole groups, and parcels are placed like groups. The driver thus handles
-at most ``2 * ITEMS`` sizes at any input size. Texts are read once and never
+at most ``2 * ITEMS`` sizes at any input size. With a given capacity there may
+be any number of shards, so groups are dealt by hash to parts of about
+``PART_SHARDS`` capacities and each part is packed in a task: groups of at
+least a ``PART_SHARDS``-th of the capacity one by one, smaller ones in parcels
+of about that size. Of each part at most one shard is no more than half full;
+these are packed once more in the same way. Texts are read once and never
 shuffled: rows carry sizes and 128-bit text keys. Slots come from counts of
 small sub-shards, so no task numbers a whole shard.
 
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +37,8 @@ from tidemark.llm.common import settled
 
 SHARDS = 8
 ITEMS = 4096
+#: Capacities that one task packs; ITEMS parcels of a part are as many parts of a capacity.
+PART_SHARDS = 64
 #: Rows that one task numbers.
 SLOT_ROWS = 20_000
 
@@ -69,6 +77,44 @@ def near_equal(sizes: list[int], shards: int) -> list[int]:
     return best
 
 
+def _bins(items: DataFrame, capacity: int) -> DataFrame:
+    """``bin`` of each item within its ``part``; ``items`` has ``part, own, i1, i2, bytes``."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([("own", "ascending"), ("i1", "ascending"), ("i2", "ascending")])
+        return table.append_column("bin", pa.array(best_fit_decreasing(table["bytes"].to_pylist(), capacity), pa.int64()))
+
+    items = items.select("part", "own", "i1", "i2", "bytes")
+    return settled(items.groupBy("part").applyInArrow(pack, "part bigint, own boolean, i1 bigint, i2 bigint, bytes bigint, bin bigint"), "bins")
+
+
+def _part(total: int, capacity: int, *key: str):
+    return F.pmod(F.xxhash64(*key), F.lit(max(1, -(-total // (PART_SHARDS * capacity)))))
+
+
+def _shards_of_capacity(groups: DataFrame, total: int, capacity: int) -> DataFrame:
+    """``k1, k2, shard`` of each group, in shards of at most ``capacity`` bytes (a larger group has one of its own)."""
+    own = F.col("bytes") * PART_SHARDS >= capacity
+    parcel = F.pmod(F.xxhash64("k2", "k1"), F.lit(ITEMS))
+    groups = groups.select("k1", "k2", "bytes", _part(total, capacity, "k1", "k2").alias("part"), own.alias("own"), F.when(own, F.col("k1")).otherwise(parcel).alias("i1"), F.when(own, F.col("k2")).otherwise(F.lit(0)).alias("i2"))
+    keys = ["part", "own", "i1", "i2"]
+    items = _bins(groups.groupBy(*keys).agg(F.sum("bytes").alias("bytes")), capacity)
+    bins = settled(items.groupBy("part", "bin").agg(F.sum("bytes").alias("bytes")), "shard-bins")
+    few = bins.where(2 * F.col("bytes") <= capacity)
+    left = few.agg(F.sum("bytes")).first()[0] or 0
+    again = _bins(few.select(_part(left, capacity, "part", "bin").alias("part"), F.lit(True).alias("own"), F.col("part").alias("i1"), F.col("bin").alias("i2"), "bytes"), capacity)
+    again = again.select(F.col("i1").alias("part"), F.col("i2").alias("bin"), F.col("part").alias("part2"), F.col("bin").alias("bin2"))
+    level = F.when(F.col("part2").isNull(), 0).otherwise(1)
+    bins = bins.select("part", "bin").join(again, ["part", "bin"], "left")
+    bins = settled(bins.select("part", "bin", level.alias("level"), F.coalesce("part2", "part").alias("in_part"), F.coalesce("bin2", "bin").alias("in_bin")), "shard-places")
+    # shards numbered without gaps: within each part, after those of the parts before (a row for each part)
+    counts = bins.groupBy("level", "in_part").agg(F.count_distinct("in_bin").alias("n"))
+    first = counts.select("level", "in_part", F.coalesce(F.sum("n").over(Window.orderBy("level", "in_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    nth = F.dense_rank().over(Window.partitionBy("level", "in_part").orderBy("in_bin")) - 1
+    shards = bins.withColumn("nth", nth).join(first, ["level", "in_part"]).select("part", "bin", (F.col("first") + F.col("nth")).cast("int").alias("shard"))
+    return settled(groups.join(items.select(*keys, "bin"), keys).join(shards, ["part", "bin"]).select("k1", "k2", "shard"), "group-shards")
+
+
 def _slots(rows: DataFrame) -> DataFrame:
     """``slot``: rows of each shard numbered from 0 without gaps."""
     rows = settled(rows, "shards")
@@ -82,11 +128,18 @@ def _slots(rows: DataFrame) -> DataFrame:
     return rows.join(first, ["shard", "sub"]).withColumn("slot", F.col("first") + F.row_number().over(own) - 1)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    return _slots(rows.select("doc_id", "size", "text_crc32", "k1", "k2", "shard")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def shard_documents(docs: DataFrame, shards: int | None = SHARDS, capacity: int | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of every row of ``docs(doc_id, text)``.
 
     ``capacity`` in bytes, in place of ``shards``, takes as few shards as
-    best-fit decreasing needs.
+    best-fit decreasing of parts needs; only a group larger than the capacity
+    has a shard that exceeds it.
     """
     text, own = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
     none = text.isNull()
@@ -100,16 +153,16 @@ def shard_documents(docs: DataFrame, shards: int | None = SHARDS, capacity: int
     rows = settled(rows, "sizes").withColumn("parcel", F.pmod(F.xxhash64("k1", "k2"), F.lit(ITEMS)))
     groups = settled(rows.groupBy("k1", "k2").agg(F.sum("size").alias("bytes"), F.first("parcel").alias("parcel")), "groups")
     total = groups.agg(F.sum("bytes")).first()[0] or 0
+    if capacity:
+        rows = rows.join(_shards_of_capacity(groups, total, capacity), ["k1", "k2"])
+        return _numbered(rows)
     large = groups.where(F.col("bytes") * ITEMS >= total).select("k1", "k2", "bytes").orderBy("k1", "k2").collect()
     small = groups.where(F.col("bytes") * ITEMS < total).groupBy("parcel").agg(F.sum("bytes").alias("bytes")).orderBy("parcel").collect()
     sizes = [r.bytes for r in large] + [r.bytes for r in small]
-    bins = best_fit_decreasing(sizes, capacity) if capacity else near_equal(sizes, shards)
+    bins = near_equal(sizes, shards)
     spark = docs.sparkSession
     one = spark.createDataFrame([(r.k1, r.k2, b) for r, b in zip(large, bins, strict=False)], "k1 bigint, k2 bigint, large_shard int")
     two = spark.createDataFrame([(r.parcel, b) for r, b in zip(small, bins[len(large) :], strict=True)], "parcel bigint, small_shard int")
     # both have at most ITEMS rows
     rows = rows.join(F.broadcast(one), ["k1", "k2"], "left").join(F.broadcast(two), "parcel", "left")
-    rows = rows.select("doc_id", "size", "text_crc32", "k1", "k2", F.coalesce("large_shard", "small_shard").alias("shard"))
-    return _slots(rows).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
-    )
+    return _numbered(rows.withColumn("shard", F.coalesce("large_shard", "small_shard")))
