@@ -171,6 +171,19 @@ def test_contamination(docs_of, spark):
     assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 4, 6, 7, 9]
 
 
+@pytest.mark.parametrize("block_bytes", [8 << 20, 200])
+def test_each_contaminated_row_is_reported(docs_of, spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(tiling, "BLOCK_BYTES", block_bytes)
+    rng = random.Random(11)
+    items = [brute.prose(rng, 20) for _ in range(3)]
+    bench = spark.createDataFrame([*enumerate(items), (0, items[0]), (0, items[0] + " and more")], "item_id bigint, text string")
+    rows = [(1, f"a {items[0]}"), (1, f"a {items[0]}"), (1, f"other {items[0]} {items[1]}"), (None, items[0]), (None, items[0]), (None, f"{items[0]} {items[2]}"), (2, "none")]
+    docs = docs_of(rows)
+    got = sorted((r.doc_id or -1, r.item_id, r.tiled_words) for r in tiling.contaminated(docs.repartition(4), bench).collect())
+    assert got == [(-1, 0, 20)] * 3 + [(-1, 2, 20)] + [(1, 0, 20)] * 3 + [(1, 1, 20)]
+    assert [r.doc_id for r in tiling.decontaminate(docs, bench).collect()] == [2]
+
+
 def test_benchmark_in_blocks(docs_of, spark):
     rng = random.Random(8)
     items = [brute.prose(rng, 20) for _ in range(30)]

@@ -18,7 +18,8 @@ against every document. Documents are neither shuffled nor paired.
 
 Edge cases. Null and empty texts match nothing; items shorter than five words
 have no tiles and are never reported. An item_id in several rows counts with
-its best coverage. Repeated documents are each reported. An empty benchmark or
+its best coverage. Repeated documents are each reported, a row for each of
+their rows, also without a doc_id. An empty benchmark or
 table gives an empty result. Other columns of the table pass through
 :func:`decontaminate`, whatever their names.
 """
@@ -35,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, packed
+from tidemark.llm.common import mapped, packed, text_key
 from tidemark.llm.textscan import SEPARATORS, Words, inside, ngrams, runs
 
 MIN_TILE = 5
@@ -144,30 +145,37 @@ def blocks(benchmark: DataFrame, min_tile: int = MIN_TILE, block_bytes: int | No
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min_tile: int = MIN_TILE) -> DataFrame:
     """``doc_id, item_id, n_tiles, longest_tile, tiled_words, item_words, coverage`` of each contaminated document and item."""
-    schema = "doc_id bigint, item_id bigint, n_tiles bigint, longest_tile bigint, tiled_words bigint, item_words bigint"
+    schema = "doc_id bigint, k1 bigint, k2 bigint, item_id bigint, n_tiles bigint, longest_tile bigint, tiled_words bigint, item_words bigint"
     names = [x.split()[0] for x in schema.split(", ")]
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    base = base.select("text", "doc_id", *text_key())
 
     def search(block: Block):
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, rows = batch.column(0), []
-            for t, i, found in covered(batch.column(1), block, coverage):
+            best: dict[tuple[int, int | None], tuple[float, tuple[int, ...]]] = {}
+            for t, i, found in covered(batch.column(0), block, coverage):
                 n = [x[2] for x in found]
-                rows.append((ids[t].as_py(), block.ids[i], len(n), max(n), sum(n), int(block.first[i + 1] - block.first[i])))
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*rows, strict=True) if rows else [[]] * 6)], names=names)
+                words = int(block.first[i + 1] - block.first[i])
+                own, key = (sum(n) / words, (len(n), max(n), sum(n), words)), (t, block.ids[i])
+                best[key] = max(best.get(key, own), own)
+            ids = [batch.column(c).to_pylist() for c in (1, 2, 3)] if best else []
+            rows = [(*(x[t] for x in ids), item, *own) for (t, item), (_, own) in best.items()]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*rows, strict=True) if rows else [[]] * len(names))], names=names)
 
         return run
 
     out = None
     for block in blocks(benchmark, min_tile):
-        part = mapped(base, search(block), schema)
+        # each row of the table gives an item once; rows of equal doc_id and text are counted
+        part = mapped(base, search(block), schema).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
         out = part if out is None else out.unionByName(part)
     if out is None:
-        out = docs.sparkSession.createDataFrame([], schema)
+        out = docs.sparkSession.createDataFrame([], f"{schema}, copies bigint")
     out = out.withColumn("share", F.col("tiled_words") / F.col("item_words"))
-    best = F.max(F.struct("share", *names[2:])).alias("best")
-    out = out.groupBy("doc_id", "item_id").agg(best)
-    return out.select("doc_id", "item_id", *[f"best.{c}" for c in names[2:]], F.col("best.share").alias("coverage"))
+    best = F.max(F.struct("share", *names[4:])).alias("best")
+    out = out.groupBy(*names[:4]).agg(best, F.max("copies").alias("copies"))
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    return out.select("doc_id", "item_id", *[f"best.{c}" for c in names[4:]], F.col("best.share").alias("coverage"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min_tile: int = MIN_TILE) -> DataFrame:
