@@ -184,6 +184,19 @@ def test_each_contaminated_row_is_reported(docs_of, spark, monkeypatch, block_by
     assert [r.doc_id for r in tiling.decontaminate(docs, bench).collect()] == [2]
 
 
+def test_plans_do_not_grow_with_the_benchmark(docs_of, spark, monkeypatch):
+    rng = random.Random(8)
+    items = [brute.prose(rng, 20) for _ in range(6)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = docs_of([(i, t) for i, t in enumerate(items)] + [(50, None), (51, "clean"), (None, brute.prose(rng, 40))])
+    monkeypatch.setattr(tiling, "BLOCK_BYTES", 200)
+    assert len(list(tiling.blocks(bench))) > 2
+    found, clean = tiling.contaminated(docs, bench), tiling.decontaminate(docs, bench)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (found, clean)]
+    assert not any("MapInArrow" in p for p in plans)
+    assert found.count() == 6 and {r.doc_id for r in clean.collect()} == {50, 51, None}
+
+
 def test_benchmark_in_blocks(docs_of, spark):
     rng = random.Random(8)
     items = [brute.prose(rng, 20) for _ in range(30)]

@@ -13,8 +13,11 @@ marked, the parts of others that it covers are cut off, and so on until no
 match of five words is left. The item's marked share is its coverage.
 
 Scale. The benchmark is the stated query set: it goes to the tasks in blocks
-of at most ``BLOCK_BYTES`` of text, whatever its size, and each block is held
-against every document. Documents are neither shuffled nor paired.
+of about ``BLOCK_BYTES`` of text, whatever its size, and each block is held
+against every document. Blocks run one after the other and what each finds is
+written, so the driver holds a few blocks and plans don't grow with their number.
+Documents are not paired, and not shuffled unless the benchmark has several
+blocks: then :func:`decontaminate` joins them with what was found.
 
 Edge cases. Null and empty texts match nothing; items shorter than five words
 have no tiles and are never reported. An item_id in several rows counts with
@@ -29,6 +32,7 @@ from __future__ import annotations
 import heapq
 import string
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, packed, text_key
+from tidemark.llm.common import mapped, packed, settled, text_key
 from tidemark.llm.textscan import SEPARATORS, Words, inside, ngrams, runs
+from tidemark.session import scratch_path
 
 MIN_TILE = 5
 COVERAGE = 0.5
@@ -143,10 +148,12 @@ def blocks(benchmark: DataFrame, min_tile: int = MIN_TILE, block_bytes: int | No
         yield Block(rows, min_tile)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min_tile: int = MIN_TILE) -> DataFrame:
-    """``doc_id, item_id, n_tiles, longest_tile, tiled_words, item_words, coverage`` of each contaminated document and item."""
-    schema = "doc_id bigint, k1 bigint, k2 bigint, item_id bigint, n_tiles bigint, longest_tile bigint, tiled_words bigint, item_words bigint"
-    names = [x.split()[0] for x in schema.split(", ")]
+_HIT = "doc_id bigint, k1 bigint, k2 bigint, item_id bigint, n_tiles bigint, longest_tile bigint, tiled_words bigint, item_words bigint"
+
+
+def _hits(docs: DataFrame, found_in: Iterator[Block], coverage: float) -> DataFrame:
+    """What each block finds, settled block by block: a row for each text, item and block, with the number of its rows."""
+    names = [x.split()[0] for x in _HIT.split(", ")]
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = base.select("text", "doc_id", *text_key())
 
@@ -164,18 +171,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
         return run
 
-    out = None
-    for block in blocks(benchmark, min_tile):
+    path, schema = scratch_path(docs.sparkSession, "tiles"), f"{_HIT}, copies bigint"
+    docs.sparkSession.createDataFrame([], schema).write.parquet(path)
+    for block in found_in:
         # each row of the table gives an item once; rows of equal doc_id and text are counted
-        part = mapped(base, search(block), schema).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], f"{schema}, copies bigint")
-    out = out.withColumn("share", F.col("tiled_words") / F.col("item_words"))
-    best = F.max(F.struct("share", *names[4:])).alias("best")
-    out = out.groupBy(*names[:4]).agg(best, F.max("copies").alias("copies"))
+        part = mapped(base, search(block), _HIT).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+        part.write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min_tile: int = MIN_TILE) -> DataFrame:
+    """``doc_id, item_id, n_tiles, longest_tile, tiled_words, item_words, coverage`` of each contaminated document and item."""
+    out = _hits(docs, blocks(benchmark, min_tile), coverage).withColumn("share", F.col("tiled_words") / F.col("item_words"))
+    names = ["n_tiles", "longest_tile", "tiled_words", "item_words"]
+    best = F.max(F.struct("share", *names)).alias("best")
+    out = out.groupBy("doc_id", "k1", "k2", "item_id").agg(best, F.max("copies").alias("copies"))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
-    return out.select("doc_id", "item_id", *[f"best.{c}" for c in names[4:]], F.col("best.share").alias("coverage"))
+    return out.select("doc_id", "item_id", *[f"best.{c}" for c in names], F.col("best.share").alias("coverage"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min_tile: int = MIN_TILE) -> DataFrame:
@@ -191,6 +203,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
         return run
 
-    for block in blocks(benchmark, min_tile):
-        rows = mapped(rows, keep(block), schema)
-    return rows.select("row.*")
+    found_in = blocks(benchmark, min_tile)
+    first, second = next(found_in, None), next(found_in, None)
+    if second is None:
+        return (mapped(rows, keep(first), schema) if first else rows).select("row.*")
+    hits = _hits(docs, chain([first, second], found_in), coverage).select(F.col("k1").alias("h1"), F.col("k2").alias("h2")).distinct()
+    keyed = rows.select("row", *text_key())
+    return keyed.join(settled(hits, "contaminated"), (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")), "left_anti").select("row.*")
