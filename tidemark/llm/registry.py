@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, minhash, packing, quality, secrets, sharding, substrings, tiling, urls
+from tidemark.llm import chat, language, minhash, packing, periodic, quality, secrets, sharding, substrings, tiling, urls
 from tidemark.llm.common import table
 from tidemark.llm.secrets_sql import SECRETS_SQL
 
@@ -117,6 +117,25 @@ def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, after a tenth of the documents were made periodic."""
+    found = periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents")))
+    order = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", order)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.q")).alias("period"),
+        F.floor(1000 * F.col("best.n") / -F.col("best.q")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE["op1_bag_minhash"] = rf"""
