@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, minhash, packing, periodic, quality, secrets, sharding, substrings, tiling, urls
+from tidemark.llm import chat, language, minhash, packing, passages, periodic, quality, secrets, sharding, substrings, tiling, urls
 from tidemark.llm.common import table
 from tidemark.llm.secrets_sql import SECRETS_SQL
 
@@ -136,6 +136,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality; a fifth of the ids (by checksum) is never learnt from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = passages.fit(docs, labels.where(~held_out).select("doc_id", F.col("quality").alias("label")))
+    out = passages.score_documents(docs, model)
+    return out.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_passages", "top_word", "top_weight"
+    )
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE["op1_bag_minhash"] = rf"""
