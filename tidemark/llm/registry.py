@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, minhash, packing, passages, periodic, quality, secrets, sharding, substrings, tiling, urls
+from tidemark.llm import chat, language, minhash, packing, passages, periodic, quality, secrets, sharding, substrings, tiling, trie, urls
 from tidemark.llm.common import table
 from tidemark.llm.secrets_sql import SECRETS_SQL
 
@@ -148,6 +148,15 @@ def op12_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    turns, convs = trie.rebuilt(table(spark, sf_dir, "conversations"))
+    ends = F.sha2(F.array_join(F.col("ends").cast("array<string>"), ","), 256)
+    nodes = trie.prefix_trie(turns, convs).withColumn("ends_sha256", ends)
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE["op1_bag_minhash"] = rf"""
@@ -230,3 +239,34 @@ FROM judged JOIN bad ON judged.source IS NOT DISTINCT FROM bad.source
 """
 
 ORACLE["op9_randomness"] = SECRETS_SQL
+
+ORACLE["op13_prefix_trie"] = r"""
+WITH t AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base,
+        xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+            lambda h, b: list_reduce([xor(h, b)] || range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+    SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.base AND place < h
+    UNION ALL SELECT c.conv_id, place + 6, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND place >= h),
+path AS (
+    SELECT conv_id, row_number() OVER w AS d, length(text) AS chars, string_agg(sha256(sha256(role) || text), '') OVER w AS p
+    FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+    UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+size AS (SELECT conv_id, max(d) AS n FROM path GROUP BY conv_id),
+node AS (
+    SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = n) AS ends
+    FROM path JOIN size USING (conv_id) GROUP BY p, d),
+up AS (SELECT node.*, a.p AS parent FROM node LEFT JOIN path a ON a.conv_id = node.conv_id AND a.d = node.d - 1),
+child AS (SELECT parent AS p, d - 1 AS d, count(*) AS n FROM up WHERE d > 0 GROUP BY ALL),
+below AS (
+    SELECT a.p, a.d, sum((u.n_convs - 1) * u.chars) AS saved, count(*) FILTER (child.n IS NULL) AS leaves
+    FROM node u LEFT JOIN child ON child.p = u.p AND child.d = u.d JOIN path a ON a.conv_id = u.conv_id AND a.d <= u.d GROUP BY a.p, a.d)
+SELECT up.conv_id, up.d AS depth, above.conv_id AS parent_conv_id, up.n_convs, coalesce(child.n, 0) AS n_children,
+    below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, sha256(coalesce(up.ends, '')) AS ends_sha256
+FROM up JOIN below ON below.p = up.p AND below.d = up.d
+LEFT JOIN child ON child.p = up.p AND child.d = up.d LEFT JOIN node above ON above.p = up.parent AND above.d = up.d - 1
+"""
