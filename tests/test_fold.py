@@ -102,7 +102,7 @@ def test_sliced_path_matches_model_with_one_hot_event(spark):
     rows = sorted(rows + hot, key=lambda r: r[4])
     expected_hist, expected_rej = model(rows)
     ops, bad = split_messages(messages_df(spark, rows))
-    versions, not_found = fold_operations(ops, hot_ops=100, slices=9)
+    versions, not_found = fold_operations(ops, slices=40, step=10)
     got = Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
     assert sorted((r.event_id, r.seq) for r in not_found.collect()) == sorted((e, s) for e, _, s, _ in expected_rej)
@@ -113,7 +113,7 @@ def test_sliced_path_with_base_matches_one_shot(spark):
     expected_hist, _ = model(rows)
     tables = Tables(scratch_path(spark, "hot-split"))
     for b, (lo, hi) in enumerate([(0, 300), (300, 650), (650, len(rows))]):
-        apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables, hot_ops=20, slices=7)
+        apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables, slices=100, step=4)
     hist = read_history(spark, tables.history)
     got = Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
@@ -150,20 +150,20 @@ def test_slices_follow_ranks_not_values(spark):
     rows += [msg("update", "hot", 1000 * i if i < 299 else 10**12, T0 + dt.timedelta(seconds=i), latency=float(i) if i % 3 else None) for i in range(1, 300)]
     expected_hist, _ = model(rows)
     ops, _ = split_messages(messages_df(spark, rows))
-    versions, _ = fold_operations(ops, hot_ops=10, slices=8)
+    versions, _ = fold_operations(ops, slices=60, step=5)
     got = Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
 
 
-def test_many_hot_events_take_the_sliced_path(spark):
+def test_many_events_are_cut(spark):
     rows = random_log(n_ids=40, n_ops=600, seed=13)
     expected_hist, _ = model(rows)
     ops, _ = split_messages(messages_df(spark, rows))
-    versions, _ = fold_operations(ops, hot_ops=1, slices=3)
+    versions, _ = fold_operations(ops, slices=400, step=2)
     assert Counter(row_key(r) for r in spark_rows(versions.select(*EVENT_COLS))) == Counter(row_key(r) for r in expected_hist)
 
 
-def test_both_paths_agree_on_equal_seq(spark):
+def test_slices_agree_on_equal_seq(spark):
     """Operations of one event that share a seq, and exact copies, are ordered alike at every size."""
     import datetime as dt
     import random
@@ -193,13 +193,13 @@ def test_both_paths_agree_on_equal_seq(spark):
     ops, _ = split_messages(messages_df(spark, rows))
     ops = ops.repartition(5)
 
-    def folded(hot_ops):
-        versions, not_found = fold_operations(ops, hot_ops=hot_ops, slices=4)
+    def folded(step):
+        versions, not_found = fold_operations(ops, slices=2000 // step, step=step)
         got = Counter((*row_key(r), r["seq"], r["shadowed"]) for r in spark_rows(versions))
         return got, Counter((r.event_id, r.operation, r.seq, r.raw) for r in not_found.collect())
 
-    assert folded(1) == folded(None)
-    versions, not_found = fold_operations(ops, hot_ops=1, slices=4)
+    assert folded(1) == folded(3) == folded(1000)
+    versions, not_found = fold_operations(ops, slices=1000, step=2)
     assert {r.id for r in live_snapshot(versions).collect()}.isdisjoint({"again"})
     assert {(r.event_id, r.seq) for r in not_found.collect()} >= {("again", 1), ("early", 5)}
 

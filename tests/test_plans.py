@@ -71,7 +71,7 @@ def test_fold_has_one_exchange(spark):
     from tidemark.operators.validate import split_messages
 
     ops, _ = split_messages(adapters.changelog_a(spark, SF_SMALL))
-    versions, _ = fold_operations(ops, hot_ops=None)
+    versions, _ = fold_operations(ops)
     p = versions._jdf.queryExecution().executedPlan().toString()
     assert p.count("Exchange hashpartitioning(id") == 1
     assert "Exchange" not in p.replace("Exchange hashpartitioning(id", "")

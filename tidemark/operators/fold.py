@@ -2,8 +2,8 @@
 
 The reference applies each message with a read-modify-write round trip. Here
 a whole batch of operations is folded at once with running windows that all
-follow one order of ``(id, seq)``, so the plan has one shuffle and one sort
-(equal ``seq`` are ordered by time, then operation, then content):
+follow one order of ``(id, seq)``, so the plan has one shuffle and one sort of
+full rows (equal ``seq`` are ordered by time, then operation, then content):
 
 1. an operation before the first create of its event has nothing to act on;
 2. updates and deletes after the first delete act on a deleted event;
@@ -40,7 +40,6 @@ from tidemark.schema import (
     R_NOT_FOUND,
     SHADOW_COL,
 )
-from tidemark.session import scratch_path
 
 
 def base_from_history(history: DataFrame, touched_ids: DataFrame) -> DataFrame:
@@ -75,10 +74,9 @@ def base_from_history(history: DataFrame, touched_ids: DataFrame) -> DataFrame:
     )
 
 
-# An event id with more operations than this takes the sliced path.
-HOT_OPS = 1_000_000
-# Slices of a hot id, cut by rank.
-SLICES = 256
+# An event's log is cut where a sample of the whole log holds STEP of its operations; a
+# cut is worth about 1 / SLICES of the log, so no event is one task and most have no cut.
+SLICES, STEP = 256, 16
 # The order of one event's operations; rows that tie in all of it are equal.
 ORDER = ("seq", "ts", "op", "_tie")
 
@@ -144,31 +142,69 @@ def _rejects(x: DataFrame) -> DataFrame:
     )
 
 
-def _emit(y: DataFrame, values: dict[str, Column], mutations: Column, created: Column, *keep: str) -> DataFrame:
-    version = (
-        F.when(_op() == OP_CREATE, F.lit(1).cast("bigint"))
-        .when(_op() == OP_BASE, F.col("b_version"))
-        .otherwise(F.coalesce(F.col("_base_version"), F.lit(1).cast("bigint")) + mutations)
-    )
-    folded = y.select(
-        "id",
-        *[values[c].alias(c) for c in PATCH_FIELDS],
-        (_op() == OP_DELETE).cast("int").alias("is_deleted"),
-        version.alias("version"),
-        created.alias("created_at"),
-        F.col("ts").alias("updated_at"),
-        "batch_id",
-        "seq",
-        "op",
-        F.col("_shadowed").cast("int").alias(SHADOW_COL),
-        *keep,
-    )
-    return folded.where(_op() != OP_BASE).select(*EVENT_COLS, "batch_id", "seq", SHADOW_COL, *keep)
+def _order_cuts(ops: DataFrame, slices: int, step: int) -> DataFrame | None:
+    """``id, _cuts``: places ``(seq, ts)`` at which the logs of events with many operations are cut.
+
+    From the ``slices * step`` operations of least hash, a sample of any log in
+    which an event has points in proportion to its operations. At most
+    ``slices`` cuts in all, so the result is small enough to broadcast.
+    """
+    chosen = ops.select("id", "seq", "ts").orderBy(F.xxhash64("id", "seq", "ts"), "id", "seq", "ts").limit(slices * step)
+    at: dict[str, list] = {}
+    for r in sorted(chosen.collect(), key=lambda r: (r.id, r.seq, r.ts)):
+        at.setdefault(r.id, []).append((r.seq, r.ts))
+    cuts = [(i, points[step - 1 :: step]) for i, points in at.items() if len(points) >= step]
+    schema = "id string, _cuts array<struct<seq: bigint, ts: timestamp_ntz>>"
+    return F.broadcast(ops.sparkSession.createDataFrame(cuts, schema)) if cuts else None
 
 
-def _fold_by_window(x: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All steps as running values over one ``(id, seq)`` order: one shuffle, one sort, one task per event."""
-    order = Window.partitionBy("id").orderBy(*ORDER)
+def _sliced(x: DataFrame, cuts: DataFrame | None) -> DataFrame:
+    """``_slice`` of each operation, and for each later slice a base row: the event as the slices before leave it.
+
+    Every slice then folds on its own. The states come from aggregates over
+    the cut events alone (combined map-side, one row for each event or slice),
+    and a window over one event's few slices.
+    """
+    if cuts is None:
+        return x.withColumn("_slice", F.lit(0))
+    here = F.struct("seq", "ts")
+    x = x.join(cuts, "id", "left").withColumn("_slice", F.coalesce(F.size(F.filter("_cuts", lambda c: c < here)), F.lit(0)))
+    cut = x.where(F.col("_cuts").isNotNull()).drop("_cuts")
+
+    def told(rows: DataFrame, *facts: Column) -> DataFrame:
+        return rows.join(F.broadcast(rows.groupBy("id").agg(*facts)), "id")  # a row for each cut event
+
+    y = told(cut, F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _at())).alias("_first_create"))
+    y = told(y, F.min(_deletion()).alias("_deleted_at")).withColumn("_ok", _ok())
+    acts = F.col("_ok") & _is_mut()
+    y = told(y, F.min(F.when(acts, _at())).alias("_first_mut"), F.max("b_version").alias("_base_version"))
+    counts = F.col("_ok") & ~_shadowed()
+    fields = [*PATCH_FIELDS, "_created_at"]
+    y = y.withColumn("_created_at", _create_time())
+    states = y.groupBy("id", "_slice").agg(
+        *[F.max_by(c, F.when(counts & F.col(c).isNotNull(), _at())).alias(c) for c in fields],
+        F.sum(acts.cast("bigint")).alias("_muts"),
+        F.max(_op().isin(OP_CREATE, OP_BASE)).alias("_created"),
+        F.max(_at().eqNullSafe(F.col("_deleted_at"))).alias("_gone"),
+        F.max("_base_version").alias("_base_version"),
+        F.max("batch_id").alias("batch_id"),
+    )
+    before = Window.partitionBy("id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = states.select(
+        "id", F.lit(-1).cast("bigint").alias("seq"), "batch_id", F.lit(OP_BASE).alias("op"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+        *[F.last(c, ignorenulls=True).over(before).alias(c) for c in PATCH_FIELDS],
+        (F.coalesce("_base_version", F.lit(1).cast("bigint")) + F.sum("_muts").over(before)).alias("b_version"),
+        F.max("_gone").over(before).cast("int").alias("b_is_deleted"),
+        F.last("_created_at", ignorenulls=True).over(before).alias("b_created_at"),
+        F.lit(0).cast("bigint").alias("_tie"), "_slice", F.max("_created").over(before).alias("_created"),
+    )
+    x = x.drop("_cuts")
+    return x.unionByName(carried.where("_created").select(*x.columns))
+
+
+def _running(x: DataFrame) -> DataFrame:
+    """Existence, deletion, mutation count and shadowing as running values of each slice: one shuffle, one sort."""
+    order = Window.partitionBy("id", "_slice").orderBy(*ORDER)
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("_created", F.max(_op().isin(OP_CREATE, OP_BASE)).over(running))
@@ -179,87 +215,44 @@ def _fold_by_window(x: DataFrame) -> tuple[DataFrame, DataFrame]:
     acts = (F.col("_ok") & _is_mut()).cast("bigint")
     x = x.withColumn("_muts", F.sum(acts).over(running))
     late = (F.col("_muts") > 0) | (F.coalesce(F.col("_base_version"), F.lit(1)) > 1)
-    x = x.withColumn("_shadowed", (_op() == OP_CREATE) & late)
+    return x.withColumn("_shadowed", (_op() == OP_CREATE) & late)
+
+
+def _folded(x: DataFrame) -> DataFrame:
+    order = Window.partitionBy("id", "_slice").orderBy(*ORDER)
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = F.col("_ok") & ~F.col("_shadowed")
 
     def carried(c: Column) -> Column:
         """The last provided value; a shadowed create has its own."""
         return F.when(F.col("_shadowed"), c).otherwise(F.last(F.when(counts, c), ignorenulls=True).over(running))
 
-    values = {c: carried(F.col(c)) for c in PATCH_FIELDS}
-    folded = _emit(x, values, F.col("_muts"), carried(_create_time()), "_ok")
-    return folded.where("_ok").drop("_ok"), _rejects(x)
-
+    version = F.when(_op() == OP_CREATE, F.lit(1).cast("bigint")).otherwise(
+        F.coalesce(F.col("_base_version"), F.lit(1).cast("bigint")) + F.col("_muts")
+    )
+    y = x.select(
+        "id",
+        *[carried(F.col(c)).alias(c) for c in PATCH_FIELDS],
+        (_op() == OP_DELETE).cast("int").alias("is_deleted"),
+        version.alias("version"),
+        carried(_create_time()).alias("created_at"),
+        F.col("ts").alias("updated_at"),
+        "batch_id", "seq", F.col("_shadowed").cast("int").alias(SHADOW_COL), "op", "_tie", "_ok",
+    )
+    return y.where(_op() != OP_BASE)
 
-def _fold_sliced(x: DataFrame, slices: int) -> tuple[DataFrame, DataFrame]:
-    """The same fold for events with very many operations, split over tasks.
 
-    Per-event facts come from aggregates (combined map-side) joined back.
-    Each event's log is cut into ``slices`` ranges of ``seq`` that hold about
-    equally many rows, whatever gaps ``seq`` has: the cuts are approximate
-    quantiles, a bounded sketch for each event. Rows whose ``seq`` is a cut
-    are cut again by time, so many equal ``seq`` are not one slice. A sketch
-    depends on the order of its merges, so the cuts are written once and every
-    use reads the same ones. A slice's last provided value per field and its mutation count are aggregates too; a window over the
-    slices of one event (few rows) turns them into carry-ins, and the running
-    fill then runs per slice, starting from its carry-in.
-    """
-    cuts = [i / slices for i in range(1, slices)]
-    stats = x.groupBy("id").agg(
-        F.min(F.when(_op().isin(OP_CREATE, OP_BASE), _at())).alias("_first_create"),
-        F.percentile_approx("seq", cuts, 10 * slices).alias("_cuts"),
-        F.percentile_approx("ts", cuts, 10 * slices).alias("_times"),
-    )
-    path = scratch_path(x.sparkSession, "fold-cuts")
-    stats.write.parquet(path)
-    x = x.join(x.sparkSession.read.parquet(path), "id")
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("seq"))).cast("bigint")
-    earlier = F.size(F.filter("_times", lambda c: c < F.col("ts"))).cast("bigint")
-    on_cut = F.exists("_cuts", lambda c: c == F.col("seq"))
-    x = x.withColumn("_slice", 2 * slices * below + F.when(on_cut, slices + earlier).otherwise(F.lit(0))).drop("_cuts", "_times")
-    deletions = x.groupBy("id").agg(F.min(_deletion()).alias("_deleted_at"))
-    x = x.join(deletions, "id").withColumn("_ok", _ok())
-    y = x.where(F.col("_ok"))
-    later = y.groupBy("id").agg(
-        F.min(F.when(_is_mut(), _at())).alias("_first_mut"), F.max("b_version").alias("_base_version")
-    )
-    y = y.join(later, "id").withColumn("_shadowed", _shadowed())
-    y = y.withColumn("_ct", _create_time())
-
-    slice_keys = ["id", "_shadowed", "_slice"]
-    fields = [*PATCH_FIELDS, "_ct"]
-    summary = y.groupBy(*slice_keys).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), _at())).alias(c) for c in fields],
-        F.sum(_is_mut().cast("bigint")).alias("_muts"),
-    )
-    before = (
-        Window.partitionBy("id", "_shadowed").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry = summary.select(
-        *slice_keys,
-        *[F.last(c, ignorenulls=True).over(before).alias(f"_carry_{c}") for c in fields],
-        F.coalesce(F.sum("_muts").over(before), F.lit(0)).cast("bigint").alias("_carry_muts"),
-    )
-    z = y.join(carry, slice_keys)
-    running = (
-        Window.partitionBy(*slice_keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    values = {c: F.coalesce(F.last(c, ignorenulls=True).over(running), F.col(f"_carry_{c}")) for c in PATCH_FIELDS}
-    mutations = F.sum(_is_mut().cast("bigint")).over(running) + F.col("_carry_muts")
-    created = F.coalesce(F.last("_ct", ignorenulls=True).over(running), F.col("_carry__ct"))
-    # copies of the delete that ends an event tie with it: one acts, the others come after it
-    z = z.withColumn("_nth", F.sum((_op() == OP_DELETE).cast("bigint")).over(running))
-    folded = _emit(z, values, mutations, created, "_nth").where((F.col("is_deleted") == 0) | (F.col("_nth") == 1)).drop("_nth")
-    copies = x.where(F.col("_ok") & (_op() == OP_DELETE))
-    copies = copies.withColumn("_nth", F.row_number().over(Window.partitionBy("id").orderBy(*ORDER)))
-    return folded, _rejects(x).unionByName(_rejects(copies.withColumn("_ok", F.col("_nth") == 1)))
+def fold_rows(ops: DataFrame, base: DataFrame | None = None, slices: int = SLICES, step: int = STEP) -> DataFrame:
+    """Every operation with the version row it makes (``EVENT_COLS``, ``batch_id, seq, shadowed``), ``op``,
+    ``_tie`` (a hash of its content) and ``_ok``: False where it has nothing to act on."""
+    return _folded(_running(_sliced(_prepare(ops, base), _order_cuts(ops, slices, step))))
 
 
 def fold_operations(
     ops: DataFrame,
     base: DataFrame | None = None,
-    hot_ops: int | None = HOT_OPS,
     slices: int = SLICES,
+    step: int = STEP,
 ) -> tuple[DataFrame, DataFrame]:
     """Fold normalised operations into version rows.
 
@@ -267,22 +260,15 @@ def fold_operations(
     provided), from :func:`tidemark.operators.validate.split_messages`.
     ``base``: optional stored state from :func:`base_from_history`.
 
-    Events with more than ``hot_ops`` operations are folded by the sliced
-    path so no event is one task, however many such events there are; both
-    paths give the same rows. Finding them is one combinable count per id
-    (persist ``ops`` first when it is expensive to recompute).
-    ``hot_ops=None`` skips the check.
+    All events take one path: their logs are cut into slices by order (an
+    event that is a small part of the log is one slice), the state before each
+    slice enters it as a base row, and running values fold each slice. The
+    cuts come from a bounded sample of ``ops``, read when this is called.
 
     Returns ``(versions, rejects)``: version rows with ``EVENT_COLS`` +
     ``batch_id, seq, shadowed`` (1: a create that was never visible), and ``not_found`` rejects (``event_id, operation,
     seq, reason, raw``).
     """
-    x = _prepare(ops, base)
-    if hot_ops is None:
-        return _fold_by_window(x)
-    hot = ops.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > int(hot_ops)).select("id")
-    if hot.isEmpty():
-        return _fold_by_window(x)
-    cold_v, cold_r = _fold_by_window(x.join(hot, "id", "left_anti"))
-    hot_v, hot_r = _fold_sliced(x.join(hot, "id", "left_semi"), slices)
-    return cold_v.unionByName(hot_v), cold_r.unionByName(hot_r)
+    x = _running(_sliced(_prepare(ops, base), _order_cuts(ops, slices, step)))
+    versions = _folded(x).where("_ok").select(*EVENT_COLS, "batch_id", "seq", SHADOW_COL)
+    return versions, _rejects(x)

@@ -394,7 +394,7 @@ def q_offset_order(spark, d):
 def q_hot_event_history(spark, d):
     """One event with the whole log, folded in slices."""
     ops, _ = split_messages(adapters.hot_changelog_a(spark, d))
-    versions, _ = fold_operations(ops, hot_ops=1000)
+    versions, _ = fold_operations(ops)
     return versions.select("id", "conversation_id", "event_name", "error", "latency", "version", "seq")
 
 

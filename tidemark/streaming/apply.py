@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.fold import HOT_OPS, SLICES, base_from_history, fold_operations
+from tidemark.operators.fold import SLICES, STEP, base_from_history, fold_operations
 from tidemark.operators.rollups import error_partial, latency_partial, merge_error, merge_latency, with_month
 from tidemark.operators.validate import split_messages
 from tidemark.schema import ERROR_PARTIAL_SCHEMA, LATENCY_PARTIAL_SCHEMA, R_NOT_FOUND
@@ -81,13 +81,13 @@ def apply_batch(
     messages: DataFrame,
     batch_id: int,
     tables: Tables,
-    hot_ops: int | None = HOT_OPS,
     slices: int = SLICES,
+    step: int = STEP,
 ) -> None:
     """Fold one batch of decoded messages into the tables (idempotent per ``batch_id``).
 
     The history is written last: its folder's ``_SUCCESS`` commits the batch.
-    ``hot_ops`` / ``slices`` are passed to :func:`fold_operations`.
+    ``slices`` / ``step`` are passed to :func:`fold_operations`.
     """
     kept: list[DataFrame] = []
 
@@ -104,7 +104,7 @@ def apply_batch(
         prior = _before(spark, tables, batch_id)
         if prior is not None:
             base = keep(base_from_history(prior, ops.select("id").distinct()))
-        versions, not_found = fold_operations(ops, base, hot_ops=hot_ops, slices=slices)
+        versions, not_found = fold_operations(ops, base, slices=slices, step=step)
         versions = keep(versions)
         write_batch_table(bad.unionByName(not_found), tables.rejects, batch_id)
         write_batch_table(with_month(error_partial(versions)), tables.error_rollup, batch_id, ("event_month",))

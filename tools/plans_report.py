@@ -49,7 +49,7 @@ def main() -> None:
     st = read_state(spark, f"{root}/h", f"{root}/s")
     ops, _ = split_messages(adapters.changelog_a(spark, sf_dir))
     cases = [
-        ("Fold (one exchange on id, one sort)", fold_operations(ops, hot_ops=None)[0]),
+        ("Fold (one exchange on id, one sort)", fold_operations(ops)[0]),
         ("Live snapshot over history (partial WindowGroupLimit before the exchange)", live_snapshot(h)),
         ("Q-1 event by id (id filter pushed to the scan)", Q.get_event(h, "5")),
         ("Q-2 session events (winners on key columns, full rows under the session filter)", Q.get_events_by_conversation(h, "conv_5")),
