@@ -11,8 +11,8 @@ from tidemark.operators.validate import split_messages
 from tidemark.operators.versioning import latest_version, live_snapshot
 from tidemark.schema import EVENT_COLS
 from tidemark.session import scratch_path
-from tidemark.sinks.table import read_history, read_rejects
-from tidemark.streaming.apply import Tables, apply_batch
+from tidemark.sinks.store import read_rejects, read_versions
+from tidemark.streaming.apply import Tables, apply_batch, error_rollup
 
 
 def _fold(spark, rows):
@@ -57,10 +57,10 @@ def test_batch_split_equals_one_shot(spark):
     cuts = [0, 500, 1100, len(rows)]
     for b in range(3):
         apply_batch(spark, messages_df(spark, rows[cuts[b]:cuts[b + 1]]), b, tables)
-    hist = read_history(spark, tables.history)
+    hist = read_versions(spark, tables)
     got = Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
-    rej = read_rejects(spark, tables.rejects)
+    rej = read_rejects(spark, tables)
     assert rej.where("reason = 'not_found'").count() == len(expected_rej)
 
 
@@ -69,14 +69,14 @@ def test_replayed_batch_is_idempotent(spark):
     tables = Tables(scratch_path(spark, "replay"))
     apply_batch(spark, messages_df(spark, rows[:300]), 0, tables)
     apply_batch(spark, messages_df(spark, rows[300:]), 1, tables)
-    first = sorted(map(tuple, read_history(spark, tables.history).select(*EVENT_COLS, "batch_id", "seq").collect()), key=repr)
+    first = sorted(map(tuple, read_versions(spark, tables).select(*EVENT_COLS, "batch_id", "seq").collect()), key=repr)
     # batch 1 runs again (e.g. failed after writing, before the checkpoint commit)
     apply_batch(spark, messages_df(spark, rows[300:]), 1, tables)
-    second = sorted(map(tuple, read_history(spark, tables.history).select(*EVENT_COLS, "batch_id", "seq").collect()), key=repr)
+    second = sorted(map(tuple, read_versions(spark, tables).select(*EVENT_COLS, "batch_id", "seq").collect()), key=repr)
     assert first == second
-    p1 = spark.read.parquet(tables.error_rollup).count()
+    p1 = error_rollup(spark, tables).count()
     apply_batch(spark, messages_df(spark, rows[300:]), 1, tables)
-    assert spark.read.parquet(tables.error_rollup).count() == p1
+    assert error_rollup(spark, tables).count() == p1
 
 
 def test_sliced_path_matches_model_with_one_hot_event(spark):
@@ -114,7 +114,7 @@ def test_sliced_path_with_base_matches_one_shot(spark):
     tables = Tables(scratch_path(spark, "hot-split"))
     for b, (lo, hi) in enumerate([(0, 300), (300, 650), (650, len(rows))]):
         apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables, slices=100, step=4)
-    hist = read_history(spark, tables.history)
+    hist = read_versions(spark, tables)
     got = Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS)))
     assert got == Counter(row_key(r) for r in expected_hist)
 
@@ -129,8 +129,8 @@ def test_compacted_state_equals_history_snapshot(spark):
         apply_batch(spark, messages_df(spark, rows[lo:hi]), b, tables)
         if b == 1:
             compact_tables(spark, tables, through=1)
-    hist = read_history(spark, tables.history)
-    state = current_state(spark, tables)
+    hist = read_versions(spark, tables)
+    state = current_state(spark, tables, vectors=True)
     assert state.count() == latest_version(hist).count()
     want = sorted(map(tuple, live_snapshot(hist).select(*EVENT_COLS).collect()), key=repr)
     got = sorted(map(tuple, state.where("is_deleted = 0").select(*EVENT_COLS).collect()), key=repr)
@@ -213,37 +213,41 @@ def test_shrinking_replay_leaves_nothing_behind(spark):
     apply_batch(spark, messages_df(spark, rows[200:]), 1, tables)
     apply_batch(spark, messages_df(spark, rows[200:210]), 1, tables)
     want, _ = model(rows[:210])
-    hist = read_history(spark, tables.history)
+    hist = read_versions(spark, tables)
     assert Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS))) == Counter(row_key(r) for r in want)
     apply_batch(spark, messages_df(spark, rows[:1]).limit(0), 1, tables)
-    hist = read_history(spark, tables.history)
+    hist = read_versions(spark, tables)
     assert hist.where("batch_id = 1").count() == 0 and hist.count() == len(model(rows[:200])[0])
     assert error_partial(hist).count() >= 1
 
 
 def test_uncommitted_batches_are_not_seen(spark):
-    from tidemark.sinks.table import last_committed, write_history, write_snapshot
+    """Of a plain history table (an apply job's tables: test_store)."""
+    from tidemark.sinks.table import last_committed, read_history, write_history, write_purged, write_snapshot
 
     rows = random_log(n_ids=30, n_ops=120, seed=8)
-    tables = Tables(scratch_path(spark, "commit"))
-    apply_batch(spark, messages_df(spark, rows), 0, tables)
-    n = read_history(spark, tables.history).count()
-    write_history(read_history(spark, tables.history), tables.history, 1)
+    path, purged = scratch_path(spark, "commit"), scratch_path(spark, "commit-purged")
+    versions = _fold(spark, rows)[0]
+    write_history(versions, path, 0)
+    n = read_history(spark, path).count()
+    write_purged(spark, path, purged, 10_000)
     jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{tables.history}/batch_id=1/_SUCCESS")
-    marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(marker, False)
-    assert last_committed(spark, tables.history) == 0
-    assert read_history(spark, tables.history).count() == n
-    try:
-        write_snapshot(spark, tables.history, tables.snapshots, through=1)
-        raise AssertionError("an uncommitted batch was compacted")
-    except ValueError:
-        pass
+    for table in (path, purged):
+        write_history(versions, table, 1)
+        marker = jvm.org.apache.hadoop.fs.Path(f"{table}/batch_id=1/_SUCCESS")
+        marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(marker, False)
+        assert last_committed(spark, table) == 0
+        assert read_history(spark, table).count() == n
+        try:
+            write_snapshot(spark, table, f"{table}-snapshots", through=1)
+            raise AssertionError("an uncommitted batch was compacted")
+        except ValueError:
+            pass
 
 
 def test_lookup_after_compaction_and_merged_rollups(spark):
     from tidemark.operators.rollups import read_error_rollup, read_latency_rollup
-    from tidemark.streaming.apply import compact_rollups, compact_tables, error_rollup, latency_rollup
+    from tidemark.streaming.apply import compact_rollups, compact_tables, latency_rollup
 
     rows = random_log(n_ids=90, n_ops=700, seed=19)
     expected_hist, _ = model(rows)
@@ -254,7 +258,7 @@ def test_lookup_after_compaction_and_merged_rollups(spark):
         if b < 2:  # the next batch looks its events up in the snapshot
             compact_tables(spark, tables, through=b)
             compact_rollups(spark, tables, through=b)
-    hist = read_history(spark, tables.history)
+    hist = read_versions(spark, tables)
     assert Counter(row_key(r) for r in spark_rows(hist.select(*EVENT_COLS))) == Counter(row_key(r) for r in expected_hist)
     for read, rollup in ((read_error_rollup, error_rollup), (read_latency_rollup, latency_rollup)):
         got, want = (sorted(map(tuple, read(rollup(spark, t)).collect())) for t in (tables, plain))
@@ -271,15 +275,17 @@ def test_rejects_are_driven_again(spark):
     tables = Tables(scratch_path(spark, "redrive"))
     inbox = scratch_path(spark, "redrive-inbox")
     apply_batch(spark, messages_df(spark, updates), 0, tables)
-    rej = read_rejects(spark, tables.rejects)
+    rej = read_rejects(spark, tables)
     n = rej.where(F.col("reason") == R_NOT_FOUND).count()
     assert n > 0
     redrive_rejects(spark, tables, inbox, through=0)
     creates = [r for r in rows if r[0] == "create"]
     apply_batch(spark, messages_df(spark, creates), 1, tables)
-    known = read_history(spark, tables.history).select("id").distinct()
+    known = read_versions(spark, tables).select("id").distinct()
     apply_batch(spark, read_json_lines(spark, inbox), 2, tables)
     again = read_json_lines(spark, inbox)
     assert again.count() == n
-    applied = read_history(spark, tables.history).where("batch_id = 2").count()
+    assert sorted(r.seq for r in again.collect()) == sorted(r.seq for r in rej.where(F.col("reason") == R_NOT_FOUND).collect())
+    assert redrive_rejects(spark, tables, inbox, through=0) == 0 and read_json_lines(spark, inbox).count() == n
+    applied = read_versions(spark, tables).where("batch_id = 2").count()
     assert applied == again.join(known, again["event_id"] == known["id"], "left_semi").count()

@@ -11,6 +11,7 @@ from tidemark.schema import EVENT_COLS
 from tidemark.session import scratch_path
 from tidemark.sinks.table import ensure_tables, read_history, refresh_tables, write_history
 from tidemark.sources.changelog import decode_json, encode_json, stream_json_lines
+from tidemark.sinks.store import read_rejects, read_versions
 from tidemark.streaming.apply import Tables, progress_summary, start_apply
 
 T = dt.datetime(2024, 3, 1, 12, 0, tzinfo=dt.timezone.utc)
@@ -96,12 +97,12 @@ def test_stream_restart_continues_from_checkpoint(spark):
     drop([line("update", "a", 2, latency=7.0), line("delete", "b", 3), line("update", "b", 4, error="x")])
     q = start_apply(stream_json_lines(spark, inbox), tables, ckpt, available_now=True)
     q.awaitTermination()
-    live = {r.id: r for r in live_snapshot(read_history(spark, tables.history)).collect()}
+    live = {r.id: r for r in live_snapshot(read_versions(spark, tables)).collect()}
     assert set(live) == {"a"} and live["a"].latency == 7.0 and live["a"].version == 2
-    rej = spark.read.parquet(tables.rejects).collect()
+    rej = read_rejects(spark, tables).collect()
     assert [(r.event_id, r.reason) for r in rej] == [("b", "not_found")]
-    assert read_history(spark, tables.history).select(*EVENT_COLS).count() == 4
-    assert sorted(r.batch_id for r in read_history(spark, tables.history).select("batch_id").distinct().collect()) == [0, 1]
+    assert read_versions(spark, tables).select(*EVENT_COLS).count() == 4
+    assert sorted(r.batch_id for r in read_versions(spark, tables).select("batch_id").distinct().collect()) == [0, 1]
     assert F is not None
 
 
@@ -125,7 +126,7 @@ def test_processing_time_stream_stops_gracefully(spark):
     finally:
         q.stop()
     assert not q.isActive
-    live = live_snapshot(read_history(spark, tables.history))
+    live = live_snapshot(read_versions(spark, tables))
     assert live.count() == 8
     assert sum(p["input_rows"] for p in progress_summary(q)) >= 8
 

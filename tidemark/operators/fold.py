@@ -36,7 +36,6 @@ from tidemark.schema import (
     OP_DELETE,
     OP_UPDATE,
     PATCH_FIELDS,
-    PATCH_SCHEMA,
     R_NOT_FOUND,
     SHADOW_COL,
 )
@@ -61,13 +60,18 @@ def base_from_history(history: DataFrame, touched_ids: DataFrame) -> DataFrame:
     cond = [F.col(f"h.{k}").eqNullSafe(F.col(f"w.{k}")) if k == "seq" else F.col(f"h.{k}") == F.col(f"w.{k}")
             for k in keys]
     cur = h.join(winners, cond, "left_semi")
-    return cur.select(
+    return as_base(cur)
+
+
+def as_base(rows: DataFrame) -> DataFrame:
+    """Stored current rows as base operations (vectors or their keys as they are)."""
+    return rows.select(
         "id",
         F.lit(-1).cast("bigint").alias("seq"),
         F.col("batch_id").cast("bigint").alias("batch_id"),
         F.lit(OP_BASE).alias("op"),
         F.col("updated_at").alias("ts"),
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in PATCH_SCHEMA.fields],
+        *PATCH_FIELDS,
         F.col("version").cast("bigint").alias("b_version"),
         F.col("is_deleted").cast("int").alias("b_is_deleted"),
         F.col("created_at").alias("b_created_at"),
@@ -90,7 +94,12 @@ def _prepare(ops: DataFrame, base: DataFrame | None) -> DataFrame:
     )
     if base is not None:
         x = x.unionByName(base.select(*x.columns))
-    return x.withColumn("_tie", F.xxhash64("batch_id", *PATCH_FIELDS))
+    return x.withColumn("_tie", op_key())
+
+
+def op_key() -> Column:
+    """The same hash of an operation's content as ``_tie`` of :func:`fold_rows`, over ``ops``."""
+    return F.xxhash64("batch_id", *PATCH_FIELDS)
 
 
 def _op() -> Column:

@@ -88,11 +88,11 @@ def _normalised_field(name: str, dtype) -> Column:
     )
 
 
-def split_messages(messages: DataFrame, batch_id: int | Column = 0) -> tuple[DataFrame, DataFrame]:
+def split_messages(messages: DataFrame, batch_id: int | Column = 0, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Decoded messages -> (normalised operations, rejects).
 
     Operations: ``id, seq, batch_id, op, ts`` + the patch fields. ``ts`` is
-    the message time cut to milliseconds (UTC). Rejects: ``event_id,
+    the message time cut to milliseconds (UTC). ``keep`` columns pass through. Rejects: ``event_id,
     operation, seq, reason, raw``.
     """
     batch = batch_id if isinstance(batch_id, Column) else F.lit(int(batch_id))
@@ -104,6 +104,7 @@ def split_messages(messages: DataFrame, batch_id: int | Column = 0) -> tuple[Dat
         F.col("operation").alias("op"),
         to_millis(_time(messages)).alias("ts"),
         *[_normalised_field(f.name, f.dataType) for f in PATCH_SCHEMA.fields],
+        *keep,
     )
     raw = F.col("raw") if "raw" in messages.columns else F.to_json(F.struct("operation", "event_id", "data"))
     rejects = flagged.where(F.col("_reason").isNotNull()).select(

@@ -319,10 +319,9 @@ def _streamed(spark: SparkSession, d: str) -> str:
 
 
 def q_stream_apply(spark, d):
-    from tidemark.sinks.table import read_history
+    from tidemark.sinks.store import Tables, read_versions
 
-    root = _streamed(spark, d)
-    return live_snapshot(read_history(spark, f"{root}/history")).select(*EVENT_COLS)
+    return live_snapshot(read_versions(spark, Tables(_streamed(spark, d)))).select(*EVENT_COLS)
 
 
 def q_stream_rollup(spark, d):
@@ -372,14 +371,14 @@ def _inbox(spark: SparkSession, d: str):
 
 def q_stream_no_seq(spark, d):
     """A log without positions, drained in one micro-batch: files order it."""
-    from tidemark.sinks.table import read_history
+    from tidemark.sinks.store import read_versions
     from tidemark.sources.changelog import stream_json_lines
     from tidemark.streaming.apply import Tables, start_apply
 
     inbox = _inbox(spark, d)
     tables = Tables(inbox.replace("/inbox", "/tables"))
     start_apply(stream_json_lines(spark, inbox), tables, inbox.replace("/inbox", "/checkpoint"), available_now=True).awaitTermination()
-    return live_snapshot(read_history(spark, tables.history)).select(*[c for c in EVENT_COLS if c != "conversation_metadata"])
+    return live_snapshot(read_versions(spark, tables)).select(*[c for c in EVENT_COLS if c != "conversation_metadata"])
 
 
 def q_offset_order(spark, d):

@@ -33,9 +33,8 @@ class Manifest:
     """Committed folders, relative to the store's root.
 
     ``batches``: batch id -> table -> ``{"paths", "rows"}``, and ``metrics``.
-    ``snapshot``: ``{"through", "state", "index", "vector_keys"}`` of the newest compaction.
+    ``snapshot``: ``{"through", "state", "files", "index", "vector_keys"}`` of the newest compaction.
     ``merged``: rollup -> ``{"through", "path"}``. ``ledger``: re-drive runs.
-    ``retired``: summed metrics of batches that are no longer listed.
     """
 
     version: int = 0
@@ -44,7 +43,6 @@ class Manifest:
     snapshot: dict | None = None
     merged: dict[str, dict] = field(default_factory=dict)
     ledger: list[dict] = field(default_factory=list)
-    retired: dict = field(default_factory=dict)
 
     def text(self) -> str:
         return json.dumps(self.__dict__, sort_keys=True)
@@ -72,7 +70,8 @@ class Manifest:
         """Every folder that this manifest names."""
         out = {p for tables in self.batches.values() for t in tables.values() if isinstance(t, dict) for p in t.get("paths", [])}
         for part in [self.snapshot or {}, *self.merged.values(), *self.ledger]:
-            out |= {p for key, p in part.items() if key in ("state", "index", "vector_keys", "path")}
+            named = (part.get(key) for key in ("state", "files", "index", "vector_keys", "path"))
+            out |= {p["path"] if isinstance(p, dict) else p for p in named if p}
         return out
 
 

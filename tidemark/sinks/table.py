@@ -22,7 +22,7 @@ Layout of the append-only history::
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -89,6 +89,54 @@ def layout(versions: DataFrame, partitions: int | None = None, daily: bool = Fal
     return df.sortWithinPartitions(*order)
 
 
+# Bits of the clustering key: of a session's hash, and of the time inside a month.
+SESSION_BITS, TIME_BITS = 16, 8
+
+
+def _session_range(session: Column | str) -> Column:
+    """A session's place among all sessions: the top bits of its hash."""
+    return F.shiftrightunsigned(F.xxhash64(session), 64 - SESSION_BITS)
+
+
+def clustered(versions: DataFrame) -> DataFrame:
+    """Add the month column and order rows along a curve over (session, time) inside each month.
+
+    The key interleaves two bits of the session's place with one of the time,
+    so a file holds a small rectangle of sessions and days: a read by session opens few
+    of a month's files, and one by session and time still fewer.
+    :func:`file_ranges` tells which.
+    """
+    start = F.date_trunc("month", "created_at").cast("timestamp_ntz")
+    share = F.timestamp_diff("SECOND", start, F.col("created_at")) / F.lit(31 * 86400)
+    time = F.floor(share * (1 << TIME_BITS)).cast("bigint")
+    session = _session_range("conversation_id")
+    key = F.lit(0).cast("bigint")
+    for i in range(TIME_BITS):
+        key = key + F.shiftleft(F.shiftright(time, i).bitwiseAND(F.lit(1)), 3 * i)
+        key = key + F.shiftleft(F.shiftright(session, 2 * i).bitwiseAND(F.lit(3)), 3 * i + 1)
+    df = versions.withColumn(MONTH_COL, month_key("created_at")).withColumn("_z", key)
+    return df.repartitionByRange(MONTH_COL, "_z").sortWithinPartitions(MONTH_COL, "_z", *SORT_COLS).drop("_z")
+
+
+def file_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and the least and greatest session place and creation time in it, for each file of a clustered table."""
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("file"), _session_range("conversation_id").alias("s"), "created_at"
+    )
+    return rows.groupBy("file").agg(
+        F.min("s").alias("s_min"), F.max("s").alias("s_max"), F.min("created_at").alias("t_min"), F.max("created_at").alias("t_max")
+    )
+
+
+def session_files(spark: SparkSession, ranges_path: str, conversation_id: str, since=None) -> list[str]:
+    """The files that can hold rows of a session (created at ``since`` or later), by their ranges."""
+    s = _session_range(F.lit(conversation_id))
+    hit = spark.read.parquet(ranges_path).where((F.col("s_min") <= s) & (F.col("s_max") >= s))
+    if since is not None:
+        hit = hit.where(F.col("t_max") >= F.lit(str(since)).cast("timestamp_ntz"))
+    return sorted(r.file for r in hit.select("file").collect())
+
+
 def write_history(
     versions: DataFrame,
     path: str,
@@ -165,11 +213,15 @@ def last_committed(spark: SparkSession, path: str) -> int | None:
     return None
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and its path class."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path_of
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    fs, path_of = _hadoop(spark, path)
+    return bool(fs.exists(path_of(path)))
 
 
 def read_history(spark: SparkSession, path: str, daily: bool = False) -> DataFrame:
@@ -392,8 +444,15 @@ def read_snapshot(spark: SparkSession, snapshot_root: str, through: int) -> Data
 def write_purged(spark: SparkSession, history_path: str, out_path: str, retention_days: int, as_of=None) -> None:
     """The stored history without expired events (:func:`purge_deleted`), written as a new table.
 
-    Batches keep their folders' ids, so snapshots, replays and the streaming
-    apply go on from the new table.
+    Batches keep their folders' ids and each has its own commit mark, so a
+    later batch that is unfinished stays hidden. For the tables of an apply job, see
+    :func:`tidemark.sinks.store.purge`.
     """
+    done = last_committed(spark, history_path)
     kept = purge_deleted(read_history(spark, history_path), retention_days, as_of)
     write_history(kept.drop(MONTH_COL), out_path)
+    fs, path = _hadoop(spark, out_path)
+    for batch in _batches(spark, history_path):
+        if batch <= done:
+            fs.create(path(f"{out_path}/batch_id={batch}/_SUCCESS"), True).close()
+    fs.delete(path(f"{out_path}/_SUCCESS"), False)

@@ -1,94 +1,57 @@
 """Structured Streaming apply: change log -> history, rejects and rollup partials.
 
 Each micro-batch is folded as a set (one shuffle on ``id``) against the
-stored latest version of the events it touches, then written under its own
-``batch_id`` in every output table. Spark replays an unfinished batch under
-the same id after a failure, and the writers replace that batch's folders, so the tables end up as if each batch ran once.
+stored latest version of the events it touches. Its rows go to all tables, and one
+manifest commits them together (:mod:`tidemark.sinks.store`). Spark replays an
+unfinished batch under the same id after a failure, and the replay's commit replaces
+what the batch had, so the tables end up as if each batch ran once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.fold import SLICES, STEP, base_from_history, fold_operations
-from tidemark.operators.rollups import error_partial, latency_partial, merge_error, merge_latency, with_month
+from tidemark.operators.fold import SLICES, STEP, fold_rows, op_key
 from tidemark.operators.validate import split_messages
-from tidemark.schema import ERROR_PARTIAL_SCHEMA, LATENCY_PARTIAL_SCHEMA, R_NOT_FOUND
-from tidemark.sinks.table import (
-    latest_snapshot,
-    merge_partials,
-    merged_partials,
-    path_exists,
-    read_history,
-    read_rejects,
-    read_snapshot,
-    read_state,
-    write_batch_table,
-    write_history,
-    write_snapshot,
+from tidemark.operators.vectors import split_vectors
+from tidemark.schema import EVENT_COLS, R_NOT_FOUND, REJECT_SCHEMA, SHADOW_COL
+from tidemark.sinks.manifest import load
+from tidemark.sinks.store import (  # noqa: F401  (the apply job's tables are read and kept through these)
+    Tables,
+    base_rows,
+    compact_rollups,
+    compact_tables,
+    current_state,
+    error_rollup,
+    is_compacted,
+    lag_ms,
+    latency_rollup,
+    read_metrics,
+    redrive_rejects,
+    store_batch,
 )
 from tidemark.sources.changelog import with_input_order
 
 
-@dataclass(frozen=True)
-class Tables:
-    """Output folders of the apply job (all on shared storage)."""
-
-    root: str
-
-    @property
-    def history(self) -> str:
-        return f"{self.root}/history"
-
-    @property
-    def rejects(self) -> str:
-        return f"{self.root}/rejects"
-
-    @property
-    def error_rollup(self) -> str:
-        return f"{self.root}/rollup_error"
-
-    @property
-    def latency_rollup(self) -> str:
-        return f"{self.root}/rollup_latency"
+def _with_raw(messages: DataFrame) -> DataFrame:
+    """The message text, as it came: put back by a re-drive it keeps its ``seq``, or has none."""
+    if "raw" in messages.columns:
+        return messages
+    return messages.withColumn("raw", F.to_json(F.struct("operation", "event_id", "timestamp", "data", "seq")))
 
-    @property
-    def snapshots(self) -> str:
-        return f"{self.root}/snapshots"
-
-
-def compact_tables(spark: SparkSession, tables: Tables, through: int) -> str:
-    """Compact the history written by batches ``<= through`` (run between micro-batches
-    or from a separate job; readers keep using the previous snapshot until it is done)."""
-    return write_snapshot(spark, tables.history, tables.snapshots, through)
-
-
-def current_state(spark: SparkSession, tables: Tables) -> DataFrame:
-    """One row per event (tombstones kept): newest snapshot merged with later batches.
-
-    Pass it to the reads with ``deduped=True``.
-    """
-    return read_state(spark, tables.history, tables.snapshots)
 
-
-def apply_batch(
-    spark: SparkSession,
-    messages: DataFrame,
-    batch_id: int,
-    tables: Tables,
-    slices: int = SLICES,
-    step: int = STEP,
-) -> None:
+def apply_batch(spark: SparkSession, messages: DataFrame, batch_id: int, tables: Tables, slices: int = SLICES, step: int = STEP) -> None:
     """Fold one batch of decoded messages into the tables (idempotent per ``batch_id``).
 
-    The history is written last: its folder's ``_SUCCESS`` commits the batch.
-    ``slices`` / ``step`` are passed to :func:`fold_operations`.
+    A replay replaces the batch; of a batch that a snapshot already holds, it changes
+    nothing. ``slices`` / ``step`` are passed to the fold.
     """
+    m = load(spark, tables.root)
+    if is_compacted(m, batch_id):
+        return
     kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
@@ -97,65 +60,36 @@ def apply_batch(
 
     try:
         # The batch is read from the source once; everything below derives from it.
-        messages = with_input_order(keep(messages))
-        ops, bad = split_messages(messages, batch_id)
+        messages = keep(with_input_order(keep(_with_raw(messages))))
+        ops, bad = split_messages(messages, batch_id, keep=("raw",))
+        ops, vectors = split_vectors(ops)
         ops = keep(ops)
-        base = None
-        prior = _before(spark, tables, batch_id)
-        if prior is not None:
-            base = keep(base_from_history(prior, ops.select("id").distinct()))
-        versions, not_found = fold_operations(ops, base, slices=slices, step=step)
-        versions = keep(versions)
-        write_batch_table(bad.unionByName(not_found), tables.rejects, batch_id)
-        write_batch_table(with_month(error_partial(versions)), tables.error_rollup, batch_id, ("event_month",))
-        write_batch_table(latency_partial(versions), tables.latency_rollup, batch_id)
-        # the batch's row count bounds the ids per file: size the bloom filters by it
-        write_history(versions, tables.history, batch_id, expected_ndv=versions.count())
+        base = base_rows(spark, tables, ops, batch_id, m, keep)
+        rows = keep(fold_rows(ops, base, slices, step))
+        versions = rows.where("_ok").select(*EVENT_COLS, "batch_id", "seq", SHADOW_COL)
+        rejects = bad.unionByName(_not_found(rows, ops))
+        store_batch(spark, tables, batch_id, versions, vectors, rejects, _metrics(rows, bad), m)
     finally:
         for df in reversed(kept):
             df.unpersist()
 
 
-def _before(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame | None:
-    """What was stored before a batch: the newest snapshot older than it, and the later batches."""
-    if not path_exists(spark, tables.history):
-        return None
-    history = read_history(spark, tables.history).where(F.col("batch_id") < batch_id)
-    k = latest_snapshot(spark, tables.snapshots)
-    if k is None or k >= batch_id:
-        return history
-    return read_snapshot(spark, tables.snapshots, k).unionByName(history.where(F.col("batch_id") > k))
-
-
-def redrive_rejects(spark: SparkSession, tables: Tables, inbox: str, through: int, reasons: tuple[str, ...] = (R_NOT_FOUND,)) -> None:
-    """Put the messages rejected by batches ``<= through`` for ``reasons`` back on the file log.
-
-    Meant for rejects whose cause has gone, such as an update that came before
-    its create. They go through the apply like new messages, in their old
-    order; those that fail again are rejected again.
-    """
-    rejects = read_rejects(spark, tables.rejects).where((F.col("batch_id") <= through) & F.col("reason").isin(*reasons))
-    again = rejects.where(F.col("raw").isNotNull()).repartition("event_id").sortWithinPartitions("event_id", "batch_id", "seq")
-    again.select(F.col("raw").alias("value")).write.mode("append").text(inbox)
-
-
-def compact_rollups(spark: SparkSession, tables: Tables, through: int) -> None:
-    """Merge both rollups' partials of the batches ``<= through``."""
-    merge_partials(
-        spark, tables.error_rollup, f"{tables.error_rollup}_merged", through, ERROR_PARTIAL_SCHEMA,
-        lambda p: with_month(merge_error(p)), ("event_month",),
-    )
-    merge_partials(spark, tables.latency_rollup, f"{tables.latency_rollup}_merged", through, LATENCY_PARTIAL_SCHEMA, merge_latency)
-
-
-def error_rollup(spark: SparkSession, tables: Tables) -> DataFrame:
-    """The error rollup's partials, old ones merged; for :func:`read_error_rollup`."""
-    return merged_partials(spark, tables.error_rollup, f"{tables.error_rollup}_merged", ERROR_PARTIAL_SCHEMA)
+def _not_found(rows: DataFrame, ops: DataFrame) -> DataFrame:
+    """Operations without anything to act on, with the text of their messages."""
+    keys = ["event_id", "operation", "seq", "_tie"]
+    lost = rows.where(~F.col("_ok")).select(F.col("id").alias("event_id"), F.col("op").alias("operation"), "seq", "_tie")
+    texts = ops.select(F.col("id").alias("event_id"), F.col("op").alias("operation"), "seq", op_key().alias("_tie"), "raw")
+    texts = texts.join(lost.distinct(), keys, "left_semi").dropDuplicates(keys)
+    return lost.join(texts, keys).withColumn("reason", F.lit(R_NOT_FOUND)).select(*REJECT_SCHEMA.names)
 
 
-def latency_rollup(spark: SparkSession, tables: Tables) -> DataFrame:
-    """The latency rollup's partials, old ones merged; for :func:`read_latency_rollup`."""
-    return merged_partials(spark, tables.latency_rollup, f"{tables.latency_rollup}_merged", LATENCY_PARTIAL_SCHEMA)
+def _metrics(rows: DataFrame, bad: DataFrame) -> dict:
+    """Rows applied by operation, with the newest message time and its lag, and rejects by reason."""
+    folded = rows.groupBy("op", "_ok").agg(F.count(F.lit(1)).alias("n"), F.max("updated_at").alias("last")).collect()
+    applied = {r.op: {"n": r.n, "last": str(r["last"]), "lag_ms": lag_ms(r["last"])} for r in folded if r._ok}
+    rejected = {r.reason: {"n": r["count"]} for r in bad.groupBy("reason").count().collect()}
+    lost = sum(r.n for r in folded if not r._ok)
+    return {"applied": applied, "rejected": rejected | ({R_NOT_FOUND: {"n": lost}} if lost else {})}
 
 
 def start_apply(
@@ -170,7 +104,8 @@ def start_apply(
 
     ``processing_time`` (e.g. ``"200 milliseconds"``) sets the micro-batch
     cadence; ``available_now`` drains what is there and stops. Progress
-    (input rows, rates, source lag) is in ``query.recentProgress``.
+    (input rows, rates, source lag) is in ``query.recentProgress``; what was applied and
+    rejected, batch by batch, in :func:`tidemark.sinks.store.read_metrics`.
     """
     spark = messages.sparkSession
 
