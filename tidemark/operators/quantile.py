@@ -9,53 +9,25 @@ at ``floor((n-1)p)`` and ``ceil((n-1)p)``, as a distributed rank selection:
 1. count each distinct ``(group, value)`` (map-side combined aggregate);
 2. range-partition those counts on ``(group, value)``: the sampled range
    bounds split a large group over many tasks;
-3. inside each task, running counts per group over the sorted rows
-   (Arrow batches through ``mapInPandas``, streaming, O(1) state);
-4. per (task, group) totals give each slice its rank offset: a small table
+3. per (task, group) totals give each slice its rank offset: a small table
    with at most one row per group and task;
-5. join the slices to their offsets on ``(task, group)`` — the task id in
-   the key spreads a large group over many reducers — and keep the at most
-   two rows per group that hold the two order statistics;
-6. interpolate.
+4. inside each slice of a group, a running count over the sorted values adds to the
+   offset; join and running count share one exchange on ``(task, group)``, whose task id spreads a
+   large group over many reducers. The at most two rows per group that hold the two order
+   statistics are kept;
+5. interpolate.
 
+All of it is built-in aggregates, windows and joins.
 Every group takes this one path, whatever its size; NULL keys are groups of
 their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-
-def _key(pdf: pd.DataFrame, i: int, keys: Sequence[str]) -> tuple:
-    """One row's key, with every kind of missing value as None."""
-    values = (pdf[k].iloc[i] for k in keys)
-    return tuple(None if pd.isna(v) else v for v in values)
-
-
-def _running_counts(keys: Sequence[str]):
-    """Per-partition running count of rows per group over key-sorted batches."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry_key = None
-        carry = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            grp = pdf.groupby(list(keys), sort=False, dropna=False)["_cnt"].cumsum()
-            number = pdf.groupby(list(keys), sort=False, dropna=False).ngroup()
-            if carry_key is not None and _key(pdf, 0, keys) == carry_key:
-                grp = grp + (number == number.iloc[0]).astype("int64") * carry
-            pdf = pdf.assign(_cum=grp.astype("int64"))
-            carry_key, carry = _key(pdf, -1, keys), int(pdf["_cum"].iloc[-1])
-            yield pdf
-
-    return run
 
 
 def exact_percentile(
@@ -89,24 +61,17 @@ def exact_percentile(
         .sortWithinPartitions(*keys, value)
         .withColumn("_part", F.spark_partition_id())
     )
-    out_schema = StructType(list(ordered.schema.fields) + [StructField("_cum", LongType())])
-    slices = ordered.mapInPandas(_running_counts(keys), out_schema)
-
-    part_totals = slices.groupBy("_part", *keys).agg(F.max("_cum").alias("_part_n"))
-    across = Window.partitionBy(*keys).orderBy("_part")
+    # NULL fields of a struct are equal to each other, so NULL keys meet
+    ordered = ordered.withColumn("_group", F.struct(*keys))
+    part_totals = ordered.groupBy("_part", "_group").agg(F.sum("_cnt").alias("_part_n"))
+    across = Window.partitionBy("_group").orderBy("_part")
     offsets = part_totals.select(
-        "_part",
-        *keys,
-        F.coalesce(
-            F.sum("_part_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_offset"),
-        F.sum("_part_n").over(Window.partitionBy(*keys)).alias("_n"),
-    )
-    theirs = offsets.select(F.col("_part").alias("_their_part"), *[F.col(k).alias(f"_their_{k}") for k in keys], "_offset", "_n")
-    same = F.col("_part") == F.col("_their_part")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_their_{k}"))
-    ranked = slices.join(theirs, same, "inner")
+        "_part", "_group",
+        F.coalesce(F.sum("_part_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.sum("_part_n").over(Window.partitionBy("_group")).alias("_n"),
+    )
+    running = Window.partitionBy("_part", "_group").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = ordered.join(offsets, ["_part", "_group"]).withColumn("_cum", F.sum("_cnt").over(running))
     position = (F.col("_n") - 1).cast("double") * F.lit(float(p))
     lo = F.floor(position)
     hi = F.ceil(position)
