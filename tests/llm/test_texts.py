@@ -138,7 +138,11 @@ def test_filter_has_rules_for_symbols_lines_and_word_length(docs_of):
     rows += [(200 + i, prose(rng, 60) + (" #" * 9 if i % 5 < 2 else "")) for i in range(60)] + [(299, edge)]
     rows += [(300 + i, prose(rng, 60) + (" #" * 9 if i % 5 else "")) for i in range(60)]
     hosts = {i: "good" if i < 200 else "mixed" if i < 300 else "bad" for i, _ in rows}
-    got = {r.doc_id for r in quality.quality_filter(docs_of(rows, hosts)).collect()}
+    docs = docs_of(rows, hosts)
+    got = {r.doc_id for r in quality.quality_filter(docs).collect()}
+    verdicts = quality.quality_rules(docs).collect()
+    assert {r.doc_id for r in verdicts if r.kept} == got
+    assert any(not r.base_failed and not r.kept for r in verdicts)
     # the mixed host's rate of two fifths lowers the limit for its own documents, the bad host goes as a whole
     assert got == {*range(60), 104} | {200 + i for i in range(60) if i % 5 >= 2}
 

@@ -1,17 +1,19 @@
 """Quality rules with host verdicts (operator 8).
 
-Each document gets rule features from its whole text. Failures are then
-aggregated by host (the ``source`` column), each host's failure rate is
-shrunk by a beta prior fitted to all hosts, and hosts whose shrunk rate is
-over a threshold lose all their documents; a document that fails a base rule
-goes in any case. Documents of other hosts stay.
-
-:func:`quality_filter`, the pipeline's stage, holds every document to more
-rules (``RULES``: symbols, repeated lines, mean word length). Failures of each
-rule are aggregated by host with a prior of the rule's own; a host over the
-threshold in any rule goes, and a host's shrunk rate lowers the rule's limit
-for its documents: ``value > limit * (1 - rate)``. The verdict of
-:func:`quality_rules`, which has SQL, is that of the base rules alone.
+Each document gets rule features from its whole text. It fails the base rules
+by its size and repetition, and each of ``RULES`` (symbols, repeated lines, mean word
+length) where a share is over the rule's limit. Failures of every rule are
+aggregated by host (the ``source`` column), and each host's failure rate is
+shrunk by a beta prior fitted to all hosts, one prior for each rule. The
+verdict joins them back:
+
+* a document that fails a base rule goes;
+* a host whose shrunk rate in any rule is over a threshold loses all its documents;
+* a host's shrunk rate lowers the rule's limit for its documents, which go if
+  ``value > limit * (1 - rate)``.
+
+:func:`quality_rules` (the query) reports that verdict, :func:`quality_filter` (the
+pipeline's stage) keeps by it.
 
 Method. ``rate = (failed + a) / (documents + a + b)`` with ``a + b`` and the
 mean by moments over hosts, each host weighing by its documents. A host with
@@ -43,7 +45,7 @@ MIN_WORDS = 50
 #: A host goes if its shrunk failure rate is over this.
 HOST_RATE = 0.5
 SYMBOLS = "#*$%&|<>"
-#: Rules of the filter beside the base ones: a document fails where the share of the two features is over the limit.
+#: Rules beside the base ones: a document fails where the share of the two features is over the limit.
 RULES = {
     "symbols": ("n_symbols", "n_words", 0.1),
     "dup_lines": ("n_dup_lines", "n_lines", 0.5),
@@ -123,40 +125,34 @@ def host_rates(judged: DataFrame, rules: tuple[str, ...] = ("base_failed",)) ->
     return hosts.select("host", *shrunk)
 
 
-def bad_hosts(judged: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
-    """Hosts whose shrunk failure rate is over ``host_rate``; ``judged`` has ``host`` and ``base_failed``."""
-    return host_rates(judged).where(F.col("base_failed") > host_rate).select("host")
+def _value(rule: str) -> Column:
+    part, whole, _ = RULES[rule]
+    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
 
 
-def _judge(judged: DataFrame, host_rate: float) -> DataFrame:
-    """``kept``: neither the document nor its host fails."""
-    bad = bad_hosts(judged, host_rate).select(F.col("host").alias("bad_host"), F.lit(True).alias("bad"))
-    out = judged.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left")
-    return out.withColumn("kept", ~F.col("base_failed") & F.col("bad").isNull())
+def with_verdict(judged: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
+    """Adds ``kept``; ``judged`` has ``host``, ``base_failed`` and each rule's share."""
+    rules = ("base_failed", *RULES)
+    failed = judged.select("host", "base_failed", *[(F.col(r) > RULES[r][2]).alias(r) for r in RULES])
+    rates = settled(host_rates(failed, rules).select(F.col("host").alias("rated"), *[F.col(r).alias(f"{r}_rate") for r in rules]), "host-rates")
+    kept = ~F.col("base_failed")
+    for r in rules:
+        kept = kept & (F.col(f"{r}_rate") <= host_rate)
+    for r in RULES:
+        kept = kept & (F.col(r) <= RULES[r][2] * (1 - F.col(f"{r}_rate")))
+    out = judged.join(rates, F.col("host").eqNullSafe(F.col("rated")))
+    return out.select(*judged.columns, kept.alias("kept"))
 
 
 def quality_rules(docs: DataFrame, host_rate: float = HOST_RATE, host: str = "source") -> DataFrame:
     """Features and verdict of every document: ``doc_id``, the features, ``base_failed``, ``kept``."""
     judged = with_features(docs.select("doc_id", "text", host)).select(
-        F.col("row.doc_id").alias("doc_id"), F.col(f"row.{host}").alias("host"), *FEATURES, "base_failed"
+        F.col("row.doc_id").alias("doc_id"), F.col(f"row.{host}").alias("host"), *FEATURES, "base_failed", *[_value(r).alias(r) for r in RULES]
     )
-    return _judge(settled(judged, "quality"), host_rate).select("doc_id", *FEATURES, "base_failed", "kept")
-
-
-def _value(rule: str) -> Column:
-    part, whole, _ = RULES[rule]
-    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
+    return with_verdict(settled(judged, "quality"), host_rate).select("doc_id", *FEATURES, "base_failed", "kept")
 
 
 def quality_filter(docs: DataFrame, host_rate: float = HOST_RATE, host: str = "source") -> DataFrame:
-    """The documents that pass the base rules and ``RULES``, with their own columns."""
-    rules = ("base_failed", *RULES)
+    """The documents that the verdict keeps, with their own columns."""
     judged = with_features(docs).select("row", "base_failed", F.col(f"row.`{host}`").alias("host"), *[_value(r).alias(r) for r in RULES])
-    failed = judged.select("host", "base_failed", *[(F.col(r) > RULES[r][2]).alias(r) for r in RULES])
-    rates = settled(host_rates(failed, rules).select(F.col("host").alias("rated"), *[F.col(r).alias(f"{r}_rate") for r in rules]), "host-rates")
-    out = judged.where(~F.col("base_failed")).join(rates, F.col("host").eqNullSafe(F.col("rated")))
-    for r in rules:
-        out = out.where(F.col(f"{r}_rate") <= host_rate)
-    for r in RULES:
-        out = out.where(F.col(r) <= RULES[r][2] * (1 - F.col(f"{r}_rate")))
-    return out.select("row.*")
+    return with_verdict(judged, host_rate).where("kept").select("row.*")

@@ -214,6 +214,14 @@ SELECT conv_id, count(*) AS n_turns,
 FROM x GROUP BY conv_id
 """
 
+# each rule: whether a document fails it, its share, the limit of the share
+_RULES_SQL = (
+    ("base", "base_failed", "0", "1"),
+    ("symbols", "symbols > 0.1", "symbols", "0.1"),
+    ("lines", "dup_lines > 0.5", "dup_lines", "0.5"),
+    ("long", "chars > 10", "chars", "10"),
+    ("short", "1 / nullif(chars, 0) > 1 / 3", "1 / nullif(chars, 0)", "1 / 3"),
+)
 ORACLE["op8_host_rules"] = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
 lines AS (
@@ -227,15 +235,27 @@ feature AS (
     SELECT d.doc_id, d.source, CAST(len(w) AS BIGINT) AS n_words,
         CAST(coalesce(list_sum([length(x) for x in w]), 0) AS BIGINT) AS word_chars,
         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines
     FROM d JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)),
-judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM feature),
-host AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM judged GROUP BY source),
-fit AS (SELECT sum(f) / sum(n) AS mean, greatest(sum(n * (f / n) * (f / n)) / sum(n) - (sum(f) / sum(n)) ** 2, 1e-9) AS spread FROM host),
-prior AS (SELECT mean, greatest(mean * (1 - mean) / spread - 1, 0) AS strength FROM fit),
-bad AS (SELECT source, (f + mean * strength) / (n + strength) > 0.5 AS bad FROM host, prior)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
-FROM judged JOIN bad ON judged.source IS NOT DISTINCT FROM bad.source
+judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        coalesce(n_symbols / nullif(n_words, 0), 0) AS symbols, coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_lines,
+        coalesce(word_chars / nullif(n_words, 0), 0) AS chars
+    FROM feature),
+failed AS (
+    {" UNION ALL ".join(f"SELECT source, '{r}' AS rule, coalesce({fails}, false)::INT AS f FROM judged" for r, fails, _, _ in _RULES_SQL)}),
+host AS (SELECT source, rule, count(*) AS n, sum(f) AS f FROM failed GROUP BY ALL),
+fit AS (
+    SELECT rule, sum(f) / sum(n) AS mean, greatest(sum(n * (f / n) * (f / n)) / sum(n) - (sum(f) / sum(n)) ** 2, 1e-9) AS spread
+    FROM host GROUP BY rule),
+prior AS (SELECT rule, mean, greatest(mean * (1 - mean) / spread - 1, 0) AS strength FROM fit),
+rate AS (SELECT source, rule, (f + mean * strength) / (n + strength) AS rate FROM host JOIN prior USING (rule)),
+verdict AS (
+    SELECT source, max(rate) > 0.5 AS bad, {", ".join(f"max(rate) FILTER (rule = '{r}') AS rate_{r}" for r, _, _, _ in _RULES_SQL)}
+    FROM rate GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT bad AND {" AND ".join(f"coalesce({share}, 0) <= ({limit}) * (1 - rate_{r})" for r, _, share, limit in _RULES_SQL[1:])} AS kept
+FROM judged JOIN verdict ON judged.source IS NOT DISTINCT FROM verdict.source
 """
 
 ORACLE["op9_randomness"] = SECRETS_SQL
