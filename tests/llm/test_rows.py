@@ -326,3 +326,26 @@ def test_every_word_has_its_own_share(docs_of, monkeypatch, common):
 ])
 def test_empty_tables(docs_of, operator):
     assert operator(docs_of([])).count() == 0
+
+
+def test_a_very_long_conversation(spark):
+    """40,000 turns in one conversation: work that grew with the square of the turns would take minutes."""
+    import time
+
+    turns = spark.range(40_000).select(
+        F.lit(5).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("é[x] <"), F.col("id").cast("string")).alias("text"),
+    )
+    began = time.time()
+    out = chat.format_chats(turns)
+    r = out.select(chat.read_back(F.col("formatted")).alias("turns"), chat.learned(F.col("formatted"), F.col("loss")).alias("learned"), "loss", "formatted").first()
+    assert [(t.role, t.text) for t in r.turns] == [("assistant" if i % 3 else "user", f"é[x] <{i}") for i in range(40_000)]
+    assert r.learned == "".join(f"é[x] <{i}" for i in range(40_000) if i % 3)
+    assert "".join(r.formatted[s.start : s.end] for s in r.loss) == chat_escaped(r.learned)
+    assert time.time() - began < 60
+
+
+def chat_escaped(text):
+    import re
+
+    return re.sub(r"([\\\[<])", r"\1\\", text)

@@ -2,7 +2,7 @@ r"""Chat formatting (operator 7), in Spark expressions only.
 
 The turns of a conversation are collected as structs and sorted (by turn,
 role, text), adjacent turns of one role are merged into a block by array
-aggregation, and blocks are concatenated::
+functions (where a role begins, and slices between), and blocks are concatenated::
 
     [role]\n first text [+] second text </s>\n      (without the blanks)
 
@@ -22,7 +22,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROLE = "assistant"
@@ -37,46 +37,44 @@ def unescape(x: Column, role: bool = False) -> Column:
     return F.regexp_replace(x, r"([\\\[<\]])\\" if role else r"([\\\[<])\\", "$1")
 
 
-def _blocks(turns: Column) -> Column:
-    """Adjacent turns of one role as ``role, texts``."""
+def _blocks(turns: Column, starts: Column) -> Column:
+    """Adjacent turns of one role merged, each block written out; ``starts``: where a block begins."""
 
-    def step(acc: Column, t: Column) -> Column:
-        last = F.element_at(acc, -1)
-        new = F.concat(acc, F.array(F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts"))))
-        grown = F.struct(t["role"].alias("role"), F.concat(last["texts"], F.array(t["text"])).alias("texts"))
-        more = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))
-        return F.when(F.size(acc) == 0, new).when(last["role"] == t["role"], more).otherwise(new)
+    def block(s: Column, i: Column) -> Column:
+        own = F.slice(turns, s + 1, F.coalesce(F.get(starts, i + 1), F.size(turns)) - s)
+        texts = F.array_join(F.transform(own, lambda t: escape(t["text"])), _MORE)
+        return F.concat(_head(own[0]["role"]), texts, F.lit(_END))
 
-    start = F.from_json(F.lit("[]"), "array<struct<role:string,texts:array<string>>>")
-    return F.aggregate(turns, start, step)
+    return F.transform(starts, block)
 
 
-def _pieces(block: Column) -> Column:
-    """A block as ``s, loss``: strings in order, and whether each is under the loss mask."""
-    piece = lambda s, loss: F.struct(s.alias("s"), loss.alias("loss"))
-    learned, no = block["role"] == ROLE, F.lit(False)
-    head = F.array(piece(F.concat(F.lit("["), escape(block["role"], True), F.lit("]\n")), no))
-    texts = F.flatten(F.transform(block["texts"], lambda t, i: F.when(i == 0, F.array(piece(escape(t), learned))).otherwise(F.array(piece(F.lit(_MORE), no), piece(escape(t), learned)))))
-    return F.concat(head, texts, F.array(piece(F.lit(_END), no)))
+def _head(role: Column) -> Column:
+    return F.concat(F.lit("["), escape(role, True), F.lit("]\n"))
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
-    """``conv_id``, ``formatted``, ``loss`` (array of ``start, end`` code points) of each conversation of ``turns(conv_id, turn, role, text)``."""
-    own = F.struct("turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    chats = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(own)).alias("turns"))
-    chats = chats.select("conv_id", _blocks(F.col("turns")).alias("blocks"))
-    chats = chats.select("conv_id", F.flatten(F.transform("blocks", _pieces)).alias("pieces"))
-
-    def step(acc: Column, p: Column) -> Column:
-        end = acc["at"] + F.length(p["s"])
-        spans = F.when(p["loss"], F.concat(acc["loss"], F.array(F.struct(acc["at"].alias("start"), end.alias("end"))))).otherwise(acc["loss"])
-        return F.struct(end.alias("at"), spans.alias("loss"))
-
-    start = F.struct(F.lit(0).cast("int").alias("at"), F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>").alias("loss"))
+    """``conv_id``, ``formatted``, ``loss`` (array of ``start, end`` code points) of each conversation of ``turns(conv_id, turn, role, text)``.
+
+    Work and memory grow with a conversation's characters: where a text lies in the
+    formatted string is a running sum over the sorted turns, and no array is
+    built up turn by turn.
+    """
+    own = turns.select("conv_id", "turn", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    before = F.lag("role").over(order)
+    first = before.isNull() | (before != F.col("role"))
+    opening = F.length(_head(F.col("role"))) + F.when(before.isNull(), 0).otherwise(len(_END))
+    own = own.withColumn("gap", F.when(first, opening).otherwise(len(_MORE))).withColumn("size", F.length(escape(F.col("text"))))
+    end = F.sum(F.col("gap") + F.col("size")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")
+    own = own.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    chats = own.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "start", "end"))).alias("turns"))
+    changes = lambda i: (i == 0) | (F.col("turns")[i]["role"] != F.get(F.col("turns"), i - 1)["role"])
+    chats = chats.withColumn("starts", F.filter(F.sequence(F.lit(0), F.size("turns") - 1), changes))
+    learnt = F.filter("turns", lambda t: t["role"] == ROLE)
     return chats.select(
         "conv_id",
-        F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"),
-        F.aggregate("pieces", start, step, lambda acc: acc["loss"]).alias("loss"),
+        F.array_join(_blocks(F.col("turns"), F.col("starts")), "").alias("formatted"),
+        F.transform(learnt, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"))).alias("loss"),
     )
 
 
@@ -95,5 +93,14 @@ def read_back(formatted: Column) -> Column:
 
 
 def learned(formatted: Column, loss: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
+    """All text under the loss mask, unescaped.
+
+    Cut from the string's UTF-32 bytes: a place in them is found at once, one in a UTF-8 string by
+    counting from its beginning. (The one-element array binds them to a name.)
+    """
+
+    def cut(b: Column) -> Column:
+        part = lambda s: F.decode(F.substring(b, 4 * s["start"] + 1, 4 * (s["end"] - s["start"])), "UTF-32")
+        return F.array_join(F.transform(loss, lambda s: unescape(part(s))), "")
+
+    return F.transform(F.array(F.encode(formatted, "UTF-32")), cut)[0]
