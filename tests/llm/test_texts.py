@@ -1,6 +1,7 @@
 """Operators 1, 3, 5 and 8 against brute force, with the odd cases."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,41 @@ def test_near_classes_of_repeated_and_null_ids(docs_of):
     assert [r.doc_id for r in minhash.near_dedup(docs_of(rows)).collect()].count(3) == 1
 
 
+def test_classes_are_of_texts_not_ids(docs_of):
+    """Ids that name several texts, and near copies without an id."""
+    rng = random.Random(6)
+    one, two, three, four = (brute.prose(rng, 120) for _ in range(4))
+    near = lambda t: t + " " + brute.prose(rng, 1)
+    rows = [(7, one), (7, two), (8, near(one)), (9, near(two)), (None, near(one)), (None, three), (None, near(three)), (6, four), (7, two), (None, None), (4, None), (4, None), (7, None)]
+    by_text = {t: i for i, (_, t) in enumerate(rows)}
+    told = brute.near_classes([(i, t) for t, i in by_text.items() if t is not None])
+    docs = docs_of(rows)
+    got = sorted(map(repr, ((r.doc_id, r.class_id) for r in minhash.near_classes(docs).collect())))
+    least = lambda t: min((i for i, u in rows if u is not None and i is not None and told[by_text[u]] == told[by_text[t]]), default=None)
+    assert got == sorted(map(repr, ((i, least(t) if t is not None else i) for i, t in rows)))
+    kept = minhash.near_dedup(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect() if r.text != three and r.text != rows[6][1]) == Counter([(7, one), (7, two), (6, four), (None, None), (4, None), (7, None)])
+    assert sum(r.text in (three, rows[6][1]) for r in kept.collect()) == 1
+
+
+def test_a_family_that_shares_a_template_makes_no_pairs(spark, docs_of):
+    """260 shared words and 44 own ones, similarity about 0.74: all in common buckets, none alike."""
+    rng = random.Random(3)
+    shared = brute.prose(rng, 260)
+    counts = []
+    for n in (60, 180):
+        texts = [(i, f"{shared} {brute.prose(rng, 44)}") for i in range(n)]
+        still = spark.createDataFrame([(1, i, i) for i in range(n)], "key bigint, node bigint, label bigint")
+        rest = minhash._rest(still, spark.createDataFrame(texts, "node bigint, text string"))
+        counts.append(rest.count())
+    assert counts == [0, 0]
+    texts += [(1000 + i, t + " end") for i, t in texts[:20]]  # and pairs that are alike are all found
+    still = spark.createDataFrame([(1, i, i) for i, _ in texts], "key bigint, node bigint, label bigint")
+    rest = minhash._rest(still, spark.createDataFrame(texts, "node bigint, text string"))
+    assert {(r.v, r.u) for r in rest.collect()} == {(i, 1000 + i) for i in range(20)}
+
+
 def test_remove_repeats(docs_of, corpus):
     rng = random.Random(9)
     passage = brute.prose(rng, 25)

@@ -25,9 +25,10 @@ other members by an exact prefix filter on rare shingles (:func:`_rest`). So a
 group of near copies costs a few comparisons a member, and no link between
 components is left out.
 
-Edge cases. A null text is its own class; equal texts are one class, empty
-ones too. A text of one to four words is one shingle. Rows that repeat a
-doc_id share its class; copies with null ids take the class of their text.
+Edge cases. Nodes are texts, whatever ids their rows have: a doc_id that names several
+texts is in the class of each, and texts without an id are compared like all
+others (a class without any id has a null class_id). A null text is its own class; equal texts are one class, empty
+ones too. A text of one to four words is one shingle.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, settled, text_key
+from tidemark.llm.common import mapped, packed, settled, text_key
 from tidemark.llm.components import components
 from tidemark.llm.textscan import Words, mix, ngrams, runs, seed
 
@@ -187,9 +188,12 @@ def _rest(still: DataFrame, texts: DataFrame) -> DataFrame:
     Order the shingles of all these texts by how many texts have them, rare
     first. If the first shingle that two texts share has ``i`` and ``j``
     others before it, at most the remaining ``n - i`` and ``m - j`` can be
-    shared, of which a similarity of 4/5 needs ``4/9 (n + m)``; that alone
-    limits ``i`` to a fifth of ``n``. So only the rarest fifth of each text is
-    joined, and only for texts outside their bucket's largest component.
+    shared, of which a similarity of 4/5 needs ``4/9 (n + m)``. So the shorter
+    text (``n <= m``) shares ``8/9 n``, which limits ``i`` to a ninth of ``n``; the longer is at most
+    ``5/4 n``, which limits ``j`` to a fifth of ``m``. The rarest ninth of each text is joined with the
+    rarest fifth of longer ones, for pairs of which one lies outside its bucket's largest
+    component. Texts that share a template but differ in more than a ninth of their shingles
+    have none of it in their rarest ninth, so a family of them makes no pairs.
     """
     own = settled(still.groupBy("node").agg(F.first("label").alias("label")), "open-nodes")
     sizes = still.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -205,27 +209,32 @@ def _rest(still: DataFrame, texts: DataFrame) -> DataFrame:
     prefix = ranked.where((F.col("texts") > 1) & (5 * F.col("i") <= F.col("n"))).select("shingle", "node", "i", "n")
     prefix = settled(prefix.join(own, "node"), "prefix")
 
-    one = prefix.where("outside").drop("outside")
-    two = prefix.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("node", "i", "n", "label")])
     need = 4 * (F.col("n") + F.col("n2"))
     able = (F.col("label") != F.col("label2")) & (9 * (F.col("n") - F.col("i")) >= need) & (9 * (F.col("n2") - F.col("i2")) >= need)
-    return one.join(two.hint("merge"), "shingle").where(able).select(*_pair("node", "node2")).distinct()
+    able = able & ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("node") < F.col("node2")))) & (F.col("outside") | F.col("outside2"))
+    prefix = prefix.withColumn("outside", F.coalesce("outside", F.lit(False)))
+    short = prefix.where(9 * F.col("i") <= F.col("n"))
+    long = prefix.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("node", "i", "n", "label", "outside")])
+    return short.join(long.hint("merge"), "shingle").where(able).select(*_pair("node", "node2")).distinct()
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``class_id`` (the least doc_id of the class) for every row of ``docs(doc_id, text)``."""
+def _node_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``id, k1, k2`` of every row with a text, and of every text ``k1, k2, least`` (its least id), ``label`` (its class)."""
     base = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     keyed = base.where(F.col("text").isNotNull()).select("id", "text", *text_key())
     signed = settled(mapped(keyed, _sign, "id bigint, k1 bigint, k2 bigint, keys array<bigint>"), "signed")
-    nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.first("keys").alias("keys"))
-    nodes = settled(nodes, "nodes")
+    nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.first("keys").alias("keys"))
+    nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # written: the numbers stay
 
-    every = nodes.where(F.col("node").isNotNull()).select("node", F.explode("keys").alias("key"))
+    every = nodes.select("node", F.explode("keys").alias("key"))
     heads = every.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     buckets = settled(every.join(settled(heads.select("key", "head"), "heads"), "key"), "buckets")
-    wanted = settled(nodes.select("node", "k1", "k2").join(buckets.select("node").distinct(), "node"), "wanted")
-    texts = keyed.withColumnRenamed("id", "node").join(wanted.hint("shuffle_hash"), ["node", "k1", "k2"], "left_semi")
-    texts = settled(texts.select("node", "text"), "candidates")
+    wanted = settled(nodes.select("node", "k1", "k2", "least").join(buckets.select("node").distinct(), "node"), "wanted")
+    wanted = wanted.select("node", "least", F.col("k1").alias("a"), F.col("k2").alias("b")).hint("shuffle_hash")
+    same = (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b"))
+    named = keyed.join(wanted, (F.col("id") == F.col("least")) & same).dropDuplicates(["id", "k1", "k2"])  # by id: copies are spread
+    other = keyed.where(F.col("id").isNull()).dropDuplicates(["k1", "k2"]).join(wanted.where(F.col("least").isNull()), same)
+    texts = settled(named.select("node", "text").unionByName(other.select("node", "text")), "candidates")
 
     # against the least member of each bucket, then what the rare shingles of those still open leave
     met = buckets.where(F.col("node") != F.col("head")).select(*_pair("node", "head")).distinct()
@@ -234,18 +243,35 @@ def near_classes(docs: DataFrame) -> DataFrame:
     links = links.unionByName(_similar(_rest(still, texts), texts, "links"))
 
     labels = settled(components(links), "labels")
-    classes = nodes.join(labels, "node", "left").select("k1", "k2", F.coalesce("label", "node").alias("class_id"))
-    members = signed.select("id", "k1", "k2").join(settled(classes, "classes"), ["k1", "k2"])
-    alone = base.where(F.col("text").isNull()).select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"))
-    return members.select(F.col("id").alias("doc_id"), "class_id").unionByName(alone)
+    classes = nodes.join(labels, "node", "left").select("k1", "k2", "least", F.coalesce("label", "node").alias("label"))
+    return signed.select("id", "k1", "k2"), settled(classes, "classes")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """One document of each class, with its own columns: that of the least doc_id (rows that repeat it count once).
+def near_classes(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``class_id`` (the least doc_id of the class) for every row of ``docs(doc_id, text)``."""
+    rows, classes = _node_classes(docs)
+    least = settled(classes.groupBy("label").agg(F.min("least").alias("class_id")), "least")
+    classes = settled(classes.join(least, "label").select("k1", "k2", "class_id"), "class-ids")
+    members = rows.join(classes, ["k1", "k2"]).select(F.col("id").alias("doc_id"), "class_id")
+    alone = docs.where(F.col("text").isNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    return members.unionByName(alone.withColumn("class_id", F.col("doc_id")))
 
-    Rows without a doc_id belong to no class that could name them, and stay.
-    """
-    first = near_classes(docs).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("class_id")).distinct()
-    first = settled(first, "kept-ids").hint("shuffle_hash")
-    kept = docs.join(first, docs["doc_id"] == first["class_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+def near_dedup(docs: DataFrame) -> DataFrame:
+    """One document of each class, with its own columns: the one of the least doc_id, or without any id where no row
+    of the class has one. Rows that repeat it count once. Of null texts, one row of each doc_id stays, and all without one."""
+    _, classes = _node_classes(docs)
+    order = F.struct(F.col("least").isNull().alias("no"), "least", "k1", "k2")
+    first = settled(classes.groupBy("label").agg(F.min(order).alias("x")).select("x.least", F.col("x.k1").alias("a"), F.col("x.k2").alias("b")), "kept")
+    rows = packed(docs).withColumn("id", F.col("row.doc_id").cast("bigint"))
+    keyed = rows.where(F.col("text").isNotNull()).select("row", "id", *text_key())
+    same = (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b"))
+    named = keyed.join(first.hint("shuffle_hash"), (F.col("id") == F.col("least")) & same, "left_semi").dropDuplicates(["id", "k1", "k2"])
+    other = keyed.where(F.col("id").isNull()).dropDuplicates(["k1", "k2"])  # combined in each task: copies meet as one row
+    other = other.join(first.where(F.col("least").isNull()).hint("shuffle_hash"), same, "left_semi")
+    empty = rows.where(F.col("text").isNull())
+    parts = [named, other, empty.where(F.col("id").isNotNull()).dropDuplicates(["id"]), empty.where(F.col("id").isNull())]
+    kept = parts[0].select("row")
+    for part in parts[1:]:
+        kept = kept.unionByName(part.select("row"))
+    return kept.select("row.*")
