@@ -226,9 +226,10 @@ def _node_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.first("keys").alias("keys"))
     nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # written: the numbers stay
 
-    every = nodes.select("node", F.explode("keys").alias("key"))
-    heads = every.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    buckets = settled(every.join(settled(heads.select("key", "head"), "heads"), "key"), "buckets")
+    every = nodes.select("node", "least", F.explode("keys").alias("key"))
+    order = F.struct(F.col("least").isNull(), "least", "node")  # a bucket's head is its text of least doc_id
+    heads = every.groupBy("key").agg(F.min_by("node", order).alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    buckets = settled(every.drop("least").join(settled(heads.select("key", "head"), "heads"), "key"), "buckets")
     wanted = settled(nodes.select("node", "k1", "k2", "least").join(buckets.select("node").distinct(), "node"), "wanted")
     wanted = wanted.select("node", "least", F.col("k1").alias("a"), F.col("k2").alias("b")).hint("shuffle_hash")
     same = (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b"))
