@@ -162,6 +162,7 @@ def test_secrets(docs_of):
         None, "", "é password = 'abc' token: \"abcdef1\" 😀 API-KEY=xyzxyz api_KEY:: xyzxyz SECRET=token:abcdefgh", "x AKIA" + "A1" * 8 + " AKIASHORT AKIAAKIA" + "9" * 12,
         "0123456789abcdef01234567 0123456789ABCDEF01234567 " + "f" * 23, "token=" + "0a" * 20 + "," + "0a" * 20, "paſsword=abcdefgh", f"é a {key} b", "ab1" * 12,
         "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", "password=" + "x" * 50_000, ("secret = abcdefg; " * 500),
+        "\ufeffsecret=abcdefg\ufeffsecret=abcdefg\ufeff", "secret=" + "0a" * 20 + "AKIA" + "A1" * 9 + " x", f"{'q' * 25} AKIA{'B' * 16}{key}",
     ]
     docs = docs_of(list(enumerate(texts)))
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}
@@ -196,10 +197,52 @@ def test_battery_separates_random_from_regular(spark):
     assert sum(got[: len(random_ones)]) >= 0.95 * len(random_ones) and sum(got[len(random_ones) :]) <= 0.1 * len(regular)
 
 
+def _accepted(spark, tokens):
+    rows = spark.createDataFrame([(t,) for t in tokens], "text string").coalesce(1)
+    found = secrets.found(rows)
+    return [len(r.spans) for r in found.withColumn("spans", secrets.accepted(secrets.cutoffs(found))).collect()]
+
+
+def test_keys_of_letters_and_long_words(spark):
+    """Recall and precision where keys without a digit stand among ten times as many long words and names."""
+    rng = random.Random(8)
+    low = "abcdefghijklmnopqrstuvwxyz"
+    parts = "heit lich keit ung ein schaft tion ment ness able inter counter over ship hood ation ical ing er".split()
+
+    def word():
+        out, cap = "", rng.random() < 0.3
+        sep = rng.choice(("", "", "", "_", "-"))
+        while len(out) < 20:
+            part = rng.choice(parts)
+            out += (sep if out else "") + (part.title() if cap else part)
+        return out
+
+    keys = ["".join(rng.choice(abc) for _ in range(n)) for abc in (low, low.upper(), low + low.upper()) for n in (20, 24, 31) for _ in range(20)]
+    words = [word() for _ in range(10 * len(keys))]
+    got = _accepted(spark, keys + words)
+    kept, false = sum(got[: len(keys)]), sum(got[len(keys) :])
+    assert kept >= 0.8 * len(keys) and false <= 0.25 * (kept + false), (kept, false, len(keys))
+    assert _accepted(spark, ["1" * 23, "_" * 40, "------------------------", "12345678901234567890"]) == [0] * 4
+
+
+def test_a_text_with_many_matches(spark):
+    """Spans and masks of 40,000 matches, as many tokens beside them, and their running sums in blocks."""
+    import re
+
+    text = " ".join(f"token=abcdef{i:05d} {'az' * 10}{i:05d}" for i in range(40_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    got = secrets.scan(docs).select("base", "spans").first()
+    assert [(s.start, s.end) for s in got.base] == [m.span() for m in re.finditer("token=abcdef[0-9]{5}", text)]
+    clean, want = secrets.redact(docs).first().text, text
+    for s in reversed(got.spans):
+        want = want[: s.start] + secrets.MASK + want[s.end :]
+    assert clean == want and clean.count(secrets.MASK) >= 40_000
+
+
 def test_secrets_equal_their_sql(spark, tmp_path):
     """Tokens of all encodings and lengths, random and regular ones, in texts that have base spans too."""
     rng = random.Random(4)
-    alphabets = [abc for _, abc in secrets.ALPHABETS] + ["ab1", "abcdefghijk23", secrets._ANY]
+    alphabets = [abc for _, abc in secrets.ALPHABETS] + ["ab1", "abcdefghijk23", "aeinrst", "aeinrstX_", "0123456789", secrets._ANY]
     rows = []
     for i in range(300):
         words = [brute.prose(rng, 3)]

@@ -96,11 +96,13 @@ def learned(formatted: Column, loss: Column) -> Column:
     """All text under the loss mask, unescaped.
 
     Cut from the string's UTF-32 bytes: a place in them is found at once, one in a UTF-8 string by
-    counting from its beginning. (The one-element array binds them to a name.)
+    counting from its beginning. (The one-element array binds them to a name; the leading space keeps
+    a text's own U+FEFF from being read as a byte order mark.)
     """
 
     def cut(b: Column) -> Column:
-        part = lambda s: F.decode(F.substring(b, 4 * s["start"] + 1, 4 * (s["end"] - s["start"])), "UTF-32")
-        return F.array_join(F.transform(loss, lambda s: unescape(part(s))), "")
+        size = lambda s: s["end"] - s["start"]
+        part = lambda s: F.decode(F.concat(F.lit(bytearray(b"\0\0\0 ")), F.substring(b, 4 * s["start"] + 1, 4 * size(s))), "UTF-32")
+        return F.array_join(F.transform(loss, lambda s: unescape(F.substring(part(s), F.lit(2), size(s)))), "")
 
     return F.transform(F.array(F.encode(formatted, "UTF-32")), cut)[0]

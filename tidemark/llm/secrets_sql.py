@@ -2,23 +2,41 @@
 
 from __future__ import annotations
 
-from tidemark.llm.secrets import ALPHABETS, BANDS, MAX_BIN, RATE, STEP, _ANY
-
+# Written apart from the Spark code, so that one is held against the other.
+_LOW, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+_USUAL = "etaoinshrdlcumwfgypbvkjxqz"  # by frequency in text
+_LETTERS = (
+    ("[a-z]", _USUAL),
+    ("[A-Z]", _USUAL.upper()),
+    ("[A-Z2-7]", _LOW.upper() + "234567"),
+    ("[A-Za-z]", _USUAL + _USUAL.upper()),
+    ("[A-Za-z+/]", _USUAL + "+/" + _USUAL.upper()),
+    ("[A-Za-z_-]", _USUAL + "-_" + _USUAL.upper()),
+)
+_BASE62 = _LOW.upper() + _LOW + _DIGITS
+_OTHER = (
+    ("[0-9a-z]", _DIGITS + _LOW),
+    ("[0-9A-Z]", _DIGITS + _LOW.upper()),
+    ("[0-9A-Za-z]", _BASE62),
+    ("[0-9A-Za-z+/]", _BASE62 + "+/"),
+    ("[0-9A-Za-z_-]", _BASE62 + "-_"),
+)
+_SMALL = (("[0-9a-f]", "0123456789abcdef"), ("[0-9A-F]", "0123456789ABCDEF"))
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 # kind, order, pattern, and what a match must hold
 _PATTERNS = (
     ("assign", 0, _ASSIGN, f"length(regexp_extract(hit, '{_ASSIGN}', 2)) >= 6"),
     ("access", 1, "AKIA[A-Z0-9]+", "length(hit) >= 20"),
     ("hex", 2, "[0-9a-f]+", "length(hit) >= 24"),
-    ("random", 3, "[A-Za-z0-9+/_-]+", "length(hit) >= 20 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')"),
+    ("random", 3, "[A-Za-z0-9+/_-]+", "length(hit) >= 20 AND regexp_matches(hit, '[A-Za-z]')"),
 )
 _SEARCH = " UNION ALL ".join(
     f"SELECT doc_id, '{kind}' AS kind, {order} AS ord, string_split_regex(text, '{p}') AS gaps, regexp_extract_all(text, '{p}') AS hits FROM d"
     for kind, order, p, _ in _PATTERNS
 )
 _HOLDS = " OR ".join(f"(kind = '{kind}' AND {cond})" for kind, _, _, cond in _PATTERNS)
-_ALPHABET = "CASE " + " ".join(f"WHEN regexp_matches(hit, '{p}') THEN '{abc}'" for p, abc in ALPHABETS) + f" ELSE '{_ANY}' END"
-_BAND = " + ".join(f"(n >= {b})::INT" for b in BANDS[1:])
+_ALPHABET = "CASE " + " ".join(f"WHEN regexp_matches(hit, '^{p}+$') THEN '{abc}'" for p, abc in (*_SMALL, *_LETTERS, *_OTHER)) + f" ELSE '{_BASE62}+/-_' END"
+_BAND = "(n >= 32)::INT + (n >= 64)::INT + (n >= 128)::INT + (n >= 256)::INT"
 
 
 def _upper(z: str) -> str:
@@ -55,15 +73,24 @@ t3 AS (
         list_sum([(v[i] - mv) * (v[i + 1] - mv) for i in range(1, len(v))]) AS lag FROM t2),
 t4 AS (SELECT *, (mean - 1) * (mean - 2) / (n - 1) AS wide, CASE WHEN spread > 0 THEN lag / spread ELSE 1.0 END AS r FROM t3),
 t5 AS (
-    SELECT *, {_upper("((power(chi / (a - 1), 1 / 3.0) - (1 - part)) / sqrt(part))")} AS p1,
+    SELECT *, {_upper("((power(chi / (a - 1), 1 / 3.0) - (1 - part)) / sqrt(part))")} AS cells,
+        {_two("((2 * high - n) / sqrt(n))")} AS halves,
         CASE WHEN wide <= 0 THEN {_two("sqrt(n)")} ELSE {_two("((runs - mean) / sqrt(wide))")} END AS p2,
         {_two("((r + 1 / n) * sqrt(n))")} AS p3 FROM t4),
-t6 AS (SELECT *, -(ln(p1) + ln(p2) + ln(p3)) AS h, {_BAND} AS band FROM t5),
+t5b AS (SELECT *, CASE WHEN instr(abc, '2') = 0 THEN least(2 * least(cells, halves), 1.0) ELSE cells END AS p1 FROM t5),
+t6 AS (SELECT *, -(ln(p1) + ln(p2) + ln(p3)) AS h, {_BAND} AS band FROM t5b),
 tested AS (
-    SELECT *, CAST(least(floor(-log10(greatest(exp(-h) * (1 + h + h * h / 2), 1e-300)) * {STEP}), {MAX_BIN}) AS INT) AS bin FROM t6),
+    SELECT *, CAST(least(floor(-log10(greatest(exp(-h) * (1 + h + h * h / 2), 1e-300)) * 50), 15000) AS INT) AS bin FROM t6),
+counted AS (
+    SELECT band, bin, count(*) AS n FROM tested GROUP BY band, bin UNION ALL SELECT DISTINCT band, 15001, 0 FROM tested),
 ranked AS (
-    SELECT band, bin, count(*) OVER (PARTITION BY band ORDER BY bin DESC) AS k, count(*) OVER (PARTITION BY band) AS m FROM tested),
-cutoff AS (SELECT band, min(bin) AS least FROM ranked WHERE power(10.0, -bin / {STEP}.0) <= {RATE} * k / m GROUP BY band),
+    SELECT *, sum(n) OVER (PARTITION BY band ORDER BY bin DESC) AS k, sum(n) OVER (PARTITION BY band) AS m, power(10.0, -bin / 50.0) AS p,
+        coalesce(sum(n) FILTER (bin < 16) OVER (PARTITION BY band), 0) AS near FROM counted),
+hochberg AS (
+    SELECT *, m - k AS taken, min(bin) FILTER (n = 0 OR p <= 0.05 * k / m) OVER (PARTITION BY band) AS head FROM ranked),
+cutoff AS (
+    SELECT band, greatest(max(bin) FILTER (bin <= head AND 0.9 * taken - sqrt(taken) <= (near + 1) * (1 - p) / (1 - power(10.0, -0.32))),
+        least(16, min(head))) AS least FROM hochberg GROUP BY band),
 spans AS (
     SELECT doc_id, kind, ord, s, e FROM found WHERE ord < 3
     UNION ALL SELECT doc_id, 'random', 3, s, e FROM tested LEFT JOIN cutoff USING (band) WHERE least IS NULL OR bin < least),
