@@ -183,6 +183,33 @@ def test_filter_has_rules_for_symbols_lines_and_word_length(docs_of):
     assert got == {*range(60), 104} | {200 + i for i in range(60) if i % 5 >= 2}
 
 
+def test_tiling_with_common_stems():
+    """Items with shared stems against plain tiling, whatever seeds are looked up; many of them in bounded memory."""
+    import tracemalloc
+
+    rng = random.Random(21)
+    stem = brute.prose(rng, 6)
+    items = [f"{stem} {brute.prose(rng, rng.choice((3, 5, 7, 20)))}" for _ in range(40)] + [stem, f"{stem} {stem} {stem} {stem}", "of it " * 9]
+    docs = [f"{brute.prose(rng, 30)} {x} {brute.prose(rng, 30)}" for x in items[::3]] + [f"{stem} " * 30, "of it " * 40, brute.prose(rng, 50)]
+    docs += [" ".join([*x.split()[8:], *brute.prose(rng, 9).split(), *x.split()[:8]]) for x in items[:40:4]]
+    block = tiling.Block(list(enumerate(items)), 5, 0.5)
+    assert len(block.seeds) < len(block.own)
+    got = {(t, i): sum(x[2] for x in found) for t, i, found in tiling.covered(pa.array(docs), block, 0.5)}
+    want = {}
+    for t, d in enumerate(docs):
+        for i, x in enumerate(items):
+            n = sum(brute.tiling(d.split(), x.split(), 5))
+            if n >= 0.5 * len(x.split()):
+                want[t, i] = n
+    assert got == want and len(want) > 25
+    many = tiling.Block([(i, f"{stem} {brute.prose(rng, 20)}") for i in range(8000)], 5, 0.5)
+    doc = pa.array([f"{stem} {brute.prose(rng, 3)} " * 1000])
+    tracemalloc.start()
+    assert not list(tiling.covered(doc, many, 0.5))
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()
+
+
 def test_tiles_against_plain_greedy_tiling():
     rng = random.Random(4)
     for _ in range(60):

@@ -6,9 +6,11 @@ any order, so a passage whose sentences were shuffled is found too.
 
 Method. Texts are lower-cased and cut into words at white space and ASCII
 punctuation. Rolling Karp-Rabin hashes of five words seed the search: the
-document's hashes are joined with those of the items. A pair whose seeds
-cannot reach the threshold is left; for the others the seeds are joined along
-diagonals to longest matches, the longest that is free in both texts is
+document's distinct hashes are joined with those of the items, but for an
+item's most common ones (the stem of a question) as long as the words of these
+alone are short of the threshold: who shares no other can't reach it. A pair
+whose seeds cannot reach the threshold is left, before any place of the
+document is looked at; for the others the seeds are joined along diagonals to longest matches, the longest that is free in both texts is
 marked, the parts of others that it covers are cut off, and so on until no
 match of five words is left. The item's marked share is its coverage.
 
@@ -16,6 +18,7 @@ Scale. The benchmark is the stated query set: it goes to the tasks in blocks
 of about ``BLOCK_BYTES`` of text, whatever its size, and each block is held
 against every document. Blocks run one after the other and what each finds is
 written, so the driver holds a few blocks and plans don't grow with their number.
+A task holds a slice of text, a block, and the seeds of one pair at a time.
 Documents are not paired, and not shuffled unless the benchmark has several
 blocks: then :func:`decontaminate` joins them with what was found.
 
@@ -49,6 +52,8 @@ COVERAGE = 0.5
 #: Bytes of benchmark text that go to the tasks at once.
 BLOCK_BYTES = 8 << 20
 _BITS = 20
+#: Seeds of pairs that are expanded at once.
+_PART = 1 << 20
 
 _CUTS = SEPARATORS.copy()
 _CUTS[list(string.punctuation.encode())] = True
@@ -61,18 +66,54 @@ def normal_words(texts: pa.Array) -> tuple[Words, np.ndarray]:
 
 
 class Block:
-    """Items of the benchmark, with their seeds in order of hash."""
+    """Items of the benchmark, with their seeds.
 
-    def __init__(self, rows: list[tuple[int | None, str | None]], min_tile: int):
+    ``own``: seeds by item and place (those of item i from ``of[i]`` to ``of[i + 1]``);
+    ``seeds``, ``item``: those that are looked up for candidates, in order of hash.
+    """
+
+    def __init__(self, rows: list[tuple[int | None, str | None]], min_tile: int, coverage: float = 0.0):
         w, self.hashes = normal_words(pa.array([t for _, t in rows], pa.string()))
-        self.ids, self.first, self.k = [i for i, _ in rows], w.first, min_tile
+        self.ids, self.first, self.k, self.coverage = [i for i, _ in rows], w.first, min_tile, coverage
         at = np.flatnonzero(inside(w, min_tile))
-        grams = ngrams(self.hashes, min_tile)[at]
-        order = np.argsort(grams, kind="stable")
-        self.seeds, self.item = grams[order], w.text[at[order]]
-        self.place = at[order] - w.first[self.item]
+        self.own, item = ngrams(self.hashes, min_tile)[at], w.text[at]
+        self.of = np.searchsorted(item, np.arange(len(rows) + 1))
+        looked = np.flatnonzero(self._telling(item))
+        looked = looked[np.argsort(self.own[looked], kind="stable")]
+        self.seeds, self.item = self.own[looked], item[looked]
         self.maybe = np.zeros(1 << _BITS, bool)
-        self.maybe[self.seeds >> np.uint64(64 - _BITS)] = True
+        self.maybe[self.own >> np.uint64(64 - _BITS)] = True
+
+    def _telling(self, item: np.ndarray) -> np.ndarray:
+        """All seeds but each item's most common ones whose words together are short of the coverage."""
+        _, at, n = np.unique(self.own, return_inverse=True, return_counts=True)
+        times, out = n[at], np.ones(len(self.own), bool)
+        for i in np.unique(item[times > 1]):
+            a, b = self.of[i], self.of[i + 1]
+            need, words = self.coverage * (self.first[i + 1] - self.first[i]), set()
+            for place in np.argsort(-times[a:b], kind="stable"):
+                words.update(range(place, place + self.k))
+                if times[a + place] == 1 or len(words) >= need:
+                    break
+                out[a + place] = False
+        return out
+
+    def candidates(self, text: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """``text * items + item`` of the pairs that share a looked-up seed, in order, expanded in parts of bounded size."""
+        low, high = (np.searchsorted(self.seeds, grams, side=s) for s in ("left", "right"))
+        some = np.flatnonzero(high > low)
+        text, low, n = text[some], low[some], (high - low)[some]
+        part, out = np.cumsum(n) // _PART, [np.zeros(0, np.int64)]
+        for s, m in zip(*runs(part), strict=True):
+            x = slice(s, s + m)
+            seed = np.repeat(low[x], n[x]) + _within(n[x])
+            out.append(np.unique(np.repeat(text[x], n[x]) * len(self.ids) + self.item[seed]))
+        return np.unique(np.concatenate(out))
+
+
+def _within(n: np.ndarray) -> np.ndarray:
+    """0.. to n - 1 for each n, one after the other."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
 def tiles(hits: np.ndarray, k: int) -> list[tuple[int, int, int]]:
@@ -105,47 +146,44 @@ def tiles(hits: np.ndarray, k: int) -> list[tuple[int, int, int]]:
 
 def covered(texts: pa.Array, block: Block, coverage: float) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
     """(text index, item index, tiles) of each text and item whose tiles reach the coverage."""
-    k = block.k
+    k, items = block.k, len(block.ids)
     w, hashes = normal_words(texts)
     grams = ngrams(hashes, k)
     if not len(grams) or not len(block.seeds):
         return
     at = np.flatnonzero(block.maybe[grams >> np.uint64(64 - _BITS)])
     at = at[w.text[at] == w.text[at + k - 1]]
-    low, high = (np.searchsorted(block.seeds, grams[at], side=s) for s in ("left", "right"))
-    n = high - low
-    at, seed = np.repeat(at, n), np.repeat(low, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+    at = at[np.lexsort((grams[at], w.text[at]))]
+    text, own = w.text[at], grams[at]
     if not len(at):
         return
-    text, item, place = w.text[at], block.item[seed], block.place[seed]
-    order = np.lexsort((place, item, text))
-    at, text, item, place = at[order], text[order], item[order], place[order]
-    size = np.diff(block.first)
-    start, length = runs(text * len(size) + item)
-    # the words that the seeds cover are at least those of the tiles
-    reach = np.full(len(place), k)
-    same = np.r_[(text[1:] == text[:-1]) & (item[1:] == item[:-1]), False]
-    reach[same] = np.minimum(k, np.diff(place, append=0)[same])
-    most = np.add.reduceat(reach, start)
-    able = most >= coverage * size[item[start]]
-    for s, m in zip(start[able], length[able], strict=True):
-        t, i = int(text[s]), int(item[s])
-        found = tiles(np.stack([at[s : s + m] - w.first[t], place[s : s + m]], axis=1), k)
-        if sum(x[2] for x in found) >= coverage * size[i]:
-            yield t, i, found
-
-
-def blocks(benchmark: DataFrame, min_tile: int = MIN_TILE, block_bytes: int | None = None) -> Iterator[Block]:
+    new = np.r_[True, (text[1:] != text[:-1]) | (own[1:] != own[:-1])]
+    begin = np.searchsorted(text, np.arange(len(texts) + 1))
+    for t, i in zip(*np.divmod(block.candidates(text[new], own[new]), items), strict=True):
+        part, size = slice(begin[t], begin[t + 1]), block.first[i + 1] - block.first[i]
+        low, high = (np.searchsorted(own[part], block.own[block.of[i] : block.of[i + 1]], side=s) for s in ("left", "right"))
+        place = np.flatnonzero(high > low)
+        # the words that the seeds cover are at least those of the tiles
+        if k + np.minimum(k, np.diff(place)).sum() < coverage * size:
+            continue
+        n = (high - low)[place]
+        where = at[part][np.repeat(low[place], n) + _within(n)] - w.first[t]
+        found = tiles(np.stack([where, np.repeat(place, n)], axis=1), k)
+        if sum(x[2] for x in found) >= coverage * size:
+            yield int(t), int(i), found
+
+
+def blocks(benchmark: DataFrame, min_tile: int = MIN_TILE, coverage: float = COVERAGE, block_bytes: int | None = None) -> Iterator[Block]:
     """The benchmark in blocks of bounded size, each row in one."""
     rows, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("bigint").alias("i"), F.col("text").cast("string").alias("t")).toLocalIterator():
         rows.append((row.i, row.t))
         size += len(row.t or "") + 16
         if size >= (block_bytes or BLOCK_BYTES):
-            yield Block(rows, min_tile)
+            yield Block(rows, min_tile, coverage)
             rows, size = [], 0
     if rows:
-        yield Block(rows, min_tile)
+        yield Block(rows, min_tile, coverage)
 
 
 _HIT = "doc_id bigint, k1 bigint, k2 bigint, item_id bigint, n_tiles bigint, longest_tile bigint, tiled_words bigint, item_words bigint"
@@ -182,7 +220,7 @@ def _hits(docs: DataFrame, found_in: Iterator[Block], coverage: float) -> DataFr
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min_tile: int = MIN_TILE) -> DataFrame:
     """``doc_id, item_id, n_tiles, longest_tile, tiled_words, item_words, coverage`` of each contaminated document and item."""
-    out = _hits(docs, blocks(benchmark, min_tile), coverage).withColumn("share", F.col("tiled_words") / F.col("item_words"))
+    out = _hits(docs, blocks(benchmark, min_tile, coverage), coverage).withColumn("share", F.col("tiled_words") / F.col("item_words"))
     names = ["n_tiles", "longest_tile", "tiled_words", "item_words"]
     best = F.max(F.struct("share", *names)).alias("best")
     out = out.groupBy("doc_id", "k1", "k2", "item_id").agg(best, F.max("copies").alias("copies"))
@@ -203,7 +241,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
         return run
 
-    found_in = blocks(benchmark, min_tile)
+    found_in = blocks(benchmark, min_tile, coverage)
     first, second = next(found_in, None), next(found_in, None)
     if second is None:
         return (mapped(rows, keep(first), schema) if first else rows).select("row.*")
