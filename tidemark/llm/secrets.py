@@ -85,7 +85,7 @@ ALPHABETS = (
 _ANY = _UP + _LOW + _DIGITS + "+/-_"
 
 _SPAN = "array<struct<start:int,kind:int,end:int,token:string>>"
-_BLOCK = 64
+_BLOCK = 128
 
 
 def _bound(x: Column, fn: Callable[[Column], Column]) -> Column:
@@ -93,8 +93,8 @@ def _bound(x: Column, fn: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(x), fn)[0]
 
 
-def _running(x: Column, join: Callable[[Column, Column], Column], levels: int = 2) -> Column:
-    """Running ``join`` (sum, maximum) of an array of int, in blocks of blocks."""
+def _running(x: Column, join: Callable[[Column, Column], Column], levels: int = 1) -> Column:
+    """Running ``join`` (sum, maximum) of an array of int, in blocks (more levels make blocks of blocks)."""
 
     def plain(part: Column) -> Column:
         empty = F.array().cast("array<int>")
