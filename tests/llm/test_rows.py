@@ -336,6 +336,52 @@ def test_scores_prefer_the_corpus_language(docs_of):
     assert min(score[i].mean_ll for i in range(60)) > max(score[60 + i].mean_ll for i in range(6))
 
 
+def plain_scores(rows, table, top):
+    """Scores place by place: the network's class and the word's share of it, or the same words around another place."""
+    v, shapes = language.VOCABULARY, language.SHAPES
+    order = {w: 1 + i for i, w in enumerate(sorted(top, key=lambda w: language.normal_words(pa.array([w]))[1][0]))}
+    token = lambda w: 0 if w is None else order.get(w, v - shapes - 1 + min(len(w), shapes))
+    cube = table.astype(float).reshape(v, v, v)
+    n = Counter(w for _, t in rows for w in (t or "").split() if w not in top)
+    size = Counter()
+    for w, k in n.items():
+        size[len(w)] += k
+    places = []
+    for i, (_, t) in enumerate(rows):
+        ws = [None, *(t or "").split(), None]
+        places += [(i, *ws[j - 1 : j + 2]) for j in range(1, len(ws) - 1)]
+    own = lambda x: x is None or x in top
+    found = {k: [] for k in range(len(places))}  # the other places' words
+    for k, (_, x, w, y) in enumerate(places):
+        if w not in top and not (own(x) and own(y)):
+            found[k] = [p[2] for j, p in enumerate(places) if j != k and (p[1], p[3]) == (x, y) and p[2] not in top]
+    tried = defaultdict(list)
+    for k, others in found.items():
+        if others:
+            tried[len(others).bit_length() - 1].append(places[k][2] in others)
+    out = [0.0] * len(rows)
+    for k, (i, x, w, y) in enumerate(places):
+        at = cube[token(x), token(y)]
+        p = math.exp(at[token(w)]) * (n[w] / size[len(w)] if w in n else 1)
+        if found[k]:
+            band = tried[len(found[k]).bit_length() - 1]
+            gate = (sum(band) + 0.5) / (len(band) + 1)
+            hit = found[k].count(w) / len(found[k])
+            p = gate * hit * np.exp(at[v - shapes :]).sum() if hit else (1 - gate) * p
+        out[i] += math.log(p)
+    return out
+
+
+def check_scores(docs, rows, top):
+    got = language.score_documents(docs).collect()
+    table = language.WindowNetwork(language.cell_counts(docs, language.vocabulary(docs))).table()
+    want = sorted((i or -1, len((t or "").split()), x) for (i, t), x in zip(rows, plain_scores(rows, table, set(top))))
+    found = sorted((r.doc_id or -1, r.n_tokens, r.pseudo_ll) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in want]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in want], abs=1e-4)  # whole millionths for each word
+    return got
+
+
 @pytest.mark.parametrize("common", [1, 300, 1 << 16])
 def test_every_word_has_its_own_share(docs_of, monkeypatch, common):
     """Words beyond the network's classes score by their counts, looked up or joined."""
@@ -343,26 +389,34 @@ def test_every_word_has_its_own_share(docs_of, monkeypatch, common):
     top = " ".join(f"t{i:03d}" for i in range(language.VOCABULARY - language.SHAPES - 1))
     rows = [(i, f"{top} {top}") for i in range(10)] + [(20 + i, "often seldom") for i in range(9)]
     rows += [(40, "t000 often t001"), (41, "t000 rarer t001"), (42, "t000 xqzvk t001"), (43, "rarer xqzzz rarer"), (43, "rarer xqzzz rarer"), (None, None)]
-    docs = docs_of(rows)
-    got = language.score_documents(docs).collect()
-    table = language.WindowNetwork(language.cell_counts(docs, frequent := language.vocabulary(docs))).table()
-    _, cell = language.cells(pa.array([t for _, t in rows], pa.string()), frequent)
-    n = Counter(w for _, t in rows for w in (t or "").split() if w not in set(top.split()))
-    size = Counter()
-    for w, k in n.items():
-        size[len(w)] += k
-    want, at = [], 0
-    for i, t in rows:
-        own = (t or "").split()
-        want.append((i or -1, len(own), float(table[cell[at : at + len(own)]].sum(dtype=float)) + sum(math.log(n[w] / size[len(w)]) for w in own if w in n)))
-        at += len(own)
-    found = sorted((r.doc_id or -1, r.n_tokens, r.pseudo_ll) for r in got)
-    assert [x[:2] for x in found] == [x[:2] for x in sorted(want)]
-    assert [x[2] for x in found] == pytest.approx([x[2] for x in sorted(want)], abs=1e-6)
+    got = check_scores(docs_of(rows), rows, top.split())
     score = {r.doc_id: r.mean_ll for r in got}
     assert score[40] > score[41] > score[42]
 
 
+@pytest.mark.parametrize("common", [300, 1 << 16])
+def test_contexts_are_counted_over_the_whole_corpus(docs_of, monkeypatch, common):
+    """Equal contexts of one text, of several and of copies, with other words or the same between them."""
+    monkeypatch.setattr(language, "COMMON", common)
+    rng = random.Random(11)
+    top = [f"t{i:03d}" for i in range(language.VOCABULARY - language.SHAPES - 1)]
+    some = [f"w{i}" for i in range(12)] + [f"seldom{i}" for i in range(200)]
+    texts = [" ".join(rng.choice(top[:5] if rng.random() < 0.3 else some[:12] if rng.random() < 0.7 else some) for _ in range(30)) for _ in range(30)]
+    rows = [(200 + i, " ".join(top * 2)) for i in range(40)] + list(enumerate(texts + texts[:6], 20)) + [(90, "w1 w2 w1 w2 w1 w2"), (91, None), (91, ""), (92, "w1")]
+    check_scores(docs_of(rows).repartition(5), rows, top)
+
+
+def test_documents_that_occur_twice_score_apart(docs_of):
+    """Each word is masked itself, so only another place of the corpus can predict a rare one."""
+    rng = random.Random(12)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) if rng.random() < 0.6 else rng.choice(["the", "of", "and"]) for _ in range(80))
+    once, twice = [text() for _ in range(60)], [text() for _ in range(20)]
+    got = language.score_documents(docs_of(list(enumerate(once + twice + twice)))).collect()
+    score = {r.doc_id: r.mean_ll for r in got}
+    assert min(score[60 + i] for i in range(40)) > max(score[i] for i in range(60))
+    assert all(score[60 + i] == score[80 + i] for i in range(20))
+
+
 @pytest.mark.parametrize("operator", [
     lambda d: packing.pack_documents(d, tokenizer_path()), sharding.shard_documents, secrets.scan, secrets.redact, language.score_documents,
     lambda d: chat.format_chats(d.selectExpr("doc_id AS conv_id", "doc_id AS turn", "lang AS role", "text")),

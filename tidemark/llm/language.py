@@ -1,9 +1,8 @@
 """Document scores by masked pseudo-likelihood (operator 10).
 
 A window network predicts the class of every word from the classes on both
-sides: ``softmax(tanh(L[left] + R[right] + b) W + c)``. A word's probability is
-that of its class times its share of the class in the corpus, and a document's
-score is the sum of the log-probabilities of its words, each masked itself.
+sides: ``softmax(tanh(L[left] + R[right] + b) W + c)``. A document's score is
+the sum of the log-probabilities of its words, each masked itself.
 
 Words are lower-cased and cut at white space and ASCII punctuation. Every
 distinct word of the corpus is in the vocabulary, a Spark table of words and
@@ -11,23 +10,42 @@ counts that grows with the corpus. The network's ``VOCABULARY`` classes are a
 boundary mark for the ends of a text, the most frequent words, each a class of
 its own, and 16 classes by length for all other words.
 
+A word without a class of its own is predicted in two ways. The network's: the
+probability of its class times its share of the class in the corpus. And the
+context's: of the other places of the corpus between the same two whole words
+that hold a word without a class, the part that holds this word (times the
+network's probability that such a word stands here). The masked place itself
+is never counted. A gate mixes them by backing off: with ``b = floor(log2)`` of
+the number of other places, a word seen there has ``gate[b]`` times the
+context's probability, any other ``1 - gate[b]`` times the network's, and where
+there is no other place the network's alone stands. ``gate[b]`` is the
+most likely value over the whole corpus, the part of words in such contexts
+that another place repeats. Contexts of two words with classes of their own
+(or ends) are the network's alone: there it sees both sides as they are. The
+probabilities of all words at a place add up to one at most.
+
 Training covers every token of every document. The network sees a token
-through its two neighbours only, so the counts of (left, right, token) hold
-all there is to learn: tasks count them, Spark adds them up, and numpy fits
-the network to the exact likelihood of the whole corpus, weighing each cell
-by its count. The table has at most ``VOCABULARY**3`` cells (2 million) at any
-input size. The same bound lets tasks score by looking up the network's
-log-probabilities. Fixed seeds and whole counts make runs repeatable.
-
-Scale. Two passes count (words; cells), one scores. Word counts are combined
-for each slice and then by Spark; texts are never shuffled. Shares of words
+through the classes beside it only, so the counts of (left, right, token) hold
+all there is to learn for it: tasks count them, Spark adds them up, and numpy
+fits the network to the exact likelihood of the whole corpus, weighing each
+cell by its count. That table has at most ``VOCABULARY**3`` cells (2 million) at
+any input size, and tasks score by looking up the network's log-probabilities.
+The words, and the whole words around each, are Spark tables that grow
+with the corpus. Fixed seeds and whole counts make runs repeatable.
+
+Scale. Two passes count (words; cells), one scores; texts are never shuffled.
+Word counts are combined for each slice and then by Spark. Shares of words
 with at least ``1 / COMMON`` of all tokens (at most ``COMMON`` of them) go to
-every task; each document's other words are joined with the table of words, a
-row for each document and word, so no word is more than a small part of the
-join. Shares are added up as whole billionths, in any order the same.
+every task. Contexts take one exchange and one sort, a row of two hashes for
+each word without a class; one of the two words around has no class either, so
+no context holds more than one in ``VOCABULARY - SHAPES`` of all tokens. Rarer
+words that no context predicts are then joined with the table of words, none of
+which is more than a small part of the join. Terms are added up as whole
+billionths, in any order the same.
 
 Edge cases. A null or empty text has no tokens, score 0 and a null mean. Rows
-that repeat count and are scored each. An empty table gives an empty result.
+that repeat count and are scored each, and are context for each other. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,10 +53,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mapped, settled
-from tidemark.llm.textscan import Words
+from tidemark.llm.textscan import Words, mix
 from tidemark.llm.tiling import normal_words
 
 VOCABULARY, SHAPES = 128, 16
@@ -87,13 +106,19 @@ def tokens(texts: pa.Array, frequent: np.ndarray) -> tuple[Words, np.ndarray]:
     return w, np.where(known, 1 + at, shape)
 
 
+def beside(w: Words, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the words left and right of each word; 0 beyond a text's ends."""
+    left, right = np.zeros_like(values), np.zeros_like(values)
+    if len(w) > 1:
+        same = w.text[1:] == w.text[:-1]
+        left[1:], right[:-1] = values[:-1] * same, values[1:] * same
+    return left, right
+
+
 def cells(texts: pa.Array, frequent: np.ndarray) -> tuple[Words, np.ndarray]:
     """The (left, right, token) cell of each word as one number; 0 beyond a text's ends."""
     w, token = tokens(texts, frequent)
-    left, right = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
-    if len(w) > 1:
-        same = w.text[1:] == w.text[:-1]
-        left[1:], right[:-1] = token[:-1] * same, token[1:] * same
+    left, right = beside(w, token)
     return w, (left * VOCABULARY + right) * VOCABULARY + token
 
 
@@ -167,11 +192,47 @@ def _by_text(text: np.ndarray, words: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(text[first], np.arange(n + 1)), pa.int32()), rows)
 
 
+def classless(table: np.ndarray) -> np.ndarray:
+    """Log-probability of any word without a class of its own, between each pair of neighbours."""
+    return np.log(np.exp(table.reshape(VOCABULARY**2, VOCABULARY)[:, -SHAPES:].astype(np.float64)).sum(axis=1))
+
+
+def judged_places(scored: DataFrame) -> DataFrame:
+    """``row, word, band, nano`` of every place whose score its context changes or whose word is to be looked up.
+
+    ``band``: the binary order of the number of other places in its context
+    (null: none). ``nano``: what the context's prediction adds to the network's,
+    in billionths, if another place has the same word. ``word``: a rare word
+    that the context doesn't predict.
+    """
+    places = scored.select("row", F.inline("places")).repartition("context")
+    alike = Window.partitionBy("context").orderBy("word")
+    others = F.count("*").over(alike.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - 1
+    same = F.count("*").over(alike.rangeBetween(Window.currentRow, Window.currentRow)) - 1
+    found = places.select("row", "word", "micro", "rare", others.alias("others"), same.alias("same"))
+    seen = F.col("same") > 0
+    judged = found.select(
+        "row",
+        F.when(F.col("rare") & ~seen, F.col("word")).alias("word"),
+        F.when(F.col("others") > 0, F.floor(F.log2("others")).cast("int")).alias("band"),
+        F.when(seen, F.col("micro").cast("bigint") * 1000 + F.round(F.log(F.col("same") / F.col("others")) * 1e9).cast("bigint")).alias("nano"),
+    )
+    return judged.where("band is not null or word is not null")
+
+
+def gates(judged: DataFrame) -> list[float]:
+    """For each band the part of its places whose word another place repeats (half a place is added to both sides)."""
+    bands = judged.where("band is not null").groupBy("band").agg(F.count("nano").alias("seen"), F.count("*").alias("n")).collect()  # 63 at most
+    of = {r.band: (r.seen + 0.5) / (r.n + 1) for r in bands}
+    return [of.get(b, 0.5) for b in range(max(of, default=0) + 1)]
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, pseudo_ll, mean_ll`` of every row of ``docs(doc_id, text)``."""
     words, context = word_counts(docs), docs.sparkSession.sparkContext
     frequent = _frequent(words)
-    table = context.broadcast(WindowNetwork(cell_counts(docs, frequent)).table())
+    network = WindowNetwork(cell_counts(docs, frequent)).table()
+    table, other_word = context.broadcast(network), context.broadcast(classless(network))
     shares = settled(own_shares(words, frequent), "shares")
     total = words.agg(F.sum("n")).first()[0] or 0
     often = shares.where(F.col("n") * COMMON >= total).select("word", "nano").toArrow()  # COMMON rows at most
@@ -182,24 +243,43 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(batch.schema.get_field_index("text"))
         w, cell = cells(texts, frequent)
-        total = np.bincount(w.text, weights=table.value[cell].astype(np.float64), minlength=len(texts))
-        other = cell % VOCABULARY >= VOCABULARY - SHAPES
-        text, own, (known, share) = w.text[other], w.hash()[other], common.value
-        at = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
-        here = known[at] == own if len(known) else np.zeros(len(own), bool)
-        nano = np.zeros(len(texts), np.int64)
-        np.add.at(nano, text[here], share[at[here]] if len(known) else 0)
-        rest = _by_text(text[~here], own[~here], len(texts))
+        by_class, hashes = table.value[cell].astype(np.float64), w.hash()
+        total = np.bincount(w.text, weights=by_class, minlength=len(texts))
+        pair, own_class = np.divmod(cell, VOCABULARY)
+        first = VOCABULARY - SHAPES  # of the classes by length
+        other = own_class >= first
+        known, share = common.value
+        at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+        here = other & (known[at] == hashes) if len(known) else np.zeros(len(w), bool)
+        nano, own = np.zeros(len(texts), np.int64), np.zeros(len(w), np.int64)
+        own[here] = share[at[here]]
+        np.add.at(nano, w.text[here], own[here])
+        placed = other & ((pair // VOCABULARY >= first) | (pair % VOCABULARY >= first))
+        alone = other & ~here & ~placed
+        rest = _by_text(w.text[alone], hashes[alone], len(texts))
+        left, right = beside(w, hashes)
+        around = mix(left) ^ mix(mix(right))
+        micro = np.rint((other_word.value[pair] - by_class) * 1e6 - own / 1e3)
+        columns = [around[placed].view(np.int64), hashes[placed].view(np.int64), micro[placed].astype(np.int32), ~here[placed]]
+        rows = pa.StructArray.from_arrays([pa.array(c) for c in columns], names=["context", "word", "micro", "rare"])
+        places = pa.ListArray.from_arrays(pa.array(np.searchsorted(w.text[placed], np.arange(len(texts) + 1)), pa.int32()), rows)
         ids = batch.column(batch.schema.get_field_index("doc_id"))
-        return pa.RecordBatch.from_arrays([ids, pa.array(w.count, pa.int64()), pa.array(total), pa.array(nano), rest], names=["doc_id", "n_tokens", "class_ll", "nano", "rest"])
+        names = ["doc_id", "n_tokens", "class_ll", "nano", "rest", "places"]
+        return pa.RecordBatch.from_arrays([ids, pa.array(w.count, pa.int64()), pa.array(total), pa.array(nano), rest, places], names=names)
 
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, n_tokens bigint, class_ll double, nano bigint, rest array<struct<word:bigint,times:bigint>>"
+    schema = "doc_id bigint, n_tokens bigint, class_ll double, nano bigint, rest array<struct<word:bigint,times:bigint>>, "
+    schema += "places array<struct<context:bigint,word:bigint,micro:int,rare:boolean>>"
     scored = settled(mapped(base, score, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    judged = settled(judged_places(scored), "judged")
+    gate = np.array(gates(judged))
+    hit, miss = (F.array(*[F.lit(int(x)) for x in np.rint(np.log(g) * 1e9)]) for g in (gate, 1 - gate))
+    moved = F.when(F.col("nano").isNull(), F.get(miss, "band")).otherwise(F.col("nano") + F.get(hit, "band"))
     rare = shares.where(F.col("n") * COMMON < total).select("word", F.col("nano").alias("own"))
-    joined = scored.select("row", F.inline("rest")).join(rare.hint("shuffle_hash"), "word")
-    sums = joined.groupBy("row").agg(F.sum(F.col("times") * F.col("own")).alias("rare"))
-    out = scored.drop("rest").join(sums, "row", "left")
-    within = (F.col("nano") + F.coalesce("rare", F.lit(0))) / F.lit(1e9)
+    looked = scored.select("row", F.inline("rest")).unionAll(judged.where("word is not null").select("row", "word", F.lit(1).cast("bigint")))
+    lines = looked.join(rare.hint("shuffle_hash"), "word").select("row", (F.col("times") * F.col("own")).alias("term"))
+    lines = lines.unionAll(judged.where("band is not null").select("row", moved.cast("bigint")))
+    out = scored.drop("rest", "places").join(lines.groupBy("row").agg(F.sum("term").alias("terms")), "row", "left")
+    within = (F.col("nano") + F.coalesce("terms", F.lit(0))) / F.lit(1e9)
     out = out.select("doc_id", "n_tokens", (F.col("class_ll") + within).alias("pseudo_ll"))
     return out.withColumn("mean_ll", F.when(F.col("n_tokens") > 0, F.col("pseudo_ll") / F.col("n_tokens")))
