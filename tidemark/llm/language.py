@@ -10,19 +10,16 @@ counts that grows with the corpus. The network's ``VOCABULARY`` classes are a
 boundary mark for the ends of a text, the most frequent words, each a class of
 its own, and 16 classes by length for all other words.
 
-A word without a class of its own is predicted in two ways. The network's: the
-probability of its class times its share of the class in the corpus. And the
-context's: of the other places of the corpus between the same two whole words
-that hold a word without a class, the part that holds this word (times the
-network's probability that such a word stands here). The masked place itself
-is never counted. A gate mixes them by backing off: with ``b = floor(log2)`` of
-the number of other places, a word seen there has ``gate[b]`` times the
-context's probability, any other ``1 - gate[b]`` times the network's, and where
-there is no other place the network's alone stands. ``gate[b]`` is the
-most likely value over the whole corpus, the part of words in such contexts
-that another place repeats. Contexts of two words with classes of their own
-(or ends) are the network's alone: there it sees both sides as they are. The
-probabilities of all words at a place add up to one at most.
+Every word is predicted by three: the network (the probability of the word's
+class times the word's share of the class in the corpus), the whole word on the
+left and the whole word on the right. A word beside predicts by the other
+places of the corpus where it stands (the masked place is never counted):
+``(same + 1 / v) / (others + 1)``, with ``same`` of the ``others`` having the masked
+word there and ``v`` the number of distinct words and the end of a text. Where the
+word beside has a class of its own, or a text ends, the network takes its part,
+as it sees that side as it is. The three are multiplied with a third of the
+weight each: a geometric mean of probabilities, which adds up to one at most
+over all words (Hoelder), so scores are log-probabilities and never too good.
 
 Training covers every token of every document. The network sees a token
 through the classes beside it only, so the counts of (left, right, token) hold
@@ -30,18 +27,16 @@ all there is to learn for it: tasks count them, Spark adds them up, and numpy
 fits the network to the exact likelihood of the whole corpus, weighing each
 cell by its count. That table has at most ``VOCABULARY**3`` cells (2 million) at
 any input size, and tasks score by looking up the network's log-probabilities.
-The words, and the whole words around each, are Spark tables that grow
-with the corpus. Fixed seeds and whole counts make runs repeatable.
+The words and what stands beside each are counted in Spark and grow with
+the corpus. Fixed seeds and whole counts make runs repeatable.
 
 Scale. Two passes count (words; cells), one scores; texts are never shuffled.
-Word counts are combined for each slice and then by Spark. Shares of words
-with at least ``1 / COMMON`` of all tokens (at most ``COMMON`` of them) go to
-every task. Contexts take one exchange and one sort, a row of two hashes for
-each word without a class; one of the two words around has no class either, so
-no context holds more than one in ``VOCABULARY - SHAPES`` of all tokens. Rarer
-words that no context predicts are then joined with the table of words, none of
-which is more than a small part of the join. Terms are added up as whole
-billionths, in any order the same.
+Word counts are combined for each slice and then by Spark. A word without a
+class of its own is sent once, to the places of the same word: that gives its
+share and what it predicts for the words on both sides. It holds at most one in
+``VOCABULARY - SHAPES`` of all tokens, and Spark's windows spill. The words beside
+are sent as 24 bits, so of ``others`` places about ``others / 2**24`` are taken for
+the same by mistake. Terms are added up as whole billionths, in any order the same.
 
 Edge cases. A null or empty text has no tokens, score 0 and a null mean. Rows
 that repeat count and are scored each, and are context for each other. An
@@ -61,8 +56,6 @@ from tidemark.llm.textscan import Words, mix
 from tidemark.llm.tiling import normal_words
 
 VOCABULARY, SHAPES = 128, 16
-#: Words with at least one in so many of all tokens are looked up in the tasks.
-COMMON = 1 << 16
 HIDDEN, STEPS, LEARN = 16, 120, 0.05
 
 
@@ -89,14 +82,6 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
     return _frequent(word_counts(docs), size)
 
 
-def own_shares(words: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``word, n, nano``: the log of each other word's share of its length class, in billionths."""
-    rest = words.where(~F.col("word").isin(frequent.view(np.int64).tolist())) if len(frequent) else words
-    sizes = rest.groupBy("shape").agg(F.sum("n").alias("size"))  # SHAPES rows
-    nano = F.round(F.log(F.col("n") / F.col("size")) * 1e9).cast("bigint")
-    return rest.join(F.broadcast(sizes), "shape").select("word", "n", nano.alias("nano"))
-
-
 def tokens(texts: pa.Array, frequent: np.ndarray) -> tuple[Words, np.ndarray]:
     """The token of each word: 1.. for frequent words, then a class by length."""
     w, hashes = normal_words(texts)
@@ -182,104 +167,71 @@ class WindowNetwork:
         return np.concatenate([self._log(np.tanh(self.left[i] + self.right + self.bias)) for i in range(v)]).astype(np.float32).reshape(-1)
 
 
-def _by_text(text: np.ndarray, words: np.ndarray, n: int) -> pa.ListArray:
-    """For each of n texts its distinct words and how often each stands there."""
-    order = np.lexsort((words, text))
-    text, words = text[order], words[order]
-    first = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (words[1:] != words[:-1])]) if len(words) else np.zeros(0, np.int64)
-    times = np.diff(np.r_[first, len(words)])
-    rows = pa.StructArray.from_arrays([pa.array(words[first].view(np.int64)), pa.array(times, pa.int64())], names=["word", "times"])
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text[first], np.arange(n + 1)), pa.int32()), rows)
+def _places(w: Words, cell: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, word and sides of each word without a class of its own; sides: ``left << 30 | right << 6 | shape << 2 | thirds``."""
+    first, hashes = VOCABULARY - SHAPES, w.hash()
+    left, right = beside(w, np.maximum((mix(hashes) >> np.uint64(40)).astype(np.int64), 1))
+    at = np.flatnonzero(cell % VOCABULARY >= first)
+    sides = (left[at] << 30) | (right[at] << 6) | ((cell[at] % VOCABULARY - first) << 2) | thirds(cell[at])
+    return rows[w.text[at]], hashes[at].view(np.int64), sides
 
 
-def classless(table: np.ndarray) -> np.ndarray:
-    """Log-probability of any word without a class of its own, between each pair of neighbours."""
-    return np.log(np.exp(table.reshape(VOCABULARY**2, VOCABULARY)[:, -SHAPES:].astype(np.float64)).sum(axis=1))
+def thirds(cell: np.ndarray) -> np.ndarray:
+    """The network's part of each word's prediction: a third and one for each side without a whole word to tell."""
+    pair, first = cell // VOCABULARY, VOCABULARY - SHAPES
+    return 3 - (pair // VOCABULARY >= first) - (pair % VOCABULARY >= first)
 
 
-def judged_places(scored: DataFrame) -> DataFrame:
-    """``row, word, band, nano`` of every place whose score its context changes or whose word is to be looked up.
+def place_terms(places: DataFrame, sizes: dict[int, int], distinct: int) -> DataFrame:
+    """``places`` with ``term``: what each place adds beyond the network's classes, in billionths.
 
-    ``band``: the binary order of the number of other places in its context
-    (null: none). ``nano``: what the context's prediction adds to the network's,
-    in billionths, if another place has the same word. ``word``: a rare word
-    that the context doesn't predict.
+    The share of its word, and the predictions that its word makes for the words beside it.
     """
-    places = scored.select("row", F.inline("places")).repartition("context")
-    alike = Window.partitionBy("context").orderBy("word")
-    others = F.count("*").over(alike.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - 1
-    same = F.count("*").over(alike.rangeBetween(Window.currentRow, Window.currentRow)) - 1
-    found = places.select("row", "word", "micro", "rare", others.alias("others"), same.alias("same"))
-    seen = F.col("same") > 0
-    judged = found.select(
-        "row",
-        F.when(F.col("rare") & ~seen, F.col("word")).alias("word"),
-        F.when(F.col("others") > 0, F.floor(F.log2("others")).cast("int")).alias("band"),
-        F.when(seen, F.col("micro").cast("bigint") * 1000 + F.round(F.log(F.col("same") / F.col("others")) * 1e9).cast("bigint")).alias("nano"),
-    )
-    return judged.where("band is not null or word is not null")
-
-
-def gates(judged: DataFrame) -> list[float]:
-    """For each band the part of its places whose word another place repeats (half a place is added to both sides)."""
-    bands = judged.where("band is not null").groupBy("band").agg(F.count("nano").alias("seen"), F.count("*").alias("n")).collect()  # 63 at most
-    of = {r.band: (r.seen + 0.5) / (r.n + 1) for r in bands}
-    return [of.get(b, 0.5) for b in range(max(of, default=0) + 1)]
+    side = F.col("sides")
+    left, right = F.shiftright(side, 30).alias("left"), F.shiftright(side, 6).bitwiseAND(F.lit((1 << 24) - 1)).alias("right")
+    cols = ["row", "doc_id", "n_tokens", "class_ll"]
+    by_right, by_left = (Window.partitionBy("word").orderBy(c) for c in ("right", "left"))
+    whole = by_right.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    peers = (Window.currentRow, Window.currentRow)
+    found = places.repartition("word").select(*cols, "word", "sides", left, right)
+    found = found.select(*cols, "word", "sides", "left", "right", F.count("sides").over(whole).alias("n"), F.count("sides").over(by_right.rangeBetween(*peers)).alias("to_right"))
+    found = found.withColumn("to_left", F.count("sides").over(by_left.rangeBetween(*peers)))
+    size = F.element_at(F.array(*[F.lit(float(sizes.get(i + 1, 1))) for i in range(SHAPES)]), (F.shiftright(side, 2).bitwiseAND(F.lit(15)) + 1).cast("int"))
+    tells = lambda c, same: F.when(F.col(c) == 0, 0.0).otherwise(F.log((F.col(same) - 1 + F.lit(1 / distinct)) / F.col("n")))
+    total = side.bitwiseAND(F.lit(3)) * F.log(F.col("n") / size) + tells("left", "to_left") + tells("right", "to_right")
+    return found.select(*cols, F.round(total / 3 * 1e9).cast("bigint").alias("term"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, pseudo_ll, mean_ll`` of every row of ``docs(doc_id, text)``."""
     words, context = word_counts(docs), docs.sparkSession.sparkContext
     frequent = _frequent(words)
-    network = WindowNetwork(cell_counts(docs, frequent)).table()
-    table, other_word = context.broadcast(network), context.broadcast(classless(network))
-    shares = settled(own_shares(words, frequent), "shares")
-    total = words.agg(F.sum("n")).first()[0] or 0
-    often = shares.where(F.col("n") * COMMON >= total).select("word", "nano").toArrow()  # COMMON rows at most
-    hashes = often["word"].to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    common = context.broadcast((hashes[order], often["nano"].to_numpy()[order]))
+    rest = words.where(~F.col("word").isin(frequent.view(np.int64).tolist())) if len(frequent) else words
+    sizes = {r["shape"]: r["size"] for r in rest.groupBy("shape").agg(F.sum("n").alias("size")).collect()}  # SHAPES rows
+    table = context.broadcast(WindowNetwork(cell_counts(docs, frequent)).table())
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(batch.schema.get_field_index("text"))
+        """A row for each text, then one for each place."""
+        texts, ids, rows = (batch.column(batch.schema.get_field_index(c)) for c in ("text", "doc_id", "row"))
         w, cell = cells(texts, frequent)
-        by_class, hashes = table.value[cell].astype(np.float64), w.hash()
-        total = np.bincount(w.text, weights=by_class, minlength=len(texts))
-        pair, own_class = np.divmod(cell, VOCABULARY)
-        first = VOCABULARY - SHAPES  # of the classes by length
-        other = own_class >= first
-        known, share = common.value
-        at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-        here = other & (known[at] == hashes) if len(known) else np.zeros(len(w), bool)
-        nano, own = np.zeros(len(texts), np.int64), np.zeros(len(w), np.int64)
-        own[here] = share[at[here]]
-        np.add.at(nano, w.text[here], own[here])
-        placed = other & ((pair // VOCABULARY >= first) | (pair % VOCABULARY >= first))
-        alone = other & ~here & ~placed
-        rest = _by_text(w.text[alone], hashes[alone], len(texts))
-        left, right = beside(w, hashes)
-        around = mix(left) ^ mix(mix(right))
-        micro = np.rint((other_word.value[pair] - by_class) * 1e6 - own / 1e3)
-        columns = [around[placed].view(np.int64), hashes[placed].view(np.int64), micro[placed].astype(np.int32), ~here[placed]]
-        rows = pa.StructArray.from_arrays([pa.array(c) for c in columns], names=["context", "word", "micro", "rare"])
-        places = pa.ListArray.from_arrays(pa.array(np.searchsorted(w.text[placed], np.arange(len(texts) + 1)), pa.int32()), rows)
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        names = ["doc_id", "n_tokens", "class_ll", "nano", "rest", "places"]
-        return pa.RecordBatch.from_arrays([ids, pa.array(w.count, pa.int64()), pa.array(total), pa.array(nano), rest, places], names=names)
-
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, n_tokens bigint, class_ll double, nano bigint, rest array<struct<word:bigint,times:bigint>>, "
-    schema += "places array<struct<context:bigint,word:bigint,micro:int,rare:boolean>>"
-    scored = settled(mapped(base, score, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
-    judged = settled(judged_places(scored), "judged")
-    gate = np.array(gates(judged))
-    hit, miss = (F.array(*[F.lit(int(x)) for x in np.rint(np.log(g) * 1e9)]) for g in (gate, 1 - gate))
-    moved = F.when(F.col("nano").isNull(), F.get(miss, "band")).otherwise(F.col("nano") + F.get(hit, "band"))
-    rare = shares.where(F.col("n") * COMMON < total).select("word", F.col("nano").alias("own"))
-    looked = scored.select("row", F.inline("rest")).unionAll(judged.where("word is not null").select("row", "word", F.lit(1).cast("bigint")))
-    lines = looked.join(rare.hint("shuffle_hash"), "word").select("row", (F.col("times") * F.col("own")).alias("term"))
-    lines = lines.unionAll(judged.where("band is not null").select("row", moved.cast("bigint")))
-    out = scored.drop("rest", "places").join(lines.groupBy("row").agg(F.sum("term").alias("terms")), "row", "left")
-    within = (F.col("nano") + F.coalesce("terms", F.lit(0))) / F.lit(1e9)
-    out = out.select("doc_id", "n_tokens", (F.col("class_ll") + within).alias("pseudo_ll"))
+        rows, many = rows.to_numpy(), len(texts)
+        by_class = np.bincount(w.text, weights=table.value[cell].astype(np.float64) * thirds(cell), minlength=many) / 3
+        row, word, sides = _places(w, cell, rows)
+        none = lambda kind: pa.nulls(len(row), kind)
+        columns = {
+            "row": pa.array(np.r_[rows, row]),
+            "word": pa.array(np.r_[mix(rows.astype(np.uint64)).view(np.int64), word]),  # texts spread over the tasks
+            "sides": pa.concat_arrays([pa.nulls(many, pa.int64()), pa.array(sides, pa.int64())]),
+            "doc_id": pa.concat_arrays([ids, none(pa.int64())]),
+            "n_tokens": pa.concat_arrays([pa.array(w.count, pa.int64()), none(pa.int64())]),
+            "class_ll": pa.concat_arrays([pa.array(by_class, pa.float64()), none(pa.float64())]),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    places = mapped(base, score, "row bigint, word bigint, sides bigint, doc_id bigint, n_tokens bigint, class_ll double", ("text", "doc_id", "row"))
+    terms = place_terms(places, sizes, words.count() + 1)
+    parts = [F.max(c).alias(c) for c in ("doc_id", "n_tokens", "class_ll")]
+    out = terms.groupBy("row").agg(F.coalesce(F.sum("term"), F.lit(0)).alias("terms"), *parts)
+    out = out.select("doc_id", "n_tokens", (F.col("class_ll") + F.col("terms") / F.lit(1e9)).alias("pseudo_ll"))
     return out.withColumn("mean_ll", F.when(F.col("n_tokens") > 0, F.col("pseudo_ll") / F.col("n_tokens")))
