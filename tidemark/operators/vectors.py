@@ -46,12 +46,15 @@ def with_vectors(rows: DataFrame, vectors: DataFrame, columns: tuple[str, ...] =
 
     Only vectors that the rows name pass a join: for a few final rows AQE
     broadcasts their keys, and the side table is scanned without a shuffle.
+    A row without a vector meets nothing, so it joins by a hash of its own: by
+    the one key ``''`` all such rows would be one task's.
     """
     wanted = rows.select(F.explode(F.array(*columns)).alias("vec_key")).where(F.col("vec_key") != "").distinct()
     some = vectors.join(wanted, "vec_key", "left_semi")
     out = rows
+    apart = F.concat(F.lit("-"), F.xxhash64(*([c for c in rows.columns if c not in columns] or columns)).cast("string"))
     for c in columns:
         own = some.select(F.col("vec_key").alias(f"_key_{c}"), F.col("vec").alias(f"_vec_{c}"))
-        out = out.join(own, F.col(c) == F.col(f"_key_{c}"), "left")
+        out = out.join(own, F.when(F.col(c) != "", F.col(c)).otherwise(apart) == F.col(f"_key_{c}"), "left")
         out = out.withColumn(c, F.when(F.col(c) == "", empty_floats()).otherwise(F.col(f"_vec_{c}"))).drop(f"_key_{c}", f"_vec_{c}")
     return out

@@ -55,13 +55,15 @@ def decode_json(
     return parsed.select(*cols, seq.cast("bigint").alias("seq"), corrupt.alias(CORRUPT), "raw", *([SOURCE_TIME] if time_col else []), *keep)
 
 
-def with_input_order(messages: DataFrame) -> DataFrame:
+def with_input_order(messages: DataFrame, keep=lambda df: df) -> DataFrame:
     """Fill a missing ``seq`` from the input order (batch DataFrames only).
 
     Messages read from files (``FILE_COLS``) are ordered by file time, path
     and position; Spark packs files by size, so its own row order says
     nothing between files. The table of splits is one row for each part of a
-    file that a task reads. Other inputs keep their row order.
+    file that a task reads; it is broadcast, since a shuffle by file would make
+    a file's messages one task's. Other inputs keep their row order.
+    ``keep`` may persist the splits, for a caller that uses the result more than once.
     """
     row = F.monotonically_increasing_id()
     if not set(FILE_COLS) <= set(messages.columns):
@@ -69,10 +71,10 @@ def with_input_order(messages: DataFrame) -> DataFrame:
     inside = F.lit((1 << _ROW_BITS) - 1)
     messages = messages.withColumn("_row", row.bitwiseAND(inside))
     splits = messages.select(*FILE_COLS).distinct().withColumn("_split", F.row_number().over(Window.orderBy(*FILE_COLS)))
-    splits = splits.select(*[F.col(c).alias(f"{c}_s") for c in FILE_COLS], "_split")
+    splits = keep(splits.select(*[F.col(c).alias(f"{c}_s") for c in FILE_COLS], "_split"))
     same = [F.col(c) == F.col(f"{c}_s") for c in FILE_COLS]
     position = F.shiftleft(F.col("_split").cast("bigint"), _ROW_BITS).bitwiseOR(F.col("_row"))
-    ordered = messages.join(splits, same).withColumn("seq", F.coalesce(F.col("seq"), position))
+    ordered = messages.join(F.broadcast(splits), same).withColumn("seq", F.coalesce(F.col("seq"), position))
     return ordered.drop("_row", "_split", *FILE_COLS, *[f"{c}_s" for c in FILE_COLS])
 
 
