@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.schema import EVENT_COLS, LINEAGE_COLS
@@ -48,6 +48,16 @@ def latest_version(
     return out
 
 
+def place_in(window: WindowSpec) -> Column:
+    """A row's place in an ordered window, as a running count.
+
+    Of ``row_number() = 1`` Spark makes a second sort of full rows, before the
+    shuffle, to drop what cannot win. Where few rows share a key it drops
+    almost nothing, and costs a task as much memory again.
+    """
+    return F.count(F.lit(1)).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
 def live_snapshot(history: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
     """Latest version per key with tombstones hidden."""
     return latest_version(history, keys, include_deleted=False)

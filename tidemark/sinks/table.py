@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.exprs import day_key, month_key
-from tidemark.operators.versioning import latest_version
+from tidemark.operators.versioning import latest_version, place_in
 from tidemark.schema import (
     DAILY_HISTORY_SCHEMA,
     DAY_COL,
@@ -323,7 +323,7 @@ def drop_replayed(history: DataFrame) -> DataFrame:
     occurs twice.
     """
     w = Window.partitionBy("id", "version").orderBy("batch_id", "seq")
-    return history.withColumn("_copy", F.row_number().over(w)).where(F.col("_copy") == 1).drop("_copy")
+    return history.withColumn("_copy", place_in(w)).where(F.col("_copy") == 1).drop("_copy")
 
 
 SNAPSHOT_PREFIX = "through="
