@@ -37,7 +37,7 @@ from tidemark.functions.exprs import as_of_literal, days_before, month_key
 from tidemark.operators.fold import as_base
 from tidemark.operators.rollups import error_partial, latency_partial, merge_error, merge_latency, with_month
 from tidemark.operators.vectors import VECTOR_SCHEMA, keyed_schema, split_vectors, with_vectors
-from tidemark.operators.versioning import latest_version
+from tidemark.operators.versioning import latest_version, place_in
 from tidemark.schema import (
     ARRAY_FIELDS,
     ERROR_PARTIAL_SCHEMA,
@@ -100,11 +100,16 @@ def _touched(keys: DataFrame, key: str) -> list[int]:
 
 # ---------------------------------------------------------------- folders
 
+def _none(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows; the limit lets the optimizer drop joins with them."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def _read(spark: SparkSession, tables: Tables, table: str, paths: list[str], schema: StructType, *more: StructField) -> DataFrame:
     """The rows of the named folders; nothing else of the table is listed."""
     full = StructType([*schema.fields, *more, StructField(ATTEMPT, _TEXT)])
     if not paths:
-        return spark.createDataFrame([], full).drop(ATTEMPT)
+        return _none(spark, full).drop(ATTEMPT)
     reader = spark.read.schema(full).option("basePath", f"{tables.root}/{table}")
     return reader.parquet(*[f"{tables.root}/{p}" for p in paths]).drop(ATTEMPT)
 
@@ -140,7 +145,7 @@ def _bucketed(df: DataFrame, tables: Tables, path: str, by: str, key: str, rows:
 def _buckets(spark: SparkSession, tables: Tables, part: dict | None, schema: StructType, slots: list[int] | None = None) -> DataFrame:
     """The rows of a bucketed folder, of the buckets that hold the given slots: other folders are not even listed."""
     if part is None:
-        return spark.createDataFrame([], schema)
+        return _none(spark, schema)
     touched = part["full"] if slots is None else sorted({s * part["buckets"] // SLOTS for s in slots} & set(part["full"]))
     paths = [f"{part['path']}/{part['by']}={b}" for b in touched]
     extra = [StructField("through", _LONG), StructField(part["by"], _INT)]
@@ -280,7 +285,7 @@ def base_rows(spark: SparkSession, tables: Tables, ids: DataFrame, batch_id: int
     if not any(b < batch_id for b in m.batches):
         return None
     ids = keep(ids.select("id").distinct())
-    index = read_index(spark, tables, m, batch_id, _touched(ids, "id"))
+    index = read_index(spark, tables, m, batch_id, _touched(ids, "id") if m.snapshot else None)
     keys = ["id", "version", "batch_id", "seq"]
     winners = keep(latest_version(index.join(ids, "id", "left_semi").select(*keys, "month", "compacted")))
     places = winners.select("compacted", "batch_id", "month").distinct().collect()  # folders: at most months x batches
@@ -299,7 +304,7 @@ def _new_vectors(spark: SparkSession, tables: Tables, vectors: DataFrame, m: Man
     stored = _batches(spark, tables, m, "vectors", m.through()).select("vec_key")
     if m.snapshot:
         stored = stored.unionByName(_buckets(spark, tables, m.snapshot["vector_keys"], KEYS_SCHEMA, _touched(vectors, "vec_key")).select("vec_key"))
-    return vectors.join(stored, "vec_key", "left_anti").dropDuplicates(["vec_key"])
+    return vectors.dropDuplicates(["vec_key"]).join(stored, "vec_key", "left_anti")  # copies end before the shuffle
 
 
 def store_batch(
@@ -365,13 +370,14 @@ def append_versions(spark: SparkSession, tables: Tables, batch_id: int, versions
     m = load(spark, tables.root)
     if is_compacted(m, batch_id):
         return 0
+    versions = versions.persist()  # read once; the keyed rows and the vectors derive from it
     known = Manifest(**{**m.__dict__, "batches": {b: t for b, t in m.batches.items() if b != batch_id}})
     rows = versions.select(*EVENT_COLS, F.col("seq").cast("bigint").alias("seq"), F.lit(int(batch_id)).cast("bigint").alias("batch_id"), F.lit(0).alias(SHADOW_COL))
     rows, vectors = split_vectors(rows)
     first = Window.partitionBy("id", "version").orderBy("seq", "updated_at", F.xxhash64(*EVENT_COLS))
-    rows = rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    stored = read_index(spark, tables, known, slots=_touched(versions, "id")).select("id", "version")
-    rows = rows.join(stored, ["id", "version"], "left_anti").persist()
+    stored = read_index(spark, tables, known, slots=_touched(versions, "id") if known.snapshot else None).select("id", "version")
+    rows = rows.join(stored, ["id", "version"], "left_anti")  # before the sort: most of a replay ends here
+    rows = rows.withColumn("_n", place_in(first)).where("_n = 1").drop("_n").persist()
     try:
         told = rows.agg(F.count(F.lit(1)).alias("n"), F.max("updated_at").alias("last")).first()
         wanted = rows.select(F.explode(F.array(*ARRAY_FIELDS)).alias("vec_key")).distinct()
@@ -381,6 +387,7 @@ def append_versions(spark: SparkSession, tables: Tables, batch_id: int, versions
         return told.n
     finally:
         rows.unpersist()
+        versions.unpersist()
 
 
 # ---------------------------------------------------------------- maintenance
@@ -416,12 +423,18 @@ def compact_tables(spark: SparkSession, tables: Tables, through: int) -> Manifes
     if k is not None and k >= int(through):
         return m
     at = lambda table: f"{table}/through={int(through)}/{ATTEMPT}={attempt}"
-    rows = clustered(_state(spark, tables, m, _ROW, int(through)))
-    state = _write(rows, tables, at("snapshots"), (MONTH_COL,), **_bloom_options(("id",), None, 0.01))
-    files = _write(file_ranges(spark, f"{tables.root}/{state}"), tables, at("snapshot_files"))
     upto = Manifest(**{**m.__dict__, "batches": {b: t for b, t in m.batches.items() if b <= int(through)}})
-    index = _index_of(spark, tables, upto, read_index(spark, tables, upto).drop("compacted"), at("index_base"))
-    keys = _keys_of(spark, tables, upto, at("vector_keys"))
+
+    def write_state() -> tuple[str, str]:
+        rows = clustered(_state(spark, tables, m, _ROW, int(through)))
+        state = _write(rows, tables, at("snapshots"), (MONTH_COL,), **_bloom_options(("id",), None, 0.01))
+        return state, _write(file_ranges(spark, f"{tables.root}/{state}"), tables, at("snapshot_files"))
+
+    (state, files), index, keys = _together(
+        spark, write_state,
+        lambda: _index_of(spark, tables, upto, read_index(spark, tables, upto).drop("compacted"), at("index_base")),
+        lambda: _keys_of(spark, tables, upto, at("vector_keys")),
+    )
     seen = {b: m.batches[b]["history"]["paths"] for b in upto.batches if "history" in m.batches[b]}
 
     def change(new: Manifest) -> Manifest:
@@ -486,21 +499,37 @@ def purge(spark: SparkSession, tables: Tables, retention_days: int, as_of=None)
     def _left(table: str) -> list[int]:
         return [b for b in m.batches if files.exists(f"{table}/batch_id={b}/{ATTEMPT}={attempt}")]
 
+    at = lambda table: f"{table}/through={k}/{ATTEMPT}={attempt}"
+
+    def write_state() -> tuple[str, str] | None:
+        if k is None:
+            return None
+        old = _compacted(spark, tables, m.snapshot["state"], KEYED_HISTORY).join(gone, "id", "left_anti")
+        state = _write(clustered(old.select(*_ROW)), tables, at("snapshots"), (MONTH_COL,), **_bloom_options(("id",), None, 0.01))
+        return state, _write(file_ranges(spark, f"{tables.root}/{state}"), tables, at("snapshot_files"))
+
+    def write_index() -> dict | None:
+        if k is None:
+            return None
+        index = _buckets(spark, tables, m.snapshot["index"], INDEX_SCHEMA).join(gone, "id", "left_anti")
+        return _bucketed(index, tables, at("index_base"), ID_BUCKET, "id", m.snapshot["index"]["rows"])
+
     kept = _batches(spark, tables, m, "history").join(gone, "id", "left_anti")
-    new = {"history": rewritten("history", layout(kept.select(*_ROW)), MONTH_COL)}
-    new["index"] = rewritten("index", _batches(spark, tables, m, "index").join(gone, "id", "left_anti"))
     rejects = _batches(spark, tables, m, "rejects")
-    new["rejects"] = rewritten("rejects", rejects.join(gone, rejects["event_id"] == gone["id"], "left_anti"))
+    *rewrites, of_state, of_index = _together(
+        spark,
+        lambda: rewritten("history", layout(kept.select(*_ROW)), MONTH_COL),
+        lambda: rewritten("index", _batches(spark, tables, m, "index").join(gone, "id", "left_anti")),
+        lambda: rewritten("rejects", rejects.join(gone, rejects["event_id"] == gone["id"], "left_anti")),
+        write_state, write_index,
+    )
+    new = dict(zip(("history", "index", "rejects"), rewrites, strict=True))
     done = Manifest(**{**m.__dict__, "batches": {b: {**t, **{n: e[b] for n, e in new.items() if b in e}} for b, t in m.batches.items()}})
     snapshot = None
     named = _batches(spark, tables, done, "history").select(*ARRAY_FIELDS)
     if k is not None:
-        at = lambda table: f"{table}/through={k}/{ATTEMPT}={attempt}"
-        old = _compacted(spark, tables, m.snapshot["state"], KEYED_HISTORY).join(gone, "id", "left_anti")
-        state = _write(clustered(old.select(*_ROW)), tables, at("snapshots"), (MONTH_COL,), **_bloom_options(("id",), None, 0.01))
-        ranges = _write(file_ranges(spark, f"{tables.root}/{state}"), tables, at("snapshot_files"))
-        index = _buckets(spark, tables, m.snapshot["index"], INDEX_SCHEMA).join(gone, "id", "left_anti")
-        snapshot = {"through": k, "state": state, "files": ranges, "index": _bucketed(index, tables, at("index_base"), ID_BUCKET, "id", m.snapshot["index"]["rows"])}
+        state, ranges = of_state
+        snapshot = {"through": k, "state": state, "files": ranges, "index": of_index}
         named = named.unionByName(_compacted(spark, tables, state, KEYED_HISTORY).select(*ARRAY_FIELDS))
     wanted = named.select(F.explode(F.array(*ARRAY_FIELDS)).alias("vec_key")).distinct()
     new["vectors"] = rewritten("vectors", _batches(spark, tables, m, "vectors").join(wanted, "vec_key", "left_semi"))

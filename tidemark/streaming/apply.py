@@ -10,9 +10,10 @@ what the batch had, so the tables end up as if each batch ran once.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType
 
 from tidemark.operators.fold import SLICES, STEP, fold_rows, op_key
 from tidemark.operators.validate import split_messages
@@ -36,11 +37,21 @@ from tidemark.sinks.store import (  # noqa: F401  (the apply job's tables are re
 from tidemark.sources.changelog import with_input_order
 
 
-def _with_raw(messages: DataFrame) -> DataFrame:
-    """The message text, as it came: put back by a re-drive it keeps its ``seq``, or has none."""
+#: A message's ``seq`` as it came.
+_SENT_SEQ = "_sent_seq"
+
+
+def _sent(messages: DataFrame) -> Column:
+    """The message as it came: its text, or what :func:`_text` makes its text of."""
     if "raw" in messages.columns:
-        return messages
-    return messages.withColumn("raw", F.to_json(F.struct("operation", "event_id", "timestamp", "data", "seq")))
+        return F.col("raw")
+    return F.struct("operation", "event_id", "timestamp", "data", F.col(_SENT_SEQ).alias("seq"))
+
+
+def _text(df: DataFrame, column: str) -> Column:
+    """The text of a message of :func:`_sent`: put back by a re-drive it keeps its ``seq``, or has none.
+    Only rejects need it."""
+    return F.col(column) if isinstance(df.schema[column].dataType, StringType) else F.to_json(column)
 
 
 def apply_batch(spark: SparkSession, messages: DataFrame, batch_id: int, tables: Tables, slices: int = SLICES, step: int = STEP) -> None:
@@ -60,26 +71,28 @@ def apply_batch(spark: SparkSession, messages: DataFrame, batch_id: int, tables:
 
     try:
         # The batch is read from the source once; everything below derives from it.
-        messages = keep(with_input_order(keep(_with_raw(messages))))
-        ops, bad = split_messages(messages, batch_id, keep=("raw",))
-        ops, vectors = split_vectors(ops)
-        ops = keep(ops)
+        messages = keep(messages.withColumn(_SENT_SEQ, F.col("seq")))
+        messages = with_input_order(messages, keep).withColumn("_sent", _sent(messages))
+        told = messages.withColumn("raw", _text(messages, "_sent"))
+        bad = split_messages(told, batch_id)[1]
+        sent, vectors = split_vectors(split_messages(messages, batch_id, keep=("_sent",))[0])
+        ops = keep(sent.drop("_sent"))
         base = base_rows(spark, tables, ops, batch_id, m, keep)
         rows = keep(fold_rows(ops, base, slices, step))
         versions = rows.where("_ok").select(*EVENT_COLS, "batch_id", "seq", SHADOW_COL)
-        rejects = bad.unionByName(_not_found(rows, ops))
+        rejects = bad.unionByName(_not_found(rows, sent))
         store_batch(spark, tables, batch_id, versions, vectors, rejects, _metrics(rows, bad), m)
     finally:
         for df in reversed(kept):
             df.unpersist()
 
 
-def _not_found(rows: DataFrame, ops: DataFrame) -> DataFrame:
+def _not_found(rows: DataFrame, sent: DataFrame) -> DataFrame:
     """Operations without anything to act on, with the text of their messages."""
     keys = ["event_id", "operation", "seq", "_tie"]
     lost = rows.where(~F.col("_ok")).select(F.col("id").alias("event_id"), F.col("op").alias("operation"), "seq", "_tie")
-    texts = ops.select(F.col("id").alias("event_id"), F.col("op").alias("operation"), "seq", op_key().alias("_tie"), "raw")
-    texts = texts.join(lost.distinct(), keys, "left_semi").dropDuplicates(keys)
+    texts = sent.select(F.col("id").alias("event_id"), F.col("op").alias("operation"), "seq", op_key().alias("_tie"), "_sent")
+    texts = texts.join(lost.distinct(), keys, "left_semi").withColumn("raw", _text(texts, "_sent")).drop("_sent").dropDuplicates(keys)
     return lost.join(texts, keys).withColumn("reason", F.lit(R_NOT_FOUND)).select(*REJECT_SCHEMA.names)
 
 
