@@ -164,9 +164,11 @@ def _state(spark: SparkSession, d: str) -> DataFrame:
     from tidemark.sinks.table import read_state, write_history, write_snapshot
 
     root = scratch_path(spark, "state")
-    first, second = _two_batches(history(spark, d))
+    versions = history(spark, d).persist()  # one fold for both batches
+    first, second = _two_batches(versions)
     write_history(first, f"{root}/history", batch_id=0)
     write_history(second, f"{root}/history", batch_id=1)
+    versions.unpersist()
     write_snapshot(spark, f"{root}/history", f"{root}/snapshots", through=0)
     return read_state(spark, f"{root}/history", f"{root}/snapshots")
 
